@@ -6,12 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, quality
+from . import bpe, exact_dedup, packing, quality, token_files
 from .runtime import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -20,6 +37,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -29,7 +50,7 @@ def _shipped(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _shipped(f) for f in (op7_exact_dedup, op9_quality_rules)}
+    return {f.__name__: _shipped(f) for f in (op2_byte_bpe, op6_token_files, op7_exact_dedup, op9_quality_rules, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

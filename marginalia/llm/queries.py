@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, packing, quality, token_files
+from . import bpe, chat, exact_dedup, licenses, packing, pii, quality, token_files
 from .runtime import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,18 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.document_licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -50,7 +62,7 @@ def _shipped(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _shipped(f) for f in (op2_byte_bpe, op6_token_files, op7_exact_dedup, op9_quality_rules, op10_packing)}
+    return {f.__name__: _shipped(f) for f in (op2_byte_bpe, op3_chat_formatting, op4_pii, op5_license_scan, op6_token_files, op7_exact_dedup, op9_quality_rules, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,6 +8,16 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
+OP3 = r"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM conversations),
+r AS (SELECT conv_id, pos, role, text, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS one FROM t),
+p AS (SELECT conv_id, pos, max(pos) OVER (PARTITION BY conv_id) AS n,
+             list({'role': role, 'text': text}) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM r),
+w AS (SELECT upto, n, min(conv_id) AS conv_id, count(*) AS n_copies FROM p WHERE pos = n GROUP BY upto, n),
+k AS (SELECT * FROM w WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.pos < p.n AND p.upto = w.upto))
+SELECT k.conv_id, k.n AS n_turns, k.n_copies, string_agg(r.one, '' ORDER BY r.pos) AS chat FROM k JOIN r ON r.conv_id = k.conv_id GROUP BY k.conv_id, k.n, k.n_copies
+"""
+
 FEATURES = r"""
 t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM {docs}),
 w AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
@@ -29,6 +39,7 @@ quality AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat
 """
 
 SQL = {
+    "op3_chat_formatting": OP3,
     "op7_exact_dedup": OP7,
     "op9_quality_rules": "WITH " + FEATURES.replace("{docs}", "documents") + " SELECT * FROM quality",
 }

@@ -7,10 +7,10 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 
 #: Segments that a worker remembers at most; beyond, it starts anew. Only time depends on it.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
 #: Characters of the texts that are encoded together, about.
-TOGETHER = 4_000_000
+TOGETHER = 1_000_000
 
 
 class SegmentEncoder:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
@@ -15,6 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .segments import SegmentEncoder, encoded
+#: From so many positions on, the merges of a rank are made by array operations.
+AT_ONCE = 32
+
 
 class Ranks:
     """A vocabulary of byte strings with their ranks, which are their ids."""
@@ -29,6 +33,9 @@ class Ranks:
             if len(b) == 2:
                 first[b[0], b[1]] = i
         self.byte_pairs = first
+        pairs = [(ranks[x[:k]] << 32 | ranks[x[k:]], r) for x, r in ranks.items() for k in range(1, len(x)) if x[:k] in ranks and x[k:] in ranks]
+        table = np.array(sorted(pairs), "i8").reshape(-1, 2)
+        self.pair_keys, self.pair_ranks = np.ascontiguousarray(table[:, 0]), np.ascontiguousarray(table[:, 1])
 
     @classmethod
     def load(cls, path: str) -> Ranks:
@@ -43,13 +50,20 @@ class Ranks:
             got = self._pairs[key] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
         return got
 
+    def pair_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """As ``pair``, for many; negative tokens have no pair."""
+        key = a.astype("i8") << 32 | np.maximum(b, 0)
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where((self.pair_keys[at] == key) & (a >= 0) & (b >= 0), self.pair_ranks[at], -1)
+
     def replay(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, as little-endian unsigned 32-bit integers: of all neighbouring pairs the one with the lowest rank merges first, the leftmost of equals.
 
         The words lie one after another in one array of tokens. An inverted index holds the positions of each pair that
         can merge, under the rank of the merge; ranks are taken from a heap. A merge touches its two neighbours only: their
         new pairs enter the index. Positions whose pair has changed meanwhile are passed over. If a merge makes a pair of
-        lower rank, the later positions of that word wait until that pair has had its turn.
+        lower rank, the later positions of that word wait until that pair has had its turn. Where no position overlaps another and
+        none makes a pair of lower rank, all of a rank merge at once.
         """
         out = [b""] * len(words)
         todo = []
@@ -76,13 +90,62 @@ class Ranks:
         index = {int(r): p.tolist() for r, p in zip(by[np.r_[0, cuts]], np.split(at, cuts), strict=True)} if len(at) else {}
         heap = list(index)
         heapq.heapify(heap)
-        tok = token.tolist()
-        after = list(range(1, len(tok) + 1))
-        before = list(range(-1, len(tok) - 1))
+        n = len(token)
+        tok, after, before = (array("i", x.astype("i4").tobytes()) for x in (token, np.arange(1, n + 1), np.arange(-1, n - 1)))
+        toks, afters, befores = (np.frombuffer(x, "i4") for x in (tok, after, before))
+
+        def enter(ranks: np.ndarray, at: np.ndarray) -> None:
+            real = ranks >= 0
+            ranks, at = ranks[real], at[real]
+            if not len(at):
+                return
+            order = np.argsort(ranks, kind="stable")
+            ranks, at = ranks[order], at[order].tolist()
+            cuts = np.flatnonzero(np.diff(ranks)) + 1
+            x = 0
+            for r, e in zip(ranks[np.r_[0, cuts]].tolist(), [*cuts.tolist(), len(at)], strict=True):
+                if r in index:
+                    index[r] += at[x:e]
+                else:
+                    index[r] = at[x:e]
+                    heapq.heappush(heap, r)
+                x = e
+
+        def at_once(r: int, positions: list[int]) -> bool:
+            p = np.sort(np.array(positions, "i4"))
+            a, q = toks[p], afters[p]
+            ok = (a >= 0) & (q < n)
+            p, a, q = p[ok], a[ok], q[ok]
+            ok = self.pair_of(a, toks[q]) == r
+            ok[1:] &= p[1:] != p[:-1]
+            p, q = p[ok], q[ok]
+            nxt, left = afters[q], befores[p]
+            near = left >= 0
+            left, at = left[near], p[near]
+            right, lefts = self.pair_of(np.full(len(p), r), toks[nxt]), self.pair_of(toks[left], np.full(len(left), r))
+            lower = lambda x: ((x >= 0) & (x < r)).any()
+            if (q[:-1] == p[1:]).any() or lower(right) or lower(lefts):
+                return False
+            touch = nxt[:-1] == p[1:]  # neighbours that both merge
+            if touch.any():
+                if 0 <= pair(r, r) < r:
+                    return False
+                toks[p], toks[q] = r, -2
+                right, lefts = self.pair_of(toks[p], toks[nxt]), self.pair_of(np.where(np.isin(left, q), r, toks[left]), toks[at])
+            else:
+                toks[p], toks[q] = r, -2
+            afters[p], befores[nxt] = nxt, p
+            left = befores[at]
+            enter(right, p)
+            enter(lefts, left)
+            return True
+
         pairs, pair = self._pairs, self.pair
         while heap:
             r = heapq.heappop(heap)
             positions = index.pop(r)
+            if len(positions) >= AT_ONCE and at_once(r, positions):
+                continue
             positions.sort()
             wait = -1  # positions below it wait for a lower rank of their word
             for p in positions:
@@ -137,7 +200,7 @@ class Ranks:
                 if low:
                     k = bisect_right(starts, p)
                     wait = starts[k] if k < len(starts) else len(tok)
-        left = np.asarray(tok)
+        left = toks
         alive = left >= 0
         ids, x = left[alive].astype("<u4").tobytes(), 0
         for k, n in zip(todo, (4 * np.add.reduceat(alive, starts)).tolist(), strict=True):

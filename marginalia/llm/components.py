@@ -1,0 +1,39 @@
+"""Connected components by alternating stars, on data frames only."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .runtime import written
+
+#: More rounds than any graph needs whose longest path fits in 2**ROUNDS steps.
+ROUNDS = 40
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """``node, root`` for each node of ``edges`` (``a``, ``b``: long); ``root`` is the smallest node of its component.
+
+    Each round lets every node pass its smallest neighbour on, first to its larger neighbours, then to its smaller ones, until
+    nothing changes. Minima are taken before rows are shuffled, and a node with very many neighbours is joined by splitting it,
+    so it needs no task for itself. Each round is written: a lost executor costs that round's tasks. Loops and repeated edges
+    are allowed; an empty table gives none.
+    """
+    e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    nodes = written(e.distinct(), "edges")
+    e = nodes.where("u > v")
+    for _ in range(ROUNDS):
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = e.withColumnRenamed("u", "x").join(low, F.col("v") == F.col("u")).select(F.col("x").alias("u"), F.col("m").alias("v"))
+        large = large.where("u > v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("s")).select("s.u", "s.v")
+        new = written(small.where("u > v").distinct(), "star")
+        if new.exceptAll(e).isEmpty() and e.exceptAll(new).isEmpty():
+            break
+        e = new
+    else:
+        raise RuntimeError("components have not settled")
+    every = nodes.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    return every.join(e.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").select("node", F.coalesce("root", "node").alias("root"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, exact_dedup, licenses, packing, pii, quality, token_files
+from . import bpe, chat, exact_dedup, licenses, ngram_join, packing, pii, quality, token_files
 from .runtime import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -62,7 +66,7 @@ def _shipped(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _shipped(f) for f in (op2_byte_bpe, op3_chat_formatting, op4_pii, op5_license_scan, op6_token_files, op7_exact_dedup, op9_quality_rules, op10_packing)}
+    return {f.__name__: _shipped(f) for f in (op1_ngram_jaccard, op2_byte_bpe, op3_chat_formatting, op4_pii, op5_license_scan, op6_token_files, op7_exact_dedup, op9_quality_rules, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,6 +8,21 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
+OP1 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [ws]
+             ELSE list_transform(range(1, len(ws) - 3), lambda i: list_slice(ws, i, i + 4)) END)) AS grams FROM w),
+e AS (SELECT CASE WHEN len(grams) = 0 THEN [[doc_id::VARCHAR, '']] ELSE grams END AS k, min(doc_id) AS id, count(*) AS n_copies, len(any_value(grams)) AS size FROM s GROUP BY 1),
+g AS (SELECT id, size, n_copies, unnest(k) AS gram FROM e WHERE size > 0),
+c AS (SELECT a.id AS a, b.id AS b, any_value(b.n_copies) AS bc, count(*) AS n, any_value(a.size) AS sa, any_value(b.size) AS sb FROM g a JOIN g b ON a.gram = b.gram AND a.id <> b.id GROUP BY 1, 2),
+l AS (SELECT a, b, bc FROM c WHERE 9 * n >= 4 * (sa + sb)),
+r(id, root) AS (SELECT id, id FROM e UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id),
+m AS (SELECT id, min(root) AS class_id FROM r GROUP BY id),
+t AS (SELECT a AS id, count(*) AS n_links, sum(bc) AS d FROM l GROUP BY a)
+SELECT s.doc_id, m.class_id, e.id AS text_class_id, e.n_copies, coalesce(t.n_links, 0)::BIGINT AS n_links, (coalesce(t.d, 0) + e.n_copies - 1)::BIGINT AS n_linked_docs, s.doc_id = m.class_id AS kept
+FROM s JOIN e ON e.k = CASE WHEN len(s.grams) = 0 THEN [[s.doc_id::VARCHAR, '']] ELSE s.grams END JOIN m USING (id) LEFT JOIN t USING (id)
+"""
+
 OP3 = r"""
 WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM conversations),
 r AS (SELECT conv_id, pos, role, text, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS one FROM t),
@@ -39,6 +54,7 @@ quality AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat
 """
 
 SQL = {
+    "op1_ngram_jaccard": OP1,
     "op3_chat_formatting": OP3,
     "op7_exact_dedup": OP7,
     "op9_quality_rules": "WITH " + FEATURES.replace("{docs}", "documents") + " SELECT * FROM quality",

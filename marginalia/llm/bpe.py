@@ -238,14 +238,14 @@ def tools(path: str, pattern: str) -> tuple[Ranks, SegmentEncoder]:
 
     ranks, find = Ranks.load(path), regex.compile(pattern).findall
 
-    def encode_all(segments: list[str]) -> Iterator[bytes]:
-        found = [find(s[1:] if s[0:1] == _FIRST else " " + s) for s in segments]
-        words = list({w for f in found for w in f})
-        ids = dict(zip(words, ranks.replay([w.encode() for w in words]), strict=True))
-        for f in found:
-            yield b"".join([ids[w] for w in f])
-
-    return ranks, SegmentEncoder(_segments, encode_all)
+    def pieces(segment: str) -> list[str]:
+        """The segment's matches, each named as a segment is."""
+        return [w[1:] if w[0] == " " else _FIRST + w for w in find(segment[1:] if segment[:1] == _FIRST else " " + segment)]
+
+    def encode_all(words: list[str]) -> list[bytes]:
+        return ranks.replay([(w[1:] if w[:1] == _FIRST else " " + w).encode() for w in words])
+
+    return ranks, SegmentEncoder(_segments, pieces, encode_all)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,8 +6,8 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 
-#: Segments that a worker remembers at most; beyond, it starts anew. Only time depends on it.
-REMEMBERED = 300_000
+#: Segments of the newer generation that a worker remembers; then it becomes the older one. Only time depends on it.
+REMEMBERED = 250_000
 LONGEST_REMEMBERED = 64
 #: Characters of the texts that are encoded together, about.
 TOGETHER = 1_000_000
@@ -16,17 +16,34 @@ TOGETHER = 1_000_000
 class SegmentEncoder:
     """Encodes whole texts as the concatenation of their segments' encodings.
 
-    ``split`` cuts a text where the tokenizer cannot join or look across; ``encode_all`` encodes a list of distinct
-    segments, each to bytes.
+    ``split`` cuts a text where the tokenizer cannot join or look across; ``pieces`` cuts a segment further, into segments
+    whose encodings make up its own; ``encode_all`` encodes a list of distinct pieces, each to bytes. What a worker has
+    encoded it remembers for two generations: frequent segments pass from the older to the newer one.
     """
 
-    def __init__(self, split: Callable[[str], list[str]], encode_all: Callable[[list[str]], Iterable[bytes]]):
-        self.split, self.encode_all = split, encode_all
+    def __init__(self, split: Callable[[str], list[str]], pieces: Callable[[str], list[str]], encode_all: Callable[[list[str]], Iterable[bytes]]):
+        self.split, self.pieces, self.encode_all = split, pieces, encode_all
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _unknown(self, segments: Iterable[str]) -> list[str]:
+        known, older, out = self.known, self.older, []
+        for s in segments:
+            if s not in known:
+                ids = older.get(s)
+                if ids is None:
+                    out.append(s)
+                else:
+                    known[s] = ids
+        return out
+
+    def _learn(self, segments: list[str], long: dict[str, bytes]) -> None:
+        for s, ids in zip(segments, self.encode_all(segments), strict=True) if segments else ():
+            (self.known if len(s) <= LONGEST_REMEMBERED else long)[s] = ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         known, out, left = self.known, [], []
         get = known.__getitem__
         for k, t in enumerate(texts):
@@ -36,12 +53,17 @@ class SegmentEncoder:
             except KeyError:
                 out.append(b"")
                 left.append((k, segments))
-        fresh = list({s for _, segments in left for s in segments if s not in known})
-        long = {}
-        for s, ids in zip(fresh, self.encode_all(fresh), strict=True) if fresh else ():
-            (known if len(s) <= LONGEST_REMEMBERED else long)[s] = ids
+        if not left:
+            return out
+        long: dict[str, bytes] = {}
+        fresh = [(s, self.pieces(s)) for s in self._unknown({s for _, segments in left for s in segments})]
+        self._learn(self._unknown({p for _, pieces in fresh for p in pieces}), long)
+        of = lambda s: known[s] if s in known else long[s]
+        for s, pieces in fresh:
+            if pieces != [s]:
+                (known if len(s) <= LONGEST_REMEMBERED else long)[s] = b"".join(map(of, pieces))
         for k, segments in left:
-            out[k] = b"".join([known[s] if s in known else long[s] for s in segments] if long else map(get, segments))
+            out[k] = b"".join(map(of if long else get, segments))
         return out
 
 

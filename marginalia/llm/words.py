@@ -16,6 +16,21 @@ END = 2
 TOGETHER = 2000
 
 
+#: Marks that the tokenizer separates from a letter or digit before them.
+_MARKS = ",.;:!?#*$%&"
+
+
+def _pieces(segment: str) -> list[str]:
+    """The marks at the end by themselves; ASCII letters in lower case, as the tokenizer's normaliser makes them."""
+    core = segment.rstrip(_MARKS)
+    marks = segment[len(core) :]
+    if core.isascii():
+        core = core.lower()
+    if marks and core and len(core[-1].lower()) == 1 and core[-1].isalnum():
+        return [core, marks]
+    return [core + marks]
+
+
 def _plain(s: str) -> bool:
     return s.isascii() or unicodedata.is_normalized("NFC", s)
 
@@ -52,4 +67,4 @@ def word_encoder(path: str) -> SegmentEncoder:
                 out[k] = np.array(tokenizer.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
         return out
 
-    return SegmentEncoder(lambda text: text.split(" "), encode_all)
+    return SegmentEncoder(lambda text: text.split(" "), _pieces, encode_all)

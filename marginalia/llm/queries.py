@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, exact_dedup, licenses, ngram_join, packing, pii, quality, token_files
+from . import bpe, chat, exact_dedup, licenses, ngram_join, packing, pii, quality, suffix_dedup, token_files
 from .runtime import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -66,7 +70,7 @@ def _shipped(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _shipped(f) for f in (op1_ngram_jaccard, op2_byte_bpe, op3_chat_formatting, op4_pii, op5_license_scan, op6_token_files, op7_exact_dedup, op9_quality_rules, op10_packing)}
+    return {f.__name__: _shipped(f) for f in (op1_ngram_jaccard, op2_byte_bpe, op3_chat_formatting, op4_pii, op5_license_scan, op6_token_files, op7_exact_dedup, op8_suffix_dedup, op9_quality_rules, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -143,6 +143,18 @@ def verdicts(fresh: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
     return _winners(fresh, buckets).groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(_look_up, _VERDICT)
 
 
+def _judged(docs: DataFrame) -> DataFrame:
+    """``doc_id, ord_id, digest, rid, win_id, win_rid, n`` of each row."""
+    d = docs.select(F.col("doc_id").cast("long"), digest(F.col("text")).alias("digest"), F.monotonically_increasing_id().alias("rid"))
+    d = written(d.withColumn("ord_id", F.coalesce("doc_id", F.lit(_NO_ID))), "digests")
+    low, high, rows = d.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
+    cut = _NO_ID if low is None else low + (high - low) // 2
+    buckets = parts_for(rows, BUCKET_KEYS, LEAST_BUCKETS)
+    index = written(build_index(d.where(F.col("ord_id") <= cut), buckets), "digest_index")
+    v = verdicts(d.where(F.col("ord_id") > cut), index, buckets)
+    return d.join(v, "digest")
+
+
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` of each row of ``docs`` (``doc_id``, ``text``).
 
@@ -152,13 +164,19 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     winners are smaller than any newer id); the upper half, and rows without id, are looked up in it, and those that are
     no members are grouped by themselves. An empty table gives no rows; other columns are ignored.
     """
-    d = docs.select("doc_id", digest(F.col("text")).alias("digest"), F.monotonically_increasing_id().alias("rid"))
-    d = written(d.withColumn("ord_id", F.coalesce("doc_id", F.lit(_NO_ID))), "digests")
-    low, high, rows = d.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    cut = _NO_ID if low is None else low + (high - low) // 2
-    buckets = parts_for(rows, BUCKET_KEYS, LEAST_BUCKETS)
-    index = written(build_index(d.where(F.col("ord_id") <= cut), buckets), "digest_index")
-    v = verdicts(d.where(F.col("ord_id") > cut), index, buckets)
-    out = d.join(v, "digest")
     keep = F.when(F.col("win_id") != _NO_ID, F.col("win_id"))
-    return out.select("doc_id", keep.alias("keep_id"), F.col("n").alias("group_size"), (F.col("rid") == F.col("win_rid")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    return _judged(docs).select("doc_id", keep.alias("keep_id"), F.col("n").alias("group_size"), (F.col("rid") == F.col("win_rid")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns. Of rows that repeat an id and a text any one stays."""
+    won = _judged(docs).where("rid = win_rid").select("ord_id", "digest")
+    return one_of_each(docs, won, digest(F.col("text")))
+
+
+def one_of_each(docs: DataFrame, won: DataFrame, key: Column) -> DataFrame:
+    """One row of ``docs`` for each row of ``won``, which has an id (``ord_id``, the largest number for null) and ``key``."""
+    ident, value = won.columns
+    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), "__key": key})
+    won = won.select(F.col(ident).alias("__id"), F.col(value).alias("__key"))
+    return keyed.join(won, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])

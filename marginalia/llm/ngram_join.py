@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .exact_dedup import one_of_each
 from .runtime import written
 from .segments import blocks
 
@@ -258,3 +259,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     out = rows.join(classes, "set_key")
     known = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
     return out.select("doc_id", known("group_id").alias("class_id"), known("first_id").alias("text_class_id"), "n_copies", "n_links", "n_linked_docs", (F.col("rid") == F.col("group_rid")).alias("kept"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The first row of each class that ``near_duplicates`` finds in ``docs``, with all its columns. Of rows that repeat an id and a
+    text any one stays."""
+    rows, classes = near_classes(docs)
+    won = rows.join(classes.select("group_rid").distinct(), F.col("rid") == F.col("group_rid"), "left_semi").select("ord_id", "text_key")
+    return one_of_each(docs, won, F.xxhash64("text"))

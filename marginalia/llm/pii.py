@@ -8,11 +8,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import let
-
 #: The kinds in order, and the base patterns.
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -302,23 +300,29 @@ def pii_report(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", *map(count, KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
-def mask(text: Column, spans: Column) -> Column:
+def masked_text(text: str, spans: list[Span]) -> str:
     """``text`` with each covered stretch replaced by the upper-case kind, in angle brackets, of the span that begins it.
+    Overlapping spans are one stretch."""
+    out, at = [], 0
+    for kind, a, b in sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2])):
+        if a >= at:
+            out += [text[at:a], f"<{kind.upper()}>"]
+        at = max(at, b)
+    return "".join([*out, text[at:]])
 
-    Overlapping spans count as one stretch. Null and empty texts stay as they are.
-    """
-    piece = lambda s, k: F.get(F.split(s, ":"), k)
-    parsed = F.transform(F.filter(F.split(spans, ","), lambda s: s != ""), lambda s: F.struct(piece(s, 1).cast("int").alias("a"), piece(s, 2).cast("int").alias("b"), F.upper(piece(s, 0)).alias("k")))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("end"))
-
-    def step(t: Column) -> Column:
-        return F.aggregate(
-            F.array_sort(parsed),
-            start,
-            lambda acc, s: F.when(s["a"] < acc["end"], F.struct(acc["out"].alias("out"), F.greatest(acc["end"], s["b"]).alias("end"))).otherwise(
-                F.struct(F.concat(acc["out"], F.substring(t, acc["end"] + 1, s["a"] - acc["end"]), F.lit("<"), s["k"], F.lit(">")).alias("out"), s["b"].alias("end"))
-            ),
-            lambda acc: F.concat(acc["out"], F.substring(t, acc["end"] + 1, F.length(t))),
-        )
-
-    return F.when(F.coalesce(spans, F.lit("")) == "", text).otherwise(let(text, step))
+
+def mask(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with all spans of each text masked. Null texts stay null; other columns and rows stay as they are."""
+    field = fitted()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k = batch.schema.get_field_index(text_col)
+            texts = []
+            for t in batch.column(k):
+                text = t.as_py()
+                base = base_spans(text) if text else []
+                texts.append(masked_text(text, base + added_spans(text, base, field)) if base else text)
+            yield batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -12,6 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -212,23 +213,29 @@ class Ranks:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
 
 
-#: Marks the segment that begins a text; no valid text holds it. The others follow a space, which they leave out.
-_FIRST = "\ud800"
-_SPACE_BEFORE_SPACE = re.compile(r"\s ")
+#: Marks the segment that begins a text; the others follow a space, which they leave out. Stands for a space that is no cut.
+_FIRST, _INNER = "\x00", "\x01"
+_AFTER_SPACE = re.compile(r"(?<=\s) ")
 
 
-def _segments(text: str) -> list[str]:
-    """Cuts before spaces that follow a character other than white space; a match of the pattern never holds such a place inside."""
-    parts = (_FIRST + text).split(" ")
-    if _SPACE_BEFORE_SPACE.search(text):
-        joined = parts[:1]
-        for s in parts[1:]:
-            if joined[-1] in ("", _FIRST) or joined[-1][-1].isspace():
-                joined[-1] += " " + s
-            else:
-                joined.append(s)
-        return joined
-    return parts
+def _prepare(texts: pa.Array) -> pa.Array:
+    """Texts to be cut at spaces that follow a character other than white space, where no match of the pattern holds such a place
+    inside. A text that holds one of the marks is left out."""
+    odd = pc.or_(pc.match_substring(texts, _FIRST), pc.match_substring(texts, _INNER))
+    ready = pc.binary_join_element_wise(_FIRST, texts, "")
+    close = pc.match_substring_regex(texts, r"[\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] ")
+    if pc.any(close).as_py():
+        ready = pa.array([_FIRST + _AFTER_SPACE.sub(_INNER, t) if c else r for t, r, c in zip(texts.to_pylist(), ready.to_pylist(), close.to_pylist(), strict=True)], pa.string())
+    return pc.if_else(odd, None, ready)
+
+
+def _text_of(segment: str) -> str:
+    text = segment[1:] if segment[:1] == _FIRST else " " + segment
+    return text.replace(_INNER, " ") if _INNER in text else text
+
+
+def _named(match: str) -> str:
+    return match[1:].replace(" ", _INNER) if match[0] == " " else _FIRST + match.replace(" ", _INNER)
 
 
 @lru_cache(maxsize=4)
@@ -240,12 +247,15 @@ def tools(path: str, pattern: str) -> tuple[Ranks, SegmentEncoder]:
 
     def pieces(segment: str) -> list[str]:
         """The segment's matches, each named as a segment is."""
-        return [w[1:] if w[0] == " " else _FIRST + w for w in find(segment[1:] if segment[:1] == _FIRST else " " + segment)]
+        return [_named(w) for w in find(_text_of(segment))]
 
     def encode_all(words: list[str]) -> list[bytes]:
-        return ranks.replay([(w[1:] if w[:1] == _FIRST else " " + w).encode() for w in words])
+        return ranks.replay([_text_of(w).encode() for w in words])
+
+    def whole(text: str) -> bytes:
+        return b"".join(ranks.replay([w.encode() for w in find(text)]))
 
-    return ranks, SegmentEncoder(_segments, pieces, encode_all)
+    return ranks, SegmentEncoder(pieces, encode_all, _prepare, whole)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -258,8 +268,9 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tools(path, pattern)[1]
         for batch in batches:
-            for rows, ids in encoded(batch, text_col, encoder):
-                yield pa.RecordBatch.from_arrays([rows.column(id_col), pa.array(ids, pa.binary())], [id_col, "ids"])
+            for rows, ids, at in encoded(batch, text_col, encoder):
+                raw = pa.BinaryArray.from_buffers(pa.binary(), rows.num_rows, [None, pa.py_buffer((4 * at).astype("i4")), pa.py_buffer(ids.astype("<u4"))])
+                yield pa.RecordBatch.from_arrays([rows.column(id_col), raw], [id_col, "ids"])
 
     source = docs.select(id_col, text_col)
     return source.mapInArrow(run, source.select(id_col, F.lit(b"").alias("ids")).schema)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from ..operators.graph import components
 from .exact_dedup import one_of_each
 from .runtime import written
 from .segments import blocks
@@ -114,7 +114,7 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
         shingle, minhash = Shingler(n), MinHash(bands, rows)
         for batch in batches:
             at = 0
-            for block in blocks(batch.column("text").to_pylist()):
+            for block in blocks(batch.column("text")):
                 sets = [shingle(t) for t in block]
                 keys = [minhash.keys(s) if len(s) else s.view("i8") for s in sets]
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), pa.array(np.concatenate(keys)))
@@ -132,7 +132,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
 
         shingle = Shingler(n)
         for batch in batches:
-            for block in blocks(batch.column("text").to_pylist()):
+            for block in blocks(batch.column("text")):
                 raw = [shingle(t).tobytes() for t in block]
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(x) for x in raw], pa.binary()), pa.array(raw, pa.binary())], ["set_key", "hashes"])
 

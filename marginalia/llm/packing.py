@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .runtime import parts_for, written
 from .segments import encoded
-from .words import END, word_encoder
+from .words import ended, word_encoder
 
 CAPACITY = 4096
 #: Documents whose ranks one task counts, about.
@@ -148,14 +148,16 @@ def _encode(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
     width = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = word_encoder(tokenizer), np.array([END], "<u4").tobytes()
+        encoder = word_encoder(tokenizer)
         for batch in batches:
-            for rows, ids in encoded(batch, "text", encoder):
-                ids = [x + end for x in ids]
-                rest = [x[len(x) // width * width :] for x in ids]
-                full = [[zlib.crc32(x[a : a + width]) for a in range(0, len(x) // width * width, width)] for x in ids]
+            for rows, ids, at in encoded(batch, "text", encoder):
+                ids, at = ended(ids, at)
+                raw, at = memoryview(ids.astype("<u4")).cast("B"), (4 * at).tolist()
+                texts = [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+                rest = [bytes(x[len(x) // width * width :]) for x in texts]
+                full = [[zlib.crc32(x[a : a + width]) for a in range(0, len(x) // width * width, width)] for x in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([len(x) // 4 for x in rest], pa.int64()), pa.array([zlib.crc32(x) for x in rest], pa.int64()), pa.array(full, pa.list_(pa.int64())), pa.array(rest, pa.binary())],
+                    [rows.column("doc_id"), pa.array([len(x) // 4 for x in texts], pa.int64()), pa.array([len(x) // 4 for x in rest], pa.int64()), pa.array([zlib.crc32(x) for x in rest], pa.int64()), pa.array(full, pa.list_(pa.int64())), pa.array(rest, pa.binary())],
                     ["doc_id", "doc_tokens", "rest", "rest_crc32", "full_crc32", "rest_ids"],
                 )
 
@@ -199,7 +201,7 @@ _PIECE = ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset")
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """The pieces of all documents of ``docs`` (``doc_id``, ``text``) in sequences of at most ``capacity`` ids.
 
-    A document's ids, ended by ``END``, are cut into full windows, each a sequence of its own, and a rest; the rests are
+    A document's ids, ended by the id ``END``, are cut into full windows, each a sequence of its own, and a rest; the rests are
     packed by their lengths, of which there are fewer than ``capacity``, so the plan is made on the driver and sent to all
     tasks whatever the number of documents. Columns: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
     Null counts as the empty text, whose only id is ``END``; rows that share an id are documents of their own; an empty table

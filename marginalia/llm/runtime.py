@@ -1,64 +1,27 @@
-"""Shared scratch space, lineage cuts and small column helpers for the corpus operators."""
+"""What the corpus operators share: shipping of this package, lineage cuts and small column helpers."""
 
 from __future__ import annotations
 
-import atexit
 import math
 import os
 import tempfile
-import uuid
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
+from ..functions.text import let  # noqa: F401 - part of this module's surface
+from ..storage import scratch_path  # noqa: F401
+
 #: White space of every word and line rule of this package.
 SPACE = r"[\x20\x09-\x0D]+"
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-_made: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (``spark.checkpoint.dir``).
-
-    Only where the setting is missing, as in tests on one machine, a temporary folder takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="marginalia-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    if not _made:
-        atexit.register(release)
-    path = f"{shared_dir(spark)}/marginalia/{uuid.uuid4().hex}/{name}"
-    _made.append((spark, path))
-    return path
-
-
-def release() -> None:
-    """Deletes the scratch tables of this process; data frames that read them end with it."""
-    while _made:
-        spark, path = _made.pop()
-        try:
-            jvm, sc = spark._jvm, spark.sparkContext._jsc
-            p = jvm.org.apache.hadoop.fs.Path(path).getParent()
-            p.getFileSystem(sc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # noqa: BLE001 - the session has ended; nothing is left to delete with
-            return
 
 
 def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Writes ``df`` once to the shared folder and reads it again: the lineage ends at files that survive executors."""
-    spark = df.sparkSession
-    ship(spark)
-    path = scratch_path(spark, name)
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    ship(df.sparkSession)
+    return storage.written(df, name, **options)
 
 
 def ship(spark: SparkSession) -> None:
@@ -73,11 +36,6 @@ def ship(spark: SparkSession) -> None:
     spark._marginalia_shipped = True
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which is computed once: inside a lambda a plain expression would run for each element."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def words(text: Column) -> Column:
     """Maximal runs of characters that are not white space; null counts as empty."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")

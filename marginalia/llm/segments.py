@@ -1,88 +1,128 @@
-"""Encoding of texts by segments between spaces: each distinct segment is encoded once in a worker."""
+"""Encoding of texts by segments between spaces: each distinct segment of a block is looked up once."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Segments of the newer generation that a worker remembers; then it becomes the older one. Only time depends on it.
-REMEMBERED = 250_000
+REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
 #: Characters of the texts that are encoded together, about.
-TOGETHER = 1_000_000
+TOGETHER = 3_000_000
+
+
+class _Known(dict):
+    """Encodings by segment. A segment that only the older generation has moves over; one that neither has counts as
+    missing and stands for nothing yet."""
+
+    def __init__(self, older: dict[str, bytes]):
+        super().__init__()
+        self.older = older
+        self.missing: list[str] = []
+
+    def __missing__(self, segment: str) -> bytes:
+        ids = self.older.get(segment)
+        if ids is None:
+            self.missing.append(segment)
+            return b""
+        self[segment] = ids
+        return ids
 
 
 class SegmentEncoder:
     """Encodes whole texts as the concatenation of their segments' encodings.
 
-    ``split`` cuts a text where the tokenizer cannot join or look across; ``pieces`` cuts a segment further, into segments
-    whose encodings make up its own; ``encode_all`` encodes a list of distinct pieces, each to bytes. What a worker has
-    encoded it remembers for two generations: frequent segments pass from the older to the newer one.
+    ``prepare`` turns a text into one whose spaces are where the tokenizer cannot join or look across, or into null for a text that
+    ``whole`` encodes by itself; ``pieces`` cuts a segment further, into segments whose encodings make up its own; ``encode_all``
+    encodes a list of distinct pieces. Encodings are little-endian unsigned 32-bit integers. What a worker has encoded it
+    remembers for two generations: frequent segments pass from the older to the newer one.
     """
 
-    def __init__(self, split: Callable[[str], list[str]], pieces: Callable[[str], list[str]], encode_all: Callable[[list[str]], Iterable[bytes]]):
-        self.split, self.pieces, self.encode_all = split, pieces, encode_all
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _unknown(self, segments: Iterable[str]) -> list[str]:
-        known, older, out = self.known, self.older, []
-        for s in segments:
-            if s not in known:
-                ids = older.get(s)
-                if ids is None:
-                    out.append(s)
-                else:
-                    known[s] = ids
-        return out
-
-    def _learn(self, segments: list[str], long: dict[str, bytes]) -> None:
-        for s, ids in zip(segments, self.encode_all(segments), strict=True) if segments else ():
-            (self.known if len(s) <= LONGEST_REMEMBERED else long)[s] = ids
+    def __init__(self, pieces: Callable[[str], list[str]], encode_all: Callable[[list[str]], list[bytes]], prepare: Callable[[pa.Array], pa.Array] | None = None, whole: Callable[[str], bytes] | None = None):
+        self.pieces, self.encode_all, self.prepare, self.whole = pieces, encode_all, prepare, whole
+        self.known = _Known({})
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _look_up(self, segments: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        known, out, left = self.known, [], []
+            self.known = _Known(dict(self.known))
+        known, missing = self.known, self.known.missing
         get = known.__getitem__
-        for k, t in enumerate(texts):
-            segments = self.split(t)
-            try:
-                out.append(b"".join(map(get, segments)))
-            except KeyError:
-                out.append(b"")
-                left.append((k, segments))
-        if not left:
+        out = list(map(get, segments))
+        if not missing:
             return out
-        long: dict[str, bytes] = {}
-        fresh = [(s, self.pieces(s)) for s in self._unknown({s for _, segments in left for s in segments})]
-        self._learn(self._unknown({p for _, pieces in fresh for p in pieces}), long)
-        of = lambda s: known[s] if s in known else long[s]
-        for s, pieces in fresh:
-            if pieces != [s]:
-                (known if len(s) <= LONGEST_REMEMBERED else long)[s] = b"".join(map(of, pieces))
-        for k, segments in left:
-            out[k] = b"".join(map(of if long else get, segments))
+        fresh = missing.copy()
+        missing.clear()
+        cut = [(s, self.pieces(s)) for s in fresh]
+        for _, pieces in cut:
+            for p in pieces:
+                get(p)
+        new = list(dict.fromkeys(missing))
+        missing.clear()
+        known.update(zip(new, self.encode_all(new), strict=True))
+        for s, pieces in cut:
+            if len(pieces) != 1 or pieces[0] != s:
+                known[s] = b"".join(map(get, pieces))
+        out = list(map(get, segments))
+        for s in (*fresh, *new):
+            if len(s) > LONGEST_REMEMBERED:
+                known.pop(s, None)
         return out
 
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and where each text's begin and the last one's end. Null counts as empty."""
+        texts = pc.fill_null(texts, "")
+        ready = self.prepare(texts) if self.prepare else texts
+        alone = ready.is_null().to_numpy(zero_copy_only=False).nonzero()[0].tolist() if ready.null_count else []
+        lists = pc.split_pattern(pc.fill_null(ready, "") if alone else ready, " ")
+        named = lists.flatten().dictionary_encode()
+        found = self._look_up(named.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, found), "i8", len(found)) // 4
+        values = np.frombuffer(b"".join(found), "<u4")
+        index = named.indices.to_numpy()
+        counts, first = sizes[index], (np.cumsum(sizes) - sizes)[index]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = values[np.repeat(first - (ends - counts), counts) + np.arange(total)]
+        at = lists.offsets.to_numpy()
+        offsets = np.concatenate([[0], ends])[at - at[0]]
+        if not alone:
+            return ids, offsets
+        rows = np.split(ids, offsets[1:-1])
+        for k in alone:
+            rows[k] = np.frombuffer(self.whole(texts[k].as_py()), "<u4")  # type: ignore[misc]
+        return np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+
+    def encode_list(self, texts: list[str]) -> list[bytes]:
+        ids, at = self.encode(pa.array(texts, pa.string()))
+        raw, at = ids.tobytes(), (4 * at).tolist()
+        return [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def slices(texts: pa.Array, together: int = TOGETHER) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of stretches of about ``together`` bytes."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    first, size = 0, 0
+    for k, n in enumerate(sizes.tolist()):
+        size += n
+        if size >= together:
+            yield first, k + 1 - first
+            first, size = k + 1, 0
+    if first < len(sizes):
+        yield first, len(sizes) - first
+
+
+def blocks(texts: pa.Array, together: int = 1_000_000) -> Iterator[list[str]]:
+    """The texts in order, null as empty, in lists of about ``together`` bytes."""
+    for first, n in slices(texts, together):
+        yield [t or "" for t in texts.slice(first, n).to_pylist()]
+
 
-def blocks(texts: list[str | None]) -> Iterator[list[str]]:
-    """The texts in order, null as empty, in lists of about ``TOGETHER`` characters."""
-    block, size = [], 0
-    for t in texts:
-        block.append(t or "")
-        size += len(block[-1])
-        if size >= TOGETHER:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
-
-
-def encoded(batch: pa.RecordBatch, text: str, encoder: SegmentEncoder) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of a batch, each with its rows' encodings."""
-    at = 0
-    for block in blocks(batch.column(text).to_pylist()):
-        yield batch.slice(at, len(block)), encoder.encode(block)
-        at += len(block)
+def encoded(batch: pa.RecordBatch, text: str, encoder: SegmentEncoder) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of a batch, each with its rows' ids and where they begin and end."""
+    for first, n in slices(batch.column(text)):
+        part = batch.slice(first, n)
+        yield part, *encoder.encode(part.column(text))

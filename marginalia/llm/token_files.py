@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .runtime import parts_for, scratch_path
 from .segments import encoded
-from .words import END, word_encoder
+from .words import ended, word_encoder
 
 #: Bytes of text that go to one file, about.
 FILE_BYTES = 16 << 20
@@ -35,7 +35,7 @@ SCHEMA = "part int, row long, doc_id long, n_tokens long, ids array<int>"
 
 
 def encode_files(docs: DataFrame, tokenizer: str, out: str, file_bytes: int = FILE_BYTES) -> None:
-    """Writes the ids of each document, ended by ``END``, to Parquet files in ``out``.
+    """Writes the ids of each document, ended by the id ``END``, to Parquet files in ``out``.
 
     Files hold ranges of ``doc_id`` in ascending order, null first; rows that share an id are in order of their texts.
     ``part`` is the file's place in that order and ``row`` the row's place in its file. Texts are dealt by range before
@@ -47,14 +47,12 @@ def encode_files(docs: DataFrame, tokenizer: str, out: str, file_bytes: int = FI
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, row = word_encoder(tokenizer), TaskContext.get().partitionId(), 0
-        end = np.array([END], "<u4").tobytes()
         for batch in batches:
-            for rows, ids in encoded(batch, "text", encoder):
+            for rows, ids, at in encoded(batch, "text", encoder):
                 n = rows.num_rows
-                counts = np.array([len(x) // 4 + 1 for x in ids], "i8")
-                values = np.frombuffer(end.join(ids) + end, "<i4") if n else np.zeros(0, "i4")
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(values))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part, "i4")), pa.array(np.arange(row, row + n)), rows.column("doc_id"), pa.array(counts), lists], ["part", "row", "doc_id", "n_tokens", "ids"])
+                ids, at = ended(ids, at)
+                lists = pa.ListArray.from_arrays(pa.array(at.astype("i4")), pa.array(ids.astype("i4")))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part, "i4")), pa.array(np.arange(row, row + n)), rows.column("doc_id"), pa.array(np.diff(at)), lists], ["part", "row", "doc_id", "n_tokens", "ids"])
                 row += n
 
     dealt = source.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")

@@ -9,10 +9,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Segments of the newer generation that a worker remembers; then it becomes the older one. Only time depends on it.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 LONGEST_REMEMBERED = 64
 #: Characters of the texts that are encoded together, about.
-TOGETHER = 3_000_000
+TOGETHER = 5_000_000
 
 
 class _Known(dict):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -22,6 +23,8 @@ _MARKS = ",.;:!?#*$%&"
 
 def _pieces(segment: str) -> list[str]:
     """The marks at the end by themselves; ASCII letters in lower case, as the tokenizer's normaliser makes them."""
+    if segment.isalnum():
+        return [segment.lower()] if segment.isascii() else [segment]
     core = segment.rstrip(_MARKS)
     marks = segment[len(core) :]
     if core.isascii():
@@ -44,6 +47,7 @@ def word_encoder(path: str) -> SegmentEncoder:
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
     tokenizer = Tokenizer.from_file(path)
 
@@ -55,16 +59,33 @@ def word_encoder(path: str) -> SegmentEncoder:
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
+    # A word of small Latin letters is one piece for the pre-tokenizer; the model takes it as the byte-level alphabet writes it.
+    bytelevel = ByteLevel(add_prefix_space=False, use_regex=False)
+    latin = re.compile(r"[a-zß-öø-ÿ]+").fullmatch
+    written = str.maketrans({c: bytelevel.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c.isalpha()})
+    tokenize = tokenizer.model.tokenize
+
     def encode_all(segments: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(segments)
-        plain = [k for k, s in enumerate(segments) if _plain(s)]
-        for x in range(0, len(plain), TOGETHER):
-            block = plain[x : x + TOGETHER]
-            for k, ids in zip(block, together([segments[k] for k in block]), strict=True):
-                out[k] = ids
+        plain, ids, counts, at = [], [], [], []
         for k, s in enumerate(segments):
-            if not _plain(s):
+            if latin(s):
+                got = tokenize(s if s.isascii() else s.translate(written))
+                ids += [t.id for t in got]
+                counts.append(len(got))
+                at.append(k)
+            elif _plain(s):
+                plain.append(k)
+            else:
                 out[k] = np.array(tokenizer.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+        raw, x = np.array(ids, "<u4").tobytes(), 0
+        for k, n in zip(at, counts, strict=True):
+            out[k] = raw[x : x + 4 * n]
+            x += 4 * n
+        for x in range(0, len(plain), TOGETHER):
+            block = plain[x : x + TOGETHER]
+            for k, got in zip(block, together([segments[k] for k in block]), strict=True):
+                out[k] = got
         return out
 
     return SegmentEncoder(_pieces, encode_all)

@@ -39,19 +39,21 @@ def merge(concepts: DataFrame, *keys: str, scope: str | None = None) -> DataFram
 
     The longest canonical name wins and becomes the surface, else the first surface stays; the first summary that is not empty stays; lists are
     united in order; the grounding stays where all agree. With ``scope``, a column that names each row's unit, summaries are
-    joined with their units instead, if none is empty.
+    joined with their units instead, if none is empty, and the units are joined by plus signs.
     """
     pos = F.col("pos")
     lists = [union_in_order(F.col(c), pos).alias(c) for c in ("aliases", "observed_surfaces", "source_block_refs")]
     summary = F.coalesce(first_non_empty("summary", "pos"), F.lit(""))
     if scope:
-        said = F.array_sort(F.collect_list(F.struct(pos, F.concat(F.lit("["), F.col(scope), F.lit("]: "), F.col("summary")).alias("t"))))
+        labelled = F.when(F.col("summary").startswith("["), F.col("summary")).otherwise(F.concat(F.lit("["), F.col(scope), F.lit("]: "), F.col("summary")))
+        said = F.array_sort(F.collect_list(F.struct(pos, labelled.alias("t"))))
+        lists.append(F.array_join(union_in_order(F.array(scope), pos), "+").alias(scope))
         summary = F.when(F.bool_and(F.col("summary") != "") & (F.count("*") > 1), F.array_join(F.transform(said, lambda x: x["t"]), " ")).otherwise(summary)
     out = concepts.groupBy(*keys).agg(
         F.min("pos").alias("pos"), F.count("*").alias("n_members"), longest(F.col("canonical_name")).alias("canonical_name"), F.min_by("surface", "pos").alias("first_surface"),
         F.min_by("concept_type", "pos").alias("type"), summary.alias("summary"), *lists, agreed(F.col("grounding")).alias("grounding"), union_in_order(F.array("concept_id"), pos).alias("merged_from"),
     )
-    return out.withColumn("surface", F.coalesce("canonical_name", "first_surface")).drop("first_surface")
+    return out.withColumn("surface", F.coalesce("canonical_name", "first_surface")).withColumn("canonical_name", F.coalesce("canonical_name", F.lit(""))).withColumnRenamed("type", "concept_type")
 
 
 def unify(concepts: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -67,7 +67,8 @@ def apply_concepts(registry: DataFrame, units: DataFrame, mapping: DataFrame) ->
     columns = ["surface", "concept_type", "canonical_name", "summary", "aliases", "observed_surfaces", "source_block_refs", "grounding", "source_unit"]
     old = registry.select(F.struct(F.lit(0).alias("side"), F.col("id").alias("x")).alias("pos"), F.col("id").alias("new_id"), F.col("id").alias("concept_id"), *columns)
     new = units.join(mapping.withColumnRenamed("old_id", "id"), "id").select(F.struct(F.lit(1).alias("side"), F.col("id").alias("x")).alias("pos"), "new_id", F.col("id").alias("concept_id"), *columns)
-    return merge(old.unionByName(new), "new_id", scope="source_unit").withColumnRenamed("new_id", "id")
+    merged = merge(old.unionByName(new), "new_id", scope="source_unit").withColumnRenamed("new_id", "id")
+    return merged.withColumn("surface", F.when(F.col("n_members") == 1, F.col("first_surface")).otherwise(F.col("surface")))
 
 
 def group_operations(groups: DataFrame, proposals: DataFrame) -> DataFrame:

@@ -255,7 +255,7 @@ def tools(path: str, pattern: str) -> tuple[Ranks, SegmentEncoder]:
     def whole(text: str) -> bytes:
         return b"".join(ranks.replay([w.encode() for w in find(text)]))
 
-    return ranks, SegmentEncoder(pieces, encode_all, _prepare, whole)
+    return ranks, SegmentEncoder(re.compile("[A-Za-z]+").fullmatch, pieces, encode_all, _prepare, whole)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -9,10 +9,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Segments of the newer generation that a worker remembers; then it becomes the older one. Only time depends on it.
-REMEMBERED = 250_000
+REMEMBERED = 350_000
 LONGEST_REMEMBERED = 64
 #: Characters of the texts that are encoded together, about.
-TOGETHER = 5_000_000
+TOGETHER = 4_000_000
 
 
 class _Known(dict):
@@ -37,13 +37,13 @@ class SegmentEncoder:
     """Encodes whole texts as the concatenation of their segments' encodings.
 
     ``prepare`` turns a text into one whose spaces are where the tokenizer cannot join or look across, or into null for a text that
-    ``whole`` encodes by itself; ``pieces`` cuts a segment further, into segments whose encodings make up its own; ``encode_all``
-    encodes a list of distinct pieces. Encodings are little-endian unsigned 32-bit integers. What a worker has encoded it
+    ``whole`` encodes by itself; ``pieces`` cuts a segment further, into segments whose encodings make up its own, unless ``plain`` says that it is
+    one; ``encode_all`` encodes a list of distinct pieces. Encodings are little-endian unsigned 32-bit integers. What a worker has encoded it
     remembers for two generations: frequent segments pass from the older to the newer one.
     """
 
-    def __init__(self, pieces: Callable[[str], list[str]], encode_all: Callable[[list[str]], list[bytes]], prepare: Callable[[pa.Array], pa.Array] | None = None, whole: Callable[[str], bytes] | None = None):
-        self.pieces, self.encode_all, self.prepare, self.whole = pieces, encode_all, prepare, whole
+    def __init__(self, plain: Callable[[str], object], pieces: Callable[[str], list[str]], encode_all: Callable[[list[str]], list[bytes]], prepare: Callable[[pa.Array], pa.Array] | None = None, whole: Callable[[str], bytes] | None = None):
+        self.plain, self.pieces, self.encode_all, self.prepare, self.whole = plain, pieces, encode_all, prepare, whole
         self.known = _Known({})
 
     def _look_up(self, segments: list[str]) -> list[bytes]:
@@ -56,11 +56,12 @@ class SegmentEncoder:
             return out
         fresh = missing.copy()
         missing.clear()
-        cut = [(s, self.pieces(s)) for s in fresh]
+        plain = self.plain
+        cut = [(s, self.pieces(s)) for s in fresh if not plain(s)]
         for _, pieces in cut:
             for p in pieces:
                 get(p)
-        new = list(dict.fromkeys(missing))
+        new = list(dict.fromkeys([*filter(plain, fresh), *missing]))
         missing.clear()
         known.update(zip(new, self.encode_all(new), strict=True))
         for s, pieces in cut:

@@ -72,14 +72,14 @@ def read_ids(spark: SparkSession, out: str, low: int | None = None, high: int |
     return rows if high is None else rows.where(F.col("doc_id") <= high)
 
 
-def starts(counts: DataFrame) -> DataFrame:
-    """``start``, the number of ids of all rows before, beside the columns of ``counts``: a running sum in each file, on top of
-    a running sum over the files."""
+def starts(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``start``, the number of ids of all rows before, beside the columns of ``rows``: a running sum in each file, on top of
+    a running sum over the files, whose sizes are summed from ``counts`` alone."""
     in_file = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     files = counts.groupBy("part").agg(F.sum("n_tokens").alias("file_tokens"))
     over = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
     before = files.select("part", F.coalesce(F.sum("file_tokens").over(over), F.lit(0)).alias("before"))
-    return counts.join(before, "part").withColumn("start", F.col("before") + F.coalesce(F.sum("n_tokens").over(in_file), F.lit(0))).drop("before")
+    return rows.join(before, "part").withColumn("start", F.col("before") + F.coalesce(F.sum("n_tokens").over(in_file), F.lit(0))).drop("before")
 
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +94,7 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def file_report(spark: SparkSession, out: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of each row of the files: of its ids as little-endian unsigned 32-bit integers."""
     rows = read_ids(spark, out).select("part", "row", "doc_id", "ids")
-    return starts(rows.mapInArrow(_checked, "part int, row long, doc_id long, n_tokens long, ids_crc32 long")).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return starts(rows.mapInArrow(_checked, "part int, row long, doc_id long, n_tokens long, ids_crc32 long"), read_counts(spark, out)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def token_files(docs: DataFrame, tokenizer: str) -> DataFrame:

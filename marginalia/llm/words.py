@@ -88,7 +88,7 @@ def word_encoder(path: str) -> SegmentEncoder:
                 out[k] = got
         return out
 
-    return SegmentEncoder(_pieces, encode_all)
+    return SegmentEncoder(latin, _pieces, encode_all)
 
 
 def ended(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

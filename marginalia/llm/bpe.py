@@ -28,7 +28,6 @@ class Ranks:
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.first = [ranks[bytes([b])] for b in range(256)]
-        self._pairs: dict[tuple[int, int], int] = {}
         first = np.full((256, 256), -1, "i4")
         for b, i in ranks.items():
             if len(b) == 2:
@@ -37,22 +36,15 @@ class Ranks:
         pairs = [(ranks[x[:k]] << 32 | ranks[x[k:]], r) for x, r in ranks.items() for k in range(1, len(x)) if x[:k] in ranks and x[k:] in ranks]
         table = np.array(sorted(pairs), "i8").reshape(-1, 2)
         self.pair_keys, self.pair_ranks = np.ascontiguousarray(table[:, 0]), np.ascontiguousarray(table[:, 1])
+        self.pairs = dict(pairs)  # of the two ids in one number, to the id that they merge to
 
     @classmethod
     def load(cls, path: str) -> Ranks:
         with open(path, "rb") as f:
             return cls({base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())})
 
-    def pair(self, a: int, b: int) -> int:
-        """The id that the pair merges to, or -1."""
-        key = (a, b)
-        got = self._pairs.get(key)
-        if got is None:
-            got = self._pairs[key] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
-        return got
-
     def pair_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """As ``pair``, for many; negative tokens have no pair."""
+        """The ids that pairs merge to, or -1; negative tokens have no pair."""
         key = a.astype("i8") << 32 | np.maximum(b, 0)
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
         return np.where((self.pair_keys[at] == key) & (a >= 0) & (b >= 0), self.pair_ranks[at], -1)
@@ -95,6 +87,8 @@ class Ranks:
         tok, after, before = (array("i", x.astype("i4").tobytes()) for x in (token, np.arange(1, n + 1), np.arange(-1, n - 1)))
         toks, afters, befores = (np.frombuffer(x, "i4") for x in (tok, after, before))
 
+        merged = self.pairs.get
+
         def enter(ranks: np.ndarray, at: np.ndarray) -> None:
             real = ranks >= 0
             ranks, at = ranks[real], at[real]
@@ -129,7 +123,7 @@ class Ranks:
                 return False
             touch = nxt[:-1] == p[1:]  # neighbours that both merge
             if touch.any():
-                if 0 <= pair(r, r) < r:
+                if 0 <= merged(r << 32 | r, -1) < r:
                     return False
                 toks[p], toks[q] = r, -2
                 right, lefts = self.pair_of(toks[p], toks[nxt]), self.pair_of(np.where(np.isin(left, q), r, toks[left]), toks[at])
@@ -141,7 +135,6 @@ class Ranks:
             enter(lefts, left)
             return True
 
-        pairs, pair = self._pairs, self.pair
         while heap:
             r = heapq.heappop(heap)
             positions = index.pop(r)
@@ -157,8 +150,7 @@ class Ranks:
                 b = tok[q]
                 if b < 0:
                     continue
-                got = pairs.get((a, b))
-                if (pair(a, b) if got is None else got) != r:
+                if merged(a << 32 | b) != r:
                     continue
                 if p < wait:
                     if r in index:
@@ -174,9 +166,7 @@ class Ranks:
                 low = False
                 c = tok[nxt]
                 if c >= 0:
-                    new = pairs.get((r, c))
-                    if new is None:
-                        new = pair(r, c)
+                    new = merged(r << 32 | c, -1)
                     if new >= 0:
                         low = new < r
                         if new in index:
@@ -188,9 +178,7 @@ class Ranks:
                 if left >= 0:
                     c = tok[left]
                     if c >= 0:
-                        new = pairs.get((c, r))
-                        if new is None:
-                            new = pair(c, r)
+                        new = merged(c << 32 | r, -1)
                         if new >= 0:
                             low = low or new < r
                             if new in index:
@@ -269,8 +257,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         encoder = tools(path, pattern)[1]
         for batch in batches:
             for rows, ids, at in encoded(batch, text_col, encoder):
-                raw = pa.BinaryArray.from_buffers(pa.binary(), rows.num_rows, [None, pa.py_buffer((4 * at).astype("i4")), pa.py_buffer(ids.astype("<u4"))])
-                yield pa.RecordBatch.from_arrays([rows.column(id_col), raw], [id_col, "ids"])
+                yield pa.RecordBatch.from_arrays([rows.column(id_col), _binary(ids, at)], [id_col, "ids"])
 
     source = docs.select(id_col, text_col)
     return source.mapInArrow(run, source.select(id_col, F.lit(b"").alias("ids")).schema)
@@ -289,7 +276,24 @@ def decode(tokens: DataFrame, path: str, pattern: str, id_col: str = "doc_id", i
     return source.mapInArrow(run, source.withColumn("decoded", F.lit(b"")).schema)
 
 
+def _binary(ids: np.ndarray, at: np.ndarray) -> pa.BinaryArray:
+    return pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((4 * at).astype("i4")), pa.py_buffer(ids.astype("<u4"))])
+
+
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: digests of the ids of each text and of what they decode to."""
-    both = decode(encode(docs, path, pattern), path, pattern)
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: digests of the ids of each text and of what they decode to.
+
+    One worker encodes and decodes, so a task needs one vocabulary.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks, encoder = tools(path, pattern)
+        for batch in batches:
+            for rows, ids, at in encoded(batch, "text", encoder):
+                bounds = at.tolist()
+                decoded = [ranks.decode(ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), _binary(ids, at), pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
+
+    source = docs.select("doc_id", "text")
+    both = source.mapInArrow(run, source.select("doc_id", F.lit(b"").alias("ids"), F.lit(b"").alias("decoded")).schema)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -57,11 +57,12 @@ def _array(values: list) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def document_frequencies(files: DataFrame) -> tuple[int, dict[str, int]]:
-    """Files, and files that hold each term of the templates; the result is as long as the templates' vocabulary."""
-    held = files.select(F.explode(F.array_append(F.array_intersect(terms(F.coalesce("text", F.lit(""))), _array(VOCABULARY)), F.lit(""))).alias("t"))
-    n = {r["t"]: r["n"] for r in held.groupBy("t").agg(F.count("*").alias("n")).collect()}
-    return n.pop("", 0), n
+def document_frequencies(files: DataFrame) -> tuple[int, dict[str, int], DataFrame]:
+    """Files, files that hold each term of the templates, and the written table ``t, n`` of the files that hold any term."""
+    held = files.select(F.explode(F.array_append(F.array_distinct(terms(F.coalesce("text", F.lit("")))), F.lit(""))).alias("t"))
+    df = written(held.groupBy("t").agg(F.count("*").alias("n")), "licence_terms")
+    n = {r["t"]: r["n"] for r in df.where(F.col("t").isin("", *VOCABULARY)).collect()}
+    return n.pop("", 0), n, df
 
 
 class Weights:
@@ -73,7 +74,7 @@ class Weights:
 
     def __init__(self, files: int, df: dict[str, int], threshold: float):
         self.idf = {t: math.log((1 + files) / (1 + df.get(t, 0))) + 1 for t in VOCABULARY}
-        self.other = math.log(1 + files) + 1  # of terms that no template has
+        self.files = files
         self.vectors: list[tuple[str, dict[str, float]]] = []
         anchors: set[str] = set()
         for name, text in TEMPLATES:
@@ -100,22 +101,26 @@ def passages(text: Column) -> Column:
     return F.flatten(F.transform(F.split(text, "\n"), lambda line: let(terms(line), windows)))
 
 
-def matches(files: DataFrame, weights: Weights, threshold: float) -> DataFrame:
-    """``path, license, similarity`` of the best template of each file that has a passage near one; ties by name."""
+def matches(files: DataFrame, weights: Weights, df: DataFrame, threshold: float) -> DataFrame:
+    """``path, license, similarity`` of the best template of each file that has a passage near one; ties by name.
+
+    Each distinct passage is weighed once, by the frequencies ``df`` of all its terms.
+    """
     anchors = _array(weights.anchors)
     near = files.select("path", F.explode(F.filter(passages(F.coalesce("text", F.lit(""))), lambda p: F.arrays_overlap(p, anchors))).alias("p"))
-    idf = F.create_map(*[F.lit(x) for t, v in weights.idf.items() for x in (t, v)])
-    near = near.select("path", F.array_distinct("p").alias("d"), "p")
-    counted = F.transform("d", lambda t: F.struct(t.alias("t"), (F.size(F.filter("p", lambda x: x == t)) * F.coalesce(F.element_at(idf, t), F.lit(weights.other))).alias("w")))
-    near = near.select("path", counted.alias("v"))
+    near = written(near, "licence_passages")
+    each = near.select("p").distinct().select("p", F.explode(F.array_distinct("p")).alias("t")).join(df, "t")
+    weight = F.size(F.filter("p", lambda x: x == F.col("t"))) * (F.log((1 + F.lit(weights.files)) / (1 + F.col("n"))) + 1)
+    weighed = each.groupBy("p").agg(F.array_sort(F.collect_list(F.struct("t", weight.alias("w")))).alias("v"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
 
     def cosine(vector: dict[str, float]) -> Column:
         m = F.create_map(*[F.lit(x) for t, w in sorted(vector.items()) for x in (t, w)])
         return F.aggregate("v", F.lit(0.0), lambda a, x: a + x["w"] * F.coalesce(F.element_at(m, x["t"]), F.lit(0.0))) / norm
 
-    scored = near.select("path", F.explode(F.array(*[F.struct(F.lit(name).alias("license"), cosine(v).alias("s")) for name, v in weights.vectors])).alias("m"))
-    best = scored.where(F.col("m.s") >= threshold - 1e-9).groupBy("path").agg(F.max_by(F.struct("m.license", "m.s"), F.struct(F.round("m.s", 9), F.col("m.license"))).alias("b"))
+    scored = weighed.select("p", F.explode(F.array(*[F.struct(F.lit(name).alias("license"), cosine(v).alias("s")) for name, v in weights.vectors])).alias("m"))
+    close = near.join(scored.where(F.col("m.s") >= threshold - 1e-9), "p")
+    best = close.groupBy("path").agg(F.max_by(F.struct("m.license", "m.s"), F.struct(F.round("m.s", 9), F.col("m.license"))).alias("b"))
     return best.select("path", F.col("b.license").alias("license"), F.round("b.s", 6).alias("similarity"))
 
 
@@ -132,9 +137,9 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     count as one file with all their passages; other columns are ignored.
     """
     files = files.select("path", "text")
-    n, df = document_frequencies(files)
-    weights = Weights(n, df, threshold)
-    own = written(matches(files, weights, threshold), "licences")
+    n, known, df = document_frequencies(files)
+    weights = Weights(n, known, threshold)
+    own = written(matches(files, weights, df, threshold), "licences")
     name = F.regexp_extract("path", r"[^/]*$", 0)
     short = files.select("path", (F.size(terms(F.coalesce("text", F.lit("")))) <= PASSAGE).alias("whole")).where(F.col("whole") | name.rlike(LICENCE_FILE)).select("path").distinct()
     granting = own.join(short, "path").select(_parent(F.col("path")).alias("dir"), "license", "similarity", F.col("path").alias("from_path"))

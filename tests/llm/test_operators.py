@@ -306,6 +306,12 @@ def test_licenses(spark):
     assert len(got) == len(files) and licenses.scan(df.limit(0)).count() == 0
 
 
+def test_licences_weigh_all_terms_by_their_frequency(spark):
+    files = [(f"w/{k}", f"see here for more {k}") for k in range(400)] + [("a/x", "See here for more: Released under the MIT License.")]
+    got = {r.path: r.license for r in licenses.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got.pop("a/x") == "MIT" and set(got.values()) == {None}
+
+
 def plain_removed(pairs, length=100):
     seen, out = set(), {}
     for i, t in sorted(pairs, key=lambda p: p[0]):

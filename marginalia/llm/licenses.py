@@ -39,6 +39,8 @@ PASSAGE, STEP = 32, 16
 #: Names of files that license their directory.
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense)([._-].*)?$"
 _NOT_TERM = r"[^a-z0-9.+-]+"
+#: The same between terms, with the outer dots and hyphens of both, so one split gives trimmed terms.
+_BETWEEN = r"(?<![.-])[.-]*+[^a-z0-9.+-][^a-z0-9+]*+"
 
 
 def _terms(text: str) -> list[str]:
@@ -47,7 +49,7 @@ def _terms(text: str) -> list[str]:
 
 def terms(text: Column) -> Column:
     """Lower-case terms of a text: runs of letters, digits, dots, plus signs and hyphens, without outer dots and hyphens."""
-    return F.array_remove(F.transform(F.split(F.lower(text), _NOT_TERM), lambda x: F.btrim(x, F.lit(".-"))), "")
+    return F.array_remove(F.split(F.btrim(F.lower(text), F.lit(".-")), _BETWEEN), "")
 
 
 VOCABULARY = sorted({t for _, text in TEMPLATES for t in _terms(text)})
@@ -75,14 +77,14 @@ class Weights:
     def __init__(self, files: int, df: dict[str, int], threshold: float):
         self.idf = {t: math.log((1 + files) / (1 + df.get(t, 0))) + 1 for t in VOCABULARY}
         self.files = files
-        self.vectors: list[tuple[str, dict[str, float]]] = []
+        self.vectors: list[tuple[str, int, dict[str, float]]] = []  # name, number of terms, vector
         anchors: set[str] = set()
         for name, text in TEMPLATES:
             found = _terms(text)
             v = {t: found.count(t) * self.idf[t] for t in set(found)}
             norm = math.sqrt(sum(x * x for x in v.values()))
             v = {t: x / norm for t, x in v.items()}
-            self.vectors.append((name, v))
+            self.vectors.append((name, len(found), v))
             rest = 1.0
             for t, x in sorted(v.items(), key=lambda p: (-p[1], p[0])):
                 if rest < (threshold - 1e-9) ** 2:
@@ -92,35 +94,70 @@ class Weights:
         self.anchors = sorted(anchors)
 
 
-def passages(text: Column) -> Column:
-    """The terms of each line, long lines in overlapping windows, so that every stretch of ``STEP`` terms lies in one passage."""
+def passages(lines: Column) -> Column:
+    """The terms of each line (``lines`` holds them), long lines in overlapping windows, so that every stretch of ``STEP`` terms lies
+    in one passage."""
 
-    def windows(w: Column) -> Column:
+    def cut(w: Column) -> Column:
         return F.when(F.size(w) <= PASSAGE, F.array(w)).otherwise(F.transform(F.sequence(F.lit(1), F.size(w), F.lit(STEP)), lambda i: F.slice(w, i, PASSAGE)))
 
-    return F.flatten(F.transform(F.split(text, "\n"), lambda line: let(terms(line), windows)))
+    return F.flatten(F.transform(lines, cut))
 
 
-def matches(files: DataFrame, weights: Weights, df: DataFrame, threshold: float) -> DataFrame:
-    """``path, license, similarity`` of the best template of each file that has a passage near one; ties by name.
+def windows(w: Column, anchors: Column, size: int) -> Column:
+    """All windows of ``size`` terms of a text that hold an anchor; a shorter text is one window."""
+    last = F.greatest(F.size(w) - size + 1, F.lit(1))
+    held = F.filter(F.transform(w, lambda t, i: F.when(F.array_contains(anchors, t), i + 1)), lambda i: i.isNotNull())
+    starts = F.flatten(F.transform(held, lambda i: F.sequence(F.least(F.greatest(i - size + 1, F.lit(1)), last), F.least(i, last))))
+    return F.transform(F.array_distinct(starts), lambda i: F.slice(w, i, size))
 
-    Each distinct passage is weighed once, by the frequencies ``df`` of all its terms.
-    """
-    anchors = _array(weights.anchors)
-    near = files.select("path", F.explode(F.filter(passages(F.coalesce("text", F.lit(""))), lambda p: F.arrays_overlap(p, anchors))).alias("p"))
-    near = written(near, "licence_passages")
-    each = near.select("p").distinct().select("p", F.explode(F.array_distinct("p")).alias("t")).join(df, "t")
-    weight = F.size(F.filter("p", lambda x: x == F.col("t"))) * (F.log((1 + F.lit(weights.files)) / (1 + F.col("n"))) + 1)
-    weighed = each.groupBy("p").agg(F.array_sort(F.collect_list(F.struct("t", weight.alias("w")))).alias("v"))
+
+def _cosines(weighed: DataFrame, weights: Weights, *keep: str) -> DataFrame:
+    """The columns ``keep`` and ``m`` (``license, s``) for each template that is compared to the passage, from ``size`` and ``v``
+    (terms ``t`` and weights ``w``)."""
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
+    weighed = weighed.select(*keep, "v", norm.alias("norm"))
 
     def cosine(vector: dict[str, float]) -> Column:
         m = F.create_map(*[F.lit(x) for t, w in sorted(vector.items()) for x in (t, w)])
-        return F.aggregate("v", F.lit(0.0), lambda a, x: a + x["w"] * F.coalesce(F.element_at(m, x["t"]), F.lit(0.0))) / norm
+        return F.aggregate("v", F.lit(0.0), lambda a, x: a + x["w"] * F.coalesce(F.element_at(m, x["t"]), F.lit(0.0))) / F.col("norm")
+
+    fits = [F.when(F.col("size").isin(0, n), F.struct(F.lit(name).alias("license"), cosine(v).alias("s"))) for name, n, v in weights.vectors]
+    return weighed.select(*keep, F.explode(F.array(*fits)).alias("m"))
+
 
-    scored = weighed.select("p", F.explode(F.array(*[F.struct(F.lit(name).alias("license"), cosine(v).alias("s")) for name, v in weights.vectors])).alias("m"))
-    close = near.join(scored.where(F.col("m.s") >= threshold - 1e-9), "p")
-    best = close.groupBy("path").agg(F.max_by(F.struct("m.license", "m.s"), F.struct(F.round("m.s", 9), F.col("m.license"))).alias("b"))
+def candidates(files: DataFrame, weights: Weights, threshold: float) -> DataFrame:
+    """``path, size, p`` of the passages ``p`` that can be near a template: lines (``size`` 0), compared to all templates, and windows
+    over the whole text, compared to the templates of their ``size``. A file of few terms has a row of size -1 besides.
+
+    Terms that no template has count here with the least IDF, 1, so the cosine is an upper bound and nothing near is lost.
+    """
+    anchors = _array(weights.anchors)
+    text = F.coalesce("text", F.lit(""))
+    held = files.select("path", text.alias("text")).where(let(terms(F.col("text")), lambda w: F.arrays_overlap(w, anchors) | (F.size(w) <= PASSAGE)))
+    held = held.select("path", F.transform(F.split("text", "\n"), terms).alias("ls"))
+    some = lambda ps, n: F.transform(ps, lambda p: F.struct(F.lit(n).alias("size"), p.alias("p")))
+    short = F.filter(F.array(F.flatten("ls")), lambda w: F.size(w) <= PASSAGE)
+    lines = F.filter(passages(F.col("ls")), lambda p: F.arrays_overlap(p, anchors))
+    sized = [some(windows(F.flatten("ls"), anchors, n), n) for n in sorted({n for _, n, _ in weights.vectors})]
+    near = held.select("path", F.explode(F.concat(some(F.transform(short, lambda w: F.slice(w, 1, 0)), -1), some(lines, 0), *sized)).alias("x")).select("path", "x.size", "x.p")
+    idf = F.create_map(*[F.lit(x) for t, v in weights.idf.items() for x in (t, v)])
+    least = F.transform(F.array_distinct("p"), lambda t: F.struct(t.alias("t"), (F.size(F.filter("p", lambda x: x == t)) * F.coalesce(F.element_at(idf, t), F.lit(1.0))).alias("w")))
+    bounds = _cosines(near.select("path", "size", "p", least.alias("v")), weights, "path", "size", "p")
+    return written(bounds.where((F.col("m.s") >= threshold - 1e-9) | (F.col("size") < 0)).select("path", "size", "p").distinct(), "licence_passages")
+
+
+def matches(near: DataFrame, weights: Weights, df: DataFrame, threshold: float) -> DataFrame:
+    """``path, license, similarity`` of the best template of each file that has a passage near one; ties by name.
+
+    Each distinct passage is weighed once, by the frequencies ``df`` of all its terms.
+    """
+    near = near.where("size >= 0")
+    each = near.select("size", "p").distinct().select("size", "p", F.explode(F.array_distinct("p")).alias("t")).join(df, "t")
+    weight = F.size(F.filter("p", lambda x: x == F.col("t"))) * (F.log((1 + F.lit(weights.files)) / (1 + F.col("n"))) + 1)
+    weighed = each.groupBy("size", "p").agg(F.array_sort(F.collect_list(F.struct("t", weight.alias("w")))).alias("v"))
+    scored = _cosines(weighed, weights, "size", "p").where(F.col("m.s") >= threshold - 1e-9)
+    best = near.join(scored, ["size", "p"]).groupBy("path").agg(F.max_by(F.struct("m.license", "m.s"), F.struct(F.round("m.s", 9), F.col("m.license"))).alias("b"))
     return best.select("path", F.col("b.license").alias("license"), F.round("b.s", 6).alias("similarity"))
 
 
@@ -139,9 +176,10 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     files = files.select("path", "text")
     n, known, df = document_frequencies(files)
     weights = Weights(n, known, threshold)
-    own = written(matches(files, weights, df, threshold), "licences")
+    near = candidates(files, weights, threshold)
+    own = written(matches(near, weights, df, threshold), "licences")
     name = F.regexp_extract("path", r"[^/]*$", 0)
-    short = files.select("path", (F.size(terms(F.coalesce("text", F.lit("")))) <= PASSAGE).alias("whole")).where(F.col("whole") | name.rlike(LICENCE_FILE)).select("path").distinct()
+    short = near.where("size < 0").select("path").union(files.where(name.rlike(LICENCE_FILE)).select("path")).distinct()
     granting = own.join(short, "path").select(_parent(F.col("path")).alias("dir"), "license", "similarity", F.col("path").alias("from_path"))
     dirs = granting.groupBy("dir").agg(F.max_by(F.struct("license", "similarity", "from_path"), F.struct("similarity", "license", "from_path")).alias("g"))
     paths = files.select("path").distinct()

@@ -312,6 +312,15 @@ def test_licences_weigh_all_terms_by_their_frequency(spark):
     assert got.pop("a/x") == "MIT" and set(got.values()) == {None}
 
 
+def test_licences_across_lines_and_inside_long_lines(spark):
+    other = lambda a, b: " ".join(f"u{k}" for k in range(a, b))
+    apache = "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."
+    files = [("a/x", f"{other(0, 90)} Released under the MIT License. {other(90, 200)}"), ("b/x", f"{other(0, 9)} Released under\nthe MIT License. {other(9, 20)}"), ("c/x", f"{other(0, 12)} {apache} {other(12, 60)}"), ("d/x", other(0, 50)), ("e/x", "")]
+    files += [(f"f/{at}", f"{other(0, at)} {apache.replace(' ', chr(10))} {other(at, 60)}") for at in (0, 7, 60)]
+    got = {r.path: r.license for r in licenses.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got == {"a/x": "MIT", "b/x": "MIT", "c/x": "Apache-2.0", "d/x": None, "e/x": None} | {f"f/{at}": "Apache-2.0" for at in (0, 7, 60)}
+
+
 def plain_removed(pairs, length=100):
     seen, out = set(), {}
     for i, t in sorted(pairs, key=lambda p: p[0]):

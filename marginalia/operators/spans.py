@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
@@ -45,6 +48,61 @@ def greedy(matches: DataFrame, unit: str = "unit_id") -> DataFrame:
     return sorted_.select(unit, F.explode(kept).alias("m")).select(unit, F.col("m.a").alias("start"), F.col("m.b").alias("end"), F.col("m.r").alias("record_id"))
 
 
+def _chosen(text: str, surfaces: list[tuple[str, int, str]]) -> list[tuple[int, int, str]]:
+    """The greedy choice of one text's matches of surfaces (lower case, length, record id). Choices before a match are as long or
+    longer, so one that overlaps it covers its first or last place."""
+    by_length: dict[int, list[tuple[str, str]]] = {}
+    for low, n, record in surfaces:
+        by_length.setdefault(n, []).append((low, record))
+    size = len(text)
+    taken, out = bytearray(size), []
+    for n in sorted(by_length, reverse=True):
+        matches = []
+        for low, record in by_length[n]:
+            at = text.find(low) if low else -1
+            while at >= 0:
+                if not (taken[at] or taken[min(at + n, size) - 1]):
+                    matches.append((at, record))
+                at = text.find(low, at + 1)
+        matches.sort()
+        for at, record in matches:
+            end = min(at + n, size)
+            if not (taken[at] or taken[end - 1]):
+                taken[at:end] = b"\x01" * (end - at)
+                out.append((at, at + n, record))
+    return out
+
+
+#: Choices that leave a task at once, about.
+_CHOICES = 20_000
+
+
+def greedy_surfaces(units: DataFrame, surfaces: DataFrame) -> DataFrame:
+    """``greedy`` of ``surface_matches``: matches are found and chosen text by text, in time that grows with their number, so short
+    surfaces with many matches make no rows but the chosen ones."""
+    t = units.select("unit_id", F.explode(F.array_distinct(T.tokens(F.col("text")))).alias("term"))
+    s = surfaces.select("record_id", F.length("surface").alias("n"), F.lower("surface").alias("low"))
+    found = t.join(s, F.col("term") == F.col("low")).groupBy("unit_id").agg(F.collect_list(F.struct("low", "n", "record_id")).alias("found"))
+    rows = found.join(units.select("unit_id", F.lower("text").alias("text")), "unit_id").select("unit_id", "text", "found")
+    schema = rows.select("unit_id", F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("").alias("record_id")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            unit, text, found = (batch.column(c) for c in ("unit_id", "text", "found"))
+            rows, kept = [], []
+            for k in range(len(batch)):
+                some = _chosen(text[k].as_py() or "", [(x["low"], x["n"], x["record_id"]) for x in found[k].as_py()])
+                rows += [k] * len(some)
+                kept += some
+                if len(kept) >= _CHOICES or k == len(batch) - 1:
+                    start, end, record = zip(*kept, strict=True) if kept else ((), (), ())
+                    columns = [unit.take(pa.array(rows, pa.int32())), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(record, pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns, ["unit_id", "start", "end", "record_id"])
+                    rows, kept = [], []
+
+    return rows.mapInArrow(run, schema)
+
+
 def sweep(spans: DataFrame, unit: str = "unit_id") -> DataFrame:
     """Each unit cut at all starts and ends of its spans (``start, end``): ``start, end, depth`` of the pieces that spans cover."""
     marks = spans.select(unit, F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("d")))).alias("m"))

@@ -190,14 +190,11 @@ def surface_scan(t: Tables) -> DataFrame:
     return hits.select("unit_id", "surface", T.occurrences(F.col("text"), F.col("surface")).alias("n_found"))
 
 
-def _matches(t: Tables) -> DataFrame:
-    surfaces = t.benchmark.select(F.explode(T.tokens(F.col("text"))).alias("surface")).distinct().where(F.length("surface") >= 7).withColumn("record_id", F.concat(F.lit("r-"), "surface"))
-    return S.surface_matches(t.documents.select(F.col("doc_id").alias("unit_id"), "text"), surfaces)
-
-
 @catalog.query()
 def surface_scan_greedy(t: Tables) -> DataFrame:
-    return S.greedy(_matches(t))
+    """Places of the benchmark's terms of two or more letters, longer ones first."""
+    surfaces = t.benchmark.select(F.explode(T.tokens(F.col("text"))).alias("surface")).distinct().where(F.length("surface") >= 2).withColumn("record_id", F.concat(F.lit("r-"), "surface"))
+    return S.greedy_surfaces(t.documents.select(F.col("doc_id").alias("unit_id"), "text"), surfaces)
 
 
 _WORDS = r"""w AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^\n]*\n|[^\n]+')) AS l, generate_subscripts(regexp_extract_all(text, '[^\n]*\n|[^\n]+'), 1) AS k FROM documents),

@@ -89,7 +89,9 @@ _DOT = re.compile(r"\x20?(?:[(\[{](?:dot|\.)[)\]}]|\x20dot\x20)\x20?|\x20?\.\x20
 _FORMS = ("digits", "spelled", "dotted")
 _LABELS = ("none", *KINDS)
 _K = len(_LABELS)
-_ROUNDS, _DAMP = 12, 0.5
+_DAMP = 0.5
+#: Messages pass until none changes by this much; the bound on rounds only ends a field that swings.
+_CHANGE, _ROUNDS = 1e-4, 1000
 #: A candidate becomes a span from this belief on.
 BELIEF = 0.6
 
@@ -110,9 +112,10 @@ def _features(form: str, piece: str, observed: str | None) -> list[float]:
     return [1.0, *(float(form == f) for f in _FORMS), float(9 <= n <= 12), float(13 <= n <= 19), float(n > 19), float(n < 9), *(4.0 * (observed == k) for k in KINDS)]
 
 
-def _similar(keys: list[str]) -> list[tuple[int, int]]:
+def _similar(keys: list[str], based: list[bool] | None = None) -> list[tuple[int, int]]:
     """Edges of a skip chain: each mention to the next with the same key, and the first mentions of keys that differ by one
-    dropped or changed character (from nine characters on). Their number grows with the mentions, not with their square."""
+    dropped or changed character (from nine characters on); where ``based`` tells base spans, also each mention to the first base
+    span with its key. Their number grows with the mentions, not with their square."""
     edges, last, first = [], {}, {}
     for k, key in enumerate(keys):
         if key in last:
@@ -120,6 +123,11 @@ def _similar(keys: list[str]) -> list[tuple[int, int]]:
         else:
             first[key] = k
         last[key] = k
+    star: dict[str, int] = {}
+    for k, key in enumerate(keys):
+        if based and based[k]:
+            star.setdefault(key, k)
+    edges += [(min(star[key], k), max(star[key], k)) for k, key in enumerate(keys) if star.get(key, k) != k]
     near: dict[str, int] = {}
     for key, k in first.items():
         if 10 <= len(key) <= 80:
@@ -137,7 +145,7 @@ class Field:
         self.node, self.chain, self.skip = node, chain, skip
 
     def beliefs(self, x: np.ndarray, observed: np.ndarray, skips: list[tuple[int, int]]) -> np.ndarray:
-        """Label probabilities by damped loopy message passing; observed labels (0: open) are held."""
+        """Label probabilities by damped loopy message passing until it settles; observed labels (0: open) are held."""
         n = len(x)
         score = x @ self.node
         held = observed > 0
@@ -156,7 +164,9 @@ class Field:
                 into = (total[src] - m[back])[:, :, None] + w
                 top = into.max(axis=1, keepdims=True)
                 new = top[:, 0] + np.log(np.exp(into - top).sum(axis=1))
-                m = _DAMP * m + (1 - _DAMP) * (new - new.max(axis=1, keepdims=True))
+                old, m = m, _DAMP * m + (1 - _DAMP) * (new - new.max(axis=1, keepdims=True))
+                if np.abs(m - old).max() < _CHANGE:
+                    break
             np.add.at(score, dst, m)
         p = np.exp(score - score.max(axis=1, keepdims=True))
         return p / p.sum(axis=1, keepdims=True)
@@ -236,7 +246,7 @@ def added_spans(text: str, base: list[Span], field: Field) -> list[Span]:
                 nodes.append((m.start(), m.end(), form, None))
     nodes.sort(key=lambda v: (v[0], v[1], v[3] or ""))
     keys = [_key(f, text[a:b]) for a, b, f, _ in nodes]
-    skips = _similar(keys)
+    skips = _similar(keys, [kind is not None for _, _, _, kind in nodes])
     root = list(range(len(nodes)))
 
     def find(v: int) -> int:

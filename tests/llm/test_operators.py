@@ -365,3 +365,10 @@ def test_suffix_order():
         assert sorted(order.tolist()) == np.flatnonzero(wanted).tolist() and found == sorted(found)
         same = [0] + [next((k for k in range(depth) if a[k] != b[k]), depth) for a, b in zip(found, found[1:], strict=False)]
         assert suffixes.common(order).tolist() == same[: len(found)]
+
+
+@pytest.mark.parametrize("n", [1, 10, 20, 60])
+def test_pii_repeats_hear_of_their_base_span(n):
+    text = "call +44 20 7946 0958 now" + " or 44/20/7946/0958 then" * n
+    base = pii.base_spans(text)
+    assert len(base) == 1 and [k for k, _, _ in pii.added_spans(text, base, pii.fitted())] == ["phone"] * n

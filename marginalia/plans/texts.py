@@ -120,8 +120,8 @@ def evidence_exact(t: Tables) -> DataFrame:
 @catalog.query(f"""WITH d AS (SELECT doc_id, {_NORM.format('text')} AS n FROM documents), b AS (SELECT item_id, {_NORM.format('text')} AS q FROM benchmark)
 SELECT doc_id, item_id, ((length(n) - length(replace(n, q, ''))) // length(q))::BIGINT AS n_found FROM d JOIN b ON contains(n, q)""")
 def evidence_normalized(t: Tables) -> DataFrame:
-    """Quotes in the loosest normal form: texts and quotes that share a rare term are compared."""
-    pairs = L.candidate_pairs(t.documents, _quotes(t))
+    """Quotes in the loosest normal form."""
+    pairs = L.normal_pairs(t.documents, _quotes(t))
     d = t.documents.select("doc_id", T.normal_form(F.col("text"), 4).alias("n"))
     q = _quotes(t).select("item_id", T.normal_form(F.col("quote"), 4).alias("q"))
     found = pairs.join(d, "doc_id").join(q, "item_id").withColumn("n_found", T.occurrences(F.col("n"), F.col("q")))
@@ -129,7 +129,7 @@ def evidence_normalized(t: Tables) -> DataFrame:
 
 
 def _locations(t: Tables) -> DataFrame:
-    pairs = L.candidate_pairs(t.documents, _quotes(t)).join(t.documents.select("doc_id", "text"), "doc_id").join(_quotes(t), "item_id")
+    pairs = L.location_pairs(t.documents, _quotes(t)).join(t.documents.select("doc_id", "text"), "doc_id").join(_quotes(t), "item_id")
     return L.located(pairs)
 
 

@@ -26,3 +26,19 @@ def test_segments(spark):
     df = spark.createDataFrame([("u", "a", 0, 40, 100), ("u", "b", 30, 60, 100), ("u", "c", None, 80, 100), ("u", "d", None, None, 100)], "unit_id string, segment_id string, start long, end long, unit_chars long")
     got = {r.segment_id: (r.start, r.end) for r in L.resolved_segments(df).collect()}
     assert got == {"a": (0, 30), "b": (30, 60), "c": (60, 100)}
+
+
+def test_short_and_cut_quotes_are_found(spark, tmp_path):
+    from marginalia.plans import texts
+
+    docs = [(1, "He said yes to it."), (2, "他说，天下大乱。"), (3, "The extra[12]ordinary men went home"), (4, "nothing"), (5, None)]
+    quotes = [(1, "yes"), (2, "said yes"), (3, "天下大乱"), (4, "The extraordinary men"), (5, "The extra ordinary men"), (6, "")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(quotes, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = lambda name: texts.catalog.queries[name](spark, str(tmp_path)).collect()
+    exact = {(1, 1), (1, 2), (2, 3)}
+    assert {(r.doc_id, r.item_id) for r in got("evidence_exact")} == exact
+    assert {(r.doc_id, r.item_id) for r in got("evidence_normalized")} == exact | {(3, 4), (3, 5)}
+    assert {(r.doc_id, r.item_id) for r in got("evidence_locations") if r.status != "missing"} == exact | {(3, 4), (3, 5)}
+    assert {(r.unit_id, r.segment_id) for r in got("overview_segments")} == exact
+    assert {r.doc_id: r.exact + r.relocated for r in got("evidence_status_histogram") if r.exact + r.relocated} == {1: 2, 2: 1, 3: 2}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import written
+from .skew import with_least
 
 #: More rounds than any graph needs whose longest path fits in 2**ROUNDS steps.
 ROUNDS = 40
@@ -15,21 +16,19 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, root`` for each node of ``edges`` (``a``, ``b``: long); ``root`` is the smallest node of its component.
 
     Each round lets every node pass its smallest neighbour on, first to its larger neighbours, then to its smaller ones, until
-    nothing changes. Minima are taken before rows are shuffled, and a node with very many neighbours is joined by splitting it,
-    so it needs no task for itself. Each round is written: a lost executor costs that round's tasks. Loops and repeated edges
-    are allowed; an empty table gives none.
+    nothing changes. Minima are taken before rows are shuffled, and a node's edges are dealt to pieces by their other end before
+    they meet its minimum, so the root of a large component is no one task's. Each round is written: a lost executor costs
+    that round's tasks. Loops and repeated edges are allowed; an empty table gives none.
     """
     all_edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     e, last = all_edges.where("u > v"), None
     for _ in range(ROUNDS):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = e.withColumnRenamed("u", "x").join(low, F.col("v") == F.col("u")).select(F.col("x").alias("u"), F.col("m").alias("v"))
-        large = large.where("u > v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        ends = F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
-        small = large.join(low, "u").select(F.explode(ends).alias("s")).select("s.u", "s.v")
-        new = written(small.where("u > v").distinct(), "star")
+        near = with_least(both, "u", "v").where("v > u")
+        large = near.select(F.col("v").alias("u"), F.least("u", "least").alias("v")).distinct()
+        small = with_least(large, "u", "v")
+        ends = F.array(F.struct("u", F.col("least").alias("v")), F.struct(F.col("v").alias("u"), F.col("least").alias("v")))
+        new = written(small.select(F.explode(ends).alias("s")).select("s.u", "s.v").where("u > v").distinct(), "star")
         # Two 64-bit sums over the distinct edges stand for their set.
         mark = new.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u", F.lit(1)))).first()
         e = new
@@ -44,5 +43,4 @@ def components(edges: DataFrame) -> DataFrame:
 
 def linked_by_key(rows: DataFrame, node: str, key: str) -> DataFrame:
     """Edges that join all rows of a key: each to the smallest, so their number is that of the rows."""
-    low = rows.groupBy(key).agg(F.min(node).alias("a"))
-    return rows.join(low, key).select("a", F.col(node).alias("b"))
+    return with_least(rows.select(node, key), key, node, "a").select("a", F.col(node).alias("b"))

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import salted_join
 from .runtime import SPACE, parts_for, written
 
 #: Distinct digests of a bucket, about.
@@ -152,7 +153,7 @@ def _judged(docs: DataFrame) -> DataFrame:
     buckets = parts_for(rows, BUCKET_KEYS, LEAST_BUCKETS)
     index = written(build_index(d.where(F.col("ord_id") <= cut), buckets), "digest_index")
     v = verdicts(d.where(F.col("ord_id") > cut), index, buckets)
-    return d.join(v, "digest")
+    return salted_join(d, v, ["digest"], F.col("rid"))
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
@@ -170,13 +171,20 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns. Of rows that repeat an id and a text any one stays."""
-    won = _judged(docs).where("rid = win_rid").select("ord_id", "digest")
-    return one_of_each(docs, won, digest(F.col("text")))
+    rows = _judged(docs).select("ord_id", "digest", (F.col("rid") == F.col("win_rid")).alias("kept"))
+    return without_losers(docs, rows, digest(F.col("text")))
 
 
-def one_of_each(docs: DataFrame, won: DataFrame, key: Column) -> DataFrame:
-    """One row of ``docs`` for each row of ``won``, which has an id (``ord_id``, the largest number for null) and ``key``."""
-    ident, value = won.columns
+def without_losers(docs: DataFrame, rows: DataFrame, key: Column) -> DataFrame:
+    """``docs`` without the rows that lost. ``rows`` has a row for each: its id (the largest number for null), its ``key``, and ``kept``.
+
+    The losers' ids and keys are written, so that the planner knows their size: few are sent to all tasks and the texts stay where
+    they are. Where rows repeat an id and a key and one of them is kept, one row of that id and key stays.
+    """
+    ident, value, kept = rows.columns
+    keys = rows.groupBy(F.col(ident).alias("__id"), F.col(value).alias("__key")).agg(F.count("*").alias("n"), F.max(kept).alias("won"))
+    lost = written(keys.where("n > 1 OR NOT won").select("__id", "__key", "won"), "losers")
     keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), "__key": key})
-    won = won.select(F.col(ident).alias("__id"), F.col(value).alias("__key"))
-    return keyed.join(won, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rest = keyed.join(lost, ["__id", "__key"], "left_anti")
+    twins = keyed.join(lost.where("won").drop("won"), ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"])
+    return rest.unionByName(twins).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -12,17 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
-from .exact_dedup import one_of_each
+from ..operators.skew import salted_join, with_least
+from .exact_dedup import without_losers
 from .runtime import written
 from .segments import blocks
 
 WORDS = 5
 #: Least similarity, as a fraction.
 LEAST = (4, 5)
-RECALL = 0.999
+RECALL = 0.99999
 MOST_HASHES = 256
-#: Texts of a group that one task compares with each other; larger groups are compared block by block.
-BLOCK = 1024
+#: Sets of a block, and hashes in all of its sets, about; two blocks at a time are compared in memory.
+BLOCK, BLOCK_HASHES = 1024, 2 << 20
 _NO_ID = (1 << 63) - 1
 _SEED = 20240607
 _COLUMNS = 4096
@@ -160,21 +161,23 @@ def shared(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+#: A unit of comparison: two blocks, or one with itself.
+_UNIT = ("h1", "b1", "h2", "b2")
 _LINKS = "id long, text_links long, doc_links long, parent long"
 
 
 def _verify(least: tuple[int, int]):
     num, den = least
 
-    def unit(first: int, second: int, ids: list[int], block: list[int], copies: list[int], raw: list[bytes]) -> pa.RecordBatch:
+    def unit(two: bool, side: list[int], ids: list[int], copies: list[int], raw: list[bytes]) -> pa.RecordBatch:
         sets = [np.frombuffer(x, "u8") for x in raw]
         size = np.array([len(s) for s in sets], "f8")
         common = shared(sets).astype("f8")
         linked = (den + num) * common >= num * (size[:, None] + size[None, :])
         np.fill_diagonal(linked, False)
-        if first != second:
-            side = np.array(block) == first
-            linked &= side[:, None] != side[None, :]
+        if two:
+            of = np.array(side)
+            linked &= of[:, None] != of[None, :]
         weight = np.array(copies, "i8")
         root = np.array(ids, "i8")
         while True:  # the smallest id that links reach, inside this unit
@@ -189,25 +192,58 @@ def _verify(least: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, ([], [], [], [])
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("cluster", "first", "second", "id", "block", "copies", "hashes")]
-            for cluster, first, second, *row in zip(*columns, strict=True):
-                if now != (cluster, first, second):
+            columns = [batch.column(c).to_pylist() for c in (*_UNIT, "side", "id", "copies", "hashes")]
+            for h1, b1, h2, b2, *row in zip(*columns, strict=True):
+                if now != (h1, b1, h2, b2):
                     if now:
-                        yield unit(*now[1:], *rows)
-                    now, rows = (cluster, first, second), ([], [], [], [])
+                        yield unit(now[:2] != now[2:], *rows)
+                    now, rows = (h1, b1, h2, b2), ([], [], [], [])
                 for have, x in zip(rows, row, strict=True):
                     have.append(x)
         if now:
-            yield unit(*now[1:], *rows)
+            yield unit(now[:2] != now[2:], *rows)
 
     return run
 
 
+def _blocks(near: DataFrame, classes: DataFrame, block: int) -> DataFrame:
+    """``id, home, block, in_block, set_key, first_id, copies`` of the classes that share a band with another.
+
+    A class's home is the smallest id among the first ones of its bands, so sets that are alike have few homes. The classes of a home are
+    dealt to blocks of bounded size.
+    """
+    home = near.groupBy("id").agg(F.min("a").alias("home"))
+    member = home.join(classes, "id").select("id", "home", "set_key", "first_id", F.col("n_copies").alias("copies"), "size")
+    sizes = member.groupBy("home").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("size") / BLOCK_HASHES)).cast("int").alias("n_blocks"))
+    dealt = salted_join(member, sizes, ["home"], F.col("id")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
+    dealt = written(dealt.drop("n_blocks"), "blocked")
+    counts = dealt.groupBy("home", "block").agg(F.count("*").alias("in_block"))
+    return written(dealt.join(counts, ["home", "block"]), "members")
+
+
+def _units(near: DataFrame, member: DataFrame) -> DataFrame:
+    """``h1, b1, h2, b2, side, id``: for each two blocks that share a band, the classes of both; and each block of two or more by itself.
+    A pair of classes that share a band lies in one unit."""
+    cells = near.join(member.select("id", "home", "block"), "id").select("band", "home", "block").distinct()
+    several = cells.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    cells = written(cells.join(several, "band"), "cells")
+    a, b = (cells.select("band", F.col("home").alias(f"h{k}"), F.col("block").alias(f"b{k}")) for k in (1, 2))
+    pairs = a.join(b, "band").where((F.col("h1") < F.col("h2")) | ((F.col("h1") == F.col("h2")) & (F.col("b1") < F.col("b2")))).select(*_UNIT).distinct()
+    pairs = written(pairs, "block_pairs")
+    ends = pairs.select(*_UNIT, F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("h1").alias("home"), F.col("b1").alias("block")), F.struct(F.lit(1).alias("side"), F.col("h2").alias("home"), F.col("b2").alias("block")))).alias("e")).select(*_UNIT, "e.*")
+    two = member.join(ends, ["home", "block"]).select(*_UNIT, "side", "id")
+    own = member.where("in_block > 1").select(F.col("home").alias("h1"), F.col("block").alias("b1"), F.col("home").alias("h2"), F.col("block").alias("b2"), F.lit(0).alias("side"), "id")
+    return own.unionByName(two)
+
+
 def near_classes(docs: DataFrame, n: int = WORDS, least: tuple[int, int] = LEAST, recall: float = RECALL, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Rows and classes of ``docs`` (``doc_id``, ``text``).
 
     Rows: ``doc_id, text_key, set_key, size, rid, ord_id``. Classes, one for each n-gram set: ``set_key, id, n_copies, first_id,
     n_links, n_linked_docs, group_id, group_rid``. ``group_id`` and ``group_rid`` are of the first row of all that links join.
+
+    Classes that share a band are verified on their full sets, block by block: sets are copied only to blocks with which theirs shares
+    a band, and each pair is compared once.
     """
     bands, rows = choose_bands(least[0] / least[1], recall)
     sig = written(signatures(docs, n, bands, rows).withColumn("rid", F.monotonically_increasing_id()), "signatures")
@@ -215,32 +251,24 @@ def near_classes(docs: DataFrame, n: int = WORDS, least: tuple[int, int] = LEAST
     # Rows with the same set are one class; a text without words is a class by itself.
     key = F.when(F.col("size") > 0, F.col("set_key")).otherwise(F.encode(F.col("rid").cast("string"), "UTF-8"))
     sig = sig.withColumn("set_key", key)
-    first = sig.groupBy("set_key").agg(F.min(F.struct("ord_id", "rid")).alias("f"), F.count("*").alias("n_copies"))
-    classes = written(first.select("set_key", F.col("f.rid").alias("id"), F.col("f.ord_id").alias("first_id"), "n_copies"), "classes")
+    first = sig.groupBy("set_key").agg(F.min(F.struct("ord_id", "rid")).alias("f"), F.count("*").alias("n_copies"), F.max("size").alias("size"))
+    classes = written(first.select("set_key", F.col("f.rid").alias("id"), F.col("f.ord_id").alias("first_id"), "n_copies", "size"), "classes")
     banded = sig.join(classes.select(F.col("id").alias("rid")), "rid", "left_semi").select(F.col("rid").alias("id"), F.explode("bands").alias("band"))
-    low = banded.groupBy("band").agg(F.min("id").alias("a"), F.count("*").alias("c")).where("c > 1").select("band", "a")
-    stars = banded.join(low, "band").where("id > a").select(F.col("id").alias("b"), "a").distinct()
-    member = written(components(stars).select(F.col("node").alias("id"), F.col("root").alias("cluster")), "clusters")
-    sizes = member.groupBy("cluster").agg(F.count("*").alias("m"))
-    n_blocks = F.ceil(F.col("m") / block).cast("int")
-    member = member.join(sizes, "cluster").withColumn("n_blocks", n_blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
-    member = member.join(classes, "id").select("id", "cluster", "n_blocks", "block", "set_key", "first_id", F.col("n_copies").alias("copies"))
-    member = written(member, "members")
+    near = written(with_least(banded, "band", "id", "a", more_than=1).select("id", "band", "a"), "candidates")
+    member = _blocks(near, classes, block)
     # The sets of these classes are made again from their texts: only these are shuffled.
     wanted = member.select(F.col("first_id").alias("w")).distinct()
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("w"), "text").join(wanted, "w", "left_semi")
-    sets = _sets(texts, n).dropDuplicates(["set_key"]).join(member, "set_key")
-    pair = F.transform(F.sequence(F.lit(0), F.col("n_blocks") - 1), lambda k: F.struct(F.least("block", k).alias("first"), F.greatest("block", k).alias("second")))
-    units = sets.withColumn("u", F.explode(pair)).select("cluster", "u.first", "u.second", "id", "block", "copies", "hashes")
-    unit = ["cluster", "first", "second"]
-    links = units.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(_verify(least), _LINKS)
+    sets = _sets(texts, n).dropDuplicates(["set_key"]).join(member.select("set_key", "id", "copies"), "set_key")
+    units = _units(near, member).join(sets, "id").select(*_UNIT, "side", "id", "copies", "hashes")
+    links = units.repartition(*_UNIT).sortWithinPartitions(*_UNIT).mapInArrow(_verify(least), _LINKS)
     links = written(links, "links")
     counts = links.groupBy("id").agg(F.sum("text_links").alias("n_links"), F.sum("doc_links").alias("d"))
     groups = components(links.select(F.col("id").alias("a"), F.col("parent").alias("b"))).select(F.col("node").alias("id"), "root")
     c = classes.join(counts, "id", "left").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
     c = written(c, "linked_classes")
     group = c.groupBy("root").agg(F.min(F.struct(F.col("first_id").alias("o"), F.col("id").alias("r"))).alias("g"))
-    c = c.join(group, "root")
+    c = salted_join(c, group, ["root"], F.col("id"))
     out = c.select("set_key", "id", "n_copies", "first_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.coalesce("d", F.lit(0)) + F.col("n_copies") - 1).alias("n_linked_docs"), F.col("g.o").alias("group_id"), F.col("g.r").alias("group_rid"))
     return sig.select("doc_id", "text_key", "set_key", "size", "rid", "ord_id"), out
 
@@ -252,11 +280,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``doc_id`` that links reach, ``text_class_id`` the smallest with the same set, of which there are ``n_copies``; ``n_links`` counts the
     different sets linked, ``n_linked_docs`` the other rows. One row of each class is kept. Texts of fewer words have one n-gram;
     null, empty and blank texts have none and no links. Null ids come last; rows may repeat; an empty table gives none; other
-    columns are ignored. A pair at the least similarity is missed with a probability below 0.001, and links of other pairs
-    mostly join such texts all the same.
+    columns are ignored. A pair at the least similarity is missed with a probability below 0.00001.
     """
     rows, classes = near_classes(docs)
-    out = rows.join(classes, "set_key")
+    out = salted_join(rows, classes, ["set_key"], F.col("rid"))
     known = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
     return out.select("doc_id", known("group_id").alias("class_id"), known("first_id").alias("text_class_id"), "n_copies", "n_links", "n_linked_docs", (F.col("rid") == F.col("group_rid")).alias("kept"))
 
@@ -265,5 +292,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The first row of each class that ``near_duplicates`` finds in ``docs``, with all its columns. Of rows that repeat an id and a
     text any one stays."""
     rows, classes = near_classes(docs)
-    won = rows.join(classes.select("group_rid").distinct(), F.col("rid") == F.col("group_rid"), "left_semi").select("ord_id", "text_key")
-    return one_of_each(docs, won, F.xxhash64("text"))
+    rows = salted_join(rows, classes.select("set_key", "group_rid"), ["set_key"], F.col("rid"))
+    return without_losers(docs, rows.select("ord_id", "text_key", (F.col("rid") == F.col("group_rid")).alias("kept")), F.xxhash64("text"))

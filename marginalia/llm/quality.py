@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import salt, salted_join
 from .runtime import let, words, written
 
 #: Fixed values of the base rules.
@@ -12,10 +13,10 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 SYMBOLS = r"[#*$%&|<>]"
-#: Hosts whose verdicts are sent to all tasks; more are joined by shuffling.
-BROADCAST_HOSTS = 20_000
-#: A host goes when its shrunken failure rate is above this.
-HOST_MAX_RATE = 0.8
+#: A host goes when its failure rate is above this with the posterior's certainty.
+HOST_BAD_RATE = 0.5
+#: Standard deviations of the posterior that must lie above the rate: one-sided, 95 %.
+CERTAIN = 1.645
 #: Bounds of the prior's weight, in documents.
 PRIOR_LEAST, PRIOR_MOST = 1.0, 1e6
 
@@ -63,6 +64,11 @@ def text_features(text: Column) -> Column:
     return F.struct(let(words(t), of_words).alias("w"), F.regexp_count(t, F.lit(SYMBOLS)).cast("long").alias("n_symbols"), dup.alias("n_dup_lines"))
 
 
+def base_failed(text: Column) -> Column:
+    """Whether a text fails the base rules; null and empty ones do."""
+    return let(words(text), lambda w: (F.size(w) < MIN_WORDS) | (100 * repeat_words(w) > MAX_REPEAT_PERCENT * F.size(w)))
+
+
 def base_rules(docs: DataFrame, *carry: str) -> DataFrame:
     """The counts and ``base_failed`` of each row, beside the columns ``carry``. One pass, no shuffle."""
     f = docs.select(*carry, text_features(F.col("text")).alias("f"))
@@ -70,12 +76,14 @@ def base_rules(docs: DataFrame, *carry: str) -> DataFrame:
     return f.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
 
-def host_verdicts(rows: DataFrame, host: str, max_rate: float = HOST_MAX_RATE) -> DataFrame:
+def host_verdicts(rows: DataFrame, host: str, bad_rate: float = HOST_BAD_RATE) -> DataFrame:
     """``host, host_docs, host_failed, host_rate, host_rejected`` from rows that have ``host`` and ``base_failed``.
 
     Failures are summed by host before the shuffle. A beta prior is fitted to the hosts' rates by moments: mean m is the
     rate of all documents, and the variance between hosts is the weighted variance of the rates less what the binomial
-    explains. A host's rate is (failed + m k) / (docs + k), k = m (1 - m) / variance - 1. Rows without host have no verdict.
+    explains. A host's rate is the posterior's mean (failed + m k) / (docs + k), k = m (1 - m) / variance - 1. It is rejected
+    when that lies above ``bad_rate`` by ``CERTAIN`` standard deviations of its posterior or more: a host of few documents needs
+    a prior that makes such rates likely, and where hosts do not differ none goes. Rows without host have no verdict.
     """
     hosts = rows.where(F.col(host).isNotNull()).groupBy(F.col(host).alias("host")).agg(F.count("*").alias("host_docs"), F.sum(F.col("base_failed").cast("long")).alias("host_failed"))
     d, f = F.col("host_docs"), F.col("host_failed")
@@ -85,37 +93,42 @@ def host_verdicts(rows: DataFrame, host: str, max_rate: float = HOST_MAX_RATE) -
     k = F.when((m <= 0) | (m >= 1), F.lit(PRIOR_LEAST)).when(spread <= 0, F.lit(PRIOR_MOST)).otherwise(F.greatest(F.lit(PRIOR_LEAST), F.least(F.lit(PRIOR_MOST), m * (1 - m) / spread - 1)))
     prior = sums.where("n > 0").select(m.alias("m"), k.alias("k"))
     rated = hosts.crossJoin(F.broadcast(prior))  # the prior is one row
-    rate = (f + F.col("m") * F.col("k")) / (d + F.col("k"))
-    return rated.select("host", "host_docs", "host_failed", rate.alias("host_rate"), (rate > max_rate).alias("host_rejected"))
-
-
-def _sized(verdicts: DataFrame) -> DataFrame:
-    """Verdicts that are written, counted and, if few, sent to all tasks; a host with most of the rows is then no one task's."""
-    v = written(verdicts, "hosts")
-    return F.broadcast(v) if v.count() <= BROADCAST_HOSTS else v
+    weight = d + F.col("k")
+    rate = (f + F.col("m") * F.col("k")) / weight
+    rated = rated.select("host", "host_docs", "host_failed", rate.alias("host_rate"), weight.alias("w"))
+    sure = F.col("host_rate") - CERTAIN * F.sqrt(F.col("host_rate") * (1 - F.col("host_rate")) / (F.col("w") + 1))
+    return rated.select("host", "host_docs", "host_failed", "host_rate", (sure > bad_rate).alias("host_rejected"))
 
 
-def quality(docs: DataFrame, host: str = "source", max_rate: float = HOST_MAX_RATE) -> DataFrame:
+def quality(docs: DataFrame, host: str = "source", bad_rate: float = HOST_BAD_RATE) -> DataFrame:
     """Quality counts and verdict of each row of ``docs`` (``doc_id``, ``text``, ``host``).
 
     A row is kept if it passes the base rules and its host is not rejected. Null and empty texts have no words and fail;
     rows without host follow the base rules alone; repeated rows give a row each; an empty table gives none. Other
-    columns are ignored. The texts are read once: the counts are written before hosts are summed and joined.
+    columns are ignored. The texts are read once: the counts are written before hosts are summed and joined. A host's rows
+    are dealt to pieces that meet its verdict, so a host with most of the rows is no one task's.
     """
-    f = written(base_rules(docs.select("doc_id", F.col(host).alias("host"), "text"), "doc_id", "host"), "quality")
-    v = _sized(host_verdicts(f, "host", max_rate).select("host", "host_rejected"))
-    out = f.join(v, "host", "left")
+    f = base_rules(docs.select("doc_id", F.col(host).alias("host"), "text"), "doc_id", "host")
+    f = written(f.withColumn("rid", F.monotonically_increasing_id()), "quality")
+    v = host_verdicts(f, "host", bad_rate).select("host", "host_rejected")
+    out = salted_join(f, v, ["host"], F.col("rid"), "left")
     rejected = F.coalesce(F.col("host_rejected"), F.lit(False))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~rejected).alias("kept"))
 
 
-def keep_good(docs: DataFrame, host: str = "source", max_rate: float = HOST_MAX_RATE) -> DataFrame:
+def keep_good(docs: DataFrame, host: str = "source", bad_rate: float = HOST_BAD_RATE) -> DataFrame:
     """The rows of ``docs`` that ``quality`` keeps, with all their columns.
 
-    Rows are judged in place, so ids need not be unique. The counts of the base rules are made twice, once to sum the hosts'
-    failures and once to filter, and no text is shuffled.
+    Rows are judged in place, so ids need not be unique. The base rules run once: rows are written with their verdict and a piece that
+    they are dealt to, hosts are summed from these columns alone, and the rows that pass are read again without the pieces
+    of rejected hosts. Those are written first, so that the planner knows their size: few are sent to all tasks, many meet the rows by
+    host and piece.
     """
-    f = written(base_rules(docs.select(F.col(host).alias("host"), "text"), "host").select("host", "base_failed"), "failures")
-    rejected = _sized(host_verdicts(f, "host", max_rate).where("host_rejected").select(F.col("host").alias("__rejected_host")))
-    passed = let(words(F.col("text")), lambda w: (F.size(w) >= MIN_WORDS) & (100 * repeat_words(w) <= MAX_REPEAT_PERCENT * F.size(w)))
-    return docs.where(passed).join(rejected, F.col(host) == F.col("__rejected_host"), "left_anti")
+    failed, piece, gone = "__base_failed", "__piece", "__rejected_host"
+    judged = docs.withColumns({failed: base_failed(F.col("text")), piece: salt(F.monotonically_increasing_id())})
+    judged = written(judged, "judged", compression="zstd")
+    rows = judged.select(F.col(host).alias("host"), F.col(piece).alias("piece"), F.col(failed).alias("base_failed"))
+    rejected = host_verdicts(rows, "host", bad_rate).where("host_rejected").select("host")
+    pieces = written(rows.select("host", "piece").distinct().join(rejected, "host").toDF(gone, "__p"), "rejected_hosts")
+    out = judged.where(~F.col(failed)).join(pieces, (F.col(host) == F.col(gone)) & (F.col(piece) == F.col("__p")), "left_anti")
+    return out.drop(failed, piece)

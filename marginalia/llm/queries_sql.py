@@ -48,7 +48,8 @@ h AS (SELECT source AS host, count(*)::DOUBLE AS d, sum(base_failed::INT)::DOUBL
 s AS (SELECT sum(d) AS n, sum(x) / sum(d) AS m, count(*)::DOUBLE AS h, sum(x * x / d) AS q FROM h),
 v AS (SELECT n, m, q / n - m * m - m * (1 - m) * h / n AS spread FROM s),
 k AS (SELECT m, CASE WHEN m <= 0 OR m >= 1 THEN 1 WHEN spread <= 0 THEN 1e6 ELSE greatest(1, least(1e6, m * (1 - m) / spread - 1)) END AS k FROM v),
-hv AS (SELECT host, (x + m * k) / (d + k) > 0.8 AS rejected FROM h, k),
+hr AS (SELECT host, (x + m * k) / (d + k) AS rate, d + k AS w FROM h, k),
+hv AS (SELECT host, rate - 1.645 * sqrt(rate * (1 - rate) / (w + 1)) > 0.5 AS rejected FROM hr),
 quality AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(rejected, false) AS kept
             FROM b LEFT JOIN hv ON b.source = hv.host)
 """

@@ -75,6 +75,36 @@ def test_bad_host_goes(spark):
     assert not any(got[k] for k in range(105) if k in got) and all(got[200 + k] for k in range(100))
 
 
+def test_bad_host_among_many(spark):
+    """Verdicts against a plain version on hosts of uneven sizes and rates, and the rows that the pipeline keeps."""
+    good, bad = " ".join(f"w{j}" for j in range(30)), "too short"
+    hosts = {f"h{k}": (10 * (k + 1), k % 4) for k in range(20)} | {"tiny": (1, 1), "awful": (60, 57), "half": (200, 108), None: (6, 6)}
+    rows = [(h, bad if k < failed else f"{good} {h} {k}") for h, (n, failed) in hosts.items() for k in range(n)]
+    df = spark.createDataFrame([(i, t, h) for i, (h, t) in enumerate(rows)], "doc_id long, text string, source string")
+    known = {h: v for h, v in hosts.items() if h}
+    n, x = sum(a for a, _ in known.values()), sum(b for _, b in known.values())
+    m = x / n
+    spread = sum(b * b / a for a, b in known.values()) / n - m * m - m * (1 - m) * len(known) / n
+    k = max(1, min(1e6, m * (1 - m) / spread - 1))
+    rejected = set()
+    for h, (a, b) in known.items():
+        rate = (b + m * k) / (a + k)
+        if rate - 1.645 * (rate * (1 - rate) / (a + k + 1)) ** 0.5 > 0.5:
+            rejected.add(h)
+    assert rejected == {"awful"}
+    got = {r.doc_id: r.kept for r in quality.quality(df).collect()}
+    assert got == {i: t != bad and h not in rejected for i, (h, t) in enumerate(rows)}
+    assert sorted(r.doc_id for r in quality.keep_good(df).collect()) == sorted(i for i, kept in got.items() if kept)
+
+
+def test_rows_that_repeat_an_id(spark):
+    rows = [(1, "a b c"), (1, "a b c"), (1, "x y"), (2, "a  b c"), (None, "x y"), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = exact_dedup.exact_dedup(df).collect()
+    assert len(got) == 7 and sum(r.kept for r in got) == 3
+    assert sorted((r.doc_id or 0, (r.text or "").replace("  ", " ")) for r in exact_dedup.keep_first(df).collect()) == [(0, ""), (1, "a b c"), (1, "x y")]
+
+
 def test_exact_dedup(docs, empty):
     groups = defaultdict(list)
     for i, t in held(docs):
@@ -129,6 +159,20 @@ def test_near_duplicates(docs, empty, block, monkeypatch):
         assert ngram_join.keep_one(docs).count() == len(set(root.values()))
 
 
+def test_near_duplicates_in_chains(spark):
+    """Texts that slide on word by word: each links to its neighbours only, and the chain is one class. Ids repeat, some are null."""
+    words_ = [f"w{k}" for k in range(400)]
+    rows = [(1000 - k if k % 9 else None, " ".join(words_[k : k + 90])) for k in range(0, 300, 3)] + [(7, "alone among words of its own here")] * 2
+    some = [(i, t) for i, t in rows if i is not None]
+    sets, linked, root = plain_links(some)
+    got = {r.doc_id: r for r in ngram_join.near_duplicates(spark.createDataFrame(some, "doc_id long, text string")).collect()}
+    for i in sets:
+        assert (got[i].class_id, got[i].n_links) == (root[i], len({sets[j] for j in linked[i] if sets[j] != sets[i]}))
+    assert got[7].n_copies == 2
+    kept = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(kept) == 2 and 7 in {r.doc_id for r in kept}
+
+
 def test_bands():
     bands, rows = ngram_join.choose_bands(0.8, 0.999, 256)
     assert bands * rows <= 256 and 1 - (1 - 0.8**rows) ** bands >= 0.999

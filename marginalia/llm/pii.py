@@ -1,8 +1,9 @@
-"""Personal data: exact base rules, and a skip-chain conditional random field that labels alike mentions alike."""
+"""Personal data: exact base rules, and a skip-chain conditional random field over the tokens of each text that labels alike tokens alike."""
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -78,84 +79,196 @@ def base_spans(text: str) -> list[Span]:
     return [(kind, a, b) for kind in KINDS for a, b in _FINDERS[kind](text)]
 
 
-# The field. Its nodes are the base spans and looser candidates of a document that has base spans.
+# The field. Its variables are the tokens of a text. A token that holds no digit and no address can only be none; such labels are fixed
+# and split the chain, so the nodes are the tokens that could be personal, and the words beside them are part of what is observed.
 
-#: Looser forms: digits with more separators, spelled out or spaced addresses, bracketed dots.
-_DIGITS = re.compile(r"(?<![0-9A-Za-z])[0-9](?:[\x20()./-]{0,2}[0-9]){6,40}(?![0-9A-Za-z])")
-_SPELLED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:@|[(\[{](?:at|AT|@)[)\]}]|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|[(\[{](?:dot|DOT|\.)[)\]}]|\x20dot\x20)\x20?[A-Za-z0-9-]{1,63}){1,8}")
-_DOTTED = re.compile(r"(?<![0-9])[0-9]{1,3}(?:\x20?(?:[(\[{]\.[)\]}]|\.)\x20?[0-9]{1,3}){3}(?![0-9])")
-_AT = re.compile(r"\x20?(?:[(\[{](?:at|@)[)\]}]|\x20at\x20)\x20?|\x20?@\x20?")
-_DOT = re.compile(r"\x20?(?:[(\[{](?:dot|\.)[)\]}]|\x20dot\x20)\x20?|\x20?\.\x20?")
-_FORMS = ("digits", "spelled", "dotted")
+#: Tokens that could be personal: digits with separators, dotted numbers, addresses in plain or veiled form.
+_DIGITS = re.compile(r"(?<![0-9A-Za-z])[0-9](?:[\x20()./-]{0,2}[0-9]){6,}(?![0-9A-Za-z])")
+_DOTTED = re.compile(r"(?<![0-9])[0-9]{1,3}(?:\x20?(?:[(\[{](?:\.|dot)[)\]}]|\.)\x20?[0-9]{1,3}){3}(?![0-9])")
+_AT = re.compile(r"\x20?(?:@|[(\[{](?:at|AT|@)[)\]}])\x20?|\x20(?:at|AT)\x20")
+_DOT = re.compile(r"\x20?(?:\.|[(\[{](?:dot|DOT|\.)[)\]}])\x20?|\x20(?:dot|DOT)\x20")
+_HOST = re.compile(r"[A-Za-z0-9-]++(?:(?:\x20?(?:\.|[(\[{](?:dot|DOT|\.)[)\]}])\x20?|\x20(?:dot|DOT)\x20)[A-Za-z0-9-]++)+")
+_WORD = re.compile(r"[A-Za-z]+(?:-[A-Za-z]+)?")
+_ALNUM = re.compile(r"[^\W_]")
+_FORMS = ("digits", "dotted", "address")
+_FORM_OF = {"email": "address", "ip": "dotted", "card": "digits", "phone": "digits"}
 _LABELS = ("none", *KINDS)
 _K = len(_LABELS)
+#: Labels that a form can have.
+_CAN = np.array([[True, *(_FORM_OF[k] == f for k in KINDS)] for f in _FORMS])
+#: Words that speak for a kind, and words that speak for none.
+CUES = {
+    "email": "mail email e-mail mailto write inbox",
+    "ip": "ip ipv4 host server gateway dns ping router subnet",
+    "card": "card visa mastercard amex credit debit cvv",
+    "phone": "phone tel telephone call mobile cell fax dial whatsapp sms",
+    "none": "order invoice version section isbn page ref serial account tracking total release chapter build figure id",
+}
+_CUE = {w: k for k, ws in enumerate(CUES.values()) for w in ws.split()}
+#: Words before and behind a token that are looked at, and how far they may be.
+_BEFORE, _BEHIND, _FAR = 3, 1, 48
 _DAMP = 0.5
 #: Messages pass until none changes by this much; the bound on rounds only ends a field that swings.
-_CHANGE, _ROUNDS = 1e-4, 1000
-#: A candidate becomes a span from this belief on.
-BELIEF = 0.6
+_CHANGE, _ROUNDS = 1e-4, 2000
+#: A token becomes a span from this belief on.
+BELIEF = 0.8
+#: Kinds of edges: neighbours in the text, equal keys, keys with equal ends, and keys that differ by one character, by form.
+EDGES = ("next", "equal", "ending", *(f"alike_{f}" for f in _FORMS))
+_NEXT, _EQUAL, _ENDING, _ALIKE = 0, 1, 2, 3
+_ENDING_DIGITS = 9
+_ALIKE_LEAST = 9
 
 
 def _key(form: str, piece: str) -> str:
     """What mentions of one thing have in common."""
     if form == "digits":
         return "d" + _NOT_DIGIT.sub("", piece).lstrip("0")
-    dotted = _DOT.sub(".", _AT.sub("@", piece.lower()))
-    return ("e" if form == "spelled" else "i") + dotted
+    return form[1] + _AT.sub("@", _DOT.sub(".", piece.lower()), count=1)
 
 
-_FORM_OF = {"email": "spelled", "ip": "dotted", "card": "digits", "phone": "digits"}
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Local parts and hosts around each mark that stands for an at sign; each character is read a bounded number of times."""
+    end = 0
+    for m in _AT.finditer(text):
+        if m.start() < end or not (host := _HOST.match(text, m.end())):
+            continue
+        start = m.start()
+        while start > end and _LOCAL.match(text, start - 1, start):
+            start -= 1
+        if start < m.start():
+            end = host.end()
+            yield start, end
 
 
-def _features(form: str, piece: str, observed: str | None) -> list[float]:
-    n = len(_NOT_DIGIT.sub("", piece))
-    return [1.0, *(float(form == f) for f in _FORMS), float(9 <= n <= 12), float(13 <= n <= 19), float(n > 19), float(n < 9), *(4.0 * (observed == k) for k in KINDS)]
+def tokens(text: str, base: list[Span]) -> list[tuple[int, int, int, int]]:
+    """``start, end, form, label`` of the tokens that could be personal, in order; the label is that of a base span, else 0. Looser tokens
+    that overlap a base span or a token of an earlier form are left out."""
+    out = [(a, b, _FORMS.index(_FORM_OF[k]), 1 + KINDS.index(k)) for k, a, b in base]
+    finders = (lambda: _addresses(text), lambda: (m.span() for m in _DOTTED.finditer(text)), lambda: (m.span() for m in _DIGITS.finditer(text)))
+    for form, find in zip((2, 1, 0), finders, strict=True):
+        taken = sorted((a, b) for a, b, _, _ in out)
+        starts, ends, reach = [a for a, _ in taken], [], 0
+        for _, b in taken:
+            reach = max(reach, b)
+            ends.append(reach)
+        for a, b in find():
+            before = bisect_left(starts, b) - 1  # the last one that starts before the end
+            if before < 0 or ends[before] <= a:
+                out.append((a, b, form, 0))
+    return sorted(out)
+
+
+def _words_beside(text: str, a: int, b: int) -> list[int]:
+    """How many of the words beside a token speak for each kind, and for none."""
+    before = [m.group().lower() for m in _WORD.finditer(text, max(0, a - _FAR), a)][-_BEFORE:]
+    behind = [m.group().lower() for m in _WORD.finditer(text, b, b + _FAR)][:_BEHIND]
+    said = [0] * len(CUES)
+    for w in before + behind:
+        if w in _CUE:
+            said[_CUE[w]] = 1
+    return said
+
+
+def _features(text: str, a: int, b: int, form: int) -> list[float]:
+    """What is observed of a token: its form, its digits, its marks, and the words beside it."""
+    piece = text[a:b]
+    digits = _NOT_DIGIT.sub("", piece)
+    n = len(digits)
+    card = form == 0 and 13 <= n <= 19 and luhn(digits)
+    parts = [int(p) for p in re.findall("[0-9]+", piece)] if form == 1 else []
+    veiled = form == 2 and "@" not in piece and bool(re.search(r"[(\[{]", piece))
+    host = _DOT.split(piece)[-1] if form == 2 else ""
+    plus = a > 0 and text[a - 1] == "+" or piece.startswith("+")
+    grouped = form == 0 and n != b - a
+    own = [form == 0, form == 1, form == 2, card, form == 0 and 13 <= n <= 19 and not card, form == 0 and 9 <= n <= 12, form == 0 and n < 9, form == 0 and n > 19, grouped, grouped and 9 <= n <= 12, form == 0 and plus, form == 1 and max(parts) <= 255, form == 1 and max(parts) > 255, veiled, form == 2 and "@" in piece, form == 2 and host.isalpha() and len(host) >= 2]
+    return [1.0, *map(float, own), *map(float, _words_beside(text, a, b))]
+
+
+def _alike(keys: dict[str, int]) -> list[tuple[int, int]]:
+    """Pairs of keys, given with their first tokens, that are equal once each has lost one character at most. Each key is linked to the
+    last one before with a common form of one character less; forms are compared by hashes of what lies before and behind the
+    gap and then by themselves, so a key costs its length."""
+    prime, base = (1 << 61) - 1, 1_000_003
+    near: dict[int, tuple[int, str, int]] = {}
+    out = []
+    for key, k in keys.items():
+        n = len(key)
+        if n <= _ALIKE_LEAST:
+            continue
+        head, power = [0], [1]
+        for c in key:
+            head.append((head[-1] * base + ord(c)) % prime)
+            power.append(power[-1] * base % prime)
+        for gap in range(1, n + 1):  # a gap behind the end leaves the whole key
+            h = (head[gap] * power[n - gap - 1] + head[n] - head[gap + 1] * power[n - gap - 1]) % prime if gap < n else head[n]
+            other = near.get(h)
+            if other and other[0] != k and key[:gap] + key[gap + 1 :] == other[1][: other[2]] + other[1][other[2] + 1 :]:
+                out.append((other[0], k))
+            near[h] = (k, key, gap)
+    return out
+
 
+def edges(text: str, nodes: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int]]:
+    """``i, j, kind`` of the field's edges, as many as a multiple of the nodes and the lengths of their keys.
 
-def _similar(keys: list[str], based: list[bool] | None = None) -> list[tuple[int, int]]:
-    """Edges of a skip chain: each mention to the next with the same key, and the first mentions of keys that differ by one
-    dropped or changed character (from nine characters on); where ``based`` tells base spans, also each mention to the first base
-    span with its key. Their number grows with the mentions, not with their square."""
-    edges, last, first = [], {}, {}
-    for k, key in enumerate(keys):
-        if key in last:
-            edges.append((last[key], k))
-        else:
-            first[key] = k
-        last[key] = k
+    Neighbours with no word between them are linked. Tokens with one key are linked to the next one with it, and to the first
+    base span with it. So are keys of numbers with equal last digits and keys that differ by one character: all tokens of the one to the
+    first base span of the other, or else their first tokens.
+    """
+    keys = [_key(_FORMS[f], text[a:b]) for a, b, f, _ in nodes]
+    out = {(i, i + 1, _NEXT) for i in range(len(nodes) - 1) if nodes[i][1] <= nodes[i + 1][0] and not _ALNUM.search(text, nodes[i][1], nodes[i + 1][0])}
+    of: dict[str, list[int]] = {}
     star: dict[str, int] = {}
     for k, key in enumerate(keys):
-        if based and based[k]:
+        of.setdefault(key, []).append(k)
+        if nodes[k][3]:
             star.setdefault(key, k)
-    edges += [(min(star[key], k), max(star[key], k)) for k, key in enumerate(keys) if star.get(key, k) != k]
-    near: dict[str, int] = {}
-    for key, k in first.items():
-        if 10 <= len(key) <= 80:
-            for x in {key[:c] + key[c + 1 :] for c in range(1, len(key))}:
-                if x in near:
-                    edges.append((near[x], k))
-                near[x] = k
-    return sorted(set(edges))
+    for key, some in of.items():
+        out |= {(i, j, _EQUAL) for i, j in zip(some, some[1:], strict=False)}
+        if key in star:
+            out |= {(min(star[key], k), max(star[key], k), _EQUAL) for k in some if k != star[key]}
+
+    def link(one: str, two: str, kind: int) -> None:
+        for a, b in ((one, two), (two, one)):
+            if a in star:
+                out.update((min(star[a], k), max(star[a], k), kind) for k in of[b])
+        if one not in star and two not in star:
+            out.add((min(of[one][0], of[two][0]), max(of[one][0], of[two][0]), kind))
+
+    ending: dict[str, str] = {}
+    for key in of:
+        if key[0] == "d" and len(key) > _ENDING_DIGITS:
+            end = key[-_ENDING_DIGITS:]
+            if end in ending:
+                link(ending[end], key, _ENDING)
+            if key in star or end not in ending:
+                ending[end] = key
+    for one, two in _alike({key: some[0] for key, some in of.items()}):
+        link(keys[one], keys[two], _ALIKE + nodes[two][2])
+    return sorted(out)
 
 
 class Field:
-    """Weights of the nodes' features, of neighbours in the text and of the skip chain; labels are none and the kinds."""
+    """Weights of what is observed, by label, and of agreement along each kind of edge."""
 
-    def __init__(self, node: np.ndarray, chain: np.ndarray, skip: np.ndarray):
-        self.node, self.chain, self.skip = node, chain, skip
+    def __init__(self, node: np.ndarray, edge: np.ndarray):
+        self.node, self.edge = node, edge
 
-    def beliefs(self, x: np.ndarray, observed: np.ndarray, skips: list[tuple[int, int]]) -> np.ndarray:
-        """Label probabilities by damped loopy message passing until it settles; observed labels (0: open) are held."""
-        n = len(x)
-        score = x @ self.node
-        held = observed > 0
+    def scores(self, x: np.ndarray, form: np.ndarray, label: np.ndarray) -> np.ndarray:
+        score = np.where(_CAN[form], x @ self.node, -30.0)
+        held = label > 0
         score[held] = -30.0
-        score[held, observed[held]] = 30.0
-        edges = [(i, i + 1, 0) for i in range(n - 1)] + [(i, j, 1) for i, j in skips]
-        if edges:
-            a, b, kind = np.array(edges).T
+        score[held, label[held]] = 30.0
+        return score
+
+    def beliefs(self, score: np.ndarray, links: list[tuple[int, int, int]]) -> np.ndarray:
+        """Label probabilities by damped loopy message passing until it settles. On loops of strong edges they are too sure of
+        the best label, which they keep."""
+        score = score.copy()
+        if links:
+            a, b, kind = np.array(links).T
             src, dst = np.concatenate([a, b]), np.concatenate([b, a])
-            w = np.stack([self.chain, self.skip])[np.concatenate([kind, kind])]  # symmetric, so one way serves both
+            w = np.eye(_K)[None] * self.edge[np.concatenate([kind, kind])][:, None, None]
             back = np.concatenate([np.arange(len(a)) + len(a), np.arange(len(a))])
             m = np.zeros((len(src), _K))
             for _ in range(_ROUNDS):
@@ -172,110 +285,129 @@ class Field:
         return p / p.sum(axis=1, keepdims=True)
 
 
-#: Labelled sequences that the field is fitted to: made here, by rule, from a fixed seed.
-TRAIN_SEQUENCES = 400
+#: Labelled texts that the field is fitted to: made here, by rule, from a fixed seed.
+TRAIN_TEXTS = 300
+_FILLER = "the and of a then now see here also we was with it again later both note that as well".split()
 
 
-def _training_sequence(rng: np.random.Generator) -> tuple[list[tuple[str, str, str | None, int]], list[str]]:
-    """Mentions (form, text, observed kind, label) in order: entities with mentions that base rules see and some they do not,
-    among numbers that belong to nobody, some of which repeat."""
+def training_text(rng: np.random.Generator) -> tuple[str, list[tuple[int, int, int]]]:
+    """A text and ``start, end, label`` of its personal mentions: things named once to fifty times, in forms that the base rules see or not,
+    with or without words that speak for them, among numbers and addresses that belong to nobody and repeat as often."""
+    pick = lambda some: some[rng.integers(0, len(some))]
     digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
-    out = []
+    often = lambda: int(pick([1, 1, 1, 2, 2, 3, 5, 12, 50]))
+    said: list[tuple[str, str, int]] = []  # words before, the mention, its label
+
+    def cue(kind: str, chance: float) -> str:
+        return pick(CUES[kind].split()) + pick([" ", ": ", " is "]) if rng.random() < chance else ""
+
+    def card(good: bool) -> str:
+        while True:
+            d = pick("3456") + digits(15)
+            if luhn(d) == good:
+                return d
+
     for _ in range(rng.integers(1, 4)):
         kind = KINDS[rng.integers(0, 4)]
+        label = 1 + KINDS.index(kind)
         if kind == "email":
-            piece = f"{'abcdefgh'[: rng.integers(2, 8)]}{digits(3)}@mail{digits(2)}.example.com"
+            user, host = f"{pick(['ann', 'joe', 'li', 'x'])}.{digits(3)}", f"mail{digits(2)}.{pick(['example', 'test'])}.{pick(['com', 'org', 'net'])}"
+            plain = f"{user}@{host}"
+            loose = [f"{user} (at) {host}", f"{user}[at]{host}", f"{user} at {host.replace('.', ' dot ')}", f"{user} @ {host}", f"{user} at {host}"]
         elif kind == "ip":
-            piece = ".".join(str(v) for v in rng.integers(0, 256, 4))
+            parts = [str(v) for v in rng.integers(1, 256, 4)]
+            plain, loose = ".".join(parts), ["[.]".join(parts), " . ".join(parts), "(.)".join(parts), "[dot]".join(parts)]
+        elif kind == "card":
+            plain = card(True)
+            four = [plain[k : k + 4] for k in range(0, 16, 4)]
+            loose = [".".join(four), "/".join(four), " - ".join(four)]
         else:
-            piece = "1" + digits(15 if kind == "card" else 10)
-        label = 1 + KINDS.index(kind)
-        out += [(_FORM_OF[kind], piece, kind, label)] * int(rng.integers(1, 3)) + [(_FORM_OF[kind], piece, None, label)] * int(rng.integers(0, 3))
+            d = pick("123456789") + digits(int(pick([9, 10, 11])))
+            plain, loose = f"+{d[0]} ({d[1:4]}) {d[4:7]}-{d[7:]}", [d, f"{d[0]}/{d[1:4]}/{d[4:7]}/{d[7:]}", f"{d[0]}.{d[1:4]}.{d[4:]}", f"{d[0]}-{d[1:4]}-{d[4:7]}-{d[7:]}", f"{d[1:4]}-{d[4:7]}-{d[7:]}", f"0{d[1:4]} {d[4:]}"]
+        form = pick(loose)
+        seen = rng.random() < 0.7
+        if seen:
+            said += [(cue(kind, 0.3), plain, label)] * int(pick([1, 1, 2]))
+        repeats = [(cue(kind, 0.2 if seen else 0.9), form if rng.random() < 0.8 else pick(loose), label) for _ in range(often())]
+        if not seen:
+            repeats[0] = (cue(kind, 1.0), form, label)
+        said += repeats if not (seen and rng.random() < 0.2) else []
+        if rng.random() < 0.3 and kind in ("card", "phone"):  # a number beside it that differs by one digit
+            k = int(rng.integers(1, len(plain) - 1))
+            while not plain[k].isdigit():
+                k += 1
+            other = _NOT_DIGIT.sub("", plain[:k] + str((int(plain[k]) + 1) % 10) + plain[k + 1 :])
+            if not (13 <= len(other) <= 19 and luhn(other)):
+                said += [(cue("none", 0.5), other, 0)] * int(pick([1, 1, 2, 5]))
     for _ in range(rng.integers(0, 5)):
-        form = _FORMS[rng.integers(0, 3)]
-        piece = {"digits": "2" + digits(int(rng.integers(6, 20))), "spelled": f"x{digits(3)} at y.z{digits(2)}", "dotted": "9" + digits(2) + ".1.2." + digits(3)}[form]
-        out += [(form, piece, None, 0)] * int(rng.integers(1, 3))
-    rng.shuffle(out)
-    return [(f, p, o, int(y)) for f, p, o, y in out], [_key(f, p) for f, p, _, _ in out]
+        nobody = pick([digits(8), "7" + digits(9), "8" + digits(9), "9" + digits(11), card(False), "1" + digits(24), f"{rng.integers(256, 999)}.{digits(2)}.1.2", f"look at www.{pick(['site', 'page'])}{digits(1)}.org", f"{digits(4)}-{digits(2)}-{digits(2)} {digits(2)}"])
+        said += [(cue("none", 0.5) if nobody[0].isdigit() else "", nobody, 0)] * often()
+    rng.shuffle(said)
+    text, found = "", []
+    for before, mention, label in ((str(b), str(m), int(y)) for b, m, y in said):
+        text += " ".join(pick(_FILLER) for _ in range(rng.integers(2, 5))) + " " + before
+        if label:
+            found.append((len(text), len(text) + len(mention), label))
+        text += mention + pick([", ", ". ", " "])
+    return text, found
+
+
+def _labelled(text: str, found: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int, int]], np.ndarray]:
+    nodes = tokens(text, base_spans(text))
+    starts = [a for a, _, _ in found]
+    y = []
+    for a, b, f, held in nodes:
+        k = bisect_left(starts, b) - 1
+        inside = k >= 0 and found[k][1] > a and _CAN[f][found[k][2]]
+        y.append(held or (found[k][2] if inside else 0))
+    return nodes, np.array(y, int)
 
 
 @lru_cache(maxsize=1)
-def fitted(sequences: int = TRAIN_SEQUENCES, steps: int = 1500, rate: float = 1.0, decay: float = 1e-4) -> Field:
-    """Maximum pseudo-likelihood: each label given its neighbours' labels is a softmax regression."""
+def fitted(texts: int = TRAIN_TEXTS, steps: int = 1200, rate: float = 0.5, decay: float = 1e-4) -> Field:
+    """Maximum pseudo-likelihood: each label given its neighbours' labels is a softmax regression, whose weights of agreement are shared by
+    all labels."""
     rng = np.random.default_rng(7)
-    xs, ys = [], []
-    for _ in range(sequences):
-        mentions, keys = _training_sequence(rng)
-        y = np.array([m[3] for m in mentions])
-        one = np.eye(_K)[y]
-        chain, skip = np.zeros((len(y), _K)), np.zeros((len(y), _K))
-        chain[1:] += one[:-1]
-        chain[:-1] += one[1:]
-        for i, j in _similar(keys):
-            skip[i] += one[j]
-            skip[j] += one[i]
-        xs.append(np.hstack([[_features(f, p, o) for f, p, o, _ in mentions], chain, skip]))
+    xs, ys, forms, agree, opens = [], [], [], [], []
+    for _ in range(texts):
+        text, found = training_text(rng)
+        nodes, y = _labelled(text, found)
+        if not len(nodes):
+            continue
+        n = np.zeros((len(nodes), len(EDGES), _K))
+        for i, j, kind in edges(text, nodes):
+            n[i, kind, y[j]] += 1
+            n[j, kind, y[i]] += 1
+        xs += [_features(text, a, b, f) for a, b, f, _ in nodes]
+        forms += [f for _, _, f, _ in nodes]
+        opens += [held == 0 for *_, held in nodes]
         ys.append(y)
-    x, y = np.vstack(xs), np.eye(_K)[np.concatenate(ys)]
-    w = np.zeros((x.shape[1], _K))
+        agree.append(n)
+    keep = np.array(opens)
+    x, y, n, can = np.array(xs)[keep], np.eye(_K)[np.concatenate(ys)[keep]], np.minimum(np.concatenate(agree)[keep], 2), _CAN[np.array(forms)[keep]]
+    node, edge = np.zeros((x.shape[1], _K)), np.zeros(len(EDGES))
+    node_speed, edge_speed = np.zeros_like(node), np.zeros_like(edge)
     for _ in range(steps):
-        s = x @ w
+        s = np.where(can, x @ node + np.einsum("k,nkl->nl", edge, n), -30.0)
         p = np.exp(s - s.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        w += rate * (x.T @ (y - p) / len(x) - decay * w)
-    f = x.shape[1] - 2 * _K
-    chain, skip = w[f : f + _K], w[f + _K :]
-    return Field(w[:f], (chain + chain.T) / 2, (skip + skip.T) / 2)
+        node_speed = 0.9 * node_speed + x.T @ (y - p) / len(x) - decay * node
+        edge_speed = 0.9 * edge_speed + np.einsum("nkl,nl->k", n, y - p) / len(x) - decay * edge
+        node, edge = node + rate * node_speed, edge + rate * edge_speed
+    return Field(node, edge)
 
 
 def added_spans(text: str, base: list[Span], field: Field) -> list[Span]:
-    """Mentions that the base rules miss and the field labels like the base spans that they repeat or resemble.
-
-    Only a candidate that a skip chain joins to base spans can take their kind. Spans of a kind do not overlap.
-    """
-    if not base:
+    """Tokens that the base rules miss and the field labels with a kind: because they repeat or resemble a base span, or because of their form
+    and the words beside them. Spans of a kind do not overlap."""
+    nodes = tokens(text, base)
+    if all(held for *_, held in nodes):
         return []
-    nodes: list[tuple[int, int, str, str | None]] = [(a, b, _FORM_OF[k], k) for k, a, b in base]
-    taken = sorted((a, b) for _, a, b in base)
-    starts = np.array([a for a, _ in taken])
-    ends = np.maximum.accumulate(np.array([b for _, b in taken]))
-    for form, pattern in zip(_FORMS, (_DIGITS, _SPELLED, _DOTTED), strict=True):
-        for m in pattern.finditer(text):
-            before = int(np.searchsorted(starts, m.end())) - 1  # the last base span that starts before the end
-            if before < 0 or ends[before] <= m.start():
-                nodes.append((m.start(), m.end(), form, None))
-    nodes.sort(key=lambda v: (v[0], v[1], v[3] or ""))
-    keys = [_key(f, text[a:b]) for a, b, f, _ in nodes]
-    skips = _similar(keys, [kind is not None for _, _, _, kind in nodes])
-    root = list(range(len(nodes)))
-
-    def find(v: int) -> int:
-        while root[v] != v:
-            root[v] = root[root[v]]
-            v = root[v]
-        return v
-
-    for i, j in skips:
-        root[find(i)] = find(j)
-    reach: dict[int, set[int]] = {}
-    for v, (_, _, _, kind) in enumerate(nodes):
-        if kind:
-            reach.setdefault(find(v), set()).add(1 + KINDS.index(kind))
-    open_nodes = [v for v, node in enumerate(nodes) if node[3] is None and find(v) in reach]
-    if not open_nodes:
-        return []
-    x = np.array([_features(f, text[a:b], k) for a, b, f, k in nodes])
-    observed = np.array([0 if k is None else 1 + KINDS.index(k) for _, _, _, k in nodes])
-    p = field.beliefs(x, observed, skips)
-    out: list[Span] = []
-    last = dict.fromkeys(range(_K), -1)
-    for v in open_nodes:
-        label = int(p[v].argmax())
-        a, b = nodes[v][:2]
-        if label in reach[find(v)] and p[v, label] >= BELIEF and a >= last[label]:
-            out.append((_LABELS[label], a, b))
-            last[label] = b
-    return out
+    label = np.array([held for *_, held in nodes])
+    score = field.scores(np.array([_features(text, a, b, f) for a, b, f, _ in nodes]), np.array([f for _, _, f, _ in nodes]), label)
+    p = field.beliefs(score, edges(text, nodes))
+    best = p.argmax(axis=1)
+    return [(_LABELS[best[v]], a, b) for v, (a, b, _, held) in enumerate(nodes) if not held and best[v] and p[v, best[v]] >= BELIEF]
 
 
 def _written(spans: list[Span]) -> str:
@@ -332,7 +464,8 @@ def mask(docs: DataFrame, text_col: str = "text") -> DataFrame:
             for t in batch.column(k):
                 text = t.as_py()
                 base = base_spans(text) if text else []
-                texts.append(masked_text(text, base + added_spans(text, base, field)) if base else text)
+                found = base + added_spans(text, base, field) if text else []
+                texts.append(masked_text(text, found) if found else text)
             yield batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type))
 
     return docs.mapInArrow(run, docs.schema)

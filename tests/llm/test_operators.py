@@ -312,22 +312,66 @@ def test_pii(docs, empty, texts):
     assert masked.where(F.col("text").rlike(r"@c\.|1234567|4111")).count() == 0
 
 
-def test_field_labels_repeats_alike():
-    field = pii.fitted()
-    t = "card 4111 1111 1111 1111 then 4111.1111.1111.1111 and order 998877665 twice 998877665; joe.x1@mail5.example.com is joe.x1 (at) mail5.example.com"
-    base = pii.base_spans(t)
-    assert [(k, t[a:b]) for k, a, b in pii.added_spans(t, base, field)] == [("card", "4111.1111.1111.1111"), ("email", "joe.x1 (at) mail5.example.com")]
-    assert pii.added_spans("order 998877665 and 998877665", [], field) == []
-    rng = np.random.default_rng(99)  # held out: other sequences of the same kind
-    right = total = 0
+def test_field_on_held_out_texts():
+    field, rng = pii.fitted(), np.random.default_rng(99)
+    right = total = found = personal = 0
     for _ in range(100):
-        mentions, keys = pii._training_sequence(rng)
-        x = np.array([pii._features(f, p, o) for f, p, o, _ in mentions])
-        observed = np.array([0 if o is None else 1 + pii.KINDS.index(o) for _, _, o, _ in mentions])
-        label = field.beliefs(x, observed, pii._similar(keys)).argmax(axis=1)
-        right += sum(label == [y for *_, y in mentions])
-        total += len(mentions)
-    assert right / total > 0.9
+        text, mentions = pii.training_text(rng)
+        nodes, y = pii._labelled(text, mentions)
+        if not nodes:
+            continue
+        held = np.array([h for *_, h in nodes])
+        score = field.scores(np.array([pii._features(text, a, b, f) for a, b, f, _ in nodes]), np.array([f for _, _, f, _ in nodes]), held)
+        label = field.beliefs(score, pii.edges(text, nodes)).argmax(axis=1)
+        right += (label == y)[held == 0].sum()
+        total += (held == 0).sum()
+        found += (label == y)[(held == 0) & (y > 0)].sum()
+        personal += ((held == 0) & (y > 0)).sum()
+    assert right / total > 0.95 and found / personal > 0.85
+
+
+def test_messages_against_exact_sums():
+    """Labels summed over: on chains messages are exact; on loops they are near where edges are weak, and with the fitted edges, which make
+    them too sure, they agree on the best label."""
+    import itertools
+
+    rng, fitted = np.random.default_rng(4), pii.fitted()
+    weak = pii.Field(fitted.node, np.full(len(pii.EDGES), 0.7))
+    for field, loop in [(fitted, False), (weak, True), (fitted, True)] * 15:
+        n = int(rng.integers(3, 5))
+        links = [(i, i + 1, pii._EQUAL) for i in range(n - 1)] + [(0, n - 1, pii._EQUAL)] * loop
+        score = rng.normal(0, 1.5, (n, 5))
+        exact = np.zeros((n, 5))
+        for y in itertools.product(range(5), repeat=n):
+            w = np.exp(sum(score[i, k] for i, k in enumerate(y)) + sum(field.edge[e] for i, j, e in links if y[i] == y[j]))
+            for i, k in enumerate(y):
+                exact[i, k] += w
+        exact /= exact.sum(axis=1, keepdims=True)
+        got = field.beliefs(score, links)
+        if field is weak or not loop:
+            assert np.abs(got - exact).max() < (0.1 if loop else 0.001)
+        assert all(g.argmax() == e.argmax() for g, e in zip(got, exact, strict=True) if np.sort(e)[-1] - np.sort(e)[-2] > 0.05)
+
+
+def test_keys_that_are_alike():
+    rng = random.Random(2)
+    keys = list(dict.fromkeys("d" + "".join(rng.choice("12") for _ in range(rng.randint(9, 12))) for _ in range(60)))
+    shorter = lambda a: {a} | {a[:k] + a[k + 1 :] for k in range(1, len(a))}
+    one = lambda a, b: bool(shorter(a) & shorter(b))
+    pairs = pii._alike({key: k for k, key in enumerate(keys)})
+    assert pairs and all(one(keys[i], keys[j]) for i, j in pairs)
+    joined = {j for _, j in pairs}
+    assert all(k in joined for k, key in enumerate(keys) if any(one(a, key) for a in keys[:k]))
+    long = "d" + "7" * 50_000
+    assert pii._alike({long: 0, long[:-1] + "8": 1}) == [(0, 1)]
+
+
+def test_words_beside_a_token_speak_for_it():
+    field = pii.fitted()
+    added = lambda t: [(k, t[a:b]) for k, a, b in pii.added_spans(t, pii.base_spans(t), field)]
+    assert added("please call 555-123-4567 today") == [("phone", "555-123-4567")]
+    for t in ("order 998877665 and 998877665", "5555-1234 5678 9012 3 of it", "card 4111111111111111 and 4111111111111112", "a look at example.com now", "version 300.1.2.3", "in 2024-01-02 10 then", ""):
+        assert added(t) == []
 
 
 def test_chat(spark):
@@ -411,8 +455,15 @@ def test_suffix_order():
         assert suffixes.common(order).tolist() == same[: len(found)]
 
 
-@pytest.mark.parametrize("n", [1, 10, 20, 60])
-def test_pii_repeats_hear_of_their_base_span(n):
-    text = "call +44 20 7946 0958 now" + " or 44/20/7946/0958 then" * n
-    base = pii.base_spans(text)
-    assert len(base) == 1 and [k for k, _, _ in pii.added_spans(text, base, pii.fitted())] == ["phone"] * n
+@pytest.mark.parametrize("kind, plain, loose", [
+    ("email", "joe.x1@mail5.example.com", "joe.x1 (at) mail5.example.com"), ("email", "joe.x1@mail5.example.com", "joe.x1 at mail5 dot example dot com"), ("card", "4111 1111 1111 1111", "4111.1111.1111.1111"),
+    ("phone", "+44 20 7946 0958", "44/20/7946/0958"), ("ip", "10.20.30.40", "10[.]20[.]30[.]40"), ("ip", "10.20.30.40", "10 . 20 . 30 . 40"),
+])
+def test_all_repeats_hear_of_their_base_span(kind, plain, loose):
+    field = pii.fitted()
+    for n in (*range(1, 11), 20, 35, 50):
+        text = f"see {plain} now" + f" or {loose} then" * n
+        base = pii.base_spans(text)
+        assert len(base) == 1
+        added = pii.added_spans(text, base, field)
+        assert [k for k, _, _ in added] == [kind] * n and loose not in pii.masked_text(text, base + added)

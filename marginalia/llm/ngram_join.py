@@ -24,6 +24,8 @@ RECALL = 0.99999
 MOST_HASHES = 256
 #: Sets of a block, and hashes in all of its sets, about; two blocks at a time are compared in memory.
 BLOCK, BLOCK_HASHES = 1024, 2 << 20
+#: Steps over bands from a set to its home.
+HOPS = 3
 _NO_ID = (1 << 63) - 1
 _SEED = 20240607
 _COLUMNS = 4096
@@ -209,10 +211,13 @@ def _verify(least: tuple[int, int]):
 def _blocks(near: DataFrame, classes: DataFrame, block: int) -> DataFrame:
     """``id, home, block, in_block, set_key, first_id, copies`` of the classes that share a band with another.
 
-    A class's home is the smallest id among the first ones of its bands, so sets that are alike have few homes. The classes of a home are
-    dealt to blocks of bounded size.
+    A class's home is the smallest id that ``HOPS`` steps over bands reach, so sets that are all alike have one home, and a long chain of
+    sets has many, each near its own sets. The classes of a home are dealt to blocks of bounded size.
     """
     home = near.groupBy("id").agg(F.min("a").alias("home"))
+    for _ in range(1, HOPS):
+        reached = with_least(near.select("id", "band").join(home, "id"), "band", "home", "least", by="id")
+        home = written(reached.groupBy("id").agg(F.min("least").alias("home")), "homes")
     member = home.join(classes, "id").select("id", "home", "set_key", "first_id", F.col("n_copies").alias("copies"), "size")
     sizes = member.groupBy("home").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("size") / BLOCK_HASHES)).cast("int").alias("n_blocks"))
     dealt = salted_join(member, sizes, ["home"], F.col("id")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))

@@ -2,163 +2,164 @@
 
 from __future__ import annotations
 
+import json
 import math
-import re
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.skew import salted_join
+from .license_texts import NEGATIONS, NOTICES, STATEMENTS, TAGS, TITLES
 from .runtime import let, written
 
-#: Statements by which works name their licence.
-TEMPLATES: list[tuple[str, str]] = [
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
-    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
-    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
-    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work under CC0 1.0."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("ISC", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted."),
-    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
-]
 #: Least cosine of a passage to a template.
 THRESHOLD = 0.8
-#: Words of a passage at most, and from one passage of a long line to the next.
-PASSAGE, STEP = 32, 16
 #: Names of files that license their directory.
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense)([._-].*)?$"
-_NOT_TERM = r"[^a-z0-9.+-]+"
-#: The same between terms, with the outer dots and hyphens of both, so one split gives trimmed terms.
-_BETWEEN = r"(?<![.-])[.-]*+[^a-z0-9.+-][^a-z0-9+]*+"
+#: What a term that disagrees costs, in terms that agree, when templates compete.
+DISAGREES = 8
+#: Terms of a file before which a title begins that makes the file the licence itself.
+TITLE_WITHIN = 40
+#: Terms before a statement in which a negation counts.
+NEGATED_BEFORE = 3
+_SEPARATORS = "".join(chr(c) for c in range(1, 128) if not (chr(c).isalnum() or chr(c) in ".+-'"))
+#: Runs that end words, as spaces; made in this order.
+_CLEARED = (("--", " "), ("..", " "), (". ", " "), ("- ", " "), (" .", " "), (" -", " "), ("' ", " "), (" '", " "))
 
 
-def _terms(text: str) -> list[str]:
-    return [t for t in (x.strip(".-") for x in re.split(_NOT_TERM, text.lower())) if t]
+@dataclass(frozen=True)
+class Template:
+    license: str
+    kind: str
+    terms: tuple[str, ...]
 
 
-def terms(text: Column) -> Column:
-    """Lower-case terms of a text: runs of letters, digits, dots, plus signs and hyphens, without outer dots and hyphens."""
-    return F.array_remove(F.split(F.btrim(F.lower(text), F.lit(".-")), _BETWEEN), "")
+def _terms(text: str) -> list[str]:
+    t = " " + text.lower().translate({ord(c): " " for c in _SEPARATORS}) + " "
+    for old, new in _CLEARED:
+        t = t.replace(old, new)
+    return [x for x in t.split(" ") if x]
 
 
-VOCABULARY = sorted({t for _, text in TEMPLATES for t in _terms(text)})
+def terms(text: Column) -> Column:
+    """Lower-case terms of a text: what lies between ASCII white space and marks other than dots, plus signs, hyphens and apostrophes, without
+    outer dots, hyphens and apostrophes. Only literal replacements, which cost a tenth of a pattern."""
+    t = F.concat(F.lit(" "), F.translate(F.lower(text), _SEPARATORS, " " * len(_SEPARATORS)), F.lit(" "))
+    for old, new in _CLEARED:
+        t = F.replace(t, F.lit(old), F.lit(new))
+    return F.array_remove(F.split(t, " "), "")
 
 
-def _array(values: list) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+TEMPLATES = [Template(name, kind, tuple(_terms(text))) for kind, some in (("statement", STATEMENTS), ("notice", NOTICES), ("title", TITLES)) for name, text in some]
+TEMPLATES += [Template(name, "tag", tuple(_terms(f"SPDX-License-Identifier: {tag}"))) for tag, name in TAGS.items()]
+VOCABULARY = sorted({t for x in TEMPLATES for t in x.terms})
 
 
 def document_frequencies(files: DataFrame) -> tuple[int, dict[str, int], DataFrame]:
     """Files, files that hold each term of the templates, and the written table ``t, n`` of the files that hold any term."""
     held = files.select(F.explode(F.array_append(F.array_distinct(terms(F.coalesce("text", F.lit("")))), F.lit(""))).alias("t"))
     df = written(held.groupBy("t").agg(F.count("*").alias("n")), "licence_terms")
-    n = {r["t"]: r["n"] for r in df.where(F.col("t").isin("", *VOCABULARY)).collect()}
+    n = {r["t"]: r["n"] for r in df.where(F.col("t").isin("", *VOCABULARY)).collect()}  # the templates' terms
     return n.pop("", 0), n, df
 
 
 class Weights:
-    """IDF weights, unit template vectors, and the terms one of which any passage near a template must hold.
+    """IDF weights, unit template vectors, and each template's anchors: terms one of which any passage near it must hold.
 
-    If a passage has none of the heaviest terms of a template, its cosine is at most the length of the template's vector
-    over the other terms; terms are added until that is below the threshold, so the filter by them loses nothing.
+    A passage's cosine is at most the length of the template's vector over the terms that both hold. If a passage has none of
+    the heaviest terms, that is their complement's length; terms are added until it is below the threshold, so looking at
+    anchors alone loses nothing.
     """
 
     def __init__(self, files: int, df: dict[str, int], threshold: float):
-        self.idf = {t: math.log((1 + files) / (1 + df.get(t, 0))) + 1 for t in VOCABULARY}
         self.files = files
-        self.vectors: list[tuple[str, int, dict[str, float]]] = []  # name, number of terms, vector
-        anchors: set[str] = set()
-        for name, text in TEMPLATES:
-            found = _terms(text)
-            v = {t: found.count(t) * self.idf[t] for t in set(found)}
-            norm = math.sqrt(sum(x * x for x in v.values()))
-            v = {t: x / norm for t, x in v.items()}
-            self.vectors.append((name, len(found), v))
-            rest = 1.0
-            for t, x in sorted(v.items(), key=lambda p: (-p[1], p[0])):
+        self.idf = {t: math.log((1 + files) / (1 + df.get(t, 0))) + 1 for t in VOCABULARY}
+        self.vectors: list[dict[str, float]] = []
+        self.anchors: list[list[str]] = []
+        for x in TEMPLATES:
+            v = {t: x.terms.count(t) * self.idf[t] for t in dict.fromkeys(x.terms)}
+            norm = math.sqrt(sum(w * w for w in v.values()))
+            self.vectors.append({t: w / norm for t, w in v.items()})
+            some, rest = [], 1.0
+            for t, w in sorted(self.vectors[-1].items(), key=lambda p: (-p[1], p[0])):
                 if rest < (threshold - 1e-9) ** 2:
                     break
-                anchors.add(t)
-                rest -= x * x
-        self.anchors = sorted(anchors)
-
-
-def passages(lines: Column) -> Column:
-    """The terms of each line (``lines`` holds them), long lines in overlapping windows, so that every stretch of ``STEP`` terms lies
-    in one passage."""
-
-    def cut(w: Column) -> Column:
-        return F.when(F.size(w) <= PASSAGE, F.array(w)).otherwise(F.transform(F.sequence(F.lit(1), F.size(w), F.lit(STEP)), lambda i: F.slice(w, i, PASSAGE)))
+                some.append(t)
+                rest -= w * w
+            self.anchors.append(some)
 
-    return F.flatten(F.transform(lines, cut))
 
+def _rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A table of fixed values, bounded by the templates, without leaving the JVM."""
+    one = spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")).alias("r"))
+    return F.broadcast(one.select("r.*"))
 
-def windows(w: Column, anchors: Column, size: int) -> Column:
-    """All windows of ``size`` terms of a text that hold an anchor; a shorter text is one window."""
-    last = F.greatest(F.size(w) - size + 1, F.lit(1))
-    held = F.filter(F.transform(w, lambda t, i: F.when(F.array_contains(anchors, t), i + 1)), lambda i: i.isNotNull())
-    starts = F.flatten(F.transform(held, lambda i: F.sequence(F.least(F.greatest(i - size + 1, F.lit(1)), last), F.least(i, last))))
-    return F.transform(F.array_distinct(starts), lambda i: F.slice(w, i, size))
 
-
-def _cosines(weighed: DataFrame, weights: Weights, *keep: str) -> DataFrame:
-    """The columns ``keep`` and ``m`` (``license, s``) for each template that is compared to the passage, from ``size`` and ``v``
-    (terms ``t`` and weights ``w``)."""
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
-    weighed = weighed.select(*keep, "v", norm.alias("norm"))
-
-    def cosine(vector: dict[str, float]) -> Column:
-        m = F.create_map(*[F.lit(x) for t, w in sorted(vector.items()) for x in (t, w)])
-        return F.aggregate("v", F.lit(0.0), lambda a, x: a + x["w"] * F.coalesce(F.element_at(m, x["t"]), F.lit(0.0))) / F.col("norm")
-
-    fits = [F.when(F.col("size").isin(0, n), F.struct(F.lit(name).alias("license"), cosine(v).alias("s"))) for name, n, v in weights.vectors]
-    return weighed.select(*keep, F.explode(F.array(*fits)).alias("m"))
+def candidates(files: DataFrame, weights: Weights) -> DataFrame:
+    """``rid, path, w`` (all terms in order) of the files that hold an anchor. Texts that hold none as a part of a word are not cut."""
+    anchors = sorted({t for some in weights.anchors for t in some})
+    text = F.coalesce("text", F.lit(""))
+    some = files.where(let(F.lower(text), lambda t: reduce(lambda a, b: a | b, [F.contains(t, F.lit(x)) for x in anchors])))
+    cut = some.select("path", terms(text).alias("w")).where(F.arrays_overlap("w", F.array(*[F.lit(x) for x in anchors])))
+    return written(cut.withColumn("rid", F.monotonically_increasing_id()), "licence_candidates")
 
 
-def candidates(files: DataFrame, weights: Weights, threshold: float) -> DataFrame:
-    """``path, size, p`` of the passages ``p`` that can be near a template: lines (``size`` 0), compared to all templates, and windows
-    over the whole text, compared to the templates of their ``size``. A file of few terms has a row of size -1 besides.
+def passages(cand: DataFrame, weighted: DataFrame, weights: Weights, threshold: float) -> DataFrame:
+    """``rid, k, start, c``: cosines of windows to template ``k``, above the threshold. ``weighted``: ``rid, t, idf``.
 
-    Terms that no template has count here with the least IDF, 1, so the cosine is an upper bound and nothing near is lost.
+    Templates are first held against the set of a file's terms, which bounds the cosine of any window. A window is as long as its
+    template and begins where an anchor's place in the template says, or some terms before or behind; the whole file (start -1)
+    is one more.
     """
-    anchors = _array(weights.anchors)
-    text = F.coalesce("text", F.lit(""))
-    held = files.select("path", text.alias("text")).where(let(terms(F.col("text")), lambda w: F.arrays_overlap(w, anchors) | (F.size(w) <= PASSAGE)))
-    held = held.select("path", F.transform(F.split("text", "\n"), terms).alias("ls"))
-    some = lambda ps, n: F.transform(ps, lambda p: F.struct(F.lit(n).alias("size"), p.alias("p")))
-    short = F.filter(F.array(F.flatten("ls")), lambda w: F.size(w) <= PASSAGE)
-    lines = F.filter(passages(F.col("ls")), lambda p: F.arrays_overlap(p, anchors))
-    sized = [some(windows(F.flatten("ls"), anchors, n), n) for n in sorted({n for _, n, _ in weights.vectors})]
-    near = held.select("path", F.explode(F.concat(some(F.transform(short, lambda w: F.slice(w, 1, 0)), -1), some(lines, 0), *sized)).alias("x")).select("path", "x.size", "x.p")
-    idf = F.create_map(*[F.lit(x) for t, v in weights.idf.items() for x in (t, v)])
-    least = F.transform(F.array_distinct("p"), lambda t: F.struct(t.alias("t"), (F.size(F.filter("p", lambda x: x == t)) * F.coalesce(F.element_at(idf, t), F.lit(1.0))).alias("w")))
-    bounds = _cosines(near.select("path", "size", "p", least.alias("v")), weights, "path", "size", "p")
-    return written(bounds.where((F.col("m.s") >= threshold - 1e-9) | (F.col("size") < 0)).select("path", "size", "p").distinct(), "licence_passages")
-
-
-def matches(near: DataFrame, weights: Weights, df: DataFrame, threshold: float) -> DataFrame:
-    """``path, license, similarity`` of the best template of each file that has a passage near one; ties by name.
-
-    Each distinct passage is weighed once, by the frequencies ``df`` of all its terms.
+    spark = cand.sparkSession
+    vector = _rows(spark, [{"k": k, "t": t, "v": v} for k, some in enumerate(weights.vectors) for t, v in some.items()], "k int, t string, v double")
+    whole = sorted(k for k, x in enumerate(TEMPLATES) if x.kind == "tag")  # tags must hold all of their terms
+    bound = weighted.join(vector, "t").groupBy("rid", "k").agg(F.sum(F.col("v") * F.col("v")).alias("b")).where(F.col("b") >= (threshold - 1e-9) ** 2)
+    pairs = written(bound.select("rid", "k"), "licence_pairs")
+    places = [
+        {"k": k, "t": t, "place": p, "n": len(x.terms), "slack": max(2, len(x.terms) // 8), "step": max(1, len(x.terms) // 32)}
+        for k, x in enumerate(TEMPLATES) for t in weights.anchors[k] for p, u in enumerate(x.terms) if u == t
+    ]
+    hits = cand.select("rid", F.size("w").alias("len"), F.posexplode("w").alias("at", "t")).join(_rows(spark, places, "k int, t string, place int, n int, slack int, step int"), "t").join(pairs, ["rid", "k"])
+    at = F.col("at") - F.col("place")
+    clipped = lambda s: F.greatest(F.lit(0), F.least(s, F.col("len") - F.col("n")))
+    starts = hits.select("rid", "k", "n", F.explode(F.array_distinct(F.transform(F.sequence(at - F.col("slack"), at + F.col("slack"), F.col("step")), clipped))).alias("start")).distinct()
+    sizes = F.create_map(*[F.lit(v) for k, x in enumerate(TEMPLATES) for v in (k, len(x.terms))])
+    starts = starts.unionByName(pairs.select("rid", "k", sizes[F.col("k")].alias("n"), F.lit(-1).alias("start")))
+    window = F.when(F.col("start") < 0, F.col("w")).otherwise(F.slice("w", F.greatest(F.col("start"), F.lit(0)) + 1, F.col("n")))
+    held = starts.join(cand.select("rid", "w"), "rid").select("rid", "k", "start", F.explode(window).alias("t")).groupBy("rid", "k", "start", "t").agg(F.count("*").alias("f"))
+    x = held.join(weighted, ["rid", "t"]).withColumn("x", F.col("f") * F.col("idf")).join(vector, ["k", "t"], "left")
+    scored = x.groupBy("rid", "k", "start").agg(F.sum(F.col("x") * F.col("v")).alias("dot"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"), F.count("v").alias("shared"))
+    needed = F.when(F.col("k").isin(whole), F.lit(2)).otherwise(F.lit(0))
+    return scored.where(F.col("shared") >= needed).select("rid", "k", "start", F.least(F.col("dot") / F.col("norm"), F.lit(1.0)).alias("c")).where(F.col("c") >= threshold - 1e-9)
+
+
+def matches(files: DataFrame, threshold: float) -> DataFrame:
+    """``path, license, similarity, grants`` of each file that has a passage near a template.
+
+    Of several templates the one counts that most terms agree with, less ``DISAGREES`` times those that do not, where a share of the cosine
+    of all terms agrees; ties by cosine, then name. So a longer form wins over a shorter one inside it only where it fits. A
+    statement with a negation among its words or the three before is none. ``grants``: the file as a whole is near the
+    template, or begins with the title of a licence.
     """
-    near = near.where("size >= 0")
-    each = near.select("size", "p").distinct().select("size", "p", F.explode(F.array_distinct("p")).alias("t")).join(df, "t")
-    weight = F.size(F.filter("p", lambda x: x == F.col("t"))) * (F.log((1 + F.lit(weights.files)) / (1 + F.col("n"))) + 1)
-    weighed = each.groupBy("size", "p").agg(F.array_sort(F.collect_list(F.struct("t", weight.alias("w")))).alias("v"))
-    scored = _cosines(weighed, weights, "size", "p").where(F.col("m.s") >= threshold - 1e-9)
-    best = near.join(scored, ["size", "p"]).groupBy("path").agg(F.max_by(F.struct("m.license", "m.s"), F.struct(F.round("m.s", 9), F.col("m.license"))).alias("b"))
-    return best.select("path", F.col("b.license").alias("license"), F.round("b.s", 6).alias("similarity"))
+    n, known, df = document_frequencies(files)
+    weights = Weights(n, known, threshold)
+    cand = candidates(files, weights)
+    held = salted_join(cand.select("rid", F.explode(F.array_distinct("w")).alias("t")), df, ["t"], F.col("rid"))
+    weighted = written(held.select("rid", "t", (F.log((1 + F.lit(n)) / (1 + F.col("n"))) + 1).alias("idf")), "licence_weights")
+    found = passages(cand, weighted, weights, threshold)
+    said = [{"k": k, "license": x.license, "kind": x.kind, "n": len(x.terms), "own": sum(t in NEGATIONS for t in x.terms)} for k, x in enumerate(TEMPLATES)]
+    rows = found.join(_rows(cand.sparkSession, said, "k int, license string, kind string, n int, own int"), "k").join(cand, "rid")
+    low = F.greatest(F.col("start") - NEGATED_BEFORE, F.lit(0))
+    near = F.when(F.col("start") < 0, F.col("w")).otherwise(F.slice("w", low + 1, F.col("start") + F.col("n") - low))
+    negated = F.size(F.filter(near, lambda t: t.isin(*NEGATIONS))) > F.col("own")
+    rows = rows.where(~((F.col("kind") == "statement") & negated))
+    grants = (F.col("start") < 0) | ((F.col("kind") == "title") & (F.col("start") <= TITLE_WITHIN))
+    order = F.struct(F.round(F.col("n") * ((1 + DISAGREES) * F.col("c") - DISAGREES), 6), F.round("c", 9), F.col("license"))
+    best = rows.groupBy("path").agg(F.max_by(F.struct("license", "c"), order).alias("b"), F.bool_or(grants).alias("grants"))
+    return best.select("path", "b.license", F.round("b.c", 6).alias("similarity"), "grants")
 
 
 def _parent(path: Column) -> Column:
@@ -169,27 +170,26 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``path, license, similarity, basis, from_path`` of each distinct path of ``files`` (``path``, ``text``).
 
     ``basis`` is ``own`` where a passage of the file is near a template, ``inherited`` where the nearest directory above the file
-    is licensed, else null. A directory is licensed by a file in it whose name says so, or whose terms as a whole are near a
-    template. Texts are read whole, null as empty; a file without path has no directory and cannot inherit; rows that repeat a path
-    count as one file with all their passages; other columns are ignored.
+    is licensed, else null. A directory is licensed by a file in it whose name says so, or that is a licence as a whole. Nearest
+    directories are found for each directory, not for each file, and a directory's files are dealt to pieces that meet its
+    licence. Texts are read whole, null as empty; a file without path has no directory and cannot inherit; rows that repeat a path
+    count as one file with all their passages; other columns are ignored; an empty table gives none.
     """
     files = files.select("path", "text")
-    n, known, df = document_frequencies(files)
-    weights = Weights(n, known, threshold)
-    near = candidates(files, weights, threshold)
-    own = written(matches(near, weights, df, threshold), "licences")
-    name = F.regexp_extract("path", r"[^/]*$", 0)
-    short = near.where("size < 0").select("path").union(files.where(name.rlike(LICENCE_FILE)).select("path")).distinct()
-    granting = own.join(short, "path").select(_parent(F.col("path")).alias("dir"), "license", "similarity", F.col("path").alias("from_path"))
+    own = written(matches(files, threshold), "licences")
+    named = F.regexp_extract("path", r"[^/]*$", 0).rlike(LICENCE_FILE)
+    granting = own.where("path IS NOT NULL").where(F.col("grants") | named).select(_parent(F.col("path")).alias("dir"), "license", "similarity", F.col("path").alias("from_path"))
     dirs = granting.groupBy("dir").agg(F.max_by(F.struct("license", "similarity", "from_path"), F.struct("similarity", "license", "from_path")).alias("g"))
+    dirs = written(dirs, "licensed_directories")
     paths = files.select("path").distinct()
-    rest = paths.join(own, "path", "left_anti")
-    steps = F.split("path", "/")
-    above = rest.select("path", F.explode(F.transform(F.sequence(F.lit(0), F.size(steps) - 1), lambda k: F.struct(k.alias("depth"), F.array_join(F.slice(steps, F.lit(1), k), "/").alias("dir")))).alias("a")).select("path", "a.depth", "a.dir")
-    found = above.join(dirs, "dir").groupBy("path").agg(F.max_by("g", "depth").alias("g"))
+    rest = paths.where("path IS NOT NULL").join(own.select("path"), "path", "left_anti").withColumn("parent", _parent(F.col("path")))
+    steps = F.split("parent", "/")
+    up = F.transform(F.sequence(F.lit(0), F.size(steps)), lambda k: F.struct(k.alias("depth"), F.array_join(F.slice(steps, F.lit(1), k), "/").alias("dir")))
+    above = rest.select("parent").distinct().select("parent", F.explode(up).alias("a")).select("parent", "a.depth", "a.dir")
+    nearest = salted_join(above, dirs, ["dir"], F.col("parent")).groupBy("parent").agg(F.max_by("g", "depth").alias("g"))
+    found = salted_join(rest, nearest, ["parent"], F.col("path"))
     got = own.select("path", "license", "similarity", F.lit("own").alias("basis"), F.col("path").alias("from_path")).unionByName(found.select("path", "g.license", "g.similarity", F.lit("inherited").alias("basis"), "g.from_path"))
-    out = paths.join(got.withColumnRenamed("path", "p"), F.col("path").eqNullSafe(F.col("p")), "left").drop("p")
-    return out
+    return paths.join(got.withColumnRenamed("path", "p"), F.col("path").eqNullSafe(F.col("p")), "left").drop("p")
 
 
 def document_licenses(docs: DataFrame) -> DataFrame:

@@ -409,6 +409,74 @@ def test_licences_across_lines_and_inside_long_lines(spark):
     assert got == {"a/x": "MIT", "b/x": "MIT", "c/x": "Apache-2.0", "d/x": None, "e/x": None} | {f"f/{at}": "Apache-2.0" for at in (0, 7, 60)}
 
 
+def plain_licences(files, threshold=0.8):
+    """All windows of all lengths of templates, each weighed in full."""
+    import math
+
+    every = [(p, licenses._terms(t or "")) for p, t in files]
+    df = defaultdict(int)
+    for _, w in every:
+        for t in set(w):
+            df[t] += 1
+    idf = lambda t: math.log((1 + len(every)) / (1 + df.get(t, 0))) + 1
+    vec = lambda w: {t: w.count(t) * idf(t) for t in set(w)}
+    dot = lambda a, b: sum(x * b.get(t, 0) for t, x in a.items())
+    out = {}
+    for path, w in every:
+        best = None
+        for x in licenses.TEMPLATES:
+            n, v = len(x.terms), vec(list(x.terms))
+            if dot(v, {t: v[t] for t in set(w) & set(v)}) < 0.64 * dot(v, v):
+                continue
+            for start in [*range(max(1, len(w) - n + 1)), -1]:
+                window = w if start < 0 else w[start : start + n]
+                u = vec(window)
+                c = dot(u, v) / math.sqrt(dot(u, u) * dot(v, v)) if u else 0
+                low = max(0, start - 3)
+                negated = sum(t in licenses.NEGATIONS for t in (w if start < 0 else w[low : start + n])) > sum(t in licenses.NEGATIONS for t in x.terms)
+                if c >= threshold and not (x.kind == "statement" and negated) and not (x.kind == "tag" and not set(v) <= set(window)):
+                    best = max(best or (-1e9,), (round(n * (9 * c - 8), 6), round(c, 9), x.license))
+        out[path] = best[2] if best else None
+    return out
+
+
+def real_licences():
+    from pathlib import Path
+
+    folder = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "BSD": "BSD-3-Clause"}
+    return [(f"real/{name}/text", (folder / name).read_text(), want) for name, want in names.items() if (folder / name).exists()]
+
+
+def test_licences_against_all_windows(spark):
+    rng = random.Random(8)
+    say = lambda n: " ".join(rng.choice(["code", "of", "the", "and", "this", "file", "is", "we", "use", "to", "software", "license", "version"]) for _ in range(n))
+    block = lambda t, mark: "\n".join(f"{mark} {' '.join(t.split()[k : k + 9])}" for k in range(0, len(t.split()), 9))
+    cases = [(f"own/{k}/x", f"{say(rng.randint(0, 30))} {text if k % 2 else block(text, rng.choice(['//', '#', ' *', '--', ';']))} {say(rng.randint(0, 30))}", name) for k, (name, text) in enumerate([*licenses.STATEMENTS, *licenses.NOTICES, *licenses.TITLES])]
+    cases += [(f"tag/{k}/x", f"// SPDX-License-Identifier: {tag}\n{say(20)}", name) for k, (tag, name) in enumerate(licenses.TAGS.items())]
+    cases += [("no/1", "This is not released under the MIT License.", None), ("no/2", "SPDX-License-Identifier: LicenseRef-own " + say(9), None), ("no/3", "It was never licensed under the Apache License, Version 2.0.", None), ("no/4", say(200), None)]
+    cases += real_licences()
+    files = [(p, t) for p, t, _ in cases] + [(f"w/{k}", say(25)) for k in range(300)]
+    got = {r.path: r.license for r in licenses.scan(spark.createDataFrame(files, "path string, text string")).where("basis = 'own'").collect()}
+    assert {p: got.get(p) for p, _, _ in cases} == {p: want for p, _, want in cases}
+    few = [(p, t) for p, t in files if len(t) < 3000 or p.endswith("CC0-1.0/text")]
+    want = plain_licences(files)
+    assert {p: got.get(p) for p, _ in few} == {p: want[p] for p, _ in few}
+
+
+def test_licence_texts_license_their_directory(spark):
+    texts_ = real_licences()
+    if not texts_:
+        pytest.skip("no licence texts here")
+    files = [(p, t) for p, t, _ in texts_] + [(p.rpartition("/")[0] + "/src/deep/a.c", "int main") for p, _, _ in texts_] + [("other/b.c", "int main")]
+    files += [(f"more/{k}", f"see the software of version {k} and the license of the public file") for k in range(60)]
+    got = {r.path: (r.license, r.basis) for r in licenses.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    for p, _, want in texts_:
+        if want != "BSD-3-Clause":  # its file has neither a title nor a name
+            assert got[p.rpartition("/")[0] + "/src/deep/a.c"] == (want, "inherited")
+    assert got["other/b.c"] == (None, None)
+
+
 def plain_removed(pairs, length=100):
     seen, out = set(), {}
     for i, t in sorted(pairs, key=lambda p: p[0]):

@@ -65,6 +65,8 @@ FOLD_FROM = "，、。．：；！？（）“”‘’—－"
 FOLD_TO = ",,..:;!?()\"\"''--"
 #: Marks that the last tier of location drops.
 DROPPED_MARKS = "，、。．：；！？（）“”‘’—－《》〈〉「」『』【】[](),.!?;:\"'`"
+#: Marks and blanks between the clauses of a quote.
+CLAUSE_ENDS = r"[，。！？；：,.!?;:\s]+"
 NOTE_MARKER = r"\[\d{1,4}\]"
 
 #: Longest block, shortest sentence fragment, in characters.

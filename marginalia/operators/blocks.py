@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import vocab as V
+from ..storage import ship
 
 _BOUNDARY = re.compile(r"""[。！？；!?]|\.(?=\s*(?:\Z|[A-Z　-〿一-鿿]|["'‘“（(〔［｛][A-Z一-鿿]))""")
 _WORD_BEFORE = re.compile(r"[^\W\d_]*\Z")
@@ -73,6 +74,7 @@ def source_blocks(units: DataFrame, *keys: str) -> DataFrame:
 
     Only paragraphs that are too long leave the JVM.
     """
+    ship(units.sparkSession)
     chunks = units.select(*keys, F.posexplode(paragraphs(F.col("text"))).alias("p", "chunk"))
     core = F.length(F.regexp_replace("chunk", r"(?U)^\s+|\s+$", ""))
     short = chunks.where(core <= V.MAX_BLOCK_CHARS).select(*keys, "p", F.array("chunk").alias("pieces"))

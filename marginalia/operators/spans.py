@@ -2,109 +2,105 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
 
-from ..functions import text as T
+from ..storage import ship
+from .needles import BLOCK_NEEDLES, Finder, blocks_of, over_texts
 
 
-@F.pandas_udf(ArrayType(IntegerType()))
-def places(text: pd.Series, surface: pd.Series) -> pd.Series:
-    """Starts of all occurrences of a surface, overlapping ones included."""
+#: Shortest surface that is looked for; up to the second length a match is not sure.
+LEAST_SURFACE, UNSURE_SURFACE = 2, 2
 
-    def found(t: str, s: str) -> list[int]:
-        out, at = [], t.find(s) if s else -1
-        while at >= 0:
-            out.append(at)
-            at = t.find(s, at + 1)
-        return out
 
-    return pd.Series([found(t or "", s or "") for t, s in zip(text, surface, strict=True)])
+def _needles(surfaces: DataFrame, least: int) -> DataFrame:
+    return surfaces.where(F.length("surface") >= least).select("record_id", "surface")
 
 
-def surface_matches(units: DataFrame, surfaces: DataFrame) -> DataFrame:
-    """``unit_id, record_id, surface, start, end`` of single-term surfaces in unit texts.
+def surface_matches(units: DataFrame, surfaces: DataFrame, least: int = LEAST_SURFACE) -> DataFrame:
+    """``unit_id, record_id, surface, start, end`` of all places of surfaces (``record_id, surface``) of ``least`` characters or more in unit texts
+    (``unit_id, text``), inside words, across words and overlapping ones included. Case counts. Surfaces are sent to the tasks in blocks of bounded
+    size."""
+    found = lambda finder, text: [(r, s, at, at + len(s)) for r, s, at in finder(text)]
+    columns = "record_id string, surface string, start int, end int"
+    parts = [over_texts(units, "unit_id", some, found, columns, ["record_id", "surface", "start", "end"]) for some in blocks_of(_needles(surfaces, least), "record_id", "surface")]
+    empty = units.select("unit_id", *[F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in columns.split(", ")]).limit(0)
+    return reduce(DataFrame.unionByName, parts) if parts else empty
 
-    Both sides are cut into terms and joined by term, so no text is held against every surface.
-    """
-    t = units.select("unit_id", F.explode(F.array_distinct(T.tokens(F.col("text")))).alias("term"))
-    s = surfaces.select("record_id", "surface", F.lower("surface").alias("term"))
-    hits = t.join(s, "term").join(units.select("unit_id", "text"), "unit_id")
-    return hits.select("unit_id", "record_id", "surface", F.explode(places(F.lower("text"), F.lower("surface"))).alias("start")).withColumn("end", F.col("start") + F.length("surface"))
-
-
-def greedy(matches: DataFrame, unit: str = "unit_id") -> DataFrame:
-    """Of a unit's matches (``start, end, record_id``) those that no earlier choice overlaps; longer ones choose first, then the earlier."""
-    m = F.struct((F.col("start") - F.col("end")).alias("w"), F.col("start").alias("a"), F.col("end").alias("b"), F.col("record_id").alias("r"))
-    sorted_ = matches.groupBy(unit).agg(F.array_sort(F.collect_list(m)).alias("ms"))
-    kept = F.aggregate(
-        "ms", F.slice("ms", 1, 0), lambda acc, x: F.when(F.exists(acc, lambda r: (x["a"] < r["b"]) & (x["b"] > r["a"])), acc).otherwise(F.array_append(acc, x))
-    )
-    return sorted_.select(unit, F.explode(kept).alias("m")).select(unit, F.col("m.a").alias("start"), F.col("m.b").alias("end"), F.col("m.r").alias("record_id"))
-
-
-def _chosen(text: str, surfaces: list[tuple[str, int, str]]) -> list[tuple[int, int, str]]:
-    """The greedy choice of one text's matches of surfaces (lower case, length, record id). Choices before a match are as long or
-    longer, so one that overlaps it covers its first or last place."""
-    by_length: dict[int, list[tuple[str, str]]] = {}
-    for low, n, record in surfaces:
-        by_length.setdefault(n, []).append((low, record))
-    size = len(text)
-    taken, out = bytearray(size), []
-    for n in sorted(by_length, reverse=True):
-        matches = []
-        for low, record in by_length[n]:
-            at = text.find(low) if low else -1
-            while at >= 0:
-                if not (taken[at] or taken[min(at + n, size) - 1]):
-                    matches.append((at, record))
-                at = text.find(low, at + 1)
-        matches.sort()
-        for at, record in matches:
-            end = min(at + n, size)
-            if not (taken[at] or taken[end - 1]):
-                taken[at:end] = b"\x01" * (end - at)
-                out.append((at, at + n, record))
+
+def surface_counts(units: DataFrame, surfaces: DataFrame) -> DataFrame:
+    """``unit_id, surface, n_found`` of the surfaces (``surface``) that texts hold, counted without overlaps from the left."""
+
+    def found(finder: Finder, text: str) -> list[tuple]:
+        places: dict[str, list[int]] = {}
+        for _, s, at in finder(text):
+            places.setdefault(s, []).append(at)
+        out = []
+        for s, some in places.items():
+            n, end = 0, 0
+            for at in some:
+                if at >= end:
+                    n, end = n + 1, at + len(s)
+            out.append((s, n))
+        return out
+
+    named = surfaces.select(F.col("surface").alias("record_id"), "surface").distinct()
+    parts = [over_texts(units, "unit_id", some, found, "surface string, n_found long", ["surface", "n_found"]) for some in blocks_of(named, "record_id", "surface")]
+    return reduce(DataFrame.unionByName, parts) if parts else units.select("unit_id", F.lit("").alias("surface"), F.lit(0).cast("long").alias("n_found")).limit(0)
+
+
+def chosen(matches: list[tuple[str, int, int]], longest_first: bool = True) -> list[tuple[str, int, int]]:
+    """Of matches (``record, start, end``) those that no earlier choice overlaps: longer ones choose first, then the earlier, then by record; or
+    else the earlier first, of these the longer. Matches that have chosen are marked by place, so a match costs its length."""
+    order = sorted(matches, key=lambda m: (m[1] - m[2], m[1], m[0]) if longest_first else (m[1], m[1] - m[2], m[0]))
+    taken = bytearray(max((b for _, _, b in matches), default=0))
+    out = []
+    for record, a, b in order:
+        # a choice that overlaps this match covers its first or its last place, unless it lies inside, which no longer one does
+        if not (taken[a] or taken[b - 1]) and (longest_first or not any(taken[a:b])):
+            taken[a:b] = b"\x01" * (b - a)
+            out.append((record, a, b))
     return out
 
 
-#: Choices that leave a task at once, about.
-_CHOICES = 20_000
+def greedy(matches: DataFrame, unit: str = "unit_id", longest_first: bool = True) -> DataFrame:
+    """``chosen`` of each unit's matches (``start, end, record_id``); a unit's matches are one step of work."""
+    kind = matches.schema[unit].dataType.simpleString()
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        kept = chosen(list(zip(pdf["record_id"], pdf["start"].tolist(), pdf["end"].tolist(), strict=True)), longest_first)
+        return pd.DataFrame({unit: pdf[unit].iloc[0], "start": [a for _, a, _ in kept], "end": [b for _, _, b in kept], "record_id": [r for r, _, _ in kept]})
 
+    ship(matches.sparkSession)
+    return matches.select(unit, "start", "end", "record_id").groupBy(unit).applyInPandas(run, f"{unit} {kind}, start int, end int, record_id string")
 
-def greedy_surfaces(units: DataFrame, surfaces: DataFrame) -> DataFrame:
-    """``greedy`` of ``surface_matches``: matches are found and chosen text by text, in time that grows with their number, so short
-    surfaces with many matches make no rows but the chosen ones."""
-    t = units.select("unit_id", F.explode(F.array_distinct(T.tokens(F.col("text")))).alias("term"))
-    s = surfaces.select("record_id", F.length("surface").alias("n"), F.lower("surface").alias("low"))
-    found = t.join(s, F.col("term") == F.col("low")).groupBy("unit_id").agg(F.collect_list(F.struct("low", "n", "record_id")).alias("found"))
-    rows = found.join(units.select("unit_id", F.lower("text").alias("text")), "unit_id").select("unit_id", "text", "found")
-    schema = rows.select("unit_id", F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("").alias("record_id")).schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            unit, text, found = (batch.column(c) for c in ("unit_id", "text", "found"))
-            rows, kept = [], []
-            for k in range(len(batch)):
-                some = _chosen(text[k].as_py() or "", [(x["low"], x["n"], x["record_id"]) for x in found[k].as_py()])
-                rows += [k] * len(some)
-                kept += some
-                if len(kept) >= _CHOICES or k == len(batch) - 1:
-                    start, end, record = zip(*kept, strict=True) if kept else ((), (), ())
-                    columns = [unit.take(pa.array(rows, pa.int32())), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(record, pa.string())]
-                    yield pa.RecordBatch.from_arrays(columns, ["unit_id", "start", "end", "record_id"])
-                    rows, kept = [], []
+def greedy_surfaces(units: DataFrame, surfaces: DataFrame, least: int = LEAST_SURFACE) -> DataFrame:
+    """``greedy`` of ``surface_matches``. Where one block holds all surfaces, matches are found and chosen text by text, so short surfaces with many
+    matches make no rows but the chosen ones."""
+    blocks = list(blocks_of(_needles(surfaces, least), "record_id", "surface")) if surfaces.limit(BLOCK_NEEDLES + 1).count() <= BLOCK_NEEDLES else None
+    if blocks is None:
+        return greedy(surface_matches(units, surfaces, least))
+    found = lambda finder, text: [(a, b, r) for r, a, b in chosen([(r, at, at + len(s)) for r, s, at in finder(text)])]
+    return over_texts(units, "unit_id", blocks[0] if blocks else [("", " none ")], found, "start int, end int, record_id string", ["start", "end", "record_id"])
 
-    return rows.mapInArrow(run, schema)
+
+def scan_report(choices: DataFrame, surfaces: DataFrame) -> DataFrame:
+    """``unit_id, record_id, match_count, n_unsure`` of the chosen matches of each unit, most often named first within a unit."""
+    short = (F.col("end") - F.col("start") <= UNSURE_SURFACE).cast("long")
+    return choices.groupBy("unit_id", "record_id").agg(F.count("*").alias("match_count"), F.sum(short).alias("n_unsure"))
+
+
+def unmatched_records(choices: DataFrame, units: DataFrame, surfaces: DataFrame, least: int = LEAST_SURFACE) -> DataFrame:
+    """``record_id`` of the records that have a surface to look for and that no unit names."""
+    return surfaces.where(F.length("surface") >= least).select("record_id").distinct().join(choices.select("record_id"), "record_id", "left_anti")
 
 
 def sweep(spans: DataFrame, unit: str = "unit_id") -> DataFrame:
-    """Each unit cut at all starts and ends of its spans (``start, end``): ``start, end, depth`` of the pieces that spans cover."""
+    """Each unit cut at all starts and ends of its spans (``start, end``): ``start, end, depth`` of the pieces that spans cover. ``covering`` names them."""
     marks = spans.select(unit, F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("d")))).alias("m"))
     at = marks.groupBy(unit, F.col("m.at").alias("at")).agg(F.sum("m.d").alias("d"))
     order = Window.partitionBy(unit).orderBy("at")
@@ -112,6 +108,32 @@ def sweep(spans: DataFrame, unit: str = "unit_id") -> DataFrame:
     return cut.where("end IS NOT NULL AND depth > 0")
 
 
+def covering(spans: DataFrame, unit: str = "unit_id", ident: str = "span_id") -> DataFrame:
+    """The pieces of ``sweep`` with the ids of the spans that cover each, in order: ``start, end, covered_by``.
+
+    A unit is one step of work, in which spans open and close from left to right.
+    """
+    kinds = {c: spans.schema[c].dataType.simpleString() for c in (unit, ident)}
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        opened, closed = {}, {}
+        for a, b, i in zip(pdf["start"].tolist(), pdf["end"].tolist(), pdf[ident].tolist(), strict=True):
+            if a < b:
+                opened.setdefault(a, []).append(i)
+                closed.setdefault(b, []).append(i)
+        cuts, now, out = sorted({*opened, *closed}), [], []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            for i in closed.get(a, ()):
+                now.remove(i)
+            now += opened.get(a, [])
+            if now:
+                out.append((pdf[unit].iloc[0], a, b, sorted(now)))
+        return pd.DataFrame(out, columns=[unit, "start", "end", "covered_by"])
+
+    ship(spans.sparkSession)
+    return spans.select(unit, "start", "end", ident).groupBy(unit).applyInPandas(run, f"{unit} {kinds[unit]}, start long, end long, covered_by array<{kinds[ident]}>")
+
+
 def islands(rows: DataFrame, key: str, at: str, gap: Column | int, *, value: Column | None = None) -> DataFrame:
     """``island`` of each row: a new one begins where more than ``gap`` lies between a row and the one before."""
     order = Window.partitionBy(key).orderBy(at)

@@ -128,9 +128,28 @@ def evidence_normalized(t: Tables) -> DataFrame:
     return found.where("n_found > 0").select("doc_id", "item_id", "n_found")
 
 
+#: Normal forms of the tiers of quote location in SQL.
+_NOTES = r"regexp_replace({}, '\[\d{{1,4}}\]', '', 'g')"
+_TIER2 = rf"regexp_replace({_NOTES}, '[\s　]+', '', 'g')"
+_TIER3 = f"""translate({_TIER2}, '{V.FOLD_FROM}', '{V.FOLD_TO.replace("'", "''")}')"""
+_COUNT = "CASE WHEN {q} = '' THEN 0 ELSE (length({t}) - length(replace({t}, {q}, ''))) // length({q}) END"
+_STATUS = (
+    f"""d AS (SELECT doc_id, coalesce(text, '') AS t1, {_TIER2.format("coalesce(text, '')")} AS t2, {_TIER3.format("coalesce(text, '')")} AS t3, {_NORM.format("coalesce(text, '')")} AS t4 FROM documents),
+b AS (SELECT item_id, text AS q1, {_TIER2.format("text")} AS q2, {_TIER3.format("text")} AS q3, {_NORM.format("text")} AS q4 FROM benchmark),
+c AS (SELECT * FROM d JOIN b ON contains(t4, q4) OR contains(t1, q1) OR doc_id = item_id),
+n AS (SELECT doc_id, item_id, """
+    + ", ".join(f"({_COUNT.format(t=f't{k}', q=f'q{k}')})::BIGINT AS n{k}" for k in (1, 2, 3, 4))
+    + """ FROM c),
+s AS (SELECT doc_id, item_id, CASE WHEN n1 = 1 THEN 'exact' WHEN n1 > 1 THEN 'ambiguous' WHEN n2 = 1 THEN 'relocated' WHEN n2 > 1 THEN 'ambiguous' WHEN n3 = 1 THEN 'relocated' WHEN n3 > 1 THEN 'ambiguous' WHEN n4 = 1 THEN 'relocated' WHEN n4 > 1 THEN 'ambiguous' ELSE 'missing' END AS status,
+ CASE WHEN n1 > 0 THEN 'exact' WHEN n2 > 0 THEN 'annotation_whitespace_tolerant' WHEN n3 > 0 THEN 'annotation_whitespace_punctuation_tolerant' WHEN n4 > 0 THEN 'annotation_whitespace_punctuation_dropped' ELSE 'not_found' END AS strategy,
+ CASE WHEN n1 > 0 THEN n1 WHEN n2 > 0 THEN n2 WHEN n3 > 0 THEN n3 ELSE n4 END AS n_candidates FROM n)"""
+)
+
+
 def _locations(t: Tables) -> DataFrame:
-    pairs = L.location_pairs(t.documents, _quotes(t)).join(t.documents.select("doc_id", "text"), "doc_id").join(_quotes(t), "item_id")
-    return L.located(pairs)
+    """Each document cites the quote that has its own number, and every quote that it holds."""
+    own = t.documents.select("doc_id").join(t.benchmark.select("item_id"), F.col("doc_id") == F.col("item_id"))
+    return L.cited(t.documents, _quotes(t), L.location_pairs(t.documents, _quotes(t)).union(own).distinct())
 
 
 @catalog.query()
@@ -138,7 +157,12 @@ def evidence_locations(t: Tables) -> DataFrame:
     return _locations(t)
 
 
-@catalog.query()
+@catalog.query(f"WITH {_STATUS} SELECT * FROM s")
+def evidence_status(t: Tables) -> DataFrame:
+    return _locations(t).select("doc_id", "item_id", "status", "strategy", "n_candidates")
+
+
+@catalog.query(f"WITH {_STATUS} SELECT doc_id, count(*) FILTER (WHERE status = 'exact') AS exact, count(*) FILTER (WHERE status = 'relocated') AS relocated, count(*) FILTER (WHERE status = 'ambiguous') AS ambiguous, count(*) FILTER (WHERE status = 'missing') AS missing FROM s GROUP BY doc_id")
 def evidence_status_histogram(t: Tables) -> DataFrame:
     """Locations by status of each document, with a column for each status."""
     return _locations(t).groupBy("doc_id").pivot("status", ["exact", "relocated", "ambiguous", "missing"]).count().fillna(0)
@@ -176,25 +200,39 @@ def page_headings(t: Tables) -> DataFrame:
     return h.select("page_id", "label", T.label_kind(F.col("label")).alias("kind"), F.lower("label").contains("contents").alias("is_toc"))
 
 
-_SCAN = r"""t AS (SELECT doc_id AS unit_id, lower(text) AS text, list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS tk FROM documents),
+_SCAN = r"""t AS (SELECT doc_id AS unit_id, lower(text) AS text FROM documents),
 f AS (SELECT DISTINCT unnest(tk) AS surface FROM (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS tk FROM benchmark))
-SELECT unit_id, surface, ((length(text) - length(replace(text, surface, ''))) // length(surface))::BIGINT AS n_found FROM t JOIN f ON list_contains(tk, surface) WHERE length(surface) >= 7"""
+SELECT unit_id, surface, ((length(text) - length(replace(text, surface, ''))) // length(surface))::BIGINT AS n_found FROM t JOIN f ON contains(text, surface) WHERE length(surface) >= 2"""
+
+
+def _surfaces(t: Tables) -> DataFrame:
+    """Terms of the benchmark with two or more letters."""
+    return t.benchmark.select(F.explode(T.tokens(F.col("text"))).alias("surface")).distinct().where(F.length("surface") >= S.LEAST_SURFACE)
+
+
+def _lower_units(t: Tables) -> DataFrame:
+    return t.documents.select(F.col("doc_id").alias("unit_id"), F.lower("text").alias("text"))
 
 
 @catalog.query("WITH " + _SCAN)
 def surface_scan(t: Tables) -> DataFrame:
-    """Terms of the benchmark with seven or more letters, and how often each text holds them."""
-    surfaces = t.benchmark.select(F.explode(T.tokens(F.col("text"))).alias("surface")).distinct().where(F.length("surface") >= 7)
-    terms = t.documents.select(F.col("doc_id").alias("unit_id"), F.explode(F.array_distinct(T.tokens(F.col("text")))).alias("surface"))
-    hits = terms.join(surfaces, "surface").join(t.documents.select(F.col("doc_id").alias("unit_id"), F.lower("text").alias("text")), "unit_id")
-    return hits.select("unit_id", "surface", T.occurrences(F.col("text"), F.col("surface")).alias("n_found"))
+    """Terms of the benchmark, and how often each text holds them, inside words too."""
+    return S.surface_counts(_lower_units(t), _surfaces(t))
 
 
 @catalog.query()
 def surface_scan_greedy(t: Tables) -> DataFrame:
-    """Places of the benchmark's terms of two or more letters, longer ones first."""
-    surfaces = t.benchmark.select(F.explode(T.tokens(F.col("text"))).alias("surface")).distinct().where(F.length("surface") >= 2).withColumn("record_id", F.concat(F.lit("r-"), "surface"))
-    return S.greedy_surfaces(t.documents.select(F.col("doc_id").alias("unit_id"), "text"), surfaces)
+    """Places of the benchmark's terms, longer ones first, none of which overlap."""
+    return S.greedy_surfaces(_lower_units(t), _surfaces(t).withColumn("record_id", F.concat(F.lit("r-"), "surface")))
+
+
+@catalog.query(r"""WITH f AS (SELECT DISTINCT unnest(tk) AS surface FROM (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS tk FROM benchmark))
+SELECT surface AS record_id FROM f WHERE length(surface) >= 2 AND NOT EXISTS (SELECT 1 FROM pages WHERE contains(lower(html), surface))""")
+def unmatched_surfaces(t: Tables) -> DataFrame:
+    """Terms of the benchmark that no page holds."""
+    units = t.pages.select(F.col("page_id").alias("unit_id"), F.lower("html").alias("text"))
+    some = _surfaces(t).select(F.col("surface").alias("record_id"), "surface")
+    return S.unmatched_records(S.surface_matches(units, some), units, some)
 
 
 _WORDS = r"""w AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^\n]*\n|[^\n]+')) AS l, generate_subscripts(regexp_extract_all(text, '[^\n]*\n|[^\n]+'), 1) AS k FROM documents),

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from ..functions import vocab as V
+from ..storage import ship
 from .store import json_hash
 
 MAX_TRIES = 3
@@ -148,6 +149,7 @@ def answers(payloads: DataFrame, backend: Backend, prompt: str, output: int = 40
                     rows.append((key, None, str(e), backend.identity()))
             yield pd.DataFrame(rows, columns=["key", "answer", "error", "model"])
 
+    ship(payloads.sparkSession)
     return payloads.select("key", "payload").mapInPandas(run, "key string, answer string, error string, model string")
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import vocab as V
 from ..operators.spans import heading_islands
+from ..storage import ship
 
 FALLBACK_BYTES = 65536
 _BLANKS = re.compile(r"[ \t]+")
@@ -171,6 +172,7 @@ def flatten_pages(pages: DataFrame) -> DataFrame:
             flat = [flatten_html(x or "") for x in pdf["html"]]
             yield pd.DataFrame({"page_id": pdf["page_id"], "text": [x["text"] for x in flat], "title": [x["title"] for x in flat], "headings": [[dict(zip(("level", "label", "anchor", "char_offset"), h, strict=True)) for h in x["headings"]] for x in flat], "n_anchors": [len(x["anchors"]) for x in flat]})
 
+    ship(pages.sparkSession)
     return pages.select("page_id", "html").mapInPandas(run, _FLAT)
 
 
@@ -318,6 +320,7 @@ def epub_units(spark: SparkSession, path: str) -> DataFrame:
                 out.insert(0, "path", p)
                 yield out
 
+    ship(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, _UNITS)
 
 

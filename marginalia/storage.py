@@ -3,12 +3,31 @@
 from __future__ import annotations
 
 import atexit
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list[tuple[SparkSession, str]] = []
+_tables: list[tuple[SparkSession, str]] = []
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors where their Python path does not hold it."""
+    here = [os.path.abspath(x or ".") for x in os.environ.get("PYTHONPATH", "").split(":")]
+    if _ROOT in here or getattr(spark, "_marginalia_shipped", False):
+        return
+    folder = tempfile.mkdtemp(prefix="marginalia-zip-")
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/marginalia", "zip", _ROOT, "marginalia"))
+    spark._marginalia_shipped = True
+
+
+def drop_at_end(spark: SparkSession, table: str) -> None:
+    """Takes a table out of the session's catalogue when this process ends; its files go with the scratch tables."""
+    _tables.append((spark, table))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,6 +51,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def release() -> None:
     """Deletes the scratch tables of this process; data frames that read them end with it."""
+    while _tables:
+        spark, table = _tables.pop()
+        try:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        except Exception:  # noqa: BLE001 - the session has ended, and its catalogue with it
+            continue
     while _made:
         spark, path = _made.pop()
         try:

@@ -42,3 +42,37 @@ def test_short_and_cut_quotes_are_found(spark, tmp_path):
     assert {(r.doc_id, r.item_id) for r in got("evidence_locations") if r.status != "missing"} == exact | {(3, 4), (3, 5)}
     assert {(r.unit_id, r.segment_id) for r in got("overview_segments")} == exact
     assert {r.doc_id: r.exact + r.relocated for r in got("evidence_status_histogram") if r.exact + r.relocated} == {1: 2, 2: 1, 3: 2}
+
+
+def test_cjk_and_short_quotes_and_missing_ones(spark, monkeypatch):
+    docs = [(1, "相如字长卿，蜀郡成都人也。少时好读书。John Smith met Ada Lovelace in the garden"), (2, "other"), (3, None)]
+    quotes = [(1, "少时好读书"), (2, "蜀郡成都人也。少时好读书"), (3, "John Smith"), (4, "长卿蜀郡"), (5, "not there"), (6, "人")]
+    d, q = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(quotes, "item_id long, quote string")
+    all_pairs = d.select("doc_id").crossJoin(q.select("item_id"))
+    want = {(i, j): L.relocate(t or "", x)[0] for i, t in docs for j, x in quotes}
+    assert {(r.doc_id, r.item_id): r.status for r in L.cited(d, q, all_pairs).collect()} == want
+    assert want[1, 1] == want[1, 3] == "exact" and want[1, 4] == "relocated" and want[1, 5] == "missing"
+    monkeypatch.setattr("marginalia.operators.needles.BLOCK_NEEDLES", 2)
+    assert {tuple(r) for r in L.location_pairs(d, q).collect()} == {k for k, s in want.items() if s != "missing"}
+    assert L.containing(d, q.limit(0)).count() == 0
+
+
+def test_needles_paragraphs_and_surfaces():
+    assert L.needle_list("  ") == [] and L.needle_list("a") == []
+    some = L.needle_list("He invented, the small garden gate")
+    assert some[:3] == ["He invented,", "He inven", "He i"] and "garden gate"[:4] not in some[:3] and "invented"[:4] in some
+    text = "one\n\ntwo words here\n\nthree"
+    assert L.paragraph(text, 9, 14) == "two words here" and L.paragraph("x" * 50 + "hit" + "y" * 50, 50, 53, 20) == "x" * 10 + "hit" + "y" * 10
+    assert not L.holds_surface("Miss Smith", ["by Smith, then"]) and L.holds_surface("Smiths", ["by Smith, then"]) and L.holds_surface("长卿", ["字长，卿"])
+
+
+def test_evidence_locations_against_plain(spark, tmp_path):
+    from marginalia.plans import texts
+
+    docs = [(0, "He said: Well,[12] it is fine. It is fine."), (1, "it is\nfine"), (2, "zzz")]
+    quotes = [(0, "it is fine"), (1, "Well, it is fine"), (2, "He said Well")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(quotes, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id): (r.status, r.strategy, r.start, r.end, r.n_candidates) for r in texts.catalog.queries["evidence_locations"](spark, str(tmp_path)).collect()}
+    every = {(i, j): L.relocate(t, x) for i, t in docs for j, x in quotes}
+    assert got == {k: v for k, v in every.items() if v[0] != "missing" or k[0] == k[1]}

@@ -2,15 +2,61 @@
 
 from __future__ import annotations
 
+import random
+
 from marginalia.operators import spans as S
 
 
-def test_greedy_surfaces_choose_as_greedy_does(spark):
-    units = spark.createDataFrame([(1, "aba abab ab ba a bab xx xxx"), (2, "nothing here"), (3, ""), (4, None)], "unit_id long, text string")
-    names = ["ab", "aba", "ba", "bab", "xx", "a", "here"]
-    surfaces = spark.createDataFrame([(f"r-{x}", x) for x in names], "record_id string, surface string")
-    wanted = S.greedy(S.surface_matches(units, surfaces)).collect()
-    assert wanted and sorted(S.greedy_surfaces(units, surfaces).collect()) == sorted(wanted)
+def plain_greedy(text, surfaces):
+    """All places, longest first, then the earlier, then by record; none that overlaps a choice."""
+    places = [(-len(s), a, r) for r, s in surfaces if len(s) >= 2 for a in range(len(text)) if text.startswith(s, a)]
+    out = []
+    for n, a, r in sorted(places):
+        if all(a - n <= x or a >= y for x, y, _ in out):
+            out.append((a, a - n, r))
+    return sorted(out)
+
+
+def test_greedy_surfaces_against_a_plain_choice(spark, monkeypatch):
+    rng = random.Random(3)
+    units = [(k, "".join(rng.choice("abx 相如") for _ in range(rng.randint(0, 60)))) for k in range(40)] + [(99, None)]
+    names = [(f"r{k}", "".join(rng.choice("abx 相如") for _ in range(rng.randint(1, 5)))) for k in range(25)] + [("long", "ab" * 12), ("twin", "ab"), ("twin2", "ab")]
+    u, s = spark.createDataFrame(units, "unit_id long, text string"), spark.createDataFrame(names, "record_id string, surface string")
+    want = sorted((k, *m) for k, t in units for m in plain_greedy(t or "", names))
+    rows = lambda d: sorted(map(tuple, d.select("unit_id", "start", "end", "record_id").collect()))
+    assert rows(S.greedy_surfaces(u, s)) == want
+    monkeypatch.setattr(S, "BLOCK_NEEDLES", 4)
+    monkeypatch.setattr("marginalia.operators.needles.BLOCK_NEEDLES", 4)
+    assert rows(S.greedy_surfaces(u, s)) == want  # several blocks, chosen by unit
+    places = {(k, r, a) for k, t in units for r, n in names if len(n) >= 2 for a in range(len(t or "")) if t.startswith(n, a)}
+    assert {(r.unit_id, r.record_id, r.start) for r in S.surface_matches(u, s).collect()} == places
+    assert S.surface_matches(u, s.limit(0)).count() == S.greedy_surfaces(u.limit(0), s).count() == S.greedy_surfaces(u, s.limit(0)).count() == 0
+
+
+def test_names_of_several_words_and_without_blanks(spark):
+    u = spark.createDataFrame([(1, "相如字长卿，蜀郡成都人也。John Smith met Ada Lovelace in the garden")], "unit_id long, text string")
+    s = spark.createDataFrame([("a", "相如"), ("b", "Ada Lovelace"), ("c", "garden"), ("d", "nobody")], "record_id string, surface string")
+    got = S.greedy_surfaces(u, s)
+    assert {r.record_id for r in got.collect()} == {"a", "b", "c"}
+    assert [r.record_id for r in S.unmatched_records(got, u, s).collect()] == ["d"]
+    assert {(r.record_id, r.match_count, r.n_unsure) for r in S.scan_report(got, s).collect()} == {("a", 1, 1), ("b", 1, 0), ("c", 1, 0)}
+
+
+def test_the_earlier_first():
+    assert S.chosen([("a", 0, 3), ("b", 2, 9), ("c", 3, 4), ("d", 3, 5)], longest_first=False) == [("a", 0, 3), ("d", 3, 5)]
+    assert S.chosen([("a", 0, 3), ("b", 2, 9)]) == [("b", 2, 9)]
+
+
+def test_covering(spark):
+    rng = random.Random(1)
+    rows = [(k % 3, f"s{k}", (a := rng.randint(0, 20)), a + rng.randint(0, 9)) for k in range(30)]
+    got = S.covering(spark.createDataFrame(rows, "unit_id long, span_id string, start long, end long")).collect()
+    at = {(r.unit_id, p): r.covered_by for r in got for p in range(r.start, r.end)}
+    want = {}
+    for u, i, a, b in rows:
+        for p in range(a, b):
+            want.setdefault((u, p), []).append(i)
+    assert at == {k: sorted(v) for k, v in want.items()}
 
 
 def test_surface_scan_greedy_has_terms_from_two_letters(spark, tmp_path):

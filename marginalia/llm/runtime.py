@@ -3,19 +3,16 @@
 from __future__ import annotations
 
 import math
-import os
-import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import storage
 from ..functions.text import let  # noqa: F401 - part of this module's surface
-from ..storage import scratch_path  # noqa: F401
+from ..storage import scratch_path, ship  # noqa: F401
 
 #: White space of every word and line rule of this package.
 SPACE = r"[\x20\x09-\x0D]+"
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def written(df: DataFrame, name: str, **options: str) -> DataFrame:
@@ -24,18 +21,6 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return storage.written(df, name, **options)
 
 
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors where their Python path does not hold it."""
-    here = [os.path.abspath(x or ".") for x in os.environ.get("PYTHONPATH", "").split(":")] + [os.getcwd()]
-    if _ROOT in here or getattr(spark, "_marginalia_shipped", False):
-        return
-    import shutil
-
-    folder = tempfile.mkdtemp(prefix="marginalia-zip-")
-    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/marginalia", "zip", _ROOT, "marginalia"))
-    spark._marginalia_shipped = True
-
-
 def words(text: Column) -> Column:
     """Maximal runs of characters that are not white space; null counts as empty."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")

@@ -19,12 +19,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import drop_at_end
 from .runtime import parts_for, scratch_path, written
 from .suffixes import Suffixes
 
 LENGTH = 100
 GRAM = 32
-#: Bytes of text in a block, which a task holds with some thirty times as much working memory; longer documents are one block.
+#: Bytes of text in a block; longer documents are one block. Hashes are made ``CHUNK`` bytes at a time, so beside them a task holds
+#: little more than the text and a row of 32 bytes for each run of strings with one fingerprint, some 35 bytes of text.
 BLOCK_BYTES = 2 << 20
 #: Bytes whose hashes are made at once.
 CHUNK = 1 << 20
@@ -66,7 +68,6 @@ def owners(s: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GR
     mask = np.uint64((1 << _BITS) - 1)
     out = []
     n = len(s)
-    end_of = np.repeat(ends, np.diff(ends, prepend=0))
     for x in range(0, max(0, n - length + 1), CHUNK):
         part = s[x : x + CHUNK + length - 1]
         h = gram_hashes(part, gram)
@@ -78,7 +79,7 @@ def owners(s: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GR
         if width < inside:
             low = np.minimum(low[: len(low) - (inside - width)], low[inside - width :])
         starts = np.arange(len(low))
-        valid = starts + x + length <= end_of[x : x + len(low)]
+        valid = starts + x + length <= ends[np.searchsorted(ends, starts + x, side="right")]
         at = (mask - (low & mask)).astype("i8")
         starts, at = starts[valid], at[valid]
         if not len(starts):
@@ -328,6 +329,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     path = scratch_path(spark, "blocks")
     name = f"blocks_{uuid.uuid4().hex}"
     _blocks(docs).repartition(files, "part").write.bucketBy(files, "part").option("path", path).option("compression", "zstd").saveAsTable(name)
+    drop_at_end(spark, name)
     blocks = spark.table(name)  # in buckets by part, so that joins by part leave the texts where they are
     groups = parts_for(total, FINGERPRINT_GROUP, LEAST_GROUPS)
     prints = blocks.mapInArrow(_fingerprints(groups), "group long, part long, hashes binary, counts binary")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions import vocab as V
 from ..storage import ship
+from .skew import running
 
 _BOUNDARY = re.compile(r"""[。！？；!?]|\.(?=\s*(?:\Z|[A-Z　-〿一-鿿]|["'‘“（(〔［｛][A-Z一-鿿]))""")
 _WORD_BEFORE = re.compile(r"[^\W\d_]*\Z")
@@ -100,11 +101,9 @@ def metrics(blocks: DataFrame, *keys: str, longest: int = V.MAX_BLOCK_CHARS) ->
 
 
 def book_blocks(blocks: DataFrame, book: str, unit: str) -> DataFrame:
-    """Numbers blocks through a book, units in order of ``unit``, and places them in it."""
-    through = Window.partitionBy(book).orderBy(unit, "block_index")
-    size = F.col("end") - F.col("start")
-    book_start = F.coalesce(F.sum(size).over(through.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return blocks.withColumn("block_id", F.format_string("block-%06d", F.row_number().over(through))).withColumn("book_start", book_start).withColumn("book_end", book_start + size)
+    """Numbers blocks through a book, units in order of ``unit``, and places them in it; a book's blocks are spread over ranges."""
+    rows = running(blocks, book, [unit, "block_index"], F.col("end") - F.col("start"), "__n", "book_start")
+    return rows.withColumn("block_id", F.format_string("block-%06d", "__n")).withColumn("book_end", F.col("book_start") + F.col("end") - F.col("start")).drop("__n")
 
 
 def overlapping(blocks: DataFrame, ranges: DataFrame, *keys: str) -> DataFrame:

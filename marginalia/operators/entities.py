@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from .graph import components, linked_by_key
 
-#: Types whose members may merge only when a name or surface speaks for it.
-CAUTIOUS_TYPES = ("time_anchor", "place", "source")
-
-
 def first_non_empty(value: str, order: str) -> Column:
     return F.min_by(F.when(F.col(value) != "", F.col(value)), F.when(F.col(value) != "", F.col(order)))
 
@@ -68,7 +64,9 @@ def unify(concepts: DataFrame) -> tuple[DataFrame, DataFrame]:
     roots = components(linked_by_key(by_surface.unionByName(by_name), "pos", "key"))
     rooted = rows.join(roots.select(F.col("node").alias("pos"), "root"), "pos")
     merged = merge(rooted, "root")
-    merged = merged.withColumn("new_id", F.format_string("concept-%04d", F.row_number().over(Window.orderBy("pos"))))  # a unit's concepts: few
+    from .registry import numbered  # that module builds on this one
+
+    merged = numbered(merged, "pos", "n").withColumn("new_id", F.format_string("concept-%04d", F.col("n"))).drop("n")
     return merged, rooted.select("concept_id", "root").join(merged.select("root", "new_id"), "root").select("concept_id", "new_id")
 
 
@@ -95,22 +93,20 @@ def compose(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.join(s, F.col("new_id") == F.col("mid"), "left").select("old_id", F.coalesce("last", "new_id").alias("new_id"))
 
 
-def merge_safety(members: DataFrame, group: str) -> DataFrame:
-    """A verdict for each proposed merge (rows of ``surface, canonical_name, concept_type`` by ``group``).
+def equivalent(concepts: DataFrame) -> DataFrame:
+    """Concepts (``pos, concept_id, surface, concept_type, canonical_name, summary, aliases, observed_surfaces, source_block_refs``) of one name, else
+    surface, and one type as one: the first stays, its blanks take the first value that is not empty, its lists are united in order.
+    Rows without a name stay as they are."""
+    name = F.trim(F.coalesce(F.nullif("canonical_name", F.lit("")), F.nullif("surface", F.lit("")), F.lit("")))
+    kind = T.concept_type(F.col("concept_type"))
+    rows = concepts.withColumn("concept_type", kind).withColumn("key", F.when(name != "", F.struct(name.alias("n"), F.lit("").alias("own"))).otherwise(F.struct(F.lit("").alias("n"), F.col("concept_id").alias("own"))))
+    pos = F.col("pos")
+    filled = [first_non_empty(c, "pos").alias(c) for c in ("canonical_name", "surface", "summary")]
+    lists = [union_in_order(F.col(c), pos).alias(c) for c in ("aliases", "observed_surfaces", "source_block_refs")]
+    out = rows.groupBy("key", "concept_type").agg(F.min("pos").alias("pos"), F.min_by("concept_id", "pos").alias("concept_id"), *filled, *lists, union_in_order(F.array("concept_id"), pos).alias("merged_from"))
+    return out.drop("key")
 
-    Safe when all share a canonical name, or a surface, or a type with at least one name and no cautious type among different surfaces; else rejected
-    with the reason.
-    """
-    name = F.nullif("canonical_name", F.lit(""))
-    g = members.groupBy(group).agg(
-        F.count("*").alias("n_members"), F.countDistinct(name).alias("n_names"), F.count(name).alias("named"), F.countDistinct("surface").alias("n_surfaces"), F.countDistinct("concept_type").alias("n_types"), F.max(F.col("concept_type").isin(*CAUTIOUS_TYPES)).alias("cautious")
-    )
-    verdict = (
-        F.when((F.col("n_names") == 1) & (F.col("named") == F.col("n_members")), "safe:shared_name")
-        .when(F.col("n_surfaces") == 1, "safe:same_surface")
-        .when(F.col("cautious"), "rejected:cautious_type")
-        .when((F.col("n_types") == 1) & (F.col("named") > 0), "safe:same_type_named")
-        .when(F.col("n_types") > 1, "rejected:types_differ")
-        .otherwise("rejected:no_shared_name")
-    )
-    return g.select(group, "n_members", "n_names", "n_surfaces", "n_types", verdict.alias("verdict"))
+
+def equivalence_map(merged: DataFrame) -> DataFrame:
+    """``old_id, new_id`` of the concepts that others stand for."""
+    return merged.select(F.explode("merged_from").alias("old_id"), F.col("concept_id").alias("new_id")).where("old_id <> new_id")

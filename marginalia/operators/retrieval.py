@@ -11,8 +11,8 @@ from ..storage import written
 
 K1, B = 1.5, 0.75
 RRF = 60
-#: Vectors that meet at once when all queries are held against all vectors.
-BLOCK = 512
+#: Queries that meet vectors at once when all queries are held against all vectors, and the pieces that vectors are dealt to.
+BLOCK, PIECES = 512, 64
 
 
 def bm25(docs: DataFrame, queries: DataFrame, *carry: str) -> DataFrame:
@@ -49,14 +49,16 @@ def dot(a: Column, b: Column) -> Column:
 def cosine(vectors: DataFrame, queries: DataFrame, least: float = 0.3) -> DataFrame:
     """``query_id, vec_id, score`` above ``least``, of each query (``query_id, embedding``) against all other vectors (``vec_id, embedding``).
 
-    The queries are dealt to blocks and each vector is joined to each block by its number, so neither side has to fit in one task.
+    The queries are dealt to blocks of bounded size and the vectors to pieces; each block meets each piece in a task of its own, so neither side
+    has to fit in one.
     """
-    n = queries.count()
-    blocks = max(1, -(-n // BLOCK))
+    blocks = max(1, -(-queries.count() // BLOCK))
     norm = lambda c: F.sqrt(dot(F.col(c), F.col(c)))
-    q = queries.select("query_id", F.col("embedding").alias("qe"), norm("embedding").alias("qn"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"))
-    v = vectors.select("vec_id", "embedding", norm("embedding").alias("vn"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    s = v.join(q, "block").where("vec_id <> query_id").select("query_id", "vec_id", (dot(F.col("qe"), F.col("embedding")) / (F.col("qn") * F.col("vn") + 1e-8)).alias("score"))
+    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = queries.select("query_id", F.col("embedding").alias("qe"), norm("embedding").alias("qn"), dealt("query_id", blocks).alias("block"), every(PIECES).alias("piece"))
+    v = vectors.select("vec_id", "embedding", norm("embedding").alias("vn"), dealt("vec_id", PIECES).alias("piece"), every(blocks).alias("block"))
+    s = v.join(q, ["block", "piece"]).where("vec_id <> query_id").select("query_id", "vec_id", (dot(F.col("qe"), F.col("embedding")) / (F.col("qn") * F.col("vn") + 1e-8)).alias("score"))
     return s.where(F.col("score") > least)
 
 

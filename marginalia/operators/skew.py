@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import written
+
 #: Pieces that the rows of a key are dealt to.
 SALTS = 64
 _SALT = "__salt"
@@ -32,3 +34,30 @@ def with_least(rows: DataFrame, key: str, value: str, out: str = "least", more_t
     pieces = dealt.groupBy(key, _SALT).agg(F.min(value).alias(out), F.count("*").alias("__n"))
     low = pieces.groupBy(key).agg(F.min(out).alias(out), F.sum("__n").alias("__n")).where(F.col("__n") > more_than).drop("__n")
     return dealt.join(pieces.select(key, _SALT).join(low, key), [key, _SALT]).drop(_SALT)
+
+
+#: Ranges that ordered rows are dealt to.
+RANGES = 64
+
+
+def running(rows: DataFrame, key: str | None, order: list[str], value: Column | None = None, number: str = "n", before: str = "before") -> DataFrame:
+    """``number``: the place of each row, from 1, among those of its ``key`` (or all) in ``order``; ``before``: the sum of ``value`` over the rows before it.
+
+    Rows are sorted in ranges of key and order; inside a range windows run over a key's rows in it, and sums by range and key
+    say what lies before the range. So a key that holds most rows is spread over the ranges.
+    """
+    by = ([key] if key else []) + order
+    ranged = rows.withColumn("__v", (value if value is not None else F.lit(0)).cast("long")).repartitionByRange(RANGES, *by).sortWithinPartitions(*by)
+    ranged = written(ranged.withColumn("__part", F.spark_partition_id()).withColumn("__rid", F.monotonically_increasing_id()), "ranges")
+    keys = [key] if key else []
+    inside = Window.partitionBy("__part", *keys).orderBy("__rid")
+    out = ranged.withColumn(number, F.row_number().over(inside).cast("long")).withColumn(before, F.coalesce(F.sum("__v").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    earlier = (Window.partitionBy(*keys) if key else Window.partitionBy()).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    sums = ranged.groupBy("__part", *keys).agg(F.count("*").alias("__cnt"), F.sum("__v").alias("__sum"))
+    sums = sums.select("__part", *keys, F.coalesce(F.sum("__cnt").over(earlier), F.lit(0)).alias("__cnt"), F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__sum"))
+    same = F.col("__part") == F.col("__p")
+    if key:
+        same &= F.col(key).eqNullSafe(F.col("__k"))
+    out = out.join(sums.toDF("__p", *["__k"] * len(keys), "__cnt", "__sum"), same)
+    out = out.withColumn(number, F.col(number) + F.col("__cnt")).withColumn(before, F.col(before) + F.col("__sum"))
+    return out.drop("__v", "__part", "__rid", "__p", "__k", "__cnt", "__sum")

@@ -44,16 +44,17 @@ def concept_merge_parts(t: Tables) -> DataFrame:
 
 
 _FIRST_LAST = r"""x AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: x <> '') AS ls FROM documents),
-k AS (SELECT doc_id, 'f' || ls[1] AS key FROM x WHERE len(ls) > 0 UNION ALL SELECT doc_id, 'l' || ls[-1] FROM x WHERE len(ls) > 0)"""
+k AS (SELECT doc_id, 'f' || ls[1] AS key FROM x WHERE len(ls) > 0 UNION ALL SELECT doc_id, 'l' || ls[-1] FROM x WHERE len(ls) > 0),
+s AS (SELECT key, min(doc_id) AS a FROM k GROUP BY key)"""
 
 
-@catalog.query(f"""WITH RECURSIVE {_FIRST_LAST}, e AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM k a JOIN k b USING (key) WHERE length(key) > 40),
-r(node, root) AS (SELECT DISTINCT doc_id, doc_id FROM k WHERE length(key) > 40 UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node)
+@catalog.query(f"""WITH RECURSIVE {_FIRST_LAST}, h AS (SELECT DISTINCT a, doc_id AS b FROM k JOIN s USING (key)), e AS (SELECT a, b FROM h UNION SELECT b, a FROM h),
+r(node, root) AS (SELECT DISTINCT doc_id, doc_id FROM k UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node)
 SELECT node, min(root) AS root FROM r GROUP BY node""")
 def concept_components(t: Tables) -> DataFrame:
-    """Documents joined, transitively, by an equal first or last line of forty letters or more."""
+    """Documents joined, transitively, by an equal first or last line."""
     ls = t.documents.select("doc_id", F.filter(F.split("text", "\n"), lambda x: x != "").alias("ls")).where(F.size("ls") > 0)
-    keys = ls.select("doc_id", F.explode(F.array(F.concat(F.lit("f"), F.element_at("ls", 1)), F.concat(F.lit("l"), F.element_at("ls", -1)))).alias("key")).where(F.length("key") > 40)
+    keys = ls.select("doc_id", F.explode(F.array(F.concat(F.lit("f"), F.element_at("ls", 1)), F.concat(F.lit("l"), F.element_at("ls", -1)))).alias("key"))
     return G.components(G.linked_by_key(keys, "doc_id", "key"))
 
 
@@ -125,13 +126,6 @@ def registry_apply_remap(t: Tables) -> DataFrame:
     return E.remap(items, R.id_map(units, operations, top + 1), "concept_ref")
 
 
-@catalog.query("""WITH g AS (SELECT p_brand, p_size, count(*) AS n_members, count(DISTINCT nullif(p_name, '')) AS n_names, count(DISTINCT p_type) AS n_types, bool_or(p_type IN ('SMALL')) AS cautious, count(DISTINCT p_name) AS n_surfaces FROM part GROUP BY ALL)
-SELECT p_brand || '/' || p_size AS merge_id, n_members, n_names, n_surfaces, n_types, CASE WHEN n_names = 1 THEN 'safe:shared_name' WHEN n_surfaces = 1 THEN 'safe:same_surface' WHEN cautious THEN 'rejected:cautious_type' WHEN n_types = 1 THEN 'safe:same_type_named' ELSE 'rejected:types_differ' END AS verdict FROM g""")
-def merge_safety(t: Tables) -> DataFrame:
-    m = t.part.select(F.concat_ws("/", "p_brand", F.col("p_size").cast("string")).alias("merge_id"), F.col("p_name").alias("surface"), F.col("p_name").alias("canonical_name"), F.when(F.col("p_type") == "SMALL", "place").otherwise(F.col("p_type")).alias("concept_type"))
-    return E.merge_safety(m, "merge_id")
-
-
 @catalog.query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def unknown_refs(t: Tables) -> DataFrame:
     """Documents that no label refers to."""
@@ -180,13 +174,6 @@ def timeline_edges(t: Tables) -> DataFrame:
     return e.where("target IS NOT NULL").withColumn("edge_type", F.lit("precedes"))
 
 
-@catalog.query("""WITH g AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL)
-SELECT event_type, count(*) AS n_groups, count(*) FILTER (WHERE n = 1) AS n_singletons, sum(n)::BIGINT AS n_items, round(sum(n) / count(*), 2) AS items_per_group FROM g GROUP BY event_type""")
-def grouping_counts(t: Tables) -> DataFrame:
-    g = t.events.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
-    return g.groupBy("event_type").agg(F.count("*").alias("n_groups"), F.count_if(F.col("n") == 1).alias("n_singletons"), F.sum("n").alias("n_items"), F.round(F.try_divide(F.sum("n"), F.count("*")), 2).alias("items_per_group"))
-
-
 @catalog.query("SELECT event_type, count(*) AS n_users FROM (SELECT event_type, user_id FROM events GROUP BY ALL HAVING count(*) >= 3 AND max(value) > 20) GROUP BY event_type")
 def group_overlap_candidates(t: Tables) -> DataFrame:
     """Groups (a user's events of a type) that share a concept with the unit: here, users with three or more of a type and a high value."""

@@ -103,7 +103,7 @@ def rrf_fusion(t: Tables) -> DataFrame:
 
 
 @catalog.query(
-    f"""WITH {_COSINE}, q AS (SELECT doc_id AS query_id, string_split(text, chr(10))[1] AS query FROM documents WHERE doc_id % 20 = 0 AND doc_id IN (SELECT vec_id FROM embeddings)), {BM25},
+    f"""WITH {_COSINE}, q AS (SELECT doc_id AS query_id, text AS query FROM documents WHERE doc_id % 20 = 0), {BM25},
 b AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM bm),
 s AS (SELECT query_id, vec_id AS doc_id, rank, true AS emb FROM k WHERE rank <= 20 UNION ALL SELECT query_id, doc_id, rank, false FROM b WHERE rank <= 20),
 f AS (SELECT query_id, doc_id, sum(1.0 / (60 + rank)) AS rrf, bool_or(emb) AS has_embedding, string_agg(CASE WHEN emb THEN 'cosine' ELSE 'bm25' END, '+' ORDER BY emb) AS methods FROM s GROUP BY query_id, doc_id),
@@ -111,9 +111,9 @@ g AS (SELECT *, row_number() OVER (PARTITION BY query_id, has_embedding ORDER BY
 SELECT query_id, doc_id, methods, round(rrf, 9) AS rrf FROM g WHERE (has_embedding AND rn <= 5) OR (NOT has_embedding AND rn <= 3)"""
 )
 def dual_signal_candidates(t: Tables) -> DataFrame:
+    """Whole texts of every twentieth document against all documents, and vectors where there are any."""
     cos = R.top_k(R.cosine(t.embeddings, _vector_queries(t)), 20, doc="vec_id").select("query_id", F.col("vec_id").alias("doc_id"), "rank", F.lit("cosine").alias("method"))
-    ids = t.embeddings.select(F.col("vec_id").alias("doc_id"))
-    q = t.documents.where("doc_id % 20 = 0").join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("query_id"), F.split("text", "\n")[0].alias("query"))
+    q = t.documents.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query"))
     bm = R.top_k(R.bm25(t.documents, q), 20).select("query_id", "doc_id", "rank", F.lit("bm25").alias("method"))
     both = cos.unionByName(bm)
     f = both.groupBy("query_id", "doc_id").agg(F.sum(1.0 / (R.RRF + F.col("rank"))).alias("rrf"), F.max(F.col("method") == "cosine").alias("has_embedding"), F.array_join(F.sort_array(F.collect_set("method")), "+").alias("methods"))

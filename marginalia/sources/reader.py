@@ -29,13 +29,36 @@ _VOID = {"br", "hr", "img", "input", "link", "meta", "area", "base", "col", "emb
 # Plain text
 
 
+_LINES = "path string, line int, start_byte long, text string"
+
+
+def _lines(data: bytes) -> Iterator[tuple[int, str]]:
+    """``start_byte, text`` of each line; bytes that the encoding does not know become replacement characters."""
+    encoding, mark = sniff_encoding(data[:SNIFFED])
+    newline, width = "\n".encode(encoding), len("a".encode(encoding))
+    at = len(mark)
+    while True:
+        end = data.find(newline, at)
+        while end >= 0 and (end - len(mark)) % width:
+            end = data.find(newline, end + 1)
+        yield at, data[at : len(data) if end < 0 else end].decode(encoding, "replace")
+        if end < 0:
+            return
+        at = end + len(newline)
+
+
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``path, line, start_byte, text`` of UTF-8 text files, lines from 1; ``start_byte`` counts from the file's start."""
-    files = spark.read.format("binaryFile").load(path).select("path", F.decode("content", "UTF-8").alias("t"))
-    rows = files.select("path", F.posexplode(F.split("t", "\n")).alias("k", "text"))
-    before = Window.partitionBy("path").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.octet_length("text") + 1).over(before), F.lit(0))
-    return rows.select("path", (F.col("k") + 1).alias("line"), start.alias("start_byte"), "text")
+    """``path, line, start_byte, text`` of text files in any encoding, lines from 1; ``start_byte`` counts from the file's start."""
+    ship(spark)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for p, content in zip(pdf["path"], pdf["content"], strict=True):
+                rows = [(p, k, at, text) for k, (at, text) in enumerate(_lines(bytes(content)), 1)]
+                for k in range(0, len(rows), 100_000):
+                    yield pd.DataFrame(rows[k : k + 100_000], columns=["path", "line", "start_byte", "text"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, _LINES)
 
 
 def text_units(lines: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -58,25 +81,80 @@ def text_units(lines: DataFrame, sizes: DataFrame) -> DataFrame:
     return units.withColumn("unit_id", F.format_string("unit-%04d", number)).withColumn("content_kind", T.content_kind(F.col("label"), F.col("kind"), F.col("source_kind")))
 
 
-def unit_text(content: Column, start: Column, end: Column) -> Column:
-    """The text of a byte range; bytes that are no UTF-8 become replacement characters."""
-    return F.make_valid_utf8(F.substring(content, (start + 1).cast("int"), (end - start).cast("int")).cast("string"))
+def with_texts(units: DataFrame, files: DataFrame) -> DataFrame:
+    """``path, unit_id, label, text`` of units (``path, unit_id, label, start_byte, end_byte``) of files (``path, content``): each file meets its units once."""
+    ship(units.sparkSession)
+    ranges = units.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("start_byte", "end_byte", "unit_id", "label"))).alias("units"))
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for p, content, some in zip(pdf["path"], pdf["content"], pdf["units"], strict=True):
+                data = bytes(content)
+                encoding, _ = sniff_encoding(data[:SNIFFED])
+                yield pd.DataFrame([(p, u["unit_id"], u["label"], data[u["start_byte"] : u["end_byte"]].decode(encoding, "replace").lstrip("\ufeff")) for u in some], columns=["path", "unit_id", "label", "text"])
+
+    return files.join(ranges, "path").select("path", "content", "units").mapInPandas(run, "path string, unit_id string, label string, text string")
+
+
+#: Bytes by which an encoding is told.
+SNIFFED = 1 << 20
+_BOMS = [(codecs.BOM_UTF8, "utf-8"), (codecs.BOM_UTF32_LE, "utf-32-le"), (codecs.BOM_UTF32_BE, "utf-32-be"), (codecs.BOM_UTF16_LE, "utf-16-le"), (codecs.BOM_UTF16_BE, "utf-16-be")]
+_DECLARED = re.compile(rb"""(?:encoding=["']|charset=["']?)([A-Za-z0-9._-]+)""", re.IGNORECASE)
+_HAN = re.compile("[\u4e00-\u9fff\u3000-\u303f\uff00-\uffef]")
+
+
+def _decodes(head: bytes, encoding: str) -> str | None:
+    """The text of bytes that are all of an encoding, but for a character cut at the end; else nothing."""
+    try:
+        return codecs.getincrementaldecoder(encoding)().decode(head)
+    except (UnicodeDecodeError, LookupError):
+        return None
 
-_BOMS = [(codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF32_LE, "utf-32"), (codecs.BOM_UTF32_BE, "utf-32"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16")]
 
+def sniff_encoding(head: bytes) -> tuple[str, bytes]:
+    """The encoding of a file by how it begins, and its byte order mark.
 
-def sniff_encoding(head: bytes) -> str:
-    """The encoding that a byte order mark names, else what the library finds in the first MiB, else UTF-8."""
+    A mark decides; else UTF-8 if the bytes are; else two-byte forms where every other byte of much of it is zero; else what the
+    library for this finds, where there is one; else the Chinese forms, if nearly all that is not ASCII then reads as Chinese;
+    else the Western one.
+    """
     for mark, name in _BOMS:
         if head.startswith(mark):
-            return name
+            return name, mark
+    if _decodes(head, "utf-8") is not None:
+        return "utf-8", b""
+    zeros = [head[k::2].count(0) for k in (0, 1)]
+    if max(zeros) * 4 > len(head) // 2:
+        return ("utf-16-be" if zeros[0] > zeros[1] else "utf-16-le"), b""
     try:
         from charset_normalizer import from_bytes
+
+        best = from_bytes(head).best()
+        if best and best.encoding:
+            return best.encoding, b""
     except ImportError:
+        pass
+    for name in ("gb18030", "big5"):
+        other = [c for c in _decodes(head, name) or "" if ord(c) > 127]
+        if other and len(_HAN.findall("".join(other))) >= 0.9 * len(other):
+            return name, b""
+    return "cp1252", b""
+
+
+def html_encoding(data: bytes) -> str:
+    """The encoding that a page declares among its first bytes, if it is a known one, else UTF-8."""
+    for mark, name in _BOMS:
+        if data.startswith(mark):
+            return name
+    found = _DECLARED.search(data[:4096])
+    try:
+        return codecs.lookup(found[1].decode()).name if found else "utf-8"
+    except LookupError:
         return "utf-8"
-    best = from_bytes(head[: 1 << 20]).best()
-    return best.encoding if best else "utf-8"
+
+
+def decoded_page(data: bytes) -> str:
+    return data.decode(html_encoding(data), "replace").lstrip("\ufeff")
 
 
 # HTML
@@ -211,8 +289,9 @@ class Epub:
         refs = [e.attrib.get("idref", "") for e in package.iter() if _local(e.tag) == "itemref"]
         # The place in the spine stays as it is, so it may have gaps.
         self.spine = [(k, self._path(self.manifest[r]["href"])) for k, r in enumerate(refs) if r in self.manifest and "html" in self.manifest[r].get("media-type", "html")]
+        # Title, creator and language as the package says.
         self.metadata = {_local(e.tag): (e.text or "").strip() for e in package.iter() if _local(e.tag) in ("title", "creator", "language")}
-        self.docs = {k: flatten_html(self.zip.read(p).decode("utf-8", "replace")) for k, p in self.spine}
+        self.docs = {k: flatten_html(decoded_page(self.zip.read(p))) for k, p in self.spine}
         self.place = {p: k for k, p in self.spine}
 
     def _path(self, href: str, base: str | None = None) -> str:
@@ -324,6 +403,18 @@ def epub_units(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, _UNITS)
 
 
+def epub_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """``path, title, creator, language, n_documents`` of EPUB archives."""
+    ship(spark)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            books = [Epub(bytes(c)) for c in pdf["content"]]
+            yield pd.DataFrame({"path": pdf["path"], **{k: [b.metadata.get(k, "") for b in books] for k in ("title", "creator", "language")}, "n_documents": [len(b.spine) for b in books]})
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, title string, creator string, language string, n_documents long")
+
+
 def units_of(spark: SparkSession, path: str) -> DataFrame:
     """``path, unit_id, label, text`` of a book by its suffix."""
     suffix = posixpath.splitext(path)[1].lower()
@@ -333,7 +424,7 @@ def units_of(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"not a book: {path}")
     files = spark.read.format("binaryFile").load(path)
     units = text_units(text_lines(spark, path), files.select("path", F.col("length").alias("size")))
-    return units.join(files.select("path", "content"), "path").select("path", "unit_id", "label", unit_text(F.col("content"), F.col("start_byte"), F.col("end_byte")).alias("text"))
+    return with_texts(units, files.select("path", "content"))
 
 
 def content_units(units: DataFrame) -> DataFrame:

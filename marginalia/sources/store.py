@@ -7,7 +7,6 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 
 def text_hash(text: Column) -> Column:
@@ -23,10 +22,6 @@ def run_hash(**parts: object) -> str:
     return "run-" + json_hash(parts)[:16]
 
 
-def source_index_id(**parts: object) -> str:
-    return "source-index-" + json_hash(parts)[:16]
-
-
 class Registry:
     """Versioned tables under a folder: each save is a new ``snapshot=n`` of each table, a rollback reads an older one."""
 
@@ -76,10 +71,6 @@ def runs(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(folder).orderBy(F.col("at").desc(), "run_key")
 
 
-def newest_first(rows: DataFrame, *order: str) -> DataFrame:
-    return rows.orderBy(*[F.col(c).desc() for c in order])
-
-
 def cached(wanted: DataFrame, store: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Rows that the store has, with its columns, and rows that it lacks."""
     return wanted.join(store, key), wanted.join(store.select(key), key, "left_anti")
@@ -87,10 +78,3 @@ def cached(wanted: DataFrame, store: DataFrame, key: str) -> tuple[DataFrame, Da
 
 def pass_key(prompt_hash: Column, payload: Column, model: Column) -> Column:
     return F.sha2(F.concat_ws("|", prompt_hash, F.sha2(payload, 256), model), 256)
-
-
-def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None

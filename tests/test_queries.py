@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import pytest
 
-from marginalia.plans import entities, retrieval, texts
+from marginalia.plans import entities, resolution, retrieval, texts
 from tests.conftest import of_spark
 
 SF = "/root/testdata/sf0.001"
-CATALOGS = (retrieval.catalog, texts.catalog, entities.catalog)
+CATALOGS = (retrieval.catalog, texts.catalog, entities.catalog, resolution.catalog)
 QUERIES = {n: q for c in CATALOGS for n, q in c.queries.items()}
 SQL = {n: s for c in CATALOGS for n, s in c.sql.items()}
 

@@ -36,18 +36,14 @@ def with_least(rows: DataFrame, key: str, value: str, out: str = "least", more_t
     return dealt.join(pieces.select(key, _SALT).join(low, key), [key, _SALT]).drop(_SALT)
 
 
-#: Ranges that ordered rows are dealt to.
-RANGES = 64
-
-
 def running(rows: DataFrame, key: str | None, order: list[str], value: Column | None = None, number: str = "n", before: str = "before") -> DataFrame:
     """``number``: the place of each row, from 1, among those of its ``key`` (or all) in ``order``; ``before``: the sum of ``value`` over the rows before it.
 
-    Rows are sorted in ranges of key and order; inside a range windows run over a key's rows in it, and sums by range and key
+    Rows are sorted in ranges of key and order, as many as the session has shuffle partitions; inside a range windows run over a key's rows in it, and sums by range and key
     say what lies before the range. So a key that holds most rows is spread over the ranges.
     """
     by = ([key] if key else []) + order
-    ranged = rows.withColumn("__v", (value if value is not None else F.lit(0)).cast("long")).repartitionByRange(RANGES, *by).sortWithinPartitions(*by)
+    ranged = rows.withColumn("__v", (value if value is not None else F.lit(0)).cast("long")).repartitionByRange(*by).sortWithinPartitions(*by)
     ranged = written(ranged.withColumn("__part", F.spark_partition_id()).withColumn("__rid", F.monotonically_increasing_id()), "ranges")
     keys = [key] if key else []
     inside = Window.partitionBy("__part", *keys).orderBy("__rid")

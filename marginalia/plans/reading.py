@@ -1,8 +1,10 @@
-"""Reading a unit from end to end: overview, extraction, unification, grouping, package and registry."""
+"""Reading units from end to end: overview, extraction, unification, resolution against the book, grouping, package and registry."""
 
 from __future__ import annotations
 
 import json
+import time
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,15 +13,20 @@ from pyspark.sql import functions as F
 from ..operators import blocks as B
 from ..operators import entities as E
 from ..operators import locate as L
+from ..operators import search as S
+from ..operators import views as W
+from ..operators.packages import UNIT_SCHEMA, coerced, summary, unit_issues
+from ..operators.proposals import apply_to_concepts, apply_to_groups, equivalent, listed, screened
+from ..operators.repair import repair_message, repaired
+from ..operators.tools import Tools, with_tools
 from ..sources import store
 from ..sources.backend import Backend, answers, prompt_of
 from ..storage import written
-from ..streaming.units import CONCEPT, fold_unit
+from ..streaming.units import CONCEPT, GROUP, ITEM, fold_records, fold_unit
 
 _CONCEPTS = "array<struct<concept_id:string,surface:string,concept_type:string,canonical_name:string,summary:string,aliases:array<string>,observed_surfaces:array<string>,source_block_refs:array<string>,grounding:string>>"
 _ITEMS = "array<struct<item_id:string,item_type:string,summary:string,source_block_refs:array<string>,concept_refs:array<string>,grounding:string>>"
 _SEGMENTS = "array<struct<segment_id:string,start_quote:string,end_quote:string,title:string,summary:string>>"
-_GROUPS = "array<struct<group_id:string,group_type:string,item_refs:array<string>,edges:array<struct<source:string,target:string,edge_type:string>>>>"
 
 
 def asked(payloads: DataFrame, backend: Backend, task: str, cache: DataFrame | None = None) -> DataFrame:
@@ -45,7 +52,7 @@ def overview(units: DataFrame, backend: Backend) -> DataFrame:
 
 
 def read_units(units: DataFrame, backend: Backend) -> dict[str, DataFrame]:
-    """The tables of a batch of units (``unit_id, text``): blocks, segments, concepts, items, groups, edges."""
+    """The tables of a batch of units (``unit_id, text``): blocks, segments, items, and concepts before and after those of all segments are one."""
     named = F.format_string("block-%06d", F.col("block_index") + 1)
     blocks = written(B.source_blocks(units, "unit_id").withColumn("block_id", named), "blocks")
     segments = written(overview(units, backend), "segments")
@@ -68,26 +75,216 @@ def read_units(units: DataFrame, backend: Backend) -> dict[str, DataFrame]:
     refs = items.select("unit_id", "item_id", F.posexplode("concept_refs").alias("k", "old_id")).join(ids, ["unit_id", "old_id"], "left")
     refs = refs.groupBy("unit_id", "item_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", F.coalesce("id", "old_id").alias("r")))), lambda x: x["r"]).alias("concept_refs"))
     items = written(items.drop("concept_refs", "p").join(refs, ["unit_id", "item_id"], "left"), "items")
-    item_lists = items.groupBy("unit_id").agg(F.array_sort(F.collect_list(F.struct("item_id", "summary"))).alias("items"))
-    got = asked(item_lists.select(F.col("unit_id").alias("key"), F.to_json(F.struct(F.lit("grouping").alias("task"), "items")).alias("payload")), backend, "grouping")
-    groups = got.select(F.col("key").alias("unit_id"), F.explode(F.from_json("answer", f"logical_groups {_GROUPS}")["logical_groups"]).alias("g")).select("unit_id", "g.*")
-    edges = groups.select("unit_id", "group_id", F.explode("edges").alias("e")).select("unit_id", "group_id", "e.*")
-    return {"blocks": blocks, "segments": segments, "concepts": merged, "items": items, "groups": groups.drop("edges"), "edges": edges}
-
-
-def run_reading(spark: SparkSession, units: DataFrame, backend: Backend, folder: str) -> dict[str, Any]:
-    """Reads units one after another into the registry in ``folder``, saves each one's tables and adds the run to the catalogue."""
-    registry = store.Registry(spark, f"{folder}/registry")
-    done = []
-    for row in units.select("unit_id").orderBy("unit_id").toLocalIterator():
-        unit = units.where(F.col("unit_id") == row["unit_id"])
-        tables = read_units(unit, backend)
-        run = store.run_hash(unit=row["unit_id"], model=backend.identity(), prompts={t: prompt_of(t) for t in ("overview", "extraction", "grouping")})
+    return {"blocks": blocks, "segments": segments, "concepts": merged, "items": items, "concepts_before": concepts}
+
+
+def segment_counts(before: DataFrame, after: DataFrame, unresolved: int = 0) -> dict[str, int]:
+    """How many concepts segments had, how many are left, and what is open."""
+    n, m = before.count(), after.count()
+    return {"concepts_before_merge": n, "concepts_after_merge": m, "concept_merge_count": n - m, "unresolved_items": unresolved}
+
+
+class ReadingError(RuntimeError):
+    """A package that is not valid after all repairs; ``issues`` say why."""
+
+    def __init__(self, unit_id: str, issues: list[dict[str, Any]]):
+        super().__init__(f"{unit_id}: " + ", ".join(f"{i['code']} at {i['path']}" for i in issues[:5]))
+        self.issues = issues
+
+
+def records_of(rows: DataFrame) -> list[dict[str, Any]]:
+    """Rows of one unit as records."""
+    return [json.loads(x) for x in rows.toJSON().toLocalIterator()]
+
+
+class Reader:
+    """Reads one unit after another into the registry in a folder. ``progress`` is told of each step."""
+
+    def __init__(self, spark: SparkSession, backend: Backend, folder: str, scope: str = "book", turns: int = 3, progress: Callable[[str], None] | None = None):
+        if scope not in ("book", "unit"):
+            raise ValueError("a scope is book or unit")
+        self.spark, self.backend, self.folder, self.scope, self.turns = spark, backend, folder.rstrip("/"), scope, turns
+        self.registry = store.Registry(spark, f"{self.folder}/registry")
+        self.progress = progress or (lambda line: None)
+
+    # Passes
+
+    def _ask(self, task: str, payload: dict[str, Any], log: list[Any] | None = None) -> dict[str, Any]:
+        """An answer, from the saved passes if they have it; parts of a new one are saved."""
+        prompt, body = prompt_of(task), json.dumps(payload, sort_keys=True, ensure_ascii=False)
+        key = store.json_hash([task, prompt, body, self.backend.identity()])
+        have = store.load_pass(self.spark, f"{self.folder}/passes", key)
+        if "answer" in have:
+            return json.loads(have["answer"])
+        if log is None:
+            answer = self.backend.complete(prompt, payload)
+        else:
+            answer, turns = with_tools(lambda p: self.backend.complete(prompt, p), payload, self.tools())
+            log += turns
+        store.save_pass(self.spark, f"{self.folder}/passes", task, key, prompt=prompt, payload=body, answer=answer, log=log or [])
+        return answer
+
+    def tools(self) -> Tools:
+        concepts = self._table("concepts", CONCEPT).withColumnRenamed("id", "concept_id")
+        return Tools(concepts, self._table("groups", GROUP), summary=self.digest())
+
+    def _table(self, name: str, schema: str) -> DataFrame:
+        rows = self.registry.load(name)
+        return self.spark.createDataFrame([], schema) if rows is None else rows
+
+    def resolve_concepts(self, unit_id: str, concepts: list[dict[str, Any]]) -> dict[str, Any]:
+        """The unit's concepts after proposals against the book's: ``concepts, id_map, implied, unresolved, log, tallies``."""
+        book = self._table("concepts", CONCEPT).withColumnRenamed("id", "concept_id")
+        nothing = {"concepts": concepts, "id_map": {}, "implied": [], "unresolved": [], "log": [], "tallies": {}}
+        if self.scope == "unit" or book.isEmpty() or not concepts:
+            return nothing
+        schema = "concept_id string, concept_type string, surface string, canonical_name string, summary string, aliases array<string>, observed_surfaces array<string>"
+        columns = [c.split()[0] for c in schema.split(", ")]
+        mine = self.spark.createDataFrame([tuple(c.get(k) for k in columns) for c in concepts], schema)
+        chosen = S.select_concepts(mine, book.select(*columns))
+        some = book.join(chosen["candidates"], "concept_id", "left_semi").orderBy("concept_id")
+        log: list[Any] = []
+        payload = {"task": "cross_unit_concept_resolution", "unit_id": unit_id, "concepts": concepts, "registry": records_of(S.compact(some)), "candidate_map": records_of(chosen["map"])}
+        answer = coerced(self._ask("cross_unit_concept_resolution", payload, log))
+        safe, rejected = screened(concepts, listed(answer.get("resolution_proposals")))
+        after, renamed, implied = apply_to_concepts(concepts, safe)
+        after, same = equivalent(after)
+        renamed = {k: same.get(v, v) for k, v in renamed.items()} | {k: v for k, v in same.items() if k not in renamed}
+        unresolved = [*listed(answer.get("unresolved_items")), *({"item_id": f"unresolved-{k + 1:04d}"} | r for k, r in enumerate(rejected))]
+        kinds = [p.get("proposal_type", "") for p in safe]
+        return {"concepts": after, "id_map": renamed, "implied": implied, "unresolved": unresolved, "log": log, "tallies": {k: kinds.count(k) for k in sorted(set(kinds))}}
+
+    def group(self, unit_id: str, items: list[dict[str, Any]], implied: list[dict[str, Any]]) -> list[dict[str, Any]]:
+        """Groups of the unit's items as a package has them: the graph of each has a node for each item that it names."""
+        if not items:
+            return []
+        answer = coerced(self._ask("grouping", {"task": "grouping", "unit_id": unit_id, "items": [{"item_id": i["item_id"], "summary": i.get("summary", "")} for i in items], "implied": implied}))
+        out = []
+        for g in listed(answer.get("logical_groups")):
+            refs = [r for r in listed(g.get("item_refs"))]
+            edges = [e for e in listed(g.pop("edges", None))]
+            concepts = list(dict.fromkeys(c for i in items if i["item_id"] in refs for c in i.get("concept_refs") or []))
+            graph = {"nodes": [{"node_id": r, "item_ref": r} for r in refs], "edges": edges} if edges else {}
+            out.append({"summary": "", "concept_refs": concepts} | g | ({"graph": graph} if graph else {}))
+        return out
+
+    def resolve_groups(self, unit_id: str, groups: list[dict[str, Any]], concepts: list[dict[str, Any]]) -> dict[str, Any]:
+        """The unit's groups after proposals against the book's: ``groups, proposals, edges, log``."""
+        book = self._table("groups", GROUP)
+        if self.scope == "unit" or book.isEmpty() or not groups:
+            return {"groups": groups, "proposals": [], "edges": [], "log": []}
+        mine = self.spark.createDataFrame([(g["group_id"], g.get("group_type", "other"), g.get("summary", "")) for g in groups], "group_id string, group_type string, summary string")
+        linked = self.spark.createDataFrame([(c["concept_id"], c.get("registry_ref") or "") for c in concepts], "concept_id string, registry_ref string")
+        some = book.join(S.select_groups(mine, book, linked).select("group_id"), "group_id", "left_semi").orderBy("group_id")
+        log: list[Any] = []
+        answer = coerced(self._ask("cross_unit_group_resolution", {"task": "cross_unit_group_resolution", "unit_id": unit_id, "groups": groups, "registry_groups": records_of(S.group_index(some))}, log))
+        proposals = listed(answer.get("group_resolution_proposals"))
+        after, edges = apply_to_groups(groups, proposals)
+        return {"groups": after, "proposals": proposals, "edges": edges, "log": log}
+
+    def digest(self) -> str:
+        rows = self.registry.load("digest")
+        return "" if rows is None else rows.first()["digest"]
+
+    def new_digest(self, unit_id: str) -> str:
+        """What the book is about so far, from the first concepts of the registry; a failure leaves the old one."""
+        book = self._table("concepts", CONCEPT)
+        n = book.count()
+        if not n:
+            return ""
+        first = book.orderBy("id").limit(DIGEST_CONCEPTS).select(F.coalesce(F.nullif("canonical_name", F.lit("")), "surface").alias("name"), F.col("concept_type").alias("type"), "summary", "aliases")
+        payload = {"task": "digest", "unit_id": unit_id, "concepts": records_of(first), "n_omitted": max(0, n - DIGEST_CONCEPTS)}
+        try:
+            text = str(self._ask("digest", payload | ({"previous_digest": self.digest()} if self.digest() else {})).get("digest", ""))
+        except Exception as e:  # noqa: BLE001 - a digest is a help, not a result
+            self.progress(f"digest failed: {e}")
+            return self.digest()
+        if text:
+            self.registry.save("digest", self.spark.createDataFrame([(text,)], "digest string"))
+        return text
+
+    # A unit
+
+    def package(self, unit_id: str, text: str, tables: dict[str, DataFrame], index_id: str = "") -> dict[str, Any]:
+        """A unit's package with all passes made and its issues mended; what is left of them is an error."""
+        blocks = records_of(tables["blocks"].orderBy("block_index").withColumn("segment_id", F.lit("")).withColumn("source_index_id", F.lit(index_id)))
+        concepts = records_of(tables["concepts"].orderBy("id").select(F.col("id").alias("concept_id"), "surface", "concept_type", "canonical_name", "summary", "aliases", "observed_surfaces", "source_block_refs", "merged_from"))
+        items = records_of(tables["items"].orderBy("item_id").select("item_id", "item_type", "summary", "source_block_refs", "concept_refs"))
+        resolved = self.resolve_concepts(unit_id, concepts)
+        for i in items:
+            i["concept_refs"] = list(dict.fromkeys(resolved["id_map"].get(r, r) for r in i.get("concept_refs") or []))
+        self.progress(f"{unit_id}: {len(resolved['concepts'])} concepts, {resolved['tallies']}")
+        grouped = self.resolve_groups(unit_id, self.group(unit_id, items, resolved["implied"]), resolved["concepts"])
+        self.progress(f"{unit_id}: {len(grouped['groups'])} groups")
+        data = {
+            "schema_version": UNIT_SCHEMA, "unit_id": unit_id, "source": {"unit_text": text}, "source_blocks": blocks, "concepts": resolved["concepts"], "atomic_items": items, "logical_groups": grouped["groups"],
+            "unresolved_items": resolved["unresolved"], "validation": {}, "context_metadata": {"source_index_id": index_id}, "cross_group_edges": grouped["edges"], "group_proposals": grouped["proposals"],
+            "metrics": {"segment_merge": segment_counts(tables["concepts_before"], tables["concepts"], len(resolved["unresolved"])), "proposals": resolved["tallies"]},
+        }
+        ask = lambda d, issues: listed(self.backend.complete(prompt_of("repair_extraction"), json.loads(repair_message(issues))).get("repairs"))
+        data, issues = repaired(data, unit_issues, ask, self.turns)
+        errors = [i for i in issues if i["severity"] == "error"]
+        if errors:
+            raise ReadingError(unit_id, errors)
+        return data | {"validation": summary(issues)}
+
+    def fold(self, data: dict[str, Any]) -> dict[str, int]:
+        """Adds a package to the registry; gives its operations by type."""
+        unit = data["unit_id"]
+        rows = [(f"{unit}:{c['concept_id']}", c.get("surface", ""), c.get("concept_type", "other"), c.get("canonical_name") or "", c.get("summary", ""), c.get("aliases") or [], c.get("observed_surfaces") or [], c.get("source_block_refs") or [], (c.get("provenance") or {}).get("grounding", "source_grounded"), unit) for c in data["concepts"]]
+        links = [(f"{unit}:{c['concept_id']}", c["registry_ref"]) for c in data["concepts"] if c.get("registry_ref")]
+        make = self.spark.createDataFrame
+        operations, mapping = fold_unit(self.registry, make(rows, CONCEPT), make(links, "unit_ref string, book_ref string"))
+        local = mapping.withColumn("old_id", F.regexp_replace("old_id", "^[^:]*:", ""))
+        items = make([(i["item_id"], i.get("item_type", "other"), i.get("summary", ""), i.get("source_block_refs") or [], i.get("concept_refs") or [], unit) for i in data["atomic_items"]], ITEM)
+        groups = make([(g["group_id"], g.get("group_type", "other"), g.get("summary", ""), g.get("concept_refs") or [], g.get("item_refs") or [], unit) for g in data["logical_groups"]], "group_id string, group_type string, summary string, concept_refs array<string>, item_refs array<string>, source_unit string")
+        proposals = make([(p.get("unit_group_ref", ""), p.get("proposal_type", ""), p.get("registry_group_ref", "")) for p in data["group_proposals"]], "group_id string, proposal_type string, registry_group_ref string")
+        grouped = fold_records(self.registry, items, groups, proposals, local)
+        counts = {r["op_type"]: r["n"] for r in operations.groupBy("op_type").agg(F.count("*").alias("n")).union(grouped.groupBy("op_type").agg(F.count("*"))).collect()}
+        return counts | {"add_item": len(data["atomic_items"])}
+
+    def read(self, unit: DataFrame, unit_id: str, index_id: str = "") -> dict[str, Any]:
+        """Reads a unit (a row of ``unit_id, text``), writes its package and tables, and folds it into the registry in the scope of a book."""
+        began = time.monotonic()
+        tables = read_units(unit, self.backend)
+        text = unit.first()["text"]
+        data = self.package(unit_id, text, tables, index_id)
+        run = store.run_hash(unit=unit_id, model=self.backend.identity(), scope=self.scope, text=store.json_hash(text), prompts={t: prompt_of(t) for t in ("overview", "extraction", "grouping")})
+        place = f"{self.folder}/units/{unit_id}/{run}"
         for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{folder}/units/{row['unit_id']}/{run}/{name}")
-        c = tables["concepts"].withColumn("id", F.concat_ws(":", "unit_id", "id")).withColumn("source_unit", F.col("unit_id"))
-        operations = fold_unit(registry, c.select(*[x.split()[0] for x in CONCEPT.split(", ")]))
-        counts = {r["op_type"]: r["n"] for r in operations.groupBy("op_type").agg(F.count("*").alias("n")).collect()}
-        store.append_run(spark, f"{folder}/runs", run_hash=run, unit_id=row["unit_id"], operations=counts)
-        done.append({"unit_id": row["unit_id"], "run_hash": run, "operations": counts})
+            df.write.mode("overwrite").parquet(f"{place}/{name}")
+        counts = self.fold(data) if self.scope == "book" else {}
+        if self.scope == "book":
+            self.new_digest(unit_id)
+        manifest = {"run_hash": run, "unit_id": unit_id, "scope": self.scope, "model": self.backend.identity(), "validation": data["validation"], "operations": counts, "metrics": data["metrics"], "elapsed_ms": int(1000 * (time.monotonic() - began))}
+        for name, value in (("package", data), ("manifest", manifest)):
+            self.spark.createDataFrame([(json.dumps(value, ensure_ascii=False, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{place}/{name}")
+        store.append_run(self.spark, f"{self.folder}/runs", run_hash=run, unit_id=unit_id, operations=counts)
+        self.progress(f"{unit_id}: read as {run}")
+        return {"unit_id": unit_id, "run_hash": run, "operations": counts}
+
+
+#: Concepts that a digest is made from.
+DIGEST_CONCEPTS = 50
+
+
+def run_reading(spark: SparkSession, units: DataFrame, backend: Backend, folder: str, scope: str = "book", progress: Callable[[str], None] | None = None) -> dict[str, Any]:
+    """Reads units one after another, in order: each is resolved against what those before it left in the registry."""
+    reader = Reader(spark, backend, folder, scope, progress=progress)
+    ids = [r["unit_id"] for r in units.select("unit_id").orderBy("unit_id").toLocalIterator()]
+    done = [reader.read(units.where(F.col("unit_id") == i), i) for i in ids]
     return {"runs": done, "summary": json.dumps(done, sort_keys=True)}
+
+
+def load_package(spark: SparkSession, folder: str, unit_id: str, run: str) -> dict[str, Any]:
+    return json.loads(spark.read.text(f"{folder.rstrip('/')}/units/{unit_id}/{run}/package").first()["value"])
+
+
+def view(spark: SparkSession, folder: str, unit_id: str, run: str) -> str:
+    """A page of a unit that was read: its source marked up, its concepts and items as data, and its issues."""
+    data = load_package(spark, folder, unit_id, run)
+    rows = spark.createDataFrame([(unit_id, b["block_id"], b["start"], b["end"], b["text"]) for b in data["source_blocks"]], "book_id string, block_id string, start long, end long, text string")
+    concepts = spark.createDataFrame([(c["concept_id"], c.get("surface", ""), c.get("observed_surfaces") or [], c.get("source_block_refs") or []) for c in data["concepts"]], "concept_id string, surface string, observed_surfaces array<string>, source_block_refs array<string>")
+    source = spark.createDataFrame([(unit_id, data["source"]["unit_text"])], "book_id string, text string")
+    first = W.source_pages(rows, concepts, source).first()
+    return W.page(unit_id, first["markup"] if first else "", {"concepts": data["concepts"], "items": data["atomic_items"], "groups": data["logical_groups"]}, [{"unit_id": unit_id, "line": unit_id}], unit_issues(data))

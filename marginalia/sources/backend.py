@@ -119,16 +119,95 @@ def _digest(p: dict[str, Any]) -> dict[str, Any]:
     return {"digest": f"{len(names) + p.get('n_omitted', 0)} concepts: " + ", ".join(names[:10])}
 
 
+def _proposals(rows: list[dict[str, Any]], have: list[dict[str, Any]], kind: str, make: Callable[[dict[str, Any], str | None], dict[str, Any]]) -> list[dict[str, Any]]:
+    """A proposal for each row, with the first of ``have`` that is of its kind."""
+    first: dict[str, str] = {}
+    for r in have:
+        first.setdefault(r.get(kind, "other"), r.get("concept_id") or r.get("group_id") or "")
+    return [make(r, first.get(r.get(kind, "other"))) for r in rows]
+
+
 def _resolution(p: dict[str, Any]) -> dict[str, Any]:
     """Links a concept to the first candidate of its type."""
-    links = []
-    for c in p["concepts"]:
-        hit = next((r for r in p["registry"] if r["concept_type"] == c["concept_type"]), None)
-        links.append({"proposal_type": "link" if hit else "new_concept", "unit_ref": c["concept_id"], "book_ref": hit["id"] if hit else None})
-    return {"proposals": links}
+    make = lambda c, hit: {"proposal_type": "link" if hit else "new_concept", "target_refs": [c["concept_id"]], "registry_ref": hit or "", "changes": {}, "implicit_refs": []}
+    return {"status": "complete", "resolution_proposals": _proposals(p["concepts"], p["registry"], "concept_type", make), "unresolved_items": []}
+
+
+def _group_resolution(p: dict[str, Any]) -> dict[str, Any]:
+    """Continues the first group of a group's type."""
+    make = lambda g, hit: {"proposal_type": "continue" if hit else "new_thread", "unit_group_ref": g["group_id"], "registry_group_ref": hit or "", "changes": {}}
+    return {"status": "complete", "group_resolution_proposals": _proposals(p["groups"], p["registry_groups"], "group_type", make)}
+
+
+def _mentions(p: dict[str, Any]) -> dict[str, Any]:
+    """The first sentence as evidence and its first capitalised word as a mention."""
+    quote = re.split(r"(?<=[.!?。！？])", p["text"].strip(), maxsplit=1)[0]
+    name = re.search(r"[A-Z\u4e00-\u9fff]\w*", quote)
+    evidence = [{"evidence_id": "e1", "quote": quote}] if quote else []
+    mentions = [{"mention_id": "m1", "surface": name.group(), "evidence_span_ids": ["e1"]}] if name else []
+    return {"unit_id": p.get("unit_id", ""), "evidence_spans": evidence, "entity_mentions": mentions, "location_mentions": [], "atom_mentions": [], "time_expressions": [], "thread_candidates": [], "warnings": []}
+
+
+def _digest_update(p: dict[str, Any]) -> dict[str, Any]:
+    return {"digest": (p.get("previous_digest", "") + "\n" + _digest(p)["digest"]).strip()}
+
+
+_RULES = {
+    "overview": _overview, "extraction": _extraction, "grouping": _grouping, "digest": _digest, "digest_update": _digest_update, "mentions": _mentions,
+    "cross_unit_concept_resolution": _resolution, "cross_unit_group_resolution": _group_resolution, "repair_extraction": lambda p: {"repairs": []},
+}
+
+
+class HttpBackend:
+    """A chat service over HTTP that answers with JSON: waits and tries again when it is busy, cut short or not JSON."""
+
+    def __init__(self, url: str, model: str, key: str = "", output: int = 4096, timeout: float = 300.0, tries: int = MAX_TRIES, wait: float = 1.0):
+        if output <= 0 or output > V.MAX_OUTPUT:
+            raise BudgetError(f"{output} tokens out")
+        self.url, self.model, self.key, self.output, self.timeout, self.tries, self.wait = url, model, key, output, timeout, tries, wait
+
+    def identity(self) -> str:
+        return f"http:{self.model}:{self.output}"
+
+    def complete(self, prompt: str, payload: dict[str, Any]) -> dict[str, Any]:
+        body = json.dumps(payload, ensure_ascii=False)
+        check_budget(prompt + body, self.output)
+        messages = [{"role": "system", "content": prompt}, {"role": "user", "content": body}]
+        return retried(lambda: self._asked(messages), lambda e: worth_retrying(e) or isinstance(e, CutShort), self.tries, self.wait)
+
+    def _asked(self, messages: list[dict[str, str]]) -> dict[str, Any]:
+        import urllib.error
+        import urllib.request
+
+        data = json.dumps({"model": self.model, "messages": messages, "max_tokens": self.output, "response_format": {"type": "json_object"}}).encode()
+        headers = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {self.key}"} if self.key else {})
+        try:
+            with urllib.request.urlopen(urllib.request.Request(self.url, data, headers), timeout=self.timeout) as r:  # noqa: S310 - the caller's own service
+                choice = json.loads(r.read())["choices"][0]
+        except urllib.error.HTTPError as e:
+            e.status_code = e.code  # type: ignore[attr-defined]
+            raise
+        except urllib.error.URLError as e:
+            raise ConnectionError(str(e.reason)) from e
+        if choice.get("finish_reason") == "length":
+            raise CutShort("the answer was cut short")
+        try:
+            return parse_object(choice["message"]["content"])
+        except ValueError as e:
+            raise CutShort(str(e)) from e
+
+
+class CutShort(ValueError):
+    """An answer that ended too early or is no JSON object; the next one may be whole."""
 
 
-_RULES = {"overview": _overview, "extraction": _extraction, "grouping": _grouping, "digest": _digest, "concept_resolution": _resolution}
+def backend_of(name: str, url: str = "", model: str = "", key: str = "") -> Backend:
+    """The backend that a command names: ``rules``, or ``http`` with its service."""
+    if name == "rules":
+        return RuleBackend()
+    if name != "http" or not url or not model:
+        raise ValueError("a backend is rules, or http with a url and a model")
+    return HttpBackend(url, model, key)
 
 
 def answers(payloads: DataFrame, backend: Backend, prompt: str, output: int = 4096) -> DataFrame:
@@ -188,7 +267,11 @@ PROMPTS = {
     "extraction": ["List the concepts and the single statements of the segment.", "Name for each the blocks it stands on."],
     "grouping": ["Group the statements of the unit and say how they follow from each other."],
     "digest": ["Say in a few lines what the book's concepts are."],
-    "concept_resolution": ["Say which concepts of the unit are concepts of the book."],
+    "digest_update": ["Add to what was said of the book what the new concepts change."],
+    "mentions": ["List quotes of the text and the names that they hold."],
+    "cross_unit_concept_resolution": ["Say which concepts of the unit are concepts of the book, and which of its own belong together or apart.", "Call tools to look up what you need; end with the status complete."],
+    "cross_unit_group_resolution": ["Say which groups of the unit continue or change groups of the book.", "Call tools to look up what you need; end with the status complete."],
+    "repair_extraction": ["Mend the errors of the package."],
 }
 
 

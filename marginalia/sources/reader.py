@@ -114,26 +114,17 @@ def _decodes(head: bytes, encoding: str) -> str | None:
 def sniff_encoding(head: bytes) -> tuple[str, bytes]:
     """The encoding of a file by how it begins, and its byte order mark.
 
-    A mark decides; else UTF-8 if the bytes are; else two-byte forms where every other byte of much of it is zero; else what the
-    library for this finds, where there is one; else the Chinese forms, if nearly all that is not ASCII then reads as Chinese;
-    else the Western one.
+    A mark decides; else two-byte forms where every other byte of much of it is zero; else UTF-8 if the bytes are; else the Chinese
+    forms, if nearly all that is not ASCII then reads as Chinese; else the Western one. No library is asked, so all workers agree.
     """
     for mark, name in _BOMS:
         if head.startswith(mark):
             return name, mark
-    if _decodes(head, "utf-8") is not None:
-        return "utf-8", b""
     zeros = [head[k::2].count(0) for k in (0, 1)]
-    if max(zeros) * 4 > len(head) // 2:
+    if max(zeros) * 4 > len(head) // 2 > 0:
         return ("utf-16-be" if zeros[0] > zeros[1] else "utf-16-le"), b""
-    try:
-        from charset_normalizer import from_bytes
-
-        best = from_bytes(head).best()
-        if best and best.encoding:
-            return best.encoding, b""
-    except ImportError:
-        pass
+    if _decodes(head, "utf-8") is not None:
+        return "utf-8", b""
     for name in ("gb18030", "big5"):
         other = [c for c in _decodes(head, name) or "" if ord(c) > 127]
         if other and len(_HAN.findall("".join(other))) >= 0.9 * len(other):

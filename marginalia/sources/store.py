@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,12 +39,21 @@ class Registry:
         done = [n for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(path, f"{n}/_SUCCESS"))]
         return sorted(int(n.partition("=")[2]) for n in done if n.startswith("snapshot="))
 
-    def save(self, table: str, rows: DataFrame) -> int:
-        """Writes the next snapshot; readers see it once it is whole."""
+    def save(self, table: str, rows: DataFrame, tag: str | None = None) -> int:
+        """Writes the next snapshot; readers see it once it is whole. Its tag is written before it, so a whole snapshot always has its tag."""
         n = max(self.snapshots(table), default=0) + 1
+        if tag is not None:
+            self.spark.createDataFrame([(tag,)], "tag string").write.mode("overwrite").parquet(f"{self.folder}/{table}_tags/snapshot={n}")
         rows.write.mode("overwrite").parquet(f"{self.folder}/{table}/snapshot={n}")
         return n
 
+    def tag(self, table: str) -> str | None:
+        """The tag of the latest whole snapshot, if it has one."""
+        n = max(self.snapshots(table), default=0)
+        if n not in self.snapshots(f"{table}_tags"):
+            return None
+        return self.spark.read.parquet(f"{self.folder}/{table}_tags/snapshot={n}").first()["tag"]
+
     def load(self, table: str, snapshot: int | None = None) -> DataFrame | None:
         """The latest snapshot, or the one asked for; none if the table was never saved."""
         have = self.snapshots(table)
@@ -78,3 +88,36 @@ def cached(wanted: DataFrame, store: DataFrame, key: str) -> tuple[DataFrame, Da
 
 def pass_key(prompt_hash: Column, payload: Column, model: Column) -> Column:
     return F.sha2(F.concat_ws("|", prompt_hash, F.sha2(payload, 256), model), 256)
+
+
+def book_id(path: str) -> str:
+    """A book's name for its folders: the file's stem and a part of the hash of its place."""
+    stem = path.rstrip("/").rpartition("/")[2].rpartition(".")[0] or path.rstrip("/").rpartition("/")[2]
+    return re.sub(r"[^0-9A-Za-z_-]+", "-", stem).strip("-") + "-" + hashlib.sha256(path.encode()).hexdigest()[:8]
+
+
+def folders(root: str, book: str, unit: str | None = None) -> dict[str, str]:
+    """The folders of a book, and of a unit of it, under a root."""
+    base = f"{root.rstrip('/')}/{book}"
+    out = {"book": base, "registry": f"{base}/registry", "index": f"{base}/index", "runs": f"{base}/runs", "embeddings": f"{base}/embeddings", "passes": f"{base}/passes", "digest": f"{base}/digest"}
+    return out | ({"unit": f"{base}/units/{unit}"} if unit else {})
+
+
+def save_pass(spark: SparkSession, folder: str, name: str, key: str, **parts: object) -> None:
+    """Adds the parts of a pass (prompt, payload, answer, issues) to the table of passes, as JSON by name."""
+    rows = [(key, name, part, value if isinstance(value, str) else json.dumps(value, sort_keys=True, ensure_ascii=False)) for part, value in sorted(parts.items())]
+    spark.createDataFrame(rows, "pass_key string, pass string, part string, content string").withColumn("at", F.current_timestamp()).write.mode("append").parquet(folder)
+
+
+def load_pass(spark: SparkSession, folder: str, key: str) -> dict[str, str]:
+    """The parts of a pass that was saved, the latest of each; none if it was not."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return {}
+    rows = spark.read.parquet(folder).where(F.col("pass_key") == key).groupBy("part").agg(F.max_by("content", "at").alias("c"))
+    return {r["part"]: r["c"] for r in rows.collect()}  # a row for each part
+
+
+def scalars(config: dict[str, object]) -> dict[str, object]:
+    """The entries of a configuration that JSON holds as they are; they go into run hashes."""
+    return {k: v for k, v in sorted(config.items()) if v is None or isinstance(v, (str, int, float, bool))}

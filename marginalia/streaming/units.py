@@ -8,37 +8,69 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import registry as R
 from ..sources.store import Registry
+from ..storage import written
 
 CONCEPT = "id string, surface string, concept_type string, canonical_name string, summary string, aliases array<string>, observed_surfaces array<string>, source_block_refs array<string>, grounding string, source_unit string"
 
 
-def fold_unit(store: Registry, units: DataFrame) -> DataFrame:
-    """Folds a batch of concepts into the latest snapshot and saves the next one; returns the operations."""
-    registry = store.load("concepts")
-    if registry is None:
-        registry = units.sparkSession.createDataFrame([], CONCEPT)
-    found = R.collisions(units, registry)
-    operations = R.concept_operations(units, found)
-    top = registry.agg(F.max(F.regexp_extract("id", r"(\d+)$", 1).cast("int"))).first()[0] or 0
-    mapping = R.id_map(units, operations, top + 1)
+ITEM = "item_id string, item_type string, summary string, source_block_refs array<string>, concept_refs array<string>, source_unit string"
+GROUP = "group_id string, group_type string, summary string, concept_refs array<string>, item_refs array<string>, continuation string, registry_group_ref string, source_unit string"
+UNRESOLVED = "unit_id string, kind string, ref string, detail string"
+
+
+def names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _latest(store: Registry, table: str, schema: str) -> DataFrame:
+    rows = store.load(table)
+    return store.spark.createDataFrame([], schema) if rows is None else rows
+
+
+def fold_unit(store: Registry, units: DataFrame, links: DataFrame | None = None, tag: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Folds a batch of concepts into the latest snapshot and saves the next one; gives the operations and the map of ids.
+
+    ``links`` (``unit_ref, book_ref``) come before matches by name. Merges that the registry refuses make new concepts and unresolved rows.
+    """
+    registry = _latest(store, "concepts", CONCEPT)
+    operations, refused = R.checked(R.concept_operations(units, R.collisions(units, registry), links), units, registry)
+    operations, refused = written(operations, "operations"), written(refused, "refused")
+    mapping = written(R.id_map(units, operations, R.top_number(registry, "id") + 1), "id_map")
     after = R.apply_concepts(registry, units, mapping)
-    store.save("concepts", after.select(*[c.split()[0] for c in CONCEPT.split(", ")]))
+    one = units.select("source_unit").first()
+    unit = F.lit(one["source_unit"] if one and one["source_unit"] else "")
+    nobody = store.spark.createDataFrame([], "unit_id string, item_id string, summary string")
+    open_ = operations.where("op_type = 'ambiguity'").select(unit.alias("unit_id"), "unit_ref", "book_ref", "match_reason")
+    new = R.unresolved_rows(nobody, open_, refused.withColumn("unit_id", unit))
+    store.save("unresolved", _latest(store, "unresolved", UNRESOLVED).unionByName(new).distinct())
+    store.save("concepts", after.select(*names(CONCEPT)), tag)
+    return operations, mapping
+
+
+def fold_records(store: Registry, items: DataFrame, groups: DataFrame, proposals: DataFrame, concepts: DataFrame) -> DataFrame:
+    """Adds a unit's items and groups under the registry's ids, with its concepts (``concepts``: the map of their ids) and what its groups continue
+    (``group_id, proposal_type, registry_group_ref``); gives the groups' operations."""
+    old_items, old_groups = _latest(store, "items", ITEM), _latest(store, "groups", GROUP)
+    operations = written(R.group_operations(groups, proposals), "group_operations")
+    new_items, ids = R.add_items(items, concepts, R.top_number(old_items, "item_id") + 1)
+    new_groups = R.add_groups(groups, operations, concepts, ids, R.top_number(old_groups, "group_id") + 1)
+    store.save("items", old_items.unionByName(new_items.select(*names(ITEM))))
+    store.save("groups", old_groups.unionByName(new_groups.select(*names(GROUP))))
     return operations
 
 
 def follow(spark: SparkSession, incoming: str, folder: str, checkpoint: str) -> StreamingQuery:
     """Folds each new file of concepts under ``incoming`` into the registry in ``folder``, in micro-batches.
 
-    A batch that is repeated after a failure is known by its number and left out.
+    A snapshot carries the number of the batch that made it, so a batch that is repeated after a failure is left out if its snapshot is whole,
+    and folded into the snapshot before it otherwise: either way once.
     """
     store = Registry(spark, folder)
 
     def fold(batch: DataFrame, number: int) -> None:
-        have = store.load("folded")
-        if have is not None and not have.where(F.col("batch") >= number).isEmpty():
-            return
-        fold_unit(store, batch)
-        store.save("folded", spark.createDataFrame([(number,)], "batch long"))
+        done = store.tag("concepts")
+        if done is None or int(done) < number:
+            fold_unit(store, batch, tag=str(number))
 
     stream = spark.readStream.schema(CONCEPT).parquet(incoming)
     return stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

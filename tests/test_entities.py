@@ -39,8 +39,8 @@ def test_delta_over_two_units(spark, tmp_path):
     second = [("uc-1", "Ann", "person", "Ann Lee", "two", ["B"], ["Ann"], ["b7"], "source_grounded", "u2"), ("uc-2", "Rome", "place", "Roma", "", [], ["Rome"], ["b8"], "source_grounded", "u2"), ("uc-3", "Oslo", "place", "", "", [], [], ["b9"], "source_grounded", "u2")]
     store = Registry(spark, str(tmp_path))
     assert store.load("concepts") is None
-    assert {r.op_type for r in U.fold_unit(store, spark.createDataFrame(first, columns)).collect()} == {"add_concept"}
-    ops = {r.unit_ref: r.op_type for r in U.fold_unit(store, spark.createDataFrame(second, columns)).collect()}
+    assert {r.op_type for r in U.fold_unit(store, spark.createDataFrame(first, columns))[0].collect()} == {"add_concept"}
+    ops = {r.unit_ref: r.op_type for r in U.fold_unit(store, spark.createDataFrame(second, columns))[0].collect()}
     assert ops == {"uc-1": "merge_concepts", "uc-2": "ambiguity", "uc-3": "add_concept"}
     got = {r.id: r for r in store.load("concepts").collect()}
     assert sorted(got) == ["rc-000001", "rc-000002", "rc-000003", "rc-000004"]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from marginalia.sources import reader
@@ -42,8 +43,50 @@ def test_epub(spark, tmp_path):
 
 
 def test_encoding():
-    assert reader.sniff_encoding(b"\xef\xbb\xbfabc") == "utf-8-sig"
-    assert reader.sniff_encoding("abc".encode("utf-16")) == "utf-16"
+    assert reader.sniff_encoding(b"\xef\xbb\xbfabc") == ("utf-8", b"\xef\xbb\xbf")
+    assert reader.sniff_encoding("abc".encode("utf-16"))[0] == "utf-16-le" and reader.sniff_encoding("plain text here".encode("utf-16-be"))[0] == "utf-16-be"
+    assert reader.sniff_encoding("déjà vu".encode("latin-1"))[0] == "cp1252" and reader.sniff_encoding("浮生六记闲情记趣".encode("gbk") * 5)[0].startswith("gb")
+    assert reader.sniff_encoding("é".encode() * 9 + b"\xc3") == ("utf-8", b"") and reader.sniff_encoding(b"") == ("utf-8", b"")
+    assert reader.html_encoding(b'<?xml version="1.0" encoding="gb2312"?>') == "gb2312" and reader.html_encoding(b"<meta charset=nonsense>") == "utf-8"
+    assert reader.decoded_page('<meta charset="gbk"><p>记</p>'.encode("gbk")).endswith("<p>记</p>")
+
+
+def test_books_in_other_encodings(spark, tmp_path):
+    text = "Chapter 1\nabc é – ü\nChapter 2\nend"
+    for name, encoding, body in (("l", "cp1252", text), ("u", "utf-16", text), ("b", "utf-16-be", text), ("g", "gbk", "第一章 闲情\n余忆童稚时，能张目对日。\n第二章 坎坷\n人生坎坷，何为乎来哉？")):
+        (tmp_path / f"{name}.txt").write_bytes(body.encode(encoding))
+        got = [r.text for r in reader.units_of(spark, str(tmp_path / f"{name}.txt")).orderBy("unit_id").collect()]
+        assert "".join(got) == body and len(got) == 2, name
+    (tmp_path / "bad.txt").write_bytes(b"Chapter 1\nabc \xff\xfe\x81 end" + "é".encode() * 3)
+    assert reader.units_of(spark, str(tmp_path / "bad.txt")).count() == 1
+
+
+def test_epub_metadata_and_content_units(spark, tmp_path):
+    _epub(tmp_path / "m.epub", "")
+    assert tuple(reader.epub_metadata(spark, str(tmp_path / "m.epub")).first())[1:] == ("T", "", "", 2)
+    units = spark.createDataFrame([("book", None, "book"), ("p", "book", "part"), ("c", "p", "chapter"), ("d", "book", "section")], "unit_id string, parent_id string, kind string")
+    assert sorted(r.unit_id for r in reader.content_units(units).collect()) == ["c", "d"]
+    assert [r.unit_id for r in reader.content_units(units.where("unit_id = 'book'")).collect()] == []
+
+
+def test_source_index(spark, tmp_path):
+    from marginalia.sources import index
+
+    units = spark.createDataFrame([("unit-0001", "One.\n\nTwo."), ("unit-0002", "Three.")], "unit_id string, text string")
+    (tmp_path / "b.txt").write_bytes(b"x")
+    digest = index.file_digests(spark, str(tmp_path / "b.txt")).first().digest
+    built = index.build(units, "b", "b.txt", digest, "txt")
+    assert built["meta"]["source_index_id"] == index.index_id("b", digest, "txt") != index.index_id("b", digest, "epub")
+    got = index.load(spark, index.save(spark, built, str(tmp_path / "index")))
+    assert got["meta"] == built["meta"] and got["meta"]["block_count"] == 3 and got["meta"]["total_chars"] == 16
+    rows = got["blocks"].orderBy("block_id").collect()
+    assert [(r.block_id, r.unit_id, r.book_start, r.book_end) for r in rows] == [("block-000001", "unit-0001", 0, 6), ("block-000002", "unit-0001", 6, 10), ("block-000003", "unit-0002", 10, 16)]
+    assert [r.text for r in index.blocks_of_unit(got["blocks"], "unit-0001", 5, 7).collect()] == ["One.\n\n", "Two."] and index.blocks_of_unit(got["blocks"], "zz").count() == 0
+    assert "text" not in index.block_metadata(got["blocks"]).columns and "book_start" in index.package_blocks(got["blocks"]).first().provenance
+    assert '"unit-0002"' in index.to_json(got, units)
+    spark.createDataFrame([("v0",)], "schema_version string").write.mode("overwrite").json(f"{tmp_path}/index/b/meta")
+    with pytest.raises(ValueError, match="schema"):
+        index.load(spark, f"{tmp_path}/index/b")
 
 
 def test_runs(spark, tmp_path):

@@ -51,12 +51,103 @@ def test_backend():
 
 def test_reading(spark, tmp_path):
     units = spark.createDataFrame([("unit-0001", "Ann went home.\n\nBob stayed there.\n\nAnn slept."), ("unit-0002", "Ann came back.\n\nCy left.")], "unit_id string, text string")
-    got = reading.run_reading(spark, units, K.RuleBackend(), str(tmp_path))
-    assert [r["operations"] for r in got["runs"]] == [{"add_concept": 2}, {"ambiguity": 1, "add_concept": 1}]
-    names = sorted(r.surface for r in Registry(spark, f"{tmp_path}/registry").load("concepts").collect())
-    assert names == ["Ann", "Ann", "Bob", "Cy"] and runs(spark, f"{tmp_path}/runs").count() == 2
-    items = spark.read.parquet(f"{tmp_path}/units/unit-0001/*/items").orderBy("item_id").collect()
-    assert [(r.item_id, r.concept_refs) for r in items] == [("item-0001", ["concept-0001"]), ("item-0002", ["concept-0002"]), ("item-0003", ["concept-0001"])]
+    said = []
+    got = reading.run_reading(spark, units, K.RuleBackend(), str(tmp_path), progress=said.append)
+    first, second = (r["operations"] for r in got["runs"])
+    assert first == {"add_concept": 2, "add_group": 1, "add_item": 3}
+    # the stand-in links by type alone; what shares nothing else is refused
+    assert second == {"merge_concepts": 1, "merge_rejected": 1, "continue_group": 1, "add_item": 2} and any("link" in x for x in said)
+    registry = Registry(spark, f"{tmp_path}/registry")
+    assert sorted(r.surface for r in registry.load("concepts").collect()) == ["Ann", "Bob", "Cy"] and runs(spark, f"{tmp_path}/runs").count() == 2
+    assert [r.kind for r in registry.load("unresolved").collect()] == ["merge_rejected"] and registry.load("digest").first().digest.startswith("3 concepts")
+    groups = {r.group_id: r for r in registry.load("groups").collect()}
+    assert groups["group-0002"].registry_group_ref == "group-0001" and groups["group-0002"].item_refs == ["item-0004", "item-0005"]
+    items = {r.item_id: r.concept_refs for r in registry.load("items").collect()}
+    assert items["item-0001"] == items["item-0003"] == items["item-0004"] == ["rc-000001"]
+    run = got["runs"][1]["run_hash"]
+    package = reading.load_package(spark, str(tmp_path), "unit-0002", run)
+    assert package["validation"]["passed"] and package["logical_groups"][0]["continuation"] == "continue"
+    page = reading.view(spark, str(tmp_path), "unit-0002", run)
+    assert '<mark data-concept="concept-0001">Ann</mark>' in page and "</script>" in page
+
+
+def test_a_package_that_cannot_be_mended(spark, tmp_path):
+    class Bad(K.RuleBackend):
+        def complete(self, prompt, payload):
+            if payload.get("task") == "grouping":
+                return {"logical_groups": [{"group_id": "g1", "group_type": "", "item_refs": []}]}
+            return super().complete(prompt, payload)
+
+    units = spark.createDataFrame([("u", "Ann went home.")], "unit_id string, text string")
+    with pytest.raises(reading.ReadingError, match="invalid_type_string"):
+        reading.run_reading(spark, units, Bad(), str(tmp_path))
+
+
+def test_fixes_by_code():
+    data = {"concepts": [{"concept_id": "c1", "source_block_refs": ["b1"]}, {"concept_id": "c1", "aliases": [{"x": 1}]}, {"concept_id": "c1_dedup2", "merged_from": ["c1"], "source_block_refs": []}], "start": "x"}
+    issues = [
+        {"code": "duplicate_object_id", "path": "concepts[1].concept_id"}, {"code": "wrong_item_type", "path": "concepts[1].aliases[0]"}, {"code": "missing_required_field", "path": "concepts[0].surface"}, {"code": "missing_required_field", "path": "concepts[0].odd"},
+        {"code": "wrong_field_type", "path": "start", "message": "start must be int"}, {"code": "missing_source_block_refs", "path": "concepts[2].source_block_refs"}, {"code": "unit_id_mismatch", "path": "unit_id"}, {"code": "unknown_ref", "path": "concepts[0].gone[0]"},
+    ]
+    out, left = P.fixed(data, issues)
+    assert out["concepts"][1] == {"concept_id": "c1_dedup3", "aliases": ['{"x": 1}']} and out["concepts"][0]["surface"] == "" and out["start"] == 0 and out["concepts"][2]["source_block_refs"] == ["b1"]
+    assert [i["path"] for i in left] == ["concepts[0].odd", "unit_id", "concepts[0].gone[0]"]
+    message = json.loads(P.repair_message(left))
+    assert message["task"] == "repair_extraction" and message["errors"][1]["code"] == "unit_id_mismatch"
+    assert P.synced({"concepts": [1], "x": 2}, {"concepts": [], "y": 3}) == {"concepts": [1], "y": 3} and P.log_line(left, 1).startswith("repair 1: 3 issues")
+    c = K.Conversation.begin("s", "u")
+    c.say("assistant", "a", ms=1)
+    P.record_on_turn(c, [{"code": "x", "severity": "error"}])
+    assert c.turns[-1]["validation"] == {"errors": 1, "codes": ["x"]}
+
+
+def test_http_backend():
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    answers = [(500, b""), (200, {"choices": [{"finish_reason": "length", "message": {"content": "{"}}]}), (200, {"choices": [{"message": {"content": "not json"}}]}), (200, {"choices": [{"message": {"content": 'Here: {"a": 1}'}}]}), (400, b"")]
+    asked = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            asked.append(json.loads(self.rfile.read(int(self.headers["Content-Length"]))))
+            code, body = answers[len(asked) - 1]
+            self.send_response(code)
+            self.end_headers()
+            self.wfile.write(body if isinstance(body, bytes) else json.dumps(body).encode())
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    b = K.backend_of("http", f"http://127.0.0.1:{server.server_port}/", "m", "k")
+    b.tries, b.wait = 5, 0
+    assert b.complete("p", {"x": 1}) == {"a": 1} and len(asked) == 4 and asked[0]["response_format"] == {"type": "json_object"} and b.identity() == "http:m:4096"
+    with pytest.raises(Exception, match="400"):
+        b.complete("p", {})
+    server.shutdown()
+    for args in (("other",), ("http",)):
+        with pytest.raises(ValueError):
+            K.backend_of(*args)
+    with pytest.raises(K.BudgetError):
+        K.HttpBackend("http://x", "m", output=0)
+    assert K.RuleBackend().complete("", {"task": "mentions", "text": "Ann came. Bob left."})["evidence_spans"][0]["quote"] == "Ann came."
+    assert K.RuleBackend().complete("", {"task": "digest_update", "previous_digest": "old", "concepts": []})["digest"].startswith("old\n0 concepts")
+
+
+def test_saved_passes_and_folders(spark, tmp_path):
+    from marginalia.sources import store
+
+    assert store.load_pass(spark, str(tmp_path / "passes"), "k") == {}
+    store.save_pass(spark, str(tmp_path / "passes"), "overview", "k", prompt="p", answer={"a": 1})
+    assert store.load_pass(spark, str(tmp_path / "passes"), "k") == {"prompt": "p", "answer": '{"a": 1}'}
+    book = store.book_id("/x/My Book.txt")
+    assert book.startswith("My-Book-") and store.folders("/c/", book, "u1")["unit"] == f"/c/{book}/units/u1" and store.scalars({"a": 1, "b": [1], "c": None}) == {"a": 1, "c": None}
+    r = Registry(spark, str(tmp_path / "r"))
+    assert r.tag("t") is None
+    r.save("t", spark.range(1), "7")
+    assert r.tag("t") == "7" and r.save("t", spark.range(2)) == 2 and r.tag("t") is None
 
 
 def test_context(spark):
@@ -76,3 +167,23 @@ def test_cli(spark, tmp_path, capsys):
     assert cli.main(["extract", str(tmp_path / "b.txt"), "unit-0002"], spark) == 0 and "Two came." in capsys.readouterr().out
     assert cli.main(["split-blocks", str(tmp_path / "b.txt"), "unit-0001"], spark) == 0 and capsys.readouterr().out.startswith("unit-0001\t0\t0\t")
     assert cli.main(["extract", str(tmp_path / "b.txt"), "unit-9"], spark) == 1
+
+
+def test_cli_checks_and_indexes(spark, tmp_path, capsys):
+    book = str(tmp_path / "b.txt")
+    (tmp_path / "b.txt").write_text("Chapter 1\nAnn went. Bob came.\nChapter 2\nTwo came.")
+    data = {"unit_id": "unit-0001", "evidence_spans": [{"evidence_id": "e1", "quote": "Ann went"}], "entity_mentions": [{"mention_id": "m", "surface": "Ann", "evidence_span_ids": ["e1"]}], "location_mentions": [], "atom_mentions": [], "time_expressions": [], "thread_candidates": [], "warnings": []}
+    (tmp_path / "x.json").write_text(json.dumps(data))
+    assert cli.main(["validate-result", book, "unit-0001", str(tmp_path / "x.json")], spark) == 0 and "passed: 0 errors" in capsys.readouterr().out
+    (tmp_path / "x.json").write_text(json.dumps(data | {"unit_id": "u", "evidence_spans": []}))
+    assert cli.main(["validate-result", book, "unit-0001", str(tmp_path / "x.json"), "--repair-payload"], spark) == 1
+    assert {i["code"] for i in json.loads(capsys.readouterr().out)["issues"]} == {"unit_id_mismatch", "unresolved_evidence_ref"}
+    (tmp_path / "x.json").write_text("{")
+    assert cli.main(["validate-result", book, "unit-0001", str(tmp_path / "x.json")], spark) == 2
+    capsys.readouterr()
+    assert cli.main(["source-index", book, "--save", str(tmp_path / "index")], spark) == 0
+    place, ident, n = capsys.readouterr().out.split()
+    from marginalia.sources import index
+
+    got = index.load(spark, place)
+    assert got["meta"]["source_index_id"] == ident and got["blocks"].count() == int(n)

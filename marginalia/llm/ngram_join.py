@@ -23,7 +23,7 @@ LEAST = (4, 5)
 RECALL = 0.99999
 MOST_HASHES = 256
 #: Sets of a block, and hashes in all of its sets, about; two blocks at a time are compared in memory.
-BLOCK, BLOCK_HASHES = 1024, 2 << 20
+BLOCK, BLOCK_HASHES = 256, 1 << 20
 #: Steps over bands from a set to its home.
 HOPS = 3
 _NO_ID = (1 << 63) - 1

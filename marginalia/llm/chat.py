@@ -39,9 +39,15 @@ def maximal(turns: DataFrame) -> DataFrame:
     return kept.select("conv_id", F.col("n").alias("n_turns"), "n_copies")
 
 
+def escaped(text: Column) -> Column:
+    """A text in which no mark can begin: ``<|`` gets a backslash between, and so does ``<`` before a backslash, so no two texts become one."""
+    return F.replace(F.replace(text, F.lit("<\\"), F.lit("<\\\\")), F.lit("<|"), F.lit("<\\|"))
+
+
 def rendered(turns: Column) -> Column:
-    """The turns (structs that end in role and text) one after another between the marks."""
-    one = lambda t: F.concat(F.lit(OPEN), t["role"], F.lit("\n"), t["text"], F.lit(CLOSE + "\n"))
+    """The turns (structs that end in role and text) one after another between the marks, which the texts themselves cannot hold. A line break in
+    a role is a blank."""
+    one = lambda t: F.concat(F.lit(OPEN), escaped(F.replace(t["role"], F.lit("\n"), F.lit(" "))), F.lit("\n"), escaped(t["text"]), F.lit(CLOSE + "\n"))
     return F.array_join(F.transform(turns, one), "")
 
 

@@ -183,9 +183,19 @@ def _ranked(rows: DataFrame, salts: int) -> DataFrame:
     return out.withColumn("rank", F.col("rank") + F.col("class_before")).withColumn("fulls", F.col("fulls") + F.col("fulls_before"))
 
 
-def _slots_frame(spark: SparkSession, slots: list[Slot]) -> DataFrame:
-    schema = "rest long, low long, high long, offset long, length long, first long, copies long, sequence long, at long"
-    return spark.createDataFrame([(s.rest, s.low, s.high, s.offset, s.length, s.first, s.copies, s.sequence, s.at) for s in slots], schema)
+def _slots_frame(spark: SparkSession, slots: list[Slot], counts: dict[int, int]) -> tuple[DataFrame, DataFrame]:
+    """Slots by ranges of ranks (``rest, bucket``), and the width of the ranges of each rest.
+
+    The width is what a rest's documents and slots make on average, so slots lie in twice their number of ranges at most, and a
+    document meets about two of them, however many slots its rest has.
+    """
+    many: dict[int, int] = {}
+    for s in slots:
+        many[s.rest] = many.get(s.rest, 0) + 1
+    width = {rest: max(1, -(-counts[rest] // n)) for rest, n in many.items()}
+    rows = [(s.rest, k, s.low, s.high, s.offset, s.length, s.first, s.copies, s.sequence, s.at) for s in slots for k in range(s.low // width[s.rest], (s.high - 1) // width[s.rest] + 1)]
+    schema = "rest long, bucket long, low long, high long, offset long, length long, first long, copies long, sequence long, at long"
+    return F.broadcast(spark.createDataFrame(rows, schema)), F.broadcast(spark.createDataFrame(sorted(width.items()), "rest long, width long"))
 
 
 def _crc_of_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,8 +225,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     whole = ranked.select("doc_id", "doc_tokens", "fulls", F.posexplode("full_crc32").alias("k", "ids_crc32")).select(
         "doc_id", (F.col("k") * capacity).cast("long").alias("start"), F.lit(capacity).cast("long").alias("length"), "doc_tokens", (F.lit(sequences) + F.col("fulls") + F.col("k")).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), "ids_crc32"
     )
-    plan_rows = F.broadcast(_slots_frame(spark, slots))  # bounded by the number of lengths
-    met = ranked.join(plan_rows, "rest").where((F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
+    plan_rows, widths = _slots_frame(spark, slots, counts)  # bounded by the number of lengths
+    ranged = ranked.join(widths, "rest").withColumn("bucket", F.floor(F.col("rank") / F.col("width")).cast("long"))
+    met = ranged.join(plan_rows, ["rest", "bucket"]).where((F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
     j = F.col("first") + F.col("rank") - F.col("low")
     piece = met.select(
         "rid", "rest", "rest_crc32", F.col("offset").alias("piece_offset"), "doc_id", (F.col("doc_tokens") - F.col("rest") + F.col("offset")).alias("start"), "length", "doc_tokens",

@@ -25,7 +25,7 @@ FROM s JOIN e ON e.k = CASE WHEN len(s.grams) = 0 THEN [[s.doc_id::VARCHAR, '']]
 
 OP3 = r"""
 WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM conversations),
-r AS (SELECT conv_id, pos, role, text, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS one FROM t),
+r AS (SELECT conv_id, pos, role, text, '<|im_start|>' || replace(replace(replace(role, chr(10), ' '), '<\', '<\\'), '<|', '<\|') || chr(10) || replace(replace(text, '<\', '<\\'), '<|', '<\|') || '<|im_end|>' || chr(10) AS one FROM t),
 p AS (SELECT conv_id, pos, max(pos) OVER (PARTITION BY conv_id) AS n,
              list({'role': role, 'text': text}) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM r),
 w AS (SELECT upto, n, min(conv_id) AS conv_id, count(*) AS n_copies FROM p WHERE pos = n GROUP BY upto, n),

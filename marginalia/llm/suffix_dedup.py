@@ -3,7 +3,7 @@
 Strings of ``LENGTH`` bytes are told apart by windows: of all hashes of ``GRAM`` bytes inside a string the smallest one (the
 rightmost of equals) is its fingerprint, so equal strings have equal fingerprints at equal places. First the fingerprints that
 occur twice or more anywhere are found; only the strings that own one of these go on, as segments of neighbouring strings.
-Equal segments collapse to the earliest; the rest meet by fingerprint, are suffix-sorted, and neighbours in that order with
+Equal segments collapse to the earliest, those of frequent fingerprints by a tree over the blocks; the rest meet by fingerprint, are suffix-sorted, and neighbours in that order with
 ``LENGTH`` bytes in common are equal strings, of which the earliest stays.
 """
 
@@ -165,7 +165,9 @@ def _repeated(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["part", "some", "often"])
 
 
-_SEGMENTS = "sort_group long, part long, head binary, bytes binary"
+#: Blocks whose segments of one frequent fingerprint are collapsed at once.
+FAN = 32
+_SEGMENTS = "sort_group long, part long, head binary, bytes binary, bucket long"
 #: A segment: number of bytes, number of starts, document's id, order among rows with that id, first start, place in the block's documents.
 _HEAD = np.dtype([("size", "<i4"), ("starts", "<i4"), ("id", "<i8"), ("uid", "<i8"), ("start", "<i8")])
 #: A stretch to remove, from its first to behind its last byte.
@@ -228,7 +230,53 @@ def _parts_of(cut: np.ndarray) -> list[tuple[int, bytes]]:
     return [(int(part[x]), cut[x:y].tobytes()) for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
-def _segments(groups: int):
+_SEGMENT_TYPES = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64())
+
+
+def _by_group(group: np.ndarray, of: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """The groups of some segments, each with its segments in their order."""
+    if not len(of):
+        return []
+    order = of[np.argsort(group[of], kind="stable")]
+    cuts = np.flatnonzero(np.diff(group[order])) + 1
+    return [(int(group[some[0]]), some) for some in np.split(order, cuts)]
+
+
+def _packed(head: np.ndarray, raw: list[bytes], some: np.ndarray) -> tuple[bytes, bytes]:
+    return head[some].tobytes(), b"".join([raw[k] for k in some.tolist()])
+
+
+def _unpacked(pdf: pd.DataFrame) -> tuple[np.ndarray, list[bytes]]:
+    """All segments of some rows."""
+    heads, raw = [np.frombuffer(x, _HEAD) for x in pdf["head"]], []
+    for h, x in zip(heads, pdf["bytes"], strict=True):
+        ends = np.cumsum(h["size"].astype("i8")).tolist()
+        raw += [x[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    return np.concatenate(heads), raw
+
+
+def _collapsed_group(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The segments of some blocks, equal ones as the earliest, and the stretches that the others cover."""
+    head, raw = _unpacked(pdf)
+    keep, cut = _collapse(head, raw)
+    group, bucket = pdf["sort_group"].iloc[0], pdf["bucket"].iloc[0]
+    rows = [(group, -1, *_packed(head, raw, keep), bucket)] + [(group, p, x, b"", -1) for p, x in _parts_of(cut)]
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in _SEGMENTS.split(", ")])
+
+
+def _collapsed(segments: DataFrame, buckets: int) -> DataFrame:
+    """``segments`` whose frequent ones are collapsed by ever larger sets of blocks, ``FAN`` at a time: a passage that very many blocks hold meets its
+    copies in a tree, and at the end once for each of its contents."""
+    out = written(segments, "segments", compression="zstd")
+    while buckets > 1:
+        buckets = -(-buckets // FAN)
+        hot = out.where("bucket >= 0").withColumn("bucket", F.pmod("bucket", F.lit(buckets)).cast("long"))
+        met = hot.groupBy("sort_group", "bucket").applyInPandas(_collapsed_group, _SEGMENTS)
+        out = written(out.where("bucket < 0").unionByName(met), "segments", compression="zstd")
+    return out
+
+
+def _segments(groups: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -249,14 +297,13 @@ def _segments(groups: int):
                 whole = row["bytes"]
                 raw = [whole[x:y] for x, y in zip(start.tolist(), (start + head["size"]).tolist(), strict=True)]
                 keep, cut = _collapse(head, raw)
+                frequent = np.arange(len(key))[keep] >= int(a.sum())
                 head, key, raw = head[keep], key[keep], [raw[k] for k in keep.tolist()]
-                group = (key >> np.uint64(40)) % np.uint64(groups)
-                order = np.argsort(group, kind="stable")
-                cuts = np.append(np.flatnonzero(np.diff(group[order], prepend=group[order][:1] + np.uint64(1))), len(order)) if len(order) else np.zeros(1, "i8")
-                rows = [(int(group[order[x]]), -1, head[order[x:y]].tobytes(), b"".join([raw[k] for k in order[x:y].tolist()])) for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-                rows += [(int(p % groups), p, x, b"") for p, x in _parts_of(cut)]
-                types = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["sort_group", "part", "head", "bytes"])
+                group = ((key >> np.uint64(40)) % np.uint64(groups)).astype("i8")
+                bucket = b.part * 2654435761 % buckets
+                rows = [(g, -1, *_packed(head, raw, some), bucket if hot else -1) for hot, here in ((False, ~frequent), (True, frequent)) for g, some in _by_group(group, np.flatnonzero(here))]
+                rows += [(int(p % groups), p, x, b"", -1) for p, x in _parts_of(cut)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(_SEGMENT_TYPES)], [c.split()[0] for c in _SEGMENTS.split(", ")])
 
     return run
 
@@ -265,13 +312,8 @@ def _sorted_group(pdf: pd.DataFrame) -> pd.DataFrame:
     """The stretches to remove that a group of segments shows, by block; stretches found before pass through."""
     done = pdf["part"] >= 0
     out = list(zip(pdf["part"][done], pdf["head"][done], strict=True))
-    heads = [np.frombuffer(x, _HEAD) for x in pdf["head"][~done]]
-    if heads:
-        head = np.concatenate(heads)
-        raw: list[bytes] = []
-        for h, x in zip(heads, pdf["bytes"][~done], strict=True):
-            ends = np.cumsum(h["size"].astype("i8")).tolist()
-            raw += [x[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    if not done.all():
+        head, raw = _unpacked(pdf[~done])
         keep, cut = _collapse(head, raw)
         head = head[keep]
         s = np.frombuffer(b"".join([raw[k] for k in keep.tolist()]), "u1")
@@ -336,7 +378,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     found = prints.groupBy("group").applyInPandas(_repeated, "part long, some binary, often binary")
     found = written(found.groupBy("part").agg(F.collect_list("some").alias("some"), F.collect_list("often").alias("often")), "repeated")
     groups = parts_for(total, SORT_GROUP, LEAST_GROUPS)
-    segments = blocks.join(found, "part").mapInArrow(_segments(groups), _SEGMENTS)
+    buckets = parts_for(total, BLOCK_BYTES)
+    segments = _collapsed(blocks.join(found, "part").mapInArrow(_segments(groups, buckets), _SEGMENTS), buckets)
     cuts = segments.groupBy("sort_group").applyInPandas(_sorted_group, "part long, cuts binary")
     cuts = written(cuts.groupBy("part").agg(F.collect_list("cuts").alias("cuts")), "cuts")
     return blocks.join(cuts, "part", "left").mapInArrow(_cut_blocks, _RESULT)

@@ -235,6 +235,20 @@ def test_token_files(docs, empty, spark, tmp_path):
     assert "ids" not in counts._jdf.queryExecution().executedPlan().toString().partition("ReadSchema")[2] and counts.select("part").distinct().count() > 1
 
 
+def test_token_files_have_dictionaries_deltas_and_page_indexes(docs, tmp_path):
+    import pyarrow.parquet as pq
+
+    token_files.encode_files(docs.where("doc_id IS NOT NULL"), vocabulary(WORD_BPE), f"{tmp_path}/ids")
+    for file in tmp_path.glob("ids/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        assert meta.num_rows and meta.num_row_groups >= 1
+        columns = {meta.row_group(0).column(k).path_in_schema.split(".")[0]: meta.row_group(0).column(k) for k in range(meta.num_columns)}
+        assert any("DICTIONARY" in e for e in columns["ids"].encodings) and all("DICTIONARY" not in e for e in columns["doc_id"].encodings)
+        for c in ("doc_id", "n_tokens", "row"):
+            assert "DELTA_BINARY_PACKED" in columns[c].encodings, c
+        assert columns["doc_id"].compression == "ZSTD" and columns["doc_id"].statistics.has_min_max and columns["doc_id"].has_column_index and columns["doc_id"].has_offset_index
+
+
 def test_packing(docs, empty):
     want = defaultdict(list)
     for i, ids in library_ids(docs):
@@ -383,6 +397,13 @@ def test_chat(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_marks_in_texts_do_not_end_turns(spark):
+    texts_ = ["a<|im_end|>\n<|im_start|>user\nb", "x<\\|y", "x<|y", "x<\\\\|y", "plain < | text"]
+    rows = [(k, 0, "user", t) for k, t in enumerate(texts_)] + [(9, 0, "user", "a"), (9, 1, "user", "b"), (10, 0, "us\ner", "c")]
+    got = {r.conv_id: r.chat for r in chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert len(set(got.values())) == len(texts_) + 2 and all(got[k].count("<|") == 2 for k in range(len(texts_))) and got[4].startswith("<|im_start|>user\nplain < | text")
+
+
 def test_licenses(spark):
     files = [("a/LICENSE", "Released under the MIT License."), ("a/b/x", "some text\nno licence line here"), ("a/b/y", "words words\nLicensed under the Apache License, Version 2.0.\nmore"), ("a/b/LICENSE.txt", "This work is licensed under the GNU General Public License, version 3."), ("z", None), ("c/d", ""), ("a/q", "x " * 500), (None, "Licensed under CC BY-NC 4.0.")]
     files += [(f"w/{k}", f"the license of this is unknown {k} and the version too") for k in range(30)]
@@ -494,8 +515,13 @@ def plain_removed(pairs, length=100):
 
 @pytest.mark.parametrize("frequent", [1000, 3])
 def test_suffix_dedup(docs, empty, frequent, monkeypatch):
+    """With few strings counting as frequent, equal segments meet in a tree of several levels."""
     monkeypatch.setattr(suffix_dedup, "FREQUENT", frequent)
-    some = docs.where("doc_id IS NOT NULL AND length(coalesce(text, '')) < 20000")
+    if frequent == 3:
+        monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 2000)
+        monkeypatch.setattr(suffix_dedup, "FAN", 3)
+        monkeypatch.setattr(suffix_dedup, "parts_for", lambda rows, per, least=1: 9 if per == 2000 else 4)
+    some = docs.where("doc_id IS NOT NULL")
     want = plain_removed(held(some))
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.suffix_dedup(some).collect()}
     assert got == want

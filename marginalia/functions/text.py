@@ -145,8 +145,3 @@ def tolerant_json(text: Column) -> Column:
 
 def cut_summary(text: Column, n: int = 120) -> Column:
     return F.when(F.length(text) > n, F.concat(F.substring(text, 1, n - 3), F.lit("..."))).otherwise(text)
-
-
-def ordered_union(arrays: Column) -> Column:
-    """Distinct values of an array of arrays in order of first appearance."""
-    return F.array_distinct(F.flatten(arrays))

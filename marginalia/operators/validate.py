@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab as V
 
-PRIOR = r"^(context|prior|book_context):"
-
 
 def issue(subject: Column, severity: str, code: str, path: Column, message: str) -> list[Column]:
     return [subject.cast("string").alias("subject_id"), F.lit(severity).alias("severity"), F.lit(code).alias("code"), path.cast("string").alias("path"), F.lit(message).alias("message")]
@@ -33,10 +31,6 @@ def deduplicated_id(ident: Column, copy: Column) -> Column:
     return F.when(copy > 1, F.concat(ident, F.lit("_dedup"), copy.cast("string"))).otherwise(ident)
 
 
-def prior_context(ref: Column) -> Column:
-    return ref.rlike(PRIOR)
-
-
 def grounding_issues(rows: DataFrame, ident: str) -> DataFrame:
     """Rows (``grounding``, ``source_block_refs``) without block, unless inferred, or with a grounding that no vocabulary has."""
     g = F.coalesce("grounding", F.lit(""))
@@ -95,15 +89,6 @@ def passed(issues: DataFrame) -> DataFrame:
     return issues.agg(F.coalesce(e, F.lit(0)).alias("n_errors"), F.coalesce(w, F.lit(0)).alias("n_warnings")).withColumn("passed", F.col("n_errors") == 0)
 
 
-def actionable(issues: DataFrame) -> DataFrame:
-    """All errors, and the warnings that a repair can act on."""
-    return issues.where((F.col("severity") == "error") | F.col("code").isin("evidence_quote_ambiguous", "surface_not_in_evidence_context"))
-
-
-def strip_empty(values: Column) -> Column:
-    return F.filter(F.coalesce(values, F.array()), lambda x: F.trim(x) != "")
-
-
 def inherited_refs(rows: DataFrame, members: DataFrame) -> DataFrame:
     """Block references of merged rows that have none, from the rows they were merged from.
 

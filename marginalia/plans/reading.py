@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from ..operators import blocks as B
 from ..operators import entities as E
 from ..operators import locate as L
+from ..operators import registry as R
 from ..operators import search as S
 from ..operators import views as W
-from ..operators.packages import UNIT_SCHEMA, coerced, summary, unit_issues
+from ..operators.packages import UNIT_SCHEMA, coerced, index_id_of, summary, unit_issues
 from ..operators.proposals import apply_to_concepts, apply_to_groups, equivalent, listed, screened
 from ..operators.repair import repair_message, repaired
 from ..operators.tools import Tools, with_tools
@@ -228,9 +229,18 @@ class Reader:
             raise ReadingError(unit_id, errors)
         return data | {"validation": summary(issues)}
 
+    def bind(self, index_id: str) -> None:
+        """Holds the registry to one source index: the first unit's."""
+        have = self.registry.load("meta")
+        before = "" if have is None else have.first()["source_index_id"]
+        if R.bound_index(before, index_id) != before:
+            self.registry.save("meta", self.spark.createDataFrame([(index_id,)], "source_index_id string"))
+
     def fold(self, data: dict[str, Any]) -> dict[str, int]:
         """Adds a package to the registry; gives its operations by type."""
         unit = data["unit_id"]
+        if index_id_of(data):
+            self.bind(index_id_of(data))
         rows = [(f"{unit}:{c['concept_id']}", c.get("surface", ""), c.get("concept_type", "other"), c.get("canonical_name") or "", c.get("summary", ""), c.get("aliases") or [], c.get("observed_surfaces") or [], c.get("source_block_refs") or [], (c.get("provenance") or {}).get("grounding", "source_grounded"), unit) for c in data["concepts"]]
         links = [(f"{unit}:{c['concept_id']}", c["registry_ref"]) for c in data["concepts"] if c.get("registry_ref")]
         make = self.spark.createDataFrame

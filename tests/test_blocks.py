@@ -38,3 +38,14 @@ def test_source_blocks(spark):
     assert B.contiguity_issues(b, "unit_id").count() == 0
     broken = b.withColumn("end", F.when(F.col("block_index") == 0, F.col("end") + 1).otherwise(F.col("end")))
     assert B.contiguity_issues(broken, "unit_id").count() >= 2
+
+
+def test_paragraphs_are_cut_alike_both_ways(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(["a", "b c", "\n", "\n", " ", "\t", "　", "\r"]) for _ in range(rng.randint(0, 25))) for _ in range(400)] + ["", "\n\n", "a\n\n\n", "x" + "\n" * 3000 + "y"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    slow = F.regexp_extract_all("t", F.lit(r"(?s)(?U)\A\n\s*\n|.+?(?:\n\s*\n|\z)"), 0)
+    for r in df.select("k", B.paragraphs(F.col("t")).alias("fast"), slow.alias("slow")).collect():
+        assert r.fast == r.slow and "".join(r.fast) == texts[r.k]
+    odd = df.select(B.paragraphs(F.concat("t", F.lit("\ue000z"))).alias("p"), "k")
+    assert all("".join(r.p) == texts[r.k] + "\ue000z" for r in odd.collect())

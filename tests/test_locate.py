@@ -26,6 +26,7 @@ def test_segments(spark):
     df = spark.createDataFrame([("u", "a", 0, 40, 100), ("u", "b", 30, 60, 100), ("u", "c", None, 80, 100), ("u", "d", None, None, 100)], "unit_id string, segment_id string, start long, end long, unit_chars long")
     got = {r.segment_id: (r.start, r.end) for r in L.resolved_segments(df).collect()}
     assert got == {"a": (0, 30), "b": (30, 60), "c": (60, 100)}
+    assert {r.segment_id: r.missing for r in L.segment_hints(df).collect()} == {"c": "start_quote", "d": "start_quote,end_quote"}
 
 
 def test_short_and_cut_quotes_are_found(spark, tmp_path):

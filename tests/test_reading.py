@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from marginalia import cli
 from marginalia.operators import context as X
@@ -161,6 +162,38 @@ def test_context(spark):
     assert [r.record_id for r in pack.records] == ["u2:e1", "u1:e1"] and [t.record_id for t in pack.threads] == ["t2", "t1"]
 
 
+def test_older_packages_and_contexts(spark, tmp_path):
+    one = {"unit_id": "u1", "entity_records": [{"entity_id": "e1", "canonical_name": "Ann", "surfaces": ["Ann", "she"], "refs": ["t1"]}], "thread_records": [{"thread_id": "t1", "name": "a trip", "status": "resolved"}]}
+    two = {"data": {"unit_id": "u2", "location_records": [{"location_id": "l1", "surfaces": ["Rome"]}], "thread_records": [{"thread_id": "t1", "name": "a search", "status": "open"}]}}
+    for name, p in (("a", json.dumps(one)), ("b", json.dumps(two)), ("c", "{")):
+        (tmp_path / f"{name}.json").write_text(p)
+    rows = X.legacy_records(spark, str(tmp_path))
+    assert sorted((r.unit_id, r.kind, r.local_id, r.name, r.status) for r in rows.collect()) == [("u1", "entity", "e1", "Ann", ""), ("u1", "thread", "t1", "a trip", "resolved"), ("u2", "location", "l1", "Rome", ""), ("u2", "thread", "t1", "a search", "open")]
+    named = rows.select(X.scoped(F.col("unit_id"), F.col("local_id")).alias("record_id"), "name", "kind", "status")
+    pack = X.passive_pack(named).first()
+    assert [r.record_id for r in pack.records] == ["u1:e1", "u2:l1"] and [t.name for t in pack.threads] == ["a search", "a trip"]
+    X.save_context(str(tmp_path / "out"), records=named, pack=X.passive_pack(named))
+    assert spark.read.json(str(tmp_path / "out" / "records")).count() == 4
+
+
+def test_a_registry_stands_on_one_index(spark, tmp_path):
+    r = reading.Reader(spark, K.RuleBackend(), str(tmp_path))
+    r.bind("i1")
+    r.bind("i1")
+    with pytest.raises(ValueError):
+        r.bind("i2")
+
+
+def test_selection_and_text_cleanup(spark):
+    from marginalia.functions import text as T
+
+    surfaces = spark.createDataFrame([("r1", "Ann"), ("r2", "Bo"), ("r3", "Cy Lee")], "record_id string, surface string")
+    report = {r.matched: (r.n_surfaces, r.n_short) for r in X.selection_report(spark.createDataFrame([("u", "r1")], "unit_id string, record_id string"), surfaces).collect()}
+    assert report == {True: (1, 0), False: (2, 1)}
+    row = spark.createDataFrame([(" a\xa0&amp;&nbsp; b\r ", "\n x\n\n\n\ny ")], "a string, b string").select(T.collapse_space(F.col("a")), T.cleanup(F.col("b"))).first()
+    assert tuple(row) == ("a & b", "x\n\ny")
+
+
 def test_cli(spark, tmp_path, capsys):
     (tmp_path / "b.txt").write_text("Chapter 1\nOne went.\nChapter 2\nTwo came.")
     assert cli.main(["index", str(tmp_path / "b.txt")], spark) == 0 and "Chapter 2" in capsys.readouterr().out

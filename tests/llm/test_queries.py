@@ -54,3 +54,18 @@ def test_pipeline(spark):
         assert r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes())
         total += r.length
     assert total == sum(map(len, ids.values()))
+
+
+def test_stages_on_odd_tables(spark):
+    """Null ids, ids that repeat, null and empty texts, columns with the stages' own names, and no rows at all."""
+    good = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, good, "en", "h", 1, "x"), (1, good, "en", "h", 1, "y"), (None, good + " tail", None, None, None, "z"), (None, None, "en", "h", 0, "q"), (2, "", "en", "h", 0, "q"), (3, good.replace("w3 ", "mail a.b@c.de "), "en", "h", 9, "r"), (3, "other " + " ".join(f"v{k}" for k in range(50)), "en", "h", 9, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept string")
+    for some in (docs, docs.limit(0)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            after = stage(spark, some, SF)
+            assert after.columns == docs.columns
+            some = spark.createDataFrame(after.collect(), docs.schema)
+        pieces = corpus_pipeline.STAGES[-1][1](spark, some, SF).collect()
+        assert len({(r.doc_id, r.doc_tokens) for r in pieces}) == some.count()
+    assert some.count() == 0 and pieces == []

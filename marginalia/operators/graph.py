@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import written
-from .skew import with_least
+from .skew import salted_join, with_least
 
 #: More rounds than any graph needs whose longest path fits in 2**ROUNDS steps.
 ROUNDS = 40
@@ -44,3 +44,19 @@ def components(edges: DataFrame) -> DataFrame:
 def linked_by_key(rows: DataFrame, node: str, key: str) -> DataFrame:
     """Edges that join all rows of a key: each to the smallest, so their number is that of the rows."""
     return with_least(rows.select(node, key), key, node, "a").select("a", F.col(node).alias("b"))
+
+
+def ends(links: DataFrame) -> DataFrame:
+    """``node, end`` for each node of ``links`` (``node, to``: one row a node, no circles); ``end`` is the last node that links lead to.
+
+    Pointers are doubled: in each round a node takes the pointer of the node it points to, so a chain of n links is done in log2(n)
+    rounds. Nodes that many point to are dealt to pieces. Each round is written; an empty table gives none.
+    """
+    at, open_rows = written(links.select("node", "to", F.lit(True).alias("open")), "pointers"), None
+    for _ in range(ROUNDS):
+        further = salted_join(at, at.select(F.col("node").alias("to"), F.col("to").alias("further")), ["to"], F.col("node"), "left")
+        at = written(further.select("node", F.coalesce("further", "to").alias("to"), F.col("further").isNotNull().alias("open")), "pointers")
+        open_rows = at.agg(F.count_if("open")).first()[0]
+        if not open_rows:
+            return at.select("node", F.col("to").alias("end"))
+    raise RuntimeError(f"{open_rows} nodes lie on circles")

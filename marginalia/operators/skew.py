@@ -27,12 +27,13 @@ def salted_join(rows: DataFrame, per_key: DataFrame, keys: list[str], by: Column
     return dealt.join(pieces, [*keys, _SALT], how).drop(_SALT)
 
 
-def with_least(rows: DataFrame, key: str, value: str, out: str = "least", more_than: int = 0, salts: int = SALTS, by: str | None = None) -> DataFrame:
-    """``rows`` of keys with more than ``more_than`` rows, and beside each the least ``value`` of its key, found and joined by pieces, which
-    rows are dealt to ``by`` a column, else by their value."""
+def with_least(rows: DataFrame, key: str, value: str, out: str = "least", more_than: int = 0, salts: int = SALTS, by: str | None = None, count: str | None = None) -> DataFrame:
+    """``rows`` of keys with more than ``more_than`` rows, and beside each the least ``value`` of its key, and their number as ``count``, if
+    that is named; found and joined by pieces, which rows are dealt to ``by`` a column, else by their value."""
     dealt = rows.withColumn(_SALT, salt(by or value, salts=salts))
     pieces = dealt.groupBy(key, _SALT).agg(F.min(value).alias(out), F.count("*").alias("__n"))
-    low = pieces.groupBy(key).agg(F.min(out).alias(out), F.sum("__n").alias("__n")).where(F.col("__n") > more_than).drop("__n")
+    low = pieces.groupBy(key).agg(F.min(out).alias(out), F.sum("__n").alias("__n")).where(F.col("__n") > more_than)
+    low = low.withColumnRenamed("__n", count) if count else low.drop("__n")
     return dealt.join(pieces.select(key, _SALT).join(low, key), [key, _SALT]).drop(_SALT)
 
 

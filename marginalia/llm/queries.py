@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, exact_dedup, licenses, ngram_join, packing, pii, quality, suffix_dedup, token_files
+from . import bpe, chat, coordinate_join, exact_dedup, golden, licenses, ngram_join, packing, pii, quality, spelling, suffix_dedup, token_files
 from .runtime import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_golden_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golden.golden_records(table(spark, sf_dir, "clients"))
+
+
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coordinate_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -70,7 +82,7 @@ def _shipped(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _shipped(f) for f in (op1_ngram_jaccard, op2_byte_bpe, op3_chat_formatting, op4_pii, op5_license_scan, op6_token_files, op7_exact_dedup, op8_suffix_dedup, op9_quality_rules, op10_packing)}
+    return {f.__name__: _shipped(f) for f in (op1_ngram_jaccard, op2_byte_bpe, op3_chat_formatting, op4_pii, op5_license_scan, op6_token_files, op7_exact_dedup, op8_suffix_dedup, op9_quality_rules, op10_packing, op11_spelling_variants, op12_golden_record, op13_minhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -54,9 +54,42 @@ quality AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat
             FROM b LEFT JOIN hv ON b.source = hv.host)
 """
 
+OP12 = r"""
+WITH t AS (SELECT coalesce(master_id, client_id) AS c, client_id, updated_at AS u, nation_id, balance,
+    CASE source WHEN 'crm' THEN 0 WHEN 'web' THEN 1 WHEN 'store' THEN 2 WHEN 'partner' THEN 3 ELSE 4 END AS trust,
+    CASE WHEN regexp_matches(name, '[^\x20\x09-\x0D]') THEN name END AS name, CASE WHEN regexp_matches(email, '[^\x20\x09-\x0D]') THEN email END AS email,
+    CASE WHEN regexp_matches(city, '[^\x20\x09-\x0D]') THEN city END AS city, CASE WHEN regexp_matches(segment, '[^\x20\x09-\x0D]') THEN segment END AS segment FROM clients),
+r AS (SELECT *, u IS NULL OR max(u) OVER (PARTITION BY c) - u > INTERVAL 1440 HOUR AS stale, (city IS NOT NULL)::INT + (nation_id IS NOT NULL)::INT AS filled FROM t),
+n AS (SELECT c, count(*) AS n_records, count(*) FILTER (WHERE stale) AS n_stale FROM r GROUP BY c),
+s AS (SELECT c, segment, client_id AS segment_from FROM r WHERE segment IS NOT NULL QUALIFY row_number() OVER (PARTITION BY c ORDER BY u DESC NULLS LAST, trust, client_id) = 1),
+e AS (SELECT c, email, client_id AS email_from FROM r WHERE email IS NOT NULL QUALIFY row_number() OVER (PARTITION BY c ORDER BY stale, trust, u DESC NULLS LAST, client_id) = 1),
+m AS (SELECT c, name, client_id AS name_from FROM r WHERE name IS NOT NULL QUALIFY row_number() OVER (PARTITION BY c ORDER BY length(name) DESC, stale, trust, u DESC NULLS LAST, client_id) = 1),
+a AS (SELECT c, city, nation_id, CASE WHEN filled > 0 THEN client_id END AS address_from FROM r QUALIFY row_number() OVER (PARTITION BY c ORDER BY filled DESC, stale, trust, u DESC NULLS LAST, client_id) = 1),
+b AS (SELECT r.c, balance, client_id AS balance_from FROM r LEFT JOIN s ON s.c = r.c WHERE balance IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY r.c ORDER BY r.segment IS DISTINCT FROM s.segment AND s.segment IS NOT NULL, u DESC NULLS LAST, trust, client_id) = 1)
+SELECT n.c AS cluster_id, n_records, n_stale, name, email, segment, city, nation_id, floor(100 * balance + 0.5)::BIGINT AS balance_cents, name_from, email_from, segment_from, balance_from, address_from
+FROM n LEFT JOIN s ON s.c = n.c LEFT JOIN e ON e.c = n.c LEFT JOIN m ON m.c = n.c LEFT JOIN a ON a.c = n.c LEFT JOIN b ON b.c = n.c
+"""
+
+OP13 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [ws]
+             ELSE list_transform(range(1, len(ws) - 2), lambda i: list_slice(ws, i, i + 3)) END)) AS grams FROM w),
+e AS (SELECT CASE WHEN len(grams) = 0 THEN [[doc_id::VARCHAR, '']] ELSE grams END AS k, min(doc_id) AS id, len(any_value(grams)) AS size FROM s GROUP BY 1),
+g AS (SELECT id, size, unnest(k) AS gram FROM e WHERE size > 0),
+c AS (SELECT a.id AS a, b.id AS b, count(*) AS n, any_value(a.size) AS sa, any_value(b.size) AS sb FROM g a JOIN g b ON a.gram = b.gram AND a.id <> b.id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c WHERE 100 * n >= 80 * (sa + sb - n)),
+r(id, root) AS (SELECT id, id FROM e UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id),
+m AS (SELECT id, min(root) AS component_id FROM r GROUP BY id)
+SELECT s.doc_id, len(s.grams)::BIGINT AS n_shingles, m.component_id, s.doc_id = m.component_id AS kept
+FROM s JOIN e ON e.k = CASE WHEN len(s.grams) = 0 THEN [[s.doc_id::VARCHAR, '']] ELSE s.grams END JOIN m USING (id)
+"""
+
 SQL = {
     "op1_ngram_jaccard": OP1,
     "op3_chat_formatting": OP3,
     "op7_exact_dedup": OP7,
     "op9_quality_rules": "WITH " + FEATURES.replace("{docs}", "documents") + " SELECT * FROM quality",
+    "op12_golden_record": OP12,
+    "op13_minhash_dedup": OP13,
 }

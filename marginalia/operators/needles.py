@@ -1,81 +1,166 @@
-"""Many needles looked for in many texts: an automaton over bounded blocks of needles reads each text once a block."""
+"""Many needles looked for in many texts: a join over an index of character grams, each needle entered under its rarest one."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from typing import Any
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import ship
+from ..storage import ship, written
+from .skew import salted_join, with_least
 
-#: Needles of a block, and characters of a needle that the automaton holds; the rest is compared at each hit.
-BLOCK_NEEDLES, GRAM = 200_000, 12
-#: Rows that leave a task at once, about.
-_ROWS = 50_000
+#: Characters of a gram. A shorter needle is a gram by itself, in a list for its own length.
+GRAM = 6
+#: Needles of a list are at most as long as its width; what a text sends to the list is as wide on both sides.
+FIRST_WIDTH, WIDER = 8, 4
+#: Each list has a filter of 2 ** SLOTS bits, whatever the number of needles: half a megabyte.
+SLOTS = 22
+#: Characters whose grams are hashed at once, and rows that leave a task at once, about.
+TOGETHER, ROWS = 500_000, 50_000
+_BETWEEN = 0x110000  # no character
+_BUCKET = 1 << 15  # bits of a bitmap that Spark builds
 
-Needle = tuple[Any, str]  # id, text
 
+def _hashes(codes: np.ndarray, n: int) -> np.ndarray:
+    """64-bit hashes of all grams of ``n`` characters."""
+    m = len(codes) - n + 1
+    if m <= 0:
+        return np.zeros(0, "u8")
+    h = codes[:m].astype("u8")
+    with np.errstate(over="ignore"):
+        for k in range(1, n):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + m]
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
 
-def blocks_of(needles: DataFrame, ident: str, text: str, most: int | None = None) -> Iterator[list[Needle]]:
-    """The needles that are not empty, in lists of bounded length, dealt by a hash. Each list is small enough for every task."""
-    some = needles.where(F.col(text) != "").select(F.col(ident), F.col(text))
-    count = -(-some.count() // (most or BLOCK_NEEDLES))
-    for k in range(count):
-        part = some if count == 1 else some.where(F.pmod(F.xxhash64(ident, text), F.lit(count)) == k)
-        yield [(r[0], r[1]) for r in part.toLocalIterator()]
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "u4")
 
-class Finder:
-    """All places of all needles in a text. Needles are known by their middle characters first."""
 
-    def __init__(self, needles: list[Needle]):
-        import ahocorasick
+def _list_of(length: Column) -> Column:
+    """The list of a needle: its length, if that is less than a gram's, else ``GRAM`` and one more for each time it is wider."""
+    wider = F.greatest(F.lit(0), F.ceil(F.log(length / FIRST_WIDTH) / F.log(F.lit(float(WIDER))) - 1e-9)).cast("int")
+    return F.when(length < GRAM, length).otherwise(GRAM + wider)
 
-        words: dict[str, list[tuple[Any, str, int]]] = {}
-        for ident, needle in needles:
-            n = min(GRAM, len(needle))
-            at = (len(needle) - n) // 2
-            words.setdefault(needle[at : at + n], []).append((ident, needle, at))
-        self.automaton = ahocorasick.Automaton()
-        for gram, some in words.items():
-            self.automaton.add_word(gram, (len(gram), some))
-        self.automaton.make_automaton()
 
-    def __call__(self, text: str) -> Iterator[tuple[Any, str, int]]:
-        """``id, needle, start`` of all hits, overlapping ones included, in order of where their grams end."""
-        for end, (n, some) in self.automaton.iter(text):
-            for ident, needle, at in some:
-                start = end + 1 - n - at
-                if start >= 0 and (len(needle) == n or text.startswith(needle, start)):
-                    yield ident, needle, start
+def width(of: int) -> int:
+    """Characters of context on either side of a gram for the needles of a list; none where the needle is the gram."""
+    return FIRST_WIDTH * WIDER ** (of - GRAM) if of >= GRAM else 0
 
 
-def over_texts(texts: DataFrame, ident: str, needles: list[Needle], found: Callable[[Finder, str], list[tuple]], schema: str, names: list[str]) -> DataFrame:
-    """Rows of ``found`` for each row of ``texts`` (``ident``, ``text``; null counts as empty), beside its id; ``names`` and ``schema`` are of those rows."""
-    ship(texts.sparkSession)
-    kind = texts.schema[ident].dataType.simpleString()
+def gram_index(needles: DataFrame) -> DataFrame:
+    """``needle, list, gram, at``: the rarest gram of each different needle (``needle``), by the number of needles that have it, and its place there.
+
+    Of grams as rare the first counts. Empty needles and null ones have no entry.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(needles)
-        types = None
         for batch in batches:
-            at, rows = [], []
-            for k, t in enumerate(batch.column("text")):
-                text = t.as_py()
-                if text:
-                    some = found(finder, text)
-                    at += [k] * len(some)
-                    rows += some
-                if len(rows) >= _ROWS or k == batch.num_rows - 1:
-                    types = types or [_TYPES[x.split()[1]] for x in schema.split(", ")]
-                    columns = [pa.array([r[c] for r in rows], t) for c, t in enumerate(types)]
-                    yield pa.RecordBatch.from_arrays([batch.column(ident).take(pa.array(at, pa.int32())), *columns], [ident, *names])
-                    at, rows = [], []
+            for k, x in enumerate(batch.column("needle").to_pylist()):
+                grams, first = np.unique(_hashes(_codes(x), min(len(x), GRAM)), return_index=True)
+                row = batch.slice(k, 1).take(pa.array(np.zeros(len(grams), "i8")))
+                yield pa.RecordBatch.from_arrays([row.column(0), row.column(1), pa.array(grams.view("i8")), pa.array(first.astype("i4"))], ["needle", "list", "gram", "at"])
+
+    ship(needles.sparkSession)
+    some = needles.where(F.col("needle") != "").select("needle").distinct().withColumn("list", _list_of(F.length("needle")).cast("int"))
+    grams = written(some.mapInArrow(run, "needle string, list int, gram long, at int"), "needle_grams")
+    counted = with_least(grams.withColumn("deal", F.xxhash64("needle")), "gram", "at", "least", by="deal", count="n")
+    rarest = counted.groupBy("needle", "list").agg(F.min(F.struct("n", "at", "gram")).alias("g"))
+    return written(rarest.select("needle", "list", "g.gram", "g.at"), "gram_index")
+
+
+def _filters(index: DataFrame) -> dict[int, np.ndarray]:
+    """For each list the slots that its grams fall in: at most ``2 ** SLOTS`` bits a list, and as many lists as needles have magnitudes."""
+    slot = F.shiftrightunsigned("gram", 64 - SLOTS) + 1
+    maps = index.groupBy("list", F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    out: dict[int, np.ndarray] = {}
+    for row in maps.collect():
+        bits = out.setdefault(row["list"], np.zeros(1 << SLOTS, bool))
+        bits[(row["bucket"] - 1) * _BUCKET : row["bucket"] * _BUCKET] = np.unpackbits(np.frombuffer(row["bits"], "u1"), bitorder="little")
+    return out
+
+
+def _sent(filters: dict[int, np.ndarray], ident: str):
+    """The grams of texts that pass a list's filter, with the text around them."""
+    lengths = {of: min(of, GRAM) for of in sorted(filters)}
+
+    def block(rows: list[int], texts: list[str], firsts: list[int]) -> Iterator[tuple[list, ...]]:
+        codes, begins = [], []
+        total = 0
+        for t in texts:
+            begins.append(total)
+            codes += [_codes(t), np.array([_BETWEEN], "u4")]
+            total += len(t) + 1
+        codes, begins = np.concatenate(codes), np.array(begins)
+        hashed = {n: _hashes(codes, n) for n in set(lengths.values())}
+        for of, n in lengths.items():
+            h, w = hashed[n], width(of)
+            at = np.flatnonzero(filters[of][(h >> np.uint64(64 - SLOTS)).astype("i8")])
+            for x in range(0, len(at), ROWS):
+                some = at[x : x + ROWS]
+                text = np.searchsorted(begins, some, side="right") - 1
+                place = some - begins[text]
+                left = np.minimum(place, w)
+                around = [texts[k][p - b : p + max(w, n)] for k, p, b in zip(text.tolist(), place.tolist(), left.tolist(), strict=True)]
+                yield [rows[k] for k in text], [of] * len(some), h[some].view("i8"), place + np.array([firsts[k] for k in text], "i8"), left, around
 
-    return texts.select(ident, "text").mapInArrow(run, f"{ident} {kind}, {schema}")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        widest = max((max(width(of), GRAM) for of in lengths), default=0)
+        for batch in batches:
 
+            def out(rows, texts, firsts, batch=batch):
+                for row, of, gram, place, left, around in block(rows, texts, firsts):
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(row, pa.int64())), pa.array(of, pa.int32()), pa.array(gram), pa.array(place), pa.array(left.astype("i4")), pa.array(around, pa.string())],
+                        [ident, "list", "gram", "place", "left", "around"],
+                    )
 
-_TYPES = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+            rows, texts, size = [], [], 0
+            for k, t in enumerate(batch.column(1)):
+                text = t.as_py()
+                if not text or not lengths:
+                    continue
+                if len(text) > 4 * TOGETHER:  # a long text passes in parts, each with what its grams have around them
+                    for x in range(0, len(text), TOGETHER):
+                        yield from _own(out, k, text, x, widest)
+                    continue
+                rows.append(k)
+                texts.append(text)
+                size += len(text)
+                if size > TOGETHER:
+                    yield from out(rows, texts, [0] * len(rows))
+                    rows, texts, size = [], [], 0
+            if texts:
+                yield from out(rows, texts, [0] * len(rows))
+
+    def _own(out, k: int, text: str, x: int, widest: int) -> Iterator[pa.RecordBatch]:
+        begin = max(0, x - widest)
+        for found in out([k], [text[begin : x + TOGETHER + widest]], [begin]):
+            place = found.column("place").to_numpy()
+            yield found.filter(pa.array((place >= x) & (place < x + TOGETHER)))
+
+    return run
+
+
+def places(texts: DataFrame, ident: str, needles: DataFrame, name: str, needle: str) -> DataFrame:
+    """``ident, name, needle, start, end`` of every place of every needle (``name``, ``needle``) in the texts (``ident``, ``text``), inside words and
+    overlapping ones too; ``end`` is exclusive.
+
+    Texts are read once. The grams that pass a filter of fixed size go to the index with as much text around them as a needle of that list has,
+    and are compared there character by character, so no needle and no text goes to all tasks or through the driver. Grams that many
+    texts have are dealt to pieces. Needles may repeat under several names; null and empty needles and texts have no place.
+    """
+    ship(texts.sparkSession)
+    some = needles.select(F.col(name).alias("__name"), F.col(needle).alias("needle"))
+    index = gram_index(some)
+    kind = texts.schema[ident].dataType.simpleString()
+    sent = written(texts.select(ident, "text").mapInArrow(_sent(_filters(index), ident), f"`{ident}` {kind}, list int, gram long, place long, left int, around string"), "grams_of_texts")
+    entries = index.join(some, "needle")
+    met = salted_join(sent, entries, ["list", "gram"], F.hash(F.col(ident), F.col("place")))
+    same = (F.col("left") >= F.col("at")) & (F.expr("substring(around, left + 1 - at, length(needle))") == F.col("needle"))
+    start = F.col("place") - F.col("at")
+    return met.where(same).select(ident, F.col("__name").alias(name), F.col("needle").alias(needle), start.alias("start"), (start + F.length("needle")).alias("end"))

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import ship
-from .needles import BLOCK_NEEDLES, Finder, blocks_of, over_texts
-
+from .needles import places
 
 #: Shortest surface that is looked for; up to the second length a match is not sure.
 LEAST_SURFACE, UNSURE_SURFACE = 2, 2
@@ -22,34 +19,18 @@ def _needles(surfaces: DataFrame, least: int) -> DataFrame:
 
 def surface_matches(units: DataFrame, surfaces: DataFrame, least: int = LEAST_SURFACE) -> DataFrame:
     """``unit_id, record_id, surface, start, end`` of all places of surfaces (``record_id, surface``) of ``least`` characters or more in unit texts
-    (``unit_id, text``), inside words, across words and overlapping ones included. Case counts. Surfaces are sent to the tasks in blocks of bounded
-    size."""
-    found = lambda finder, text: [(r, s, at, at + len(s)) for r, s, at in finder(text)]
-    columns = "record_id string, surface string, start int, end int"
-    parts = [over_texts(units, "unit_id", some, found, columns, ["record_id", "surface", "start", "end"]) for some in blocks_of(_needles(surfaces, least), "record_id", "surface")]
-    empty = units.select("unit_id", *[F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in columns.split(", ")]).limit(0)
-    return reduce(DataFrame.unionByName, parts) if parts else empty
+    (``unit_id, text``), inside words, across words and overlapping ones included. Case counts."""
+    found = places(units, "unit_id", _needles(surfaces, least), "record_id", "surface")
+    return found.select("unit_id", "record_id", "surface", F.col("start").cast("int"), F.col("end").cast("int"))
 
 
 def surface_counts(units: DataFrame, surfaces: DataFrame) -> DataFrame:
     """``unit_id, surface, n_found`` of the surfaces (``surface``) that texts hold, counted without overlaps from the left."""
-
-    def found(finder: Finder, text: str) -> list[tuple]:
-        places: dict[str, list[int]] = {}
-        for _, s, at in finder(text):
-            places.setdefault(s, []).append(at)
-        out = []
-        for s, some in places.items():
-            n, end = 0, 0
-            for at in some:
-                if at >= end:
-                    n, end = n + 1, at + len(s)
-            out.append((s, n))
-        return out
-
-    named = surfaces.select(F.col("surface").alias("record_id"), "surface").distinct()
-    parts = [over_texts(units, "unit_id", some, found, "surface string, n_found long", ["surface", "n_found"]) for some in blocks_of(named, "record_id", "surface")]
-    return reduce(DataFrame.unionByName, parts) if parts else units.select("unit_id", F.lit("").alias("surface"), F.lit(0).cast("long").alias("n_found")).limit(0)
+    named = surfaces.select(F.col("surface").alias("name"), "surface").distinct()
+    at = places(units, "unit_id", named, "name", "surface").groupBy("unit_id", "surface").agg(F.sort_array(F.collect_list("start")).alias("at"))
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
+    counted = F.aggregate("at", none, lambda have, x: F.when(x >= have["end"], F.struct((have["n"] + 1).alias("n"), (x + F.length("surface")).alias("end"))).otherwise(have))
+    return at.select("unit_id", "surface", counted["n"].alias("n_found"))
 
 
 def chosen(matches: list[tuple[str, int, int]], longest_first: bool = True) -> list[tuple[str, int, int]]:
@@ -79,13 +60,8 @@ def greedy(matches: DataFrame, unit: str = "unit_id", longest_first: bool = True
 
 
 def greedy_surfaces(units: DataFrame, surfaces: DataFrame, least: int = LEAST_SURFACE) -> DataFrame:
-    """``greedy`` of ``surface_matches``. Where one block holds all surfaces, matches are found and chosen text by text, so short surfaces with many
-    matches make no rows but the chosen ones."""
-    blocks = list(blocks_of(_needles(surfaces, least), "record_id", "surface")) if surfaces.limit(BLOCK_NEEDLES + 1).count() <= BLOCK_NEEDLES else None
-    if blocks is None:
-        return greedy(surface_matches(units, surfaces, least))
-    found = lambda finder, text: [(a, b, r) for r, a, b in chosen([(r, at, at + len(s)) for r, s, at in finder(text)])]
-    return over_texts(units, "unit_id", blocks[0] if blocks else [("", " none ")], found, "start int, end int, record_id string", ["start", "end", "record_id"])
+    """``greedy`` of ``surface_matches``; no surfaces give no rows."""
+    return greedy(surface_matches(units, surfaces, least))
 
 
 def scan_report(choices: DataFrame, surfaces: DataFrame) -> DataFrame:

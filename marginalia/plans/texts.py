@@ -152,7 +152,20 @@ def _locations(t: Tables) -> DataFrame:
     return L.cited(t.documents, _quotes(t), L.location_pairs(t.documents, _quotes(t)).union(own).distinct())
 
 
-@catalog.query()
+#: Notes are put out of the way by as many private characters; what is left of a text has its places in the whole.
+_HIDDEN = "coalesce(text, '')"
+for _n in (1, 2, 3, 4):
+    _HIDDEN = rf"regexp_replace({_HIDDEN}, '\[\d{{{{{_n}}}}}\]', repeat(chr(57344), {_n + 2}), 'g')".replace("{{", "{").replace("}}", "}")
+_PLACES = f"""h AS (SELECT doc_id, string_split({_HIDDEN}, '') AS cs FROM documents),
+r AS (SELECT s.doc_id, s.item_id, status, strategy, n_candidates, cs, t1, CASE WHEN strategy = 'exact' THEN 1 WHEN strategy LIKE '%dropped' THEN 4 ELSE 2 END AS tier,
+ CASE WHEN strategy = 'exact' THEN t1 WHEN strategy LIKE '%dropped' THEN t4 WHEN strategy LIKE '%punctuation_tolerant' THEN t3 ELSE t2 END AS x,
+ CASE WHEN strategy = 'exact' THEN q1 WHEN strategy LIKE '%dropped' THEN q4 WHEN strategy LIKE '%punctuation_tolerant' THEN q3 ELSE q2 END AS q FROM s JOIN c USING (doc_id, item_id) JOIN h USING (doc_id)),
+k AS (SELECT *, strpos(x, q) AS a, CASE WHEN tier > 1 AND status = 'relocated' THEN list_filter(range(1, len(cs) + 1), lambda i: cs[i] <> chr(57344) AND NOT regexp_matches(cs[i], '[\\s　]') AND (tier < 4 OR NOT contains('{_MARKS}', cs[i]))) END AS kept FROM r),
+e AS (SELECT *, CASE WHEN status IN ('exact', 'relocated') THEN CASE WHEN tier = 1 THEN a - 1 ELSE kept[a] - 1 END END AS "start", CASE WHEN status IN ('exact', 'relocated') THEN CASE WHEN tier = 1 THEN a - 1 + length(q) ELSE kept[a + length(q) - 1] END END AS e0 FROM k)
+SELECT doc_id, item_id, status, strategy, "start"::BIGINT AS "start", (e0 + CASE WHEN tier = 4 AND e0 IS NOT NULL THEN length(t1) - e0 - length(ltrim(substr(t1, e0 + 1), '{_MARKS}')) ELSE 0 END)::BIGINT AS "end", n_candidates FROM e"""
+
+
+@catalog.query(f"WITH {_STATUS}, {_PLACES}")
 def evidence_locations(t: Tables) -> DataFrame:
     return _locations(t)
 

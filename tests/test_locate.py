@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from marginalia.operators import locate as L
+from tests.conftest import of_spark
 
 
 def test_tiers():
@@ -53,7 +54,7 @@ def test_cjk_and_short_quotes_and_missing_ones(spark, monkeypatch):
     want = {(i, j): L.relocate(t or "", x)[0] for i, t in docs for j, x in quotes}
     assert {(r.doc_id, r.item_id): r.status for r in L.cited(d, q, all_pairs).collect()} == want
     assert want[1, 1] == want[1, 3] == "exact" and want[1, 4] == "relocated" and want[1, 5] == "missing"
-    monkeypatch.setattr("marginalia.operators.needles.BLOCK_NEEDLES", 2)
+    monkeypatch.setattr("marginalia.operators.needles.TOGETHER", 20)
     assert {tuple(r) for r in L.location_pairs(d, q).collect()} == {k for k, s in want.items() if s != "missing"}
     assert L.containing(d, q.limit(0)).count() == 0
 
@@ -77,3 +78,18 @@ def test_evidence_locations_against_plain(spark, tmp_path):
     got = {(r.doc_id, r.item_id): (r.status, r.strategy, r.start, r.end, r.n_candidates) for r in texts.catalog.queries["evidence_locations"](spark, str(tmp_path)).collect()}
     every = {(i, j): L.relocate(t, x) for i, t in docs for j, x in quotes}
     assert got == {k: v for k, v in every.items() if v[0] != "missing" or k[0] == k[1]}
+
+
+def test_locations_against_their_sql(spark, duck, tmp_path):
+    """Quotes that notes, white space and marks keep from being found exactly, beside exact, ambiguous and missing ones."""
+    from marginalia.plans import texts
+
+    docs = [(1, "He said [12] that  all is “well”, and left."), (2, "“Yes”, she said. no more [1234]of it!! then"), (3, "a b a b"), (4, None), (5, "one\ntwo three[9]four"), (6, "then nothing came")]
+    quotes = [(1, 'all is "well"'), (2, "no more of it"), (3, "a b"), (4, "nothing"), (5, "two threefour"), (6, "she said, no more"), (7, "He said that all")]
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/d")
+    spark.createDataFrame(quotes, "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/b")
+    for short, name in (("d", "documents"), ("b", "benchmark")):
+        next((tmp_path / short).glob("*.parquet")).rename(tmp_path / f"{name}.parquet")
+    got = of_spark(texts.catalog.queries["evidence_locations"](spark, str(tmp_path)))
+    assert got == duck(texts.catalog.sql["evidence_locations"], str(tmp_path))
+    assert {r[5] for r in got[1]} >= {"exact", "relocated", "ambiguous", "missing"} and len(got[1]) >= 8

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
+from marginalia.operators import needles
 from marginalia.operators import spans as S
 
 
@@ -17,7 +21,7 @@ def plain_greedy(text, surfaces):
     return sorted(out)
 
 
-def test_greedy_surfaces_against_a_plain_choice(spark, monkeypatch):
+def test_greedy_surfaces_against_a_plain_choice(spark):
     rng = random.Random(3)
     units = [(k, "".join(rng.choice("abx 相如") for _ in range(rng.randint(0, 60)))) for k in range(40)] + [(99, None)]
     names = [(f"r{k}", "".join(rng.choice("abx 相如") for _ in range(rng.randint(1, 5)))) for k in range(25)] + [("long", "ab" * 12), ("twin", "ab"), ("twin2", "ab")]
@@ -25,9 +29,6 @@ def test_greedy_surfaces_against_a_plain_choice(spark, monkeypatch):
     want = sorted((k, *m) for k, t in units for m in plain_greedy(t or "", names))
     rows = lambda d: sorted(map(tuple, d.select("unit_id", "start", "end", "record_id").collect()))
     assert rows(S.greedy_surfaces(u, s)) == want
-    monkeypatch.setattr(S, "BLOCK_NEEDLES", 4)
-    monkeypatch.setattr("marginalia.operators.needles.BLOCK_NEEDLES", 4)
-    assert rows(S.greedy_surfaces(u, s)) == want  # several blocks, chosen by unit
     places = {(k, r, a) for k, t in units for r, n in names if len(n) >= 2 for a in range(len(t or "")) if t.startswith(n, a)}
     assert {(r.unit_id, r.record_id, r.start) for r in S.surface_matches(u, s).collect()} == places
     assert S.surface_matches(u, s.limit(0)).count() == S.greedy_surfaces(u.limit(0), s).count() == S.greedy_surfaces(u, s.limit(0)).count() == 0
@@ -66,3 +67,27 @@ def test_surface_scan_greedy_has_terms_from_two_letters(spark, tmp_path):
     spark.createDataFrame([(1, "be or a")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = texts.catalog.queries["surface_scan_greedy"](spark, str(tmp_path)).collect()
     assert sorted(tuple(r) for r in got) == [(1, 3, 5, "r-be"), (1, 6, 8, "r-or")]
+
+
+def test_no_surfaces_match_nothing(spark):
+    u = spark.createDataFrame([(1, "there was none left of it")], "unit_id long, text string")
+    none = spark.createDataFrame([], "record_id string, surface string")
+    assert S.greedy_surfaces(u, none).count() == S.surface_matches(u, none).count() == S.surface_counts(u, none).count() == 0
+
+
+@pytest.mark.parametrize("together", [500_000, 40])
+def test_places_of_needles_of_all_lengths(spark, monkeypatch, together):
+    """Needles shorter and longer than a gram, longer than a list's width, repeated under several names, hot ones and ones that overlap themselves."""
+    monkeypatch.setattr(needles, "TOGETHER", together)
+    monkeypatch.setattr(needles, "ROWS", 7)
+    rng = random.Random(together)
+    texts = [(k, "".join(rng.choice("ab é漢😀") for _ in range(rng.choice([0, 3, 30, 400])))) for k in range(30)] + [(77, None), (78, "aaaa" * 90), (79, "x" * 50 + "needle in here" + "y" * 50)]
+    long = texts[-1][1]
+    names = [(f"n{k}", t[a : a + rng.randint(1, 200)]) for k, t in texts if t for a in [rng.randrange(len(t))]]
+    names += [("e", ""), ("z", None), ("one", "a"), ("a8", "a" * 8), ("a9", "a" * 9), ("a6", "aaaaaa"), ("again", "a" * 8), ("whole", long), ("more", long + "y"), ("first", long[:33]), ("last", long[-32:]), ("none", "not there")]
+    t = spark.createDataFrame(texts, "unit_id long, text string").repartition(3)
+    n = spark.createDataFrame(names, "record_id string, surface string")
+    want = sorted((u, r, s, a, a + len(s)) for u, x in texts for r, s in names if s and x for a in range(len(x)) if x.startswith(s, a))
+    assert sorted(map(tuple, needles.places(t, "unit_id", n, "record_id", "surface").collect())) == want
+    index = needles.gram_index(n.select(F.col("surface").alias("needle"))).collect()
+    assert len(index) == len({s for _, s in names if s}) and all(r.list == len(r.needle) if len(r.needle) < 6 else len(r.needle) <= needles.width(r.list) for r in index)

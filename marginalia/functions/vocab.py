@@ -67,6 +67,10 @@ FOLD_TO = ",,..:;!?()\"\"''--"
 DROPPED_MARKS = "，、。．：；！？（）“”‘’—－《》〈〉「」『』【】[](),.!?;:\"'`"
 #: Marks and blanks between the clauses of a quote.
 CLAUSE_ENDS = r"[，。！？；：,.!?;:\s]+"
+#: Openings of these lengths, of clauses without so many first characters, stand for a missing quote; shorter parts and openings do not.
+NEEDLE_LENGTHS = (12, 8, 4)
+NEEDLE_PARTS = (0, 2, 4, 6)
+LEAST_PART, LEAST_NEEDLE = 4, 2
 NOTE_MARKER = r"\[\d{1,4}\]"
 
 #: Longest block, shortest sentence fragment, in characters.

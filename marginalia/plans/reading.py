@@ -17,7 +17,7 @@ from ..operators import registry as R
 from ..operators import search as S
 from ..operators import views as W
 from ..operators.packages import UNIT_SCHEMA, coerced, index_id_of, summary, unit_issues
-from ..operators.proposals import apply_to_concepts, apply_to_groups, equivalent, listed, screened
+from ..operators.proposals import apply_by_unit, apply_to_groups, equivalent, listed
 from ..operators.repair import repair_message, repaired
 from ..operators.tools import Tools, with_tools
 from ..sources import store
@@ -147,12 +147,15 @@ class Reader:
         log: list[Any] = []
         payload = {"task": "cross_unit_concept_resolution", "unit_id": unit_id, "concepts": concepts, "registry": records_of(S.compact(some)), "candidate_map": records_of(chosen["map"])}
         answer = coerced(self._ask("cross_unit_concept_resolution", payload, log))
-        safe, rejected = screened(concepts, listed(answer.get("resolution_proposals")))
-        after, renamed, implied = apply_to_concepts(concepts, safe)
+        proposals = listed(answer.get("resolution_proposals"))
+        row = (unit_id, *[json.dumps(x, ensure_ascii=False) for x in (concepts, proposals, [], [])])
+        done = apply_by_unit(self.spark.createDataFrame([row], "unit_id string, concepts string, concept_proposals string, groups string, group_proposals string")).first()
+        after, renamed, implied, rejected = (json.loads(done[c]) for c in ("concepts", "id_map", "implied", "unresolved"))
         after, same = equivalent(after)
         renamed = {k: same.get(v, v) for k, v in renamed.items()} | {k: v for k, v in same.items() if k not in renamed}
-        unresolved = [*listed(answer.get("unresolved_items")), *({"item_id": f"unresolved-{k + 1:04d}"} | r for k, r in enumerate(rejected))]
-        kinds = [p.get("proposal_type", "") for p in safe]
+        unresolved = [*listed(answer.get("unresolved_items")), *rejected]
+        refused = [(r["delta_id"], r["target_refs"]) for r in rejected]
+        kinds = [p.get("proposal_type", "") for p in proposals if (p.get("delta_id", ""), listed(p.get("target_refs"))) not in refused]
         return {"concepts": after, "id_map": renamed, "implied": implied, "unresolved": unresolved, "log": log, "tallies": {k: kinds.count(k) for k in sorted(set(kinds))}}
 
     def group(self, unit_id: str, items: list[dict[str, Any]], implied: list[dict[str, Any]]) -> list[dict[str, Any]]:

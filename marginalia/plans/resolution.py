@@ -62,6 +62,34 @@ def merge_proposals_applied(t: Tables) -> DataFrame:
     return done.select("proposal_id", "concept_id", "surface", "canonical_name", F.array_join("observed_surfaces", ",").alias("observed_surfaces"), F.size("merged_from").cast("long").alias("n_merged"))
 
 
+@catalog.query("""WITH p AS (SELECT p_brand AS unit_id, p_partkey AS id, p_type AS ty, p_size AS size, p_size % 5 AS z FROM part),
+a AS (SELECT unit_id, count(*) AS n0, min(id) AS s0 FROM p WHERE z = 0 GROUP BY unit_id),
+b AS (SELECT p.*, coalesce(n0, 0) AS n0, s0 FROM p LEFT JOIN a USING (unit_id) WHERE NOT (z = 0 AND n0 >= 2 AND id <> s0)),
+c AS (SELECT unit_id, count(*) AS n2, min(id) AS s2 FROM b WHERE z < 2 GROUP BY unit_id),
+d AS (SELECT unit_id, count(*) AS n FROM p WHERE z < 2 GROUP BY unit_id),
+e AS (SELECT b.*, coalesce(n2, 0) AS n2, s2, n FROM b LEFT JOIN c USING (unit_id) LEFT JOIN d USING (unit_id) WHERE NOT (z < 2 AND n2 >= 2 AND id <> s2))
+SELECT unit_id, id::VARCHAR AS concept_id, CASE WHEN id % 2 = 0 THEN 'theme' ELSE ty END AS concept_type, CASE WHEN size % 3 = 0 THEN 'named' ELSE '' END AS canonical_name, CASE WHEN n0 >= 2 AND id = s0 THEN 'merged' ELSE '' END AS summary,
+ CASE WHEN n2 >= 2 AND id = s2 THEN n WHEN n0 >= 2 AND id = s0 THEN n0 ELSE 0 END::BIGINT AS n_merged FROM e""")
+def proposals_in_turns(t: Tables) -> DataFrame:
+    """A brand's parts under four proposals in order: a merge, a new type, a merge that takes the first one's result in, and names."""
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    ident = F.col("p_partkey").cast("string")
+    f = F.create_map(F.lit("concept_id"), quoted(ident), F.lit("concept_type"), quoted(F.col("p_type")), F.lit("canonical_name"), F.lit('""'), F.lit("summary"), F.lit('""'))
+    concepts = t.part.select(F.col("p_brand").alias("unit_id"), ident.alias("concept_id"), F.col("p_partkey").cast("long").alias("ord"), f.alias("f"))
+    rest, even = F.col("p_size") % 5, F.col("p_partkey") % 2 == 0
+    plan = [("merge", rest == 0, {"summary": '"merged"'}), ("reclassify", even, {"concept_type": '"theme"'}), ("merge", rest < 2, {}), ("refine", F.col("p_size") % 3 == 0, {"canonical_name": '"named"'})]
+    refs = [t.part.where(some).groupBy(F.col("p_brand").alias("unit_id")).agg(F.array_sort(F.collect_list("p_partkey")).cast("array<string>").alias("refs")).withColumn("pos", F.lit(k)) for k, (_, some, _) in enumerate(plan)]
+    proposals = None
+    for (kind, _, changes), r in zip(plan, refs, strict=True):
+        said = F.create_map(*[F.lit(x) for e in changes.items() for x in e]) if changes else F.expr("cast(map() as map<string,string>)")
+        r = r.select("unit_id", "pos", F.lit(kind).alias("kind"), F.lit(False).alias("loose"), "refs", said.alias("changes"), F.lit("").alias("registry_ref"))
+        proposals = r if proposals is None else proposals.unionByName(r)
+    after, _ = P.apply_proposals(concepts, proposals)
+    text = lambda c: F.expr(f"try_variant_get(try_parse_json(f['{c}']), '$', 'string')").alias(c)
+    merged = F.expr("coalesce(size(try_variant_get(try_parse_json(f['merged_from']), '$', 'array<string>')), 0)")
+    return after.select("unit_id", "concept_id", text("concept_type"), text("canonical_name"), text("summary"), merged.cast("long").alias("n_merged"))
+
+
 @catalog.query(f"""WITH c AS (SELECT p_partkey AS pos, p_name AS surface, {entities._TYPES.format(c="p_type")} AS ty, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE '' END AS cname, CASE WHEN p_size % 3 = 0 THEN '' ELSE 'size ' || p_size END AS summary, p_brand AS al FROM part),
 k AS (SELECT *, coalesce(nullif(cname, ''), surface) AS name FROM c),
 a AS (SELECT name, ty, string_agg(al, ',' ORDER BY p) AS aliases FROM (SELECT name, ty, al, min(pos) AS p FROM k GROUP BY ALL) GROUP BY ALL)

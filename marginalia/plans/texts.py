@@ -191,6 +191,16 @@ def overview_segments(t: Tables) -> DataFrame:
     return L.resolved_segments(seg)
 
 
+@catalog.query(rf"""WITH q AS (SELECT item_id, regexp_replace(text, '^\s+|\s+$', '', 'g') AS t FROM benchmark),
+c AS (SELECT item_id, list_concat([t], flatten(list_transform(string_split_regex(t, '{V.CLAUSE_ENDS}'), lambda c: list_transform(list_filter([0, 2, 4, 6], lambda s: length(c) - s >= 4), lambda s: substr(c, s + 1))))) AS parts FROM q),
+e AS (SELECT item_id, flatten(list_transform(parts, lambda p: [substr(p, 1, 12), substr(p, 1, 8), substr(p, 1, 4)])) AS es FROM c),
+u AS (SELECT item_id, unnest(es) AS needle, generate_subscripts(es, 1) AS k FROM e)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY min(k)) - 1)::INT AS rank, needle FROM u WHERE length(needle) >= 2 GROUP BY item_id, needle""")
+def quote_needles(t: Tables) -> DataFrame:
+    """By what each passage is looked for where a text does not hold it."""
+    return L.needle_rows(_quotes(t))
+
+
 _STRIP = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', chr(10), 'g'), '(?s)<!--.*?-->', chr(10), 'g'), '(?s)<[^>]*>', chr(10), 'g'), '[ \t]+', ' ', 'g'), '\n\s*', chr(10), 'g'), '^\s+|\s+$', '', 'g')"""
 
 

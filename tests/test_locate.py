@@ -93,3 +93,18 @@ def test_locations_against_their_sql(spark, duck, tmp_path):
     got = of_spark(texts.catalog.queries["evidence_locations"](spark, str(tmp_path)))
     assert got == duck(texts.catalog.sql["evidence_locations"], str(tmp_path))
     assert {r[5] for r in got[1]} >= {"exact", "relocated", "ambiguous", "missing"} and len(got[1]) >= 8
+
+
+def test_first_needles_against_plain(spark):
+    texts = [(0, "so he invented, the small garden gate; the small garden"), (1, "a garden ga, garden ga"), (2, None), (3, "nothing here at all")]
+    quotes = [(0, "He invented, the small garden gate"), (1, " gate of gold "), (2, ""), (3, "aaaa")]
+    q = spark.createDataFrame(quotes, "item_id long, quote string")
+    rows = sorted(map(tuple, L.needle_rows(q).collect()))
+    assert rows == sorted((i, k, x) for i, t in quotes for k, x in enumerate(L.needle_list(t)))
+    want = set()
+    for d, t in texts:
+        for i, x in quotes:
+            found = next(((n, s) for n in L.needle_list(x) if (s := L.spans(t or "", n, 1))), None)
+            want |= {(d, i, found[0], a) for a, _ in found[1][:3]} if found else set()
+    got = L.first_needles(spark.createDataFrame(texts, "doc_id long, text string"), q).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want) > 3

@@ -11,6 +11,8 @@ from ..storage import written
 
 K1, B = 1.5, 0.75
 RRF = 60
+#: Terms that are compared inside a text.
+FEW_TERMS = 200
 #: Queries that meet vectors at once when all queries are held against all vectors, and the pieces that vectors are dealt to.
 BLOCK, PIECES = 512, 64
 
@@ -19,14 +21,20 @@ def bm25(docs: DataFrame, queries: DataFrame, *carry: str) -> DataFrame:
     """``query_id, doc_id, score`` (and ``carry``) of every document that shares a term with a query.
 
     ``queries``: ``query_id, query``; a term that a query repeats counts as often. Texts are tokenised once; only terms of queries
-    are counted by document, and the counts are written, so statistics and scores read small rows.
+    are counted by document, and the counts are written, so statistics and scores read small rows. A null text counts as empty. Where queries have few terms these are
+    taken from each text before it is taken apart, else terms are joined. ``postings`` has an index that is kept.
     """
     wanted = queries.select("query_id", F.explode(T.tokens(F.col("query"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qf"))
     vocabulary = wanted.select("term").distinct()
-    t = docs.select("doc_id", *carry, T.tokens(F.col("text")).alias("tk")).select("doc_id", *carry, F.size("tk").cast("long").alias("dl"), "tk")
+    t = docs.select("doc_id", *carry, T.tokens(F.coalesce("text", F.lit(""))).alias("tk")).select("doc_id", *carry, F.size("tk").cast("long").alias("dl"), "tk")
+    few = [r[0] for r in vocabulary.limit(FEW_TERMS + 1).collect()]
+    if len(few) <= FEW_TERMS:
+        t = t.withColumn("tk", F.filter("tk", lambda x: x.isin(few)))
     # Lengths ride on an empty term, so documents without any term of the queries still count in the averages.
     rows = t.select("doc_id", *carry, "dl", F.explode(F.array_append("tk", F.lit(""))).alias("term"))
-    tf = rows.join(vocabulary.union(docs.sparkSession.sql("SELECT ''")), "term").groupBy("doc_id", *carry, "dl", "term").agg(F.count("*").alias("f"))
+    if len(few) > FEW_TERMS:
+        rows = rows.join(vocabulary.union(docs.sparkSession.sql("SELECT ''")), "term")
+    tf = rows.groupBy("doc_id", *carry, "dl", "term").agg(F.count("*").alias("f"))
     tf = written(tf, "term_counts")
     stats = tf.where("term = ''").agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
     df = tf.where("term <> ''").groupBy("term").agg(F.count("*").alias("df"))

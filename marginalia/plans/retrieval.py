@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import postings
 from ..operators import retrieval as R
 from ..sources import store
+from ..storage import scratch_path
 from .registry import Catalog, Tables
 
 catalog = Catalog()
@@ -49,6 +51,16 @@ def bm25_topk_documents(t: Tables) -> DataFrame:
     return R.top_k(scores, 20).select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
+@catalog.query(f"WITH {_FIXED}, {BM25}, {_RANKED.format('bm')} SELECT query_id, doc_id, rank, round(score, 6) AS score FROM r WHERE rank <= 20")
+def bm25_index_topk(t: Tables) -> DataFrame:
+    """The same from an index on disk that documents are added to in two parts."""
+    path = scratch_path(t.spark, "bm25_index")
+    for part in ("en", "other"):
+        postings.add(t.documents.where((F.coalesce("lang", F.lit("")) == "en") == F.lit(part == "en")), path)
+    top = postings.Index(t.spark, path).search(_fixed(t), 20)
+    return top.select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
+
+
 @catalog.query(f"WITH q AS (SELECT item_id AS query_id, text AS query FROM benchmark), {BM25}, {_RANKED.format('bm')} SELECT query_id, doc_id, rank, round(score, 6) AS score FROM r WHERE rank <= 5")
 def bm25_benchmark_top5(t: Tables) -> DataFrame:
     scores = R.bm25(t.documents, t.benchmark.select(F.col("item_id").alias("query_id"), F.col("text").alias("query")))

@@ -76,34 +76,31 @@ def by_name(concepts: DataFrame, names: DataFrame) -> DataFrame:
     return concepts.where("canonical_name <> ''").select("concept_id", F.col("canonical_name").alias("name")).join(names.select("name").distinct(), "name")
 
 
-def dual_signal(texts: DataFrame, queries: DataFrame, near: DataFrame | None = None, top: int = TOP, allowed: DataFrame | None = None) -> DataFrame:
+def dual_signal(texts: DataFrame, queries: DataFrame, near: DataFrame | None = None, top: int = TOP, types: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """``query_id, doc_id, rrf, rank, methods, score`` of the ``top`` rows that BM25 and cosine together give each query.
 
     ``texts``: ``doc_id, text``; ``queries``: ``query_id, query``; ``near``: ``query_id, doc_id, score`` by cosine, absent where there is no
-    model: then BM25 alone decides. ``allowed`` (``query_id, doc_id``) drops other pairs: from BM25's best after they are found, from
-    the cosine's before.
+    model: then BM25 alone decides. ``types`` (``query_id, ut`` and ``doc_id, rt``) drop pairs of different type families: from BM25's best after
+    they are found, from the cosine's before. The types are put beside the rows that the signals found, so no other pairs are made.
     """
+
+    def related(rows: DataFrame) -> DataFrame:
+        return rows.join(types[0], "query_id").join(types[1], "doc_id").where(R.same_family(F.col("ut"), F.col("rt"))).select(*rows.columns)
+
     words = R.top_k(R.bm25(texts, queries), top).where("score > 0").select("query_id", "doc_id", "rank", "score", F.lit("bm25").alias("method"))
-    if allowed is not None:
-        words = words.join(allowed, ["query_id", "doc_id"], "left_semi")
+    if types is not None:
+        words = related(words)
         words = words.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("rank")))
     both = words
     if near is not None:
         some = near.where(F.col("score") > LEAST)
-        if allowed is not None:
-            some = some.join(allowed, ["query_id", "doc_id"], "left_semi")
+        if types is not None:
+            some = related(some)
         both = words.unionByName(R.top_k(some, top).select("query_id", "doc_id", "rank", "score", F.lit("embedding").alias("method")))
     fused = both.groupBy("query_id", "doc_id").agg(F.sum(1.0 / (R.RRF + F.col("rank"))).alias("rrf"), F.array_join(F.sort_array(F.collect_set("method")), "+").alias("methods"), F.max("score").alias("score"))
     return R.top_k(fused, top, score="rrf")
 
 
-def allowed_pairs(units: DataFrame, registry: DataFrame) -> DataFrame:
-    """``query_id, doc_id`` of unit concepts and registry concepts whose types are of one family: joined by type, of which there are few."""
-    types = registry.select(F.col("concept_type").alias("rt")).distinct()
-    fit = units.select(F.col("concept_type").alias("ut")).distinct().join(types, R.same_family(F.col("ut"), F.col("rt")))
-    return units.select(F.col("concept_id").alias("query_id"), F.col("concept_type").alias("ut")).join(fit, "ut").join(registry.select(F.col("concept_id").alias("doc_id"), F.col("concept_type").alias("rt")), "rt").select("query_id", "doc_id")
-
-
 def candidate_map(units: DataFrame, matched: DataFrame, semantic: DataFrame, passed: DataFrame | None = None) -> DataFrame:
     """``unit_concept_id, deterministic_candidate_ids, semantic_candidate_ids, candidate_ids`` of each unit concept: those found by name, by
     signal, and all of a registry that is passed on whole (``doc_id``), each id once, in that order."""
@@ -137,7 +134,8 @@ def select_concepts(units: DataFrame, registry: DataFrame, embed: Embed | None =
     rest = units.join(matched.select(F.col("unit_ref").alias("concept_id")), "concept_id", "left_anti")
     asked = rest.select(F.col("concept_id").alias("query_id"), unit_concept_text().alias("query"))
     near = embed(rest) if embed else None
-    found = dual_signal(registry.select(F.col("concept_id").alias("doc_id"), concept_text().alias("text")), asked, near, allowed=allowed_pairs(rest, registry))
+    types = rest.select(F.col("concept_id").alias("query_id"), F.col("concept_type").alias("ut")), registry.select(F.col("concept_id").alias("doc_id"), F.col("concept_type").alias("rt"))
+    found = dual_signal(registry.select(F.col("concept_id").alias("doc_id"), concept_text().alias("text")), asked, near, types=types)
     has = found.withColumn("query_id", F.col("query_id")).withColumn("has_embedding", F.col("methods").contains("embedding"))
     capped = R.capped_candidates(has).select("query_id", "rank", "doc_id", "rrf", "methods")
     ids = matched.select(F.col("book_ref").alias("concept_id")).union(found.select("doc_id")).distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import postings
 from ..operators import retrieval as R
+from ..operators import vectors
 from ..sources import store
 from ..storage import scratch_path
 from .registry import Catalog, Tables
@@ -101,6 +102,14 @@ def cosine_topk_embeddings(t: Tables) -> DataFrame:
     return top.select("query_id", "vec_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
+@catalog.query()
+def cosine_index_topk(t: Tables) -> DataFrame:
+    """The ten nearest of every vector by an index of lists; the tests measure its recall against all pairs."""
+    centroids, probes = vectors.fit(t.embeddings, 64)
+    top = vectors.nearest(vectors.index(t.embeddings, centroids), t.embeddings.select(F.col("vec_id").alias("query_id"), "embedding"), centroids, 10, probes)
+    return top.select("query_id", "vec_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
+
+
 @catalog.query(f"WITH {_COSINE} SELECT query_id, count(*) AS n, sum((a.label = b.label)::INT)::BIGINT AS n_same FROM k JOIN e a ON a.vec_id = query_id JOIN e b ON b.vec_id = k.vec_id WHERE rank <= 20 GROUP BY query_id")
 def recall_at_k(t: Tables) -> DataFrame:
     return R.recall_at_k(R.cosine(t.embeddings, _vector_queries(t)), t.embeddings.select("vec_id", "label"), 20)

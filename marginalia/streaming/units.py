@@ -37,11 +37,10 @@ def fold_unit(store: Registry, units: DataFrame, links: DataFrame | None = None,
     operations, refused = written(operations, "operations"), written(refused, "refused")
     mapping = written(R.id_map(units, operations, R.top_number(registry, "id") + 1), "id_map")
     after = R.apply_concepts(registry, units, mapping)
-    one = units.select("source_unit").first()
-    unit = F.lit(one["source_unit"] if one and one["source_unit"] else "")
+    unit_of = written(units.select(F.col("id").alias("unit_ref"), F.coalesce("source_unit", F.lit("")).alias("unit_id")).distinct(), "unit_of")
     nobody = store.spark.createDataFrame([], "unit_id string, item_id string, summary string")
-    open_ = operations.where("op_type = 'ambiguity'").select(unit.alias("unit_id"), "unit_ref", "book_ref", "match_reason")
-    new = R.unresolved_rows(nobody, open_, refused.withColumn("unit_id", unit))
+    open_ = operations.where("op_type = 'ambiguity'").join(unit_of, "unit_ref", "left").select(F.coalesce("unit_id", F.lit("")).alias("unit_id"), "unit_ref", "book_ref", "match_reason")
+    new = R.unresolved_rows(nobody, open_, refused.join(unit_of, "unit_ref", "left").withColumn("unit_id", F.coalesce("unit_id", F.lit(""))))
     store.save("unresolved", _latest(store, "unresolved", UNRESOLVED).unionByName(new).distinct())
     store.save("concepts", after.select(*names(CONCEPT)), tag)
     return operations, mapping

@@ -108,6 +108,12 @@ def _collide(matches: int, least: tuple[int, int]):
     return run
 
 
+def _sets_of(texts: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """``id, hashes`` of the wanted classes, made again from the texts of their first rows; ids and texts meet by a sorted merge at any size."""
+    some = texts.join(wanted.select(F.col("first_id").alias("w")).distinct().hint("merge"), "w", "left_semi")
+    return _sets(some, n).dropDuplicates(["set_key"]).join(wanted.select("set_key", "id"), "set_key").select("id", "hashes")
+
+
 def near_components(docs: DataFrame, n: int = WORDS, least: tuple[int, int] = LEAST, k: int = COORDINATES, recall: float = RECALL, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Rows (``doc_id, size, set_key, rid``) of ``docs`` and classes of equal sets (``set_key, id, first_id, group_id``).
 
@@ -139,7 +145,7 @@ def near_components(docs: DataFrame, n: int = WORDS, least: tuple[int, int] = LE
     texts = lower.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("w"), "text")
     known = classes.join(some, "id", "left_semi").select("set_key", "id", "first_id")
     wanted = known.join(pairs.select(F.explode(F.array("id", "hub")).alias("id")).distinct(), "id", "left_semi")
-    sets = written(_sets(texts.join(wanted.select(F.col("first_id").alias("w")).distinct(), "w", "left_semi"), n).dropDuplicates(["set_key"]).join(wanted.select("set_key", "id"), "set_key").select("id", "hashes"), "sets")
+    sets = written(_sets_of(texts, wanted, n), "sets")
     heads = pairs.select("hub", "piece").distinct().join(sets.withColumnRenamed("id", "hub"), "hub").select("hub", "piece", F.col("hub").alias("id"), "hashes")
     dealt = heads.unionByName(pairs.join(sets, "id").select("hub", "piece", "id", "hashes"))
     links = written(dealt.repartition("hub", "piece").sortWithinPartitions("hub", "piece", F.col("id") != F.col("hub")).mapInArrow(_hubs(least), "a long, b long"), "hub_links")
@@ -155,8 +161,7 @@ def near_components(docs: DataFrame, n: int = WORDS, least: tuple[int, int] = LE
     met = units.repartition(*_UNIT).sortWithinPartitions(*_UNIT).mapInArrow(_collide(matches, least), types)
     met = written(met, "collided")
     wanted = known.join(met.select("id").distinct(), "id", "left_semi")
-    sets = _sets(texts.join(wanted.select(F.col("first_id").alias("w")).distinct(), "w", "left_semi"), n).dropDuplicates(["set_key"]).join(wanted.select("set_key", "id"), "set_key").select("id", "hashes")
-    units = met.join(sets, "id").select(*_UNIT, "side", "id", F.lit(1).cast("long").alias("copies"), "hashes")
+    units = met.join(_sets_of(texts, wanted, n), "id").select(*_UNIT, "side", "id", F.lit(1).cast("long").alias("copies"), "hashes")
     more = units.repartition(*_UNIT).sortWithinPartitions(*_UNIT).mapInArrow(_verify(least), _LINKS).select(F.col("id").alias("a"), F.col("parent").alias("b"))
     groups = components(links.unionByName(more)).select(F.col("node").alias("id"), "root")
     c = written(classes.join(groups, "id", "left").withColumn("root", F.coalesce("root", "id")), "linked_classes")

@@ -60,3 +60,23 @@ def ends(links: DataFrame) -> DataFrame:
         if not open_rows:
             return at.select("node", F.col("to").alias("end"))
     raise RuntimeError(f"{open_rows} nodes lie on circles")
+
+
+def paths(nodes: DataFrame, *carry: str) -> DataFrame:
+    """``node, path`` (and ``carry``) of each row of ``nodes`` (``node, parent, label``; a row a node): the labels from its root to itself. A node whose
+    parent is null or no node is a root.
+
+    Ancestors are joined to ancestors: in each round the path above a node doubles, so a tree of depth d is done in log2(d) rounds, and a
+    node with most others below it is dealt to pieces. Each round is written. Circles raise an error, found by a path longer than there are nodes.
+    """
+    at = written(nodes.select("node", *carry, F.col("parent").alias("up"), F.array("label").alias("path")), "paths")
+    most = at.count()
+    while True:
+        above = at.select(F.col("node").alias("up"), F.col("up").alias("further"), F.col("path").alias("above"))
+        met = salted_join(at, above, ["up"], F.col("node"), "left")
+        at = written(met.select("node", *carry, F.col("further").alias("up"), F.when(F.col("above").isNull(), F.col("path")).otherwise(F.concat("above", "path")).alias("path")), "paths")
+        state = at.agg(F.count("up").alias("open"), F.max(F.size("path")).alias("longest")).first()
+        if (state["longest"] or 0) > most:
+            raise ValueError("nodes lie on circles")
+        if not state["open"]:
+            return at.drop("up")

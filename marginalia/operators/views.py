@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..storage import ship
 from . import spans as S
+from .graph import paths
 
 Record = dict[str, Any]
 
@@ -82,13 +83,9 @@ def stitched(blocks: DataFrame, key: str = "book_id") -> DataFrame:
 def outline(units: DataFrame) -> DataFrame:
     """``unit_id, path, depth, line`` of units (``unit_id, parent_id, ord, label``), parents before their children in order; ``path`` sorts them. Roots have
     no parent among the units."""
-    spark = units.sparkSession
-    units.createOrReplaceTempView("marginalia_outline")
-    return spark.sql(
-        "WITH RECURSIVE o(unit_id, path, depth, label) AS (SELECT unit_id, array(format_string('%09d/%s', ord, unit_id)), 0, label FROM marginalia_outline WHERE parent_id IS NULL OR parent_id NOT IN (SELECT unit_id FROM marginalia_outline WHERE unit_id IS NOT NULL) "
-        "UNION ALL SELECT u.unit_id, concat(o.path, array(format_string('%09d/%s', u.ord, u.unit_id))), o.depth + 1, u.label FROM marginalia_outline u JOIN o ON u.parent_id = o.unit_id) "
-        "SELECT unit_id, array_join(path, '|') AS path, depth, concat(repeat('  ', depth), label) AS line FROM o"
-    )
+    place = F.format_string("%09d/%s", "ord", "unit_id")
+    found = paths(units.select(F.col("unit_id").alias("node"), F.col("parent_id").alias("parent"), place.alias("label"), F.col("label").alias("shown")), "shown")
+    return found.select(F.col("node").alias("unit_id"), F.array_join("path", "|").alias("path"), (F.size("path") - 1).alias("depth"), F.concat(F.expr("repeat('  ', size(path) - 1)"), "shown").alias("line"))
 
 
 def segment_offsets(segments: DataFrame, evidence: DataFrame) -> DataFrame:

@@ -213,18 +213,14 @@ def span_end_by_lead(t: Tables) -> DataFrame:
 
 @catalog.query("SELECT r_name || '/' || n_name || '/' || c_name AS title_path, c_custkey, 3::BIGINT AS depth FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
 def hierarchy_path(t: Tables) -> DataFrame:
-    """Paths from the root of a tree given by parents: a recursive query over regions, nations and customers."""
+    """Paths from the root of a tree given by parents: ancestors doubled over regions, nations and customers."""
     nodes = (
         t.region.select(F.concat(F.lit("r"), "r_regionkey").alias("id"), F.lit(None).cast("string").alias("parent"), F.col("r_name").alias("label"))
         .union(t.nation.select(F.concat(F.lit("n"), "n_nationkey"), F.concat(F.lit("r"), "n_regionkey"), "n_name"))
         .union(t.customer.select(F.concat(F.lit("c"), "c_custkey"), F.concat(F.lit("n"), "c_nationkey"), "c_name"))
     )
-    nodes.createOrReplaceTempView("marginalia_nodes")
-    paths = t.spark.sql(
-        "WITH RECURSIVE p(id, title_path, depth) AS (SELECT id, label, 1 FROM marginalia_nodes WHERE parent IS NULL "
-        "UNION ALL SELECT n.id, concat(p.title_path, '/', n.label), p.depth + 1 FROM marginalia_nodes n JOIN p ON n.parent = p.id) SELECT * FROM p"
-    )
-    return paths.where("id LIKE 'c%'").select("title_path", F.substring("id", 2, 20).cast("long").alias("c_custkey"), F.col("depth").cast("long").alias("depth"))
+    found = G.paths(nodes.withColumnRenamed("id", "node"))
+    return found.where("node LIKE 'c%'").select(F.array_join("path", "/").alias("title_path"), F.substring("node", 2, 20).cast("long").alias("c_custkey"), F.size("path").cast("long").alias("depth"))
 
 
 @catalog.query("""WITH e AS (SELECT user_id, event_id, ts FROM events WHERE event_type = 'purchase'), v AS (SELECT user_id, ts AS view_ts, max(value) AS value FROM events WHERE event_type = 'view' GROUP BY user_id, ts)

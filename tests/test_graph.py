@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from marginalia.operators.graph import components, linked_by_key
@@ -52,3 +53,25 @@ def test_salted_join_gives_what_a_join_gives(spark):
     for how in ("inner", "left", "left_anti"):
         want, got = (sorted(map(str, d.select("id", "k").collect())) for d in (rows.join(per_key, "k", how), salted_join(rows, per_key, ["k"], F.col("id"), how)))
         assert want == got
+
+
+def test_paths_of_deep_and_wide_trees(spark):
+    from marginalia.operators.graph import paths
+
+    rng = random.Random(6)
+    nodes = [(f"d{k}", f"d{k - 1}" if k else None, str(k)) for k in range(700)] + [(f"w{k}", "d0", "w") for k in range(300)] + [("lost", "nobody", "x"), ("alone", None, None)]
+    nodes += [(f"t{k}", f"t{rng.randrange(k)}" if k else None, f"{k}") for k in range(200)]
+    up, label = {n: p for n, p, _ in nodes}, {n: x for n, _, x in nodes}
+
+    def plain(n):
+        out = [label[n]]
+        while up.get(n) in up:
+            n = up[n]
+            out.insert(0, label[n])
+        return out
+
+    df = spark.createDataFrame(nodes, "node string, parent string, label string").repartition(3)
+    assert {r.node: r.path for r in paths(df).collect()} == {n: plain(n) for n in up}
+    assert paths(df.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="circles"):
+        paths(spark.createDataFrame([("a", "b", "1"), ("b", "a", "2"), ("c", "a", "3")], "node string, parent string, label string"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..storage import written
 from .graph import components, linked_by_key
 
 def first_non_empty(value: str, order: str) -> Column:
@@ -52,22 +53,27 @@ def merge(concepts: DataFrame, *keys: str, scope: str | None = None) -> DataFram
     return out.withColumn("surface", F.coalesce("canonical_name", "first_surface")).withColumn("canonical_name", F.coalesce("canonical_name", F.lit(""))).withColumnRenamed("type", "concept_type")
 
 
-def unify(concepts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Merged concepts of segment results and the map from old ids to new ones.
+def unify(concepts: DataFrame, unit: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Merged concepts of segment results and the map from old ids to new ones; with ``unit``, a column, those of each unit by themselves.
 
     Rows with the same surface and type are one group; groups that share a canonical name and a type are joined, transitively. New ids
-    are in order of first appearance. ``pos`` (long) must be different for each row.
+    are in order of first appearance. ``pos`` (long) must be different for each row of a unit.
     """
-    rows = concepts.withColumn("concept_type", T.concept_type(F.col("concept_type")))
-    by_surface = rows.select("pos", F.struct(F.lit("s").alias("k"), "surface", "concept_type").alias("key"))
-    by_name = rows.where("canonical_name <> ''").select("pos", F.struct(F.lit("n").alias("k"), F.col("canonical_name").alias("surface"), "concept_type").alias("key"))
-    roots = components(linked_by_key(by_surface.unionByName(by_name), "pos", "key"))
-    rooted = rows.join(roots.select(F.col("node").alias("pos"), "root"), "pos")
-    merged = merge(rooted, "root")
     from .registry import numbered  # that module builds on this one
 
-    merged = numbered(merged, "pos", "n").withColumn("new_id", F.format_string("concept-%04d", F.col("n"))).drop("n")
-    return merged, rooted.select("concept_id", "root").join(merged.select("root", "new_id"), "root").select("concept_id", "new_id")
+    own = [unit] if unit else []
+    rows = written(concepts.withColumn("concept_type", T.concept_type(F.col("concept_type"))).withColumn("__node", F.monotonically_increasing_id()), "mentions")
+    key = lambda kind, name: F.struct(F.lit(kind).alias("k"), F.col(name).alias("surface"), "concept_type", *own).alias("key")
+    keys = rows.select("__node", key("s", "surface")).unionByName(rows.where("canonical_name <> ''").select("__node", key("n", "canonical_name")))
+    roots = components(linked_by_key(keys, "__node", "key"))
+    rooted = written(rows.join(roots.select(F.col("node").alias("__node"), "root"), "__node").drop("__node"), "rooted")
+    merged = merge(rooted, *own, "root")
+    if unit:
+        merged = merged.withColumn("n", F.row_number().over(Window.partitionBy(unit).orderBy("pos")))
+    else:
+        merged = numbered(merged, "pos", "n")
+    merged = written(merged.withColumn("new_id", F.format_string("concept-%04d", F.col("n"))).drop("n"), "unified")
+    return merged, rooted.select(*own, "concept_id", "root").join(merged.select("root", "new_id"), "root").select(*own, "concept_id", "new_id")
 
 
 def ambiguous(concepts: DataFrame, surface: str = "surface", kind: str = "concept_type") -> DataFrame:

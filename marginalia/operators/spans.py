@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,13 +99,15 @@ def covering(spans: DataFrame, unit: str = "unit_id", ident: str = "span_id") ->
             if a < b:
                 opened.setdefault(a, []).append(i)
                 closed.setdefault(b, []).append(i)
-        cuts, now, out = sorted({*opened, *closed}), [], []
+        cuts, now, out = sorted({*opened, *closed}), Counter(), []
         for a, b in zip(cuts, cuts[1:], strict=False):
+            now.subtract(closed.get(a, ()))
             for i in closed.get(a, ()):
-                now.remove(i)
-            now += opened.get(a, [])
+                if not now[i]:
+                    del now[i]
+            now.update(opened.get(a, ()))
             if now:
-                out.append((pdf[unit].iloc[0], a, b, sorted(now)))
+                out.append((pdf[unit].iloc[0], a, b, sorted(now.elements())))
         return pd.DataFrame(out, columns=[unit, "start", "end", "covered_by"])
 
     ship(spans.sparkSession)

@@ -43,6 +43,21 @@ def concept_merge_parts(t: Tables) -> DataFrame:
     return m.select("surface_key", "canonical_name", "n_members", "pos", "summary", F.array_join("aliases", ",").alias("aliases"), "grounding")
 
 
+@catalog.query(f"""WITH RECURSIVE m AS (SELECT p_partkey AS id, p_name AS surface, {_TYPES.format(c="p_type")} AS ty, CASE WHEN p_partkey % 5 = 0 THEN p_brand || '-' || p_size ELSE '' END AS cname FROM part),
+k AS (SELECT id, 's' || surface || '|' || ty AS key FROM m UNION ALL SELECT id, 'n' || cname || '|' || ty FROM m WHERE cname <> ''),
+h AS (SELECT DISTINCT a, id AS b FROM k JOIN (SELECT key, min(id) AS a FROM k GROUP BY key) USING (key)), e AS (SELECT a, b FROM h UNION SELECT b, a FROM h),
+r(node, root) AS (SELECT id, id FROM m UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node), c AS (SELECT node AS id, min(root) AS root FROM r GROUP BY node),
+g AS (SELECT root, count(*) AS n_members, coalesce(first(cname ORDER BY length(cname) DESC, cname) FILTER (WHERE cname <> ''), '') AS canonical_name, row_number() OVER (ORDER BY root) AS n FROM c JOIN m USING (id) GROUP BY root)
+SELECT 'm-' || id AS concept_id, printf('concept-%04d', n) AS new_id, canonical_name, n_members FROM c JOIN g USING (root)""")
+def unified_mentions(t: Tables) -> DataFrame:
+    """Parts as mentions of many segments, joined by surface and type and, transitively, by canonical name and type."""
+    p = t.part
+    name = F.when(F.col("p_partkey") % 5 == 0, F.concat_ws("-", "p_brand", F.col("p_size").cast("string"))).otherwise("")
+    mentions = _mentions(t).drop("canonical_name").join(p.select(F.format_string("m-%d", F.col("p_partkey")).alias("concept_id"), name.alias("canonical_name")), "concept_id").withColumn("pos", F.col("pos").cast("long"))
+    merged, ids = E.unify(mentions)
+    return ids.join(merged.select("new_id", "canonical_name", F.col("n_members").cast("long").alias("n_members")), "new_id").select("concept_id", "new_id", "canonical_name", "n_members")
+
+
 _FIRST_LAST = r"""x AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: x <> '') AS ls FROM documents),
 k AS (SELECT doc_id, 'f' || ls[1] AS key FROM x WHERE len(ls) > 0 UNION ALL SELECT doc_id, 'l' || ls[-1] FROM x WHERE len(ls) > 0),
 s AS (SELECT key, min(doc_id) AS a FROM k GROUP BY key)"""

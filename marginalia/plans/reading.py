@@ -66,9 +66,8 @@ def read_units(units: DataFrame, backend: Backend) -> dict[str, DataFrame]:
     raw = parsed.select(unit, segment, F.posexplode("a.concepts").alias("p", "c"))
     pos = F.row_number().over(Window.partitionBy("unit_id").orderBy("segment_id", "p"))
     concepts = raw.select("unit_id", "segment_id", pos.alias("pos"), "c.*").withColumn("concept_id", F.concat_ws("-", "segment_id", "concept_id"))
-    merged = E.merge(concepts.withColumn("key_surface", F.col("surface")).withColumn("key_type", F.col("concept_type")), "unit_id", "key_surface", "key_type")
-    number = F.row_number().over(Window.partitionBy("unit_id").orderBy("pos"))
-    merged = written(merged.withColumn("id", F.format_string("concept-%04d", number)), "concepts")
+    merged, _ = E.unify(concepts.withColumn("pos", F.col("pos").cast("long")), "unit_id")
+    merged = written(merged.withColumnRenamed("new_id", "id").drop("root"), "concepts")
     ids = merged.select("unit_id", "id", F.explode("merged_from").alias("old_id"))
     items = parsed.select(unit, segment, F.posexplode("a.atomic_items").alias("p", "i")).select("unit_id", "segment_id", "p", "i.*")
     n = F.row_number().over(Window.partitionBy("unit_id").orderBy("segment_id", "p"))

@@ -93,3 +93,15 @@ def test_checks(spark):
     merged = spark.createDataFrame([("m", ["p", "q"], [])], "id string, merged_from array<string>, source_block_refs array<string>")
     members = spark.createDataFrame([("p", ["b2", "b1"]), ("q", ["b1", "b3"])], "id string, source_block_refs array<string>")
     assert C.inherited_refs(merged, members).first().source_block_refs == ["b2", "b1", "b3"]
+
+
+def test_unify_by_unit(spark):
+    """Two surfaces with one canonical name are one concept, within their unit only."""
+    blank = {"summary": "", "aliases": [], "observed_surfaces": [], "source_block_refs": [], "grounding": "source_grounded"}
+    said = [("u1", 0, "he", "Shen Fu"), ("u1", 1, "Sanbai", "Shen Fu"), ("u1", 2, "he", ""), ("u1", 3, "she", ""), ("u2", 0, "he", "Shen Fu"), ("u2", 1, "Sanbai", "")]
+    rows = [{"unit_id": u, "pos": k, "concept_id": f"s-{k}", "surface": s, "canonical_name": c, "concept_type": "person"} | blank for u, k, s, c in said]
+    merged, ids = E.unify(spark.createDataFrame(rows, "unit_id string, " + CONCEPT), "unit_id")
+    assert {(r.unit_id, r.concept_id): r.new_id for r in ids.collect()} == {
+        ("u1", "s-0"): "concept-0001", ("u1", "s-1"): "concept-0001", ("u1", "s-2"): "concept-0001", ("u1", "s-3"): "concept-0002", ("u2", "s-0"): "concept-0001", ("u2", "s-1"): "concept-0002",
+    }
+    assert sorted((r.unit_id, r.new_id, r.n_members) for r in merged.collect()) == [("u1", "concept-0001", 3), ("u1", "concept-0002", 1), ("u2", "concept-0001", 1), ("u2", "concept-0002", 1)]

@@ -23,7 +23,7 @@ from ..operators.tools import Tools, with_tools
 from ..sources import store
 from ..sources.backend import Backend, answers, prompt_of
 from ..storage import written
-from ..streaming.units import CONCEPT, GROUP, ITEM, fold_records, fold_unit
+from ..streaming.units import CONCEPT, GROUP, ITEM, fold_concepts, fold_records
 
 _CONCEPTS = "array<struct<concept_id:string,surface:string,concept_type:string,canonical_name:string,summary:string,aliases:array<string>,observed_surfaces:array<string>,source_block_refs:array<string>,grounding:string>>"
 _ITEMS = "array<struct<item_id:string,item_type:string,summary:string,source_block_refs:array<string>,concept_refs:array<string>,grounding:string>>"
@@ -231,27 +231,33 @@ class Reader:
             raise ReadingError(unit_id, errors)
         return data | {"validation": summary(issues)}
 
-    def bind(self, index_id: str) -> None:
+    def bind(self, index_id: str, t: store.Transaction | None = None) -> None:
         """Holds the registry to one source index: the first unit's."""
-        have = self.registry.load("meta")
+        if t is None:
+            return self.registry.transact(lambda own: self.bind(index_id, own))
+        have = t.load("meta")
         before = "" if have is None else have.first()["source_index_id"]
         if R.bound_index(before, index_id) != before:
-            self.registry.save("meta", self.spark.createDataFrame([(index_id,)], "source_index_id string"))
+            t.replace("meta", self.spark.createDataFrame([(index_id,)], "source_index_id string"))
 
     def fold(self, data: dict[str, Any]) -> dict[str, int]:
-        """Adds a package to the registry; gives its operations by type."""
+        """Adds a package to the registry in one commit; gives its operations by type."""
         unit = data["unit_id"]
-        if index_id_of(data):
-            self.bind(index_id_of(data))
         rows = [(f"{unit}:{c['concept_id']}", c.get("surface", ""), c.get("concept_type", "other"), c.get("canonical_name") or "", c.get("summary", ""), c.get("aliases") or [], c.get("observed_surfaces") or [], c.get("source_block_refs") or [], (c.get("provenance") or {}).get("grounding", "source_grounded"), unit) for c in data["concepts"]]
         links = [(f"{unit}:{c['concept_id']}", c["registry_ref"]) for c in data["concepts"] if c.get("registry_ref")]
         make = self.spark.createDataFrame
-        operations, mapping = fold_unit(self.registry, make(rows, CONCEPT), make(links, "unit_ref string, book_ref string"))
-        local = mapping.withColumn("old_id", F.regexp_replace("old_id", "^[^:]*:", ""))
         items = make([(i["item_id"], i.get("item_type", "other"), i.get("summary", ""), i.get("source_block_refs") or [], i.get("concept_refs") or [], unit) for i in data["atomic_items"]], ITEM)
         groups = make([(g["group_id"], g.get("group_type", "other"), g.get("summary", ""), g.get("concept_refs") or [], g.get("item_refs") or [], unit) for g in data["logical_groups"]], "group_id string, group_type string, summary string, concept_refs array<string>, item_refs array<string>, source_unit string")
         proposals = make([(p.get("unit_group_ref", ""), p.get("proposal_type", ""), p.get("registry_group_ref", "")) for p in data["group_proposals"]], "group_id string, proposal_type string, registry_group_ref string")
-        grouped = fold_records(self.registry, items, groups, proposals, local)
+
+        def work(t: store.Transaction) -> tuple[DataFrame, DataFrame]:
+            if index_id_of(data):
+                self.bind(index_id_of(data), t)
+            operations, mapping = fold_concepts(t, make(rows, CONCEPT), make(links, "unit_ref string, book_ref string"))
+            local = mapping.withColumn("old_id", F.regexp_replace("old_id", "^[^:]*:", ""))
+            return operations, fold_records(t, items, groups, proposals, local)
+
+        operations, grouped = self.registry.transact(work)
         counts = {r["op_type"]: r["n"] for r in operations.groupBy("op_type").agg(F.count("*").alias("n")).union(grouped.groupBy("op_type").agg(F.count("*"))).collect()}
         return counts | {"add_item": len(data["atomic_items"])}
 

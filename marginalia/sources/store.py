@@ -1,4 +1,4 @@
-"""Stores: registry snapshots, the catalogue of runs, cached passes and embeddings."""
+"""Stores: registries, the catalogue of runs, cached passes and embeddings."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .commits import Registry, Transaction  # noqa: F401 - part of this module's surface
+
 
 def text_hash(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
@@ -23,54 +25,6 @@ def run_hash(**parts: object) -> str:
     return "run-" + json_hash(parts)[:16]
 
 
-class Registry:
-    """Versioned tables under a folder: each save is a new ``snapshot=n`` of each table, a rollback reads an older one."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
-
-    def snapshots(self, table: str) -> list[int]:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{table}")
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        done = [n for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(path, f"{n}/_SUCCESS"))]
-        return sorted(int(n.partition("=")[2]) for n in done if n.startswith("snapshot="))
-
-    def save(self, table: str, rows: DataFrame, tag: str | None = None) -> int:
-        """Writes the next snapshot; readers see it once it is whole. Its tag is written before it, so a whole snapshot always has its tag."""
-        n = max(self.snapshots(table), default=0) + 1
-        if tag is not None:
-            self.spark.createDataFrame([(tag,)], "tag string").write.mode("overwrite").parquet(f"{self.folder}/{table}_tags/snapshot={n}")
-        rows.write.mode("overwrite").parquet(f"{self.folder}/{table}/snapshot={n}")
-        return n
-
-    def tag(self, table: str) -> str | None:
-        """The tag of the latest whole snapshot, if it has one."""
-        n = max(self.snapshots(table), default=0)
-        if n not in self.snapshots(f"{table}_tags"):
-            return None
-        return self.spark.read.parquet(f"{self.folder}/{table}_tags/snapshot={n}").first()["tag"]
-
-    def load(self, table: str, snapshot: int | None = None) -> DataFrame | None:
-        """The latest snapshot, or the one asked for; none if the table was never saved."""
-        have = self.snapshots(table)
-        if not have:
-            return None
-        n = have[-1] if snapshot is None else snapshot
-        if n not in have:
-            raise ValueError(f"{table} has no snapshot {n}")
-        return self.spark.read.parquet(f"{self.folder}/{table}/snapshot={n}")
-
-    def rollback(self, table: str, snapshot: int) -> int:
-        """Makes an older snapshot the latest one; nothing is deleted."""
-        rows = self.load(table, snapshot)
-        assert rows is not None
-        return self.save(table, rows)
-
-
 def append_run(spark: SparkSession, folder: str, **run: object) -> None:
     """Adds a run to the catalogue; runs are files of their own, so writers do not meet."""
     spark.createDataFrame([(json_hash(run), json.dumps(run, sort_keys=True))], "run_key string, run string").withColumn("at", F.current_timestamp()).write.mode("append").parquet(folder)

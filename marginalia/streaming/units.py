@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import registry as R
-from ..sources.store import Registry
+from ..sources.commits import Registry, Transaction
 from ..storage import written
 
 CONCEPT = "id string, surface string, concept_type string, canonical_name string, summary string, aliases array<string>, observed_surfaces array<string>, source_block_refs array<string>, grounding string, source_unit string"
@@ -22,54 +22,65 @@ def names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
-def _latest(store: Registry, table: str, schema: str) -> DataFrame:
-    rows = store.load(table)
-    return store.spark.createDataFrame([], schema) if rows is None else rows
+def _held(t: Transaction, table: str, schema: str) -> DataFrame:
+    rows = t.load(table)
+    return t.spark.createDataFrame([], schema) if rows is None else rows
 
 
-def fold_unit(store: Registry, units: DataFrame, links: DataFrame | None = None, tag: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Folds a batch of concepts into the latest snapshot and saves the next one; gives the operations and the map of ids.
+def fold_concepts(t: Transaction, units: DataFrame, links: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Folds a batch of concepts into the registry of a transaction; gives the operations and the map of ids.
 
     ``links`` (``unit_ref, book_ref``) come before matches by name. Merges that the registry refuses make new concepts and unresolved rows.
+    What is written are the concepts that the batch makes or changes and its unresolved rows.
     """
-    registry = _latest(store, "concepts", CONCEPT)
+    registry = _held(t, "concepts", CONCEPT)
     operations, refused = R.checked(R.concept_operations(units, R.collisions(units, registry), links), units, registry)
     operations, refused = written(operations, "operations"), written(refused, "refused")
     mapping = written(R.id_map(units, operations, R.top_number(registry, "id") + 1), "id_map")
-    after = R.apply_concepts(registry, units, mapping)
+    changed = mapping.select(F.col("new_id").alias("id")).distinct()
+    touched = t.lookup("concepts", changed)
+    after = R.apply_concepts(registry.limit(0) if touched is None else touched, units, mapping)
     unit_of = written(units.select(F.col("id").alias("unit_ref"), F.coalesce("source_unit", F.lit("")).alias("unit_id")).distinct(), "unit_of")
-    nobody = store.spark.createDataFrame([], "unit_id string, item_id string, summary string")
+    nobody = t.spark.createDataFrame([], "unit_id string, item_id string, summary string")
     open_ = operations.where("op_type = 'ambiguity'").join(unit_of, "unit_ref", "left").select(F.coalesce("unit_id", F.lit("")).alias("unit_id"), "unit_ref", "book_ref", "match_reason")
     new = R.unresolved_rows(nobody, open_, refused.join(unit_of, "unit_ref", "left").withColumn("unit_id", F.coalesce("unit_id", F.lit(""))))
-    store.save("unresolved", _latest(store, "unresolved", UNRESOLVED).unionByName(new).distinct())
-    store.save("concepts", after.select(*names(CONCEPT)), tag)
+    t.upsert("unresolved", new.select(*names(UNRESOLVED)).distinct(), names(UNRESOLVED))
+    t.upsert("concepts", after.select(*names(CONCEPT)), ["id"])
     return operations, mapping
 
 
-def fold_records(store: Registry, items: DataFrame, groups: DataFrame, proposals: DataFrame, concepts: DataFrame) -> DataFrame:
+def fold_records(t: Transaction, items: DataFrame, groups: DataFrame, proposals: DataFrame, concepts: DataFrame) -> DataFrame:
     """Adds a unit's items and groups under the registry's ids, with its concepts (``concepts``: the map of their ids) and what its groups continue
     (``group_id, proposal_type, registry_group_ref``); gives the groups' operations."""
-    old_items, old_groups = _latest(store, "items", ITEM), _latest(store, "groups", GROUP)
     operations = written(R.group_operations(groups, proposals), "group_operations")
-    new_items, ids = R.add_items(items, concepts, R.top_number(old_items, "item_id") + 1)
-    new_groups = R.add_groups(groups, operations, concepts, ids, R.top_number(old_groups, "group_id") + 1)
-    store.save("items", old_items.unionByName(new_items.select(*names(ITEM))))
-    store.save("groups", old_groups.unionByName(new_groups.select(*names(GROUP))))
+    new_items, ids = R.add_items(items, concepts, R.top_number(_held(t, "items", ITEM), "item_id") + 1)
+    ids = written(ids, "item_ids")
+    new_groups = R.add_groups(groups, operations, concepts, ids, R.top_number(_held(t, "groups", GROUP), "group_id") + 1)
+    t.upsert("items", new_items.select(*names(ITEM)), ["item_id"])
+    t.upsert("groups", new_groups.select(*names(GROUP)), ["group_id"])
     return operations
 
 
-def follow(spark: SparkSession, incoming: str, folder: str, checkpoint: str) -> StreamingQuery:
+def fold_unit(store: Registry, units: DataFrame, links: DataFrame | None = None, tag: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``fold_concepts`` as a commit of its own."""
+    return store.transact(lambda t: fold_concepts(t, units, links), tag)
+
+
+def follow(spark: SparkSession, incoming: str, folder: str, checkpoint: str, writer: str = "follow") -> StreamingQuery:
     """Folds each new file of concepts under ``incoming`` into the registry in ``folder``, in micro-batches.
 
-    A snapshot carries the number of the batch that made it, so a batch that is repeated after a failure is left out if its snapshot is whole,
-    and folded into the snapshot before it otherwise: either way once.
+    The commit of a batch carries its number under the writer's name, so a batch that is repeated after a failure is folded once, whatever other
+    writers commit in between. Streams with checkpoints of their own need names of their own.
     """
     store = Registry(spark, folder)
 
     def fold(batch: DataFrame, number: int) -> None:
-        done = store.tag("concepts")
-        if done is None or int(done) < number:
-            fold_unit(store, batch, tag=str(number))
+        def work(t: Transaction) -> None:
+            if t.progress.get(writer, -1) < number:
+                fold_concepts(t, batch)
+                t.progress[writer] = number
+
+        store.transact(work)
 
     stream = spark.readStream.schema(CONCEPT).parquet(incoming)
     return stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions import vocab as V
 from ..storage import ship
 from .skew import running
+from .spans import overlaps
 
 _BOUNDARY = re.compile(r"""[。！？；!?]|\.(?=\s*(?:\Z|[A-Z　-〿一-鿿]|["'‘“（(〔［｛][A-Z一-鿿]))""")
 _WORD_BEFORE = re.compile(r"[^\W\d_]*\Z")
@@ -113,8 +114,8 @@ def book_blocks(blocks: DataFrame, book: str, unit: str) -> DataFrame:
 
 
 def overlapping(blocks: DataFrame, ranges: DataFrame, *keys: str) -> DataFrame:
-    """Blocks that overlap a range (``range_start``, ``range_end``) of their unit: an equi-join on the unit with the bounds as a residue."""
-    return blocks.join(ranges, list(keys)).where((F.col("end") > F.col("range_start")) & (F.col("start") < F.col("range_end")))
+    """Blocks that overlap a range (``range_start``, ``range_end``) of their unit; they meet in bins of places."""
+    return overlaps(blocks, ranges, list(keys), ("start", "end"), ("range_start", "range_end"))
 
 
 def marked(blocks: DataFrame, *keys: str) -> DataFrame:

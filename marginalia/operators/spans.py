@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import ship
+from ..storage import ship, written
 from .needles import places
 
 #: Shortest surface that is looked for; up to the second length a match is not sure.
@@ -86,32 +84,70 @@ def sweep(spans: DataFrame, unit: str = "unit_id") -> DataFrame:
     return cut.where("end IS NOT NULL AND depth > 0")
 
 
+#: Exponents of the widths of bins: powers of sixteen up to four billion, and one for all that is longer.
+LEVELS = (0, 4, 8, 12, 16, 20, 24, 28, 32, 63)
+
+
+def _level(length: Column) -> Column:
+    """The smallest level whose bins are no shorter than a length of 1 or more."""
+    bits = F.when(length <= 1, 0).otherwise(F.length(F.bin(length - 1)))
+    level = F.ceil(bits / 4) * 4
+    return F.when(level > LEVELS[-2], LEVELS[-1]).otherwise(level).cast("int")
+
+
+def _bin(at: Column, level: Column) -> Column:
+    return F.call_function("shiftright", at.cast("long"), level)
+
+
+def points_in(points: DataFrame, spans: DataFrame, keys: list[str], at: str, start: str, end: str) -> DataFrame:
+    """Pairs of rows of ``points`` and ``spans`` with equal ``keys`` where ``start <= at < end``; other columns need different names.
+
+    A span lies in at most two bins of the first level that is no shorter than it; a point asks for its bin of each level. So a unit's rows are
+    spread over its bins and every pair meets once. Rows with a null place, and spans that end before they begin, meet nothing.
+    """
+    length = F.col(end).cast("long") - F.col(start).cast("long")
+    s = spans.where(length > 0).withColumn("__level", _level(length))
+    s = s.withColumn("__bin", F.explode(F.array_distinct(F.array(_bin(F.col(start), F.col("__level")), _bin(F.col(end) - 1, F.col("__level"))))))
+    p = points.withColumn("__level", F.explode(F.array(*[F.lit(k) for k in LEVELS]))).withColumn("__bin", _bin(F.col(at), F.col("__level")))
+    met = p.join(s, [*keys, "__level", "__bin"])
+    return met.where((F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))).drop("__level", "__bin")
+
+
+def overlaps(left: DataFrame, right: DataFrame, keys: list[str], left_at: tuple[str, str], right_at: tuple[str, str]) -> DataFrame:
+    """Pairs of spans with equal ``keys`` where each begins before the other ends. A pair is found once, at its later start."""
+    (a, b), (c, d) = left_at, right_at
+    columns = [*keys, *[x for x in (*left.columns, *right.columns) if x not in keys]]
+    later_left = points_in(left, right, keys, a, c, d).where(F.col(b) > F.col(c)).select(*columns)
+    later_right = points_in(right, left, keys, c, a, b).where((F.col(c) > F.col(a)) & (F.col(a) < F.col(d))).select(*columns)
+    return later_left.unionByName(later_right)
+
+
 def covering(spans: DataFrame, unit: str = "unit_id", ident: str = "span_id") -> DataFrame:
-    """The pieces of ``sweep`` with the ids of the spans that cover each, in order: ``start, end, covered_by``.
+    """The pieces of ``sweep`` with the ids of the spans that cover each, in order: ``start, end, covered_by``. Spans without length cut none.
 
-    A unit is one step of work, in which spans open and close from left to right.
+    A piece is covered by the spans that its start lies in, so pieces and spans meet in bins; a piece's list is as long as its depth.
     """
-    kinds = {c: spans.schema[c].dataType.simpleString() for c in (unit, ident)}
+    some = written(spans.where(F.col("start") < F.col("end")).select(unit, F.col("start").alias("__a"), F.col("end").alias("__b"), ident), "spans")
+    pieces = sweep(some.select(unit, F.col("__a").alias("start"), F.col("__b").alias("end")), unit).select(unit, "start", "end")
+    return points_in(pieces, some, [unit], "start", "__a", "__b").groupBy(unit, "start", "end").agg(F.array_sort(F.collect_list(ident)).alias("covered_by"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        opened, closed = {}, {}
-        for a, b, i in zip(pdf["start"].tolist(), pdf["end"].tolist(), pdf[ident].tolist(), strict=True):
-            if a < b:
-                opened.setdefault(a, []).append(i)
-                closed.setdefault(b, []).append(i)
-        cuts, now, out = sorted({*opened, *closed}), Counter(), []
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            now.subtract(closed.get(a, ()))
-            for i in closed.get(a, ()):
-                if not now[i]:
-                    del now[i]
-            now.update(opened.get(a, ()))
-            if now:
-                out.append((pdf[unit].iloc[0], a, b, sorted(now.elements())))
-        return pd.DataFrame(out, columns=[unit, "start", "end", "covered_by"])
-
-    ship(spans.sparkSession)
-    return spans.select(unit, "start", "end", ident).groupBy(unit).applyInPandas(run, f"{unit} {kinds[unit]}, start long, end long, covered_by array<{kinds[ident]}>")
+
+def within(left: DataFrame, right: DataFrame, keys: list[str], at: str, right_at: str, seconds: int) -> DataFrame:
+    """Pairs of rows with equal ``keys`` where ``right_at`` is not before ``at`` and at most ``seconds`` after it; other columns need different names.
+
+    Times are binned by that width: a left row stands in its bin and the next, a right row in its own, so every pair meets once and a key's rows are
+    spread over its bins. Runs on batches and on two streams with watermarks, whose rows are forgotten once no partner can come.
+    """
+    binned = lambda c: F.floor(F.unix_timestamp(F.col(c).cast("timestamp")) / seconds).cast("long")
+    l_ = left.withColumn("__bin", F.explode(F.array(binned(at), binned(at) + 1)))
+    r_ = right.withColumn("__bin", binned(right_at))
+    for k in [*keys, "__bin"]:
+        r_ = r_.withColumnRenamed(k, f"__r_{k}")
+    same = F.lit(True)
+    for k in [*keys, "__bin"]:
+        same &= F.col(k) == F.col(f"__r_{k}")
+    met = l_.join(r_, same & (F.col(right_at) >= F.col(at)) & (F.col(right_at) <= F.col(at) + F.expr(f"INTERVAL {seconds} SECONDS")))
+    return met.drop("__bin", *[f"__r_{k}" for k in [*keys, "__bin"]])
 
 
 def islands(rows: DataFrame, key: str, at: str, gap: Column | int, *, value: Column | None = None) -> DataFrame:

@@ -10,9 +10,12 @@ from ..functions import vocab as V
 from ..operators import entities as E
 from ..operators import graph as G
 from ..operators import registry as R
+from ..operators import sketches as K
 from ..operators import spans as S
 from ..operators import validate as C
 from ..sources import store
+from ..sources.commits import Registry
+from ..storage import scratch_path
 from ..streaming import units as U
 from .registry import Catalog, Tables
 
@@ -295,3 +298,44 @@ def top_customers_by_region(t: Tables) -> DataFrame:
 @catalog.query("SELECT lang, count(*) AS n_docs, count(DISTINCT sha256(coalesce(text, ''))) AS n_hashes FROM documents GROUP BY lang")
 def pass_cache_keys(t: Tables) -> DataFrame:
     return t.documents.select("lang", store.text_hash(F.col("text")).alias("h")).groupBy("lang").agg(F.count("*").alias("n_docs"), F.countDistinct("h").alias("n_hashes"))
+
+
+@catalog.query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY seq DESC NULLS LAST, change_id DESC NULLS LAST, op DESC NULLS LAST, valid_at DESC NULLS LAST, source DESC NULLS LAST, segment DESC NULLS LAST, city DESC NULLS LAST, balance DESC NULLS LAST) AS k FROM client_changes)
+SELECT client_id, seq, change_id, source, segment, city, balance FROM r WHERE k = 1 AND coalesce(op, '') <> 'D'""")
+def registry_of_changes(t: Tables) -> DataFrame:
+    """Clients by their changes: four batches in order of arrival, each a commit of changed keys, read by merging base and deltas."""
+    held = Registry(t.spark, scratch_path(t.spark, "registry"))
+    order = ["seq", "change_id", "op", "valid_at", "source", "segment", "city", "balance"]
+    low, high = t.client_changes.agg(F.min("change_id"), F.max("change_id")).first()
+    turn = F.coalesce(F.floor((F.col("change_id") - (low or 0)) * 4 / ((high or 0) - (low or 0) + 1)), F.lit(0))
+    for k in range(4):
+        batch = t.client_changes.where(turn == k)
+        held.transact(lambda x, batch=batch: U.apply_changes(x, "clients", batch, ["client_id"], order, F.col("op") == "D"))
+    return held.load("clients").select("client_id", "seq", "change_id", "source", "segment", "city", "balance")
+
+
+@catalog.query("""SELECT sale_id, s.client_id, sold_at, count(*) AS n_clicks, max(ts) AS last_click FROM clicks c JOIN sales s ON c.client_id = s.client_id AND sold_at >= ts AND sold_at <= ts + INTERVAL 1 HOUR GROUP BY ALL""")
+def clicks_before_sales(t: Tables) -> DataFrame:
+    """Clicks in the hour before a sale of the same client; rows that are repeated count as often."""
+    c, s = t.clicks.select("client_id", "ts"), t.sales.select("client_id", "sale_id", "sold_at")
+    return S.within(c, s, ["client_id"], "ts", "sold_at", 3600).groupBy("sale_id", "client_id", "sold_at").agg(F.count("*").alias("n_clicks"), F.max("ts").alias("last_click"))
+
+
+@catalog.query("""WITH w AS (SELECT DISTINCT lang, md5(w) AS h FROM (SELECT lang, unnest(string_split(text, ' ')) AS w FROM documents)),
+r AS (SELECT lang, ('0x' || substr(h, 1, 3))::BIGINT AS register, max(CASE WHEN ('0x' || substr(h, 4, 13))::BIGINT = 0 THEN 53 ELSE 53 - length(bin(('0x' || substr(h, 4, 13))::BIGINT)) END) AS rank FROM w GROUP BY ALL),
+g AS (SELECT lang, count(*) AS n, sum(pow(2.0, -rank)) AS s FROM r GROUP BY lang), e AS (SELECT lang, n, 0.7213 / (1 + 1.079 / 4096) * 4096 * 4096 / (s + 4096 - n) AS raw FROM g)
+SELECT lang, round(CASE WHEN raw <= 2.5 * 4096 AND n < 4096 THEN 4096 * ln(4096 / (4096 - n)) ELSE raw END, 4) AS n_terms FROM e""")
+def distinct_terms_merged(t: Tables) -> DataFrame:
+    """Different terms of a language, about: registers are made by source and language and merged by language."""
+    words = t.documents.select("source", "lang", F.explode(F.array_distinct(F.split("text", " ", -1))).alias("w"))
+    parts = K.registers(words, ["source", "lang"], F.col("w"))
+    return K.distinct(K.merged_registers(parts, ["lang"]), ["lang"]).select("lang", F.round("estimate", 4).alias("n_terms"))
+
+
+@catalog.query("""WITH v AS (SELECT flag, sign(amount)::INT AS sign, CASE WHEN amount = 0 THEN 0 ELSE ceil(ln(abs(amount)) / ln(1.01 / 0.99)) END::INT AS bucket FROM sale_lines WHERE amount IS NOT NULL AND NOT isnan(amount)),
+b AS (SELECT flag, sign, bucket, count(*) AS n FROM v GROUP BY ALL), w AS (SELECT *, sum(n) OVER (PARTITION BY flag ORDER BY sign * bucket + sign * 100000) AS upto, sum(n) OVER (PARTITION BY flag) AS total FROM b)
+SELECT flag, q, round(sign * 2 * pow(1.01 / 0.99, bucket) / (1.01 / 0.99 + 1), 4) AS amount FROM w, (SELECT unnest([0.5, 0.9, 0.99]::DOUBLE[]) AS q) WHERE floor(q * (total - 1)) < upto AND floor(q * (total - 1)) >= upto - n""")
+def amount_quantiles_merged(t: Tables) -> DataFrame:
+    """Quantiles of amounts by flag, about: buckets are made by vendor and flag and merged by flag."""
+    parts = K.buckets(t.sale_lines, ["vendor_id", "flag"], F.col("amount"))
+    return K.quantiles(K.merged_buckets(parts, ["flag"]), ["flag"], [0.5, 0.9, 0.99]).select("flag", "q", F.round("estimate", 4).alias("amount"))

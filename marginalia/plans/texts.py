@@ -45,7 +45,7 @@ SELECT doc_id, count(*) AS n_blocks, min(block_index) AS first_block, max(block_
 def blocks_in_range(t: Tables) -> DataFrame:
     n = F.length("text")
     ranges = t.documents.select("doc_id", F.floor(n / 4).alias("range_start"), F.floor(n / 2).alias("range_end"))
-    return B.overlapping(_line_blocks(t), ranges, "doc_id").groupBy("doc_id").agg(F.count("*").alias("n_blocks"), F.min("block_index").alias("first_block"), F.max("block_index").alias("last_block"))
+    return B.overlapping(_line_blocks(t).select("doc_id", "block_index", "start", "end"), ranges, "doc_id").groupBy("doc_id").agg(F.count("*").alias("n_blocks"), F.min("block_index").alias("first_block"), F.max("block_index").alias("last_block"))
 
 
 @catalog.query(f"""WITH {_LINES}, n AS (SELECT *, row_number() OVER w AS k, coalesce(sum("end" - "start") OVER (PARTITION BY source ORDER BY doc_id, block_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS book_start FROM lb WINDOW w AS (PARTITION BY source ORDER BY doc_id, block_index))

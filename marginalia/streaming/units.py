@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -66,24 +68,49 @@ def fold_unit(store: Registry, units: DataFrame, links: DataFrame | None = None,
     return store.transact(lambda t: fold_concepts(t, units, links), tag)
 
 
-def follow(spark: SparkSession, incoming: str, folder: str, checkpoint: str, writer: str = "follow") -> StreamingQuery:
-    """Folds each new file of concepts under ``incoming`` into the registry in ``folder``, in micro-batches.
+def apply_changes(t: Transaction, table: str, changes: DataFrame, keys: list[str], order: list[str], gone: Column) -> DataFrame:
+    """Folds changes of keyed rows into a table, in which the newest change of a key by ``order`` wins, whatever order batches come in; ``gone``
+    says which changes delete. Gives the changes that took effect.
 
-    The commit of a batch carries its number under the writer's name, so a batch that is repeated after a failure is folded once, whatever other
-    writers commit in between. Streams with checkpoints of their own need names of their own.
+    The order of each key's last change is kept in ``<table>_order`` and committed with the table, also for deleted keys, so late and repeated
+    changes do nothing. Null keys are keys, a null in ``order`` comes first; rows alike in ``order`` are ranked by all their columns.
     """
-    store = Registry(spark, folder)
+    columns, last = changes.columns, f"{table}_order"
+    ranked = changes.withColumn("__gone", F.coalesce(gone, F.lit(False)))
+    newest = ranked.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.max_by(F.struct(*columns, "__gone"), F.struct(*order, *[c for c in columns if c not in order])).alias("r")).select("r.*")
+    newest = written(newest, "newest")
+    held = t.lookup(last, newest.select(*keys))
+    if held is not None:
+        h = held.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)], F.struct(*order).alias("__held"))
+        same = F.lit(True)
+        for i, k in enumerate(keys):
+            same &= F.col(k).eqNullSafe(F.col(f"__h{i}"))
+        newest = written(newest.join(h, same, "left").where(F.col("__held").isNull() | (F.struct(*order) > F.col("__held"))).select(*columns, "__gone"), "newer")
+    t.upsert(last, newest.select(*dict.fromkeys([*keys, *order])), keys)
+    t.upsert(table, newest.where("NOT __gone").select(*columns), keys)
+    t.delete(table, newest.where("__gone").select(*keys), keys)
+    return newest
+
+
+def follow_into(rows: DataFrame, store: Registry, checkpoint: str, writer: str, work: Callable[[Transaction, DataFrame], object]) -> StreamingQuery:
+    """Folds a stream into a registry in micro-batches by ``work``. The commit of a batch carries its number under the writer's name, so a
+    batch that is repeated after a failure is folded once, whatever other writers commit in between. Streams with checkpoints of their own
+    need names of their own."""
 
     def fold(batch: DataFrame, number: int) -> None:
-        def work(t: Transaction) -> None:
+        def once(t: Transaction) -> None:
             if t.progress.get(writer, -1) < number:
-                fold_concepts(t, batch)
+                work(t, batch)
                 t.progress[writer] = number
 
-        store.transact(work)
+        store.transact(once)
+
+    return rows.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    stream = spark.readStream.schema(CONCEPT).parquet(incoming)
-    return stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+def follow(spark: SparkSession, incoming: str, folder: str, checkpoint: str, writer: str = "follow") -> StreamingQuery:
+    """Folds each new file of concepts under ``incoming`` into the registry in ``folder``, in micro-batches."""
+    return follow_into(spark.readStream.schema(CONCEPT).parquet(incoming), Registry(spark, folder), checkpoint, writer, fold_concepts)
 
 
 def tumbling(events: DataFrame, width: str = "1 day", late: str = "1 hour") -> DataFrame:

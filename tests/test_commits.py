@@ -135,3 +135,40 @@ def test_a_fold_equals_the_full_rewrite_and_writes_only_its_rows(spark, tmp_path
         U.fold_unit(store, units)
         assert rows(store.load("concepts")) == rows(plain)
         assert store.manifest(n)["tables"]["concepts"]["deltas"][-1]["rows"] == 5
+
+
+def test_changes_that_come_late_or_twice_do_nothing(spark, tmp_path):
+    """Changes in shuffled batches, as a stream with a batch that is made again, against a dict in order of the changes."""
+    rng, schema = random.Random(8), "k long, seq long, op string, v string"
+    changes = [(rng.choice([1, 1, 1, 2, 3, None]), rng.choice([n, n, None]), rng.choice("IUUD"), f"v{n}") for n in range(60)]
+    order = ["seq", "v"]
+    last = {}
+    for c in sorted(changes, key=lambda c: (c[1] is not None, c[1] or 0, c[3])):
+        last[c[0]] = c
+    want = sorted((c for c in last.values() if c[2] != "D"), key=repr)
+    rng.shuffle(changes)
+    for n in range(3):
+        spark.createDataFrame(changes[n::3] + changes[:4], schema).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+    store = Registry(spark, f"{tmp_path}/registry")
+    seen = []
+
+    def work(t, batch):
+        seen.append(U.apply_changes(t, "t", batch, ["k"], order, spark_op()).count())
+
+    def spark_op():
+        from pyspark.sql import functions as F
+
+        return F.col("op") == "D"
+
+    def run(checkpoint):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
+        query = U.follow_into(stream, store, f"{tmp_path}/{checkpoint}", "w", work)
+        query.awaitTermination()
+
+    run("one")
+    assert rows(store.load("t")) == want and store.version() == 3 and store.progress("w") == 2 and len(seen) == 3
+    run("two")  # the checkpoint is lost: all batches come again under their numbers
+    assert rows(store.load("t")) == want and store.version() == 3 and len(seen) == 3
+    empty = spark.createDataFrame([], schema)
+    store.transact(lambda t: work(t, empty))
+    assert rows(store.load("t")) == want and seen[-1] == 0

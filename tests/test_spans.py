@@ -91,3 +91,38 @@ def test_places_of_needles_of_all_lengths(spark, monkeypatch, together):
     assert sorted(map(tuple, needles.places(t, "unit_id", n, "record_id", "surface").collect())) == want
     index = needles.gram_index(n.select(F.col("surface").alias("needle"))).collect()
     assert len(index) == len({s for _, s in names if s}) and all(r.list == len(r.needle) if len(r.needle) < 6 else len(r.needle) <= needles.width(r.list) for r in index)
+
+
+def test_spans_meet_in_bins(spark):
+    """Short and very long spans, empty and reversed ones, negative and null places, repeated rows, a hot unit: against all pairs."""
+    rng = random.Random(2)
+
+    def spans(n, tag):
+        out = [(rng.choice([1, 1, 1, 2, None]), f"{tag}{k % (n - 2)}", (a := rng.randint(-40, 60)), a + rng.choice([-2, 0, 1, 3, 16, 17, 2**20, 2**33, 2**40])) for k in range(n)]
+        return [*out, (1, f"{tag}n", None, 4)]
+
+    left, right = spans(60, "a"), spans(50, "b")
+    a = spark.createDataFrame(left, "u int, i string, a long, b long")
+    b = spark.createDataFrame(right, "u int, j string, c long, d long")
+    got = sorted((r.i, r.j, r.a, r.c) for r in S.overlaps(a, b, ["u"], ("a", "b"), ("c", "d")).collect())
+    assert got == sorted((i, j, p, r) for u, i, p, q in left for v, j, r, s in right if u is not None and u == v and None not in (p, r) and q > r and p < s and (r <= p < s or p < r < q))
+    points = S.points_in(a.select("u", "i", "a"), b, ["u"], "a", "c", "d").collect()
+    assert sorted((r.i, r.j, r.a, r.c) for r in points) == sorted((i, j, p, r) for u, i, p, _ in left for v, j, r, s in right if u is not None and u == v and None not in (p, r) and r <= p < s)
+
+
+def test_within_on_batches_and_streams(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    rng, start = random.Random(4), datetime(2024, 1, 1)
+    at = lambda: start + timedelta(seconds=rng.randrange(20_000), microseconds=rng.choice([0, 0, 5]))
+    left = [(rng.choice(["h", "h", "k", None]), n, at()) for n in range(80)] + [("h", 500, start), ("h", 500, start), ("h", 501, None)]
+    right = [(rng.choice(["h", "h", "k", None]), n, at()) for n in range(60)] + [("h", 700, start + timedelta(hours=1)), ("h", 701, start + timedelta(hours=1, microseconds=1)), ("h", 702, start)]
+    a, b = spark.createDataFrame(left, "k string, n long, ts timestamp"), spark.createDataFrame(right, "k string, m long, sold timestamp")
+    want = sorted((n, m) for k, n, t in left for j, m, s in right if k and k == j and t and s and t <= s <= t + timedelta(hours=1))
+    assert sorted((r.n, r.m) for r in S.within(a, b, ["k"], "ts", "sold", 3600).collect()) == want
+    for name, df in (("a", a), ("b", b)):
+        df.repartition(2).write.parquet(f"{tmp_path}/{name}")
+    read = lambda df, name, ts: spark.readStream.schema(df.schema).parquet(f"{tmp_path}/{name}").withWatermark(ts, "1 day")
+    met = S.within(read(a, "a", "ts"), read(b, "b", "sold"), ["k"], "ts", "sold", 3600)
+    met.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+    assert sorted((r.n, r.m) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == want

@@ -17,6 +17,7 @@ from ..sources import store
 from ..sources.commits import Registry
 from ..storage import scratch_path
 from ..streaming import units as U
+from ..streaming import visits as VI
 from .registry import Catalog, Tables
 
 catalog = Catalog()
@@ -339,3 +340,11 @@ def amount_quantiles_merged(t: Tables) -> DataFrame:
     """Quantiles of amounts by flag, about: buckets are made by vendor and flag and merged by flag."""
     parts = K.buckets(t.sale_lines, ["vendor_id", "flag"], F.col("amount"))
     return K.quantiles(K.merged_buckets(parts, ["flag"]), ["flag"], [0.5, 0.9, 0.99]).select("flag", "q", F.round("estimate", 4).alias("amount"))
+
+
+@catalog.query("""WITH d AS (SELECT DISTINCT client_id, ts, coalesce(kind = 'purchase', false) AS c, coalesce(click_id::VARCHAR, '') AS i FROM clicks WHERE client_id IS NOT NULL AND ts IS NOT NULL), l AS (SELECT *, lag(ts) OVER w AS p, lag(c) OVER w AS e FROM d WINDOW w AS (PARTITION BY client_id ORDER BY ts, c, i)),
+v AS (SELECT *, sum(CASE WHEN e OR ts > p + INTERVAL 30 MINUTE THEN 1 ELSE 0 END) OVER (PARTITION BY client_id ORDER BY ts, c, i ROWS UNBOUNDED PRECEDING) AS k FROM l)
+SELECT client_id, min(ts) AS "start", max(ts) AS "end", count(*) AS n_rows, CASE WHEN max(c) THEN 'end' ELSE 'silence' END AS closed_by FROM v GROUP BY client_id, k""")
+def client_visits(t: Tables) -> DataFrame:
+    """Visits of clients, ended by a purchase or by half an hour of silence."""
+    return VI.visits(t.clicks, "client_id", "ts", "click_id", F.col("kind") == "purchase", 1800)

@@ -15,11 +15,13 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import text as T
 from ..functions import vocab as V
+from ..operators.skew import running, salted_join
 from ..operators.spans import heading_islands
-from ..storage import ship
+from ..storage import ship, written
 
 FALLBACK_BYTES = 65536
 _BLANKS = re.compile(r"[ \t]+")
@@ -47,9 +49,8 @@ def _lines(data: bytes) -> Iterator[tuple[int, str]]:
         at = end + len(newline)
 
 
-def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``path, line, start_byte, text`` of text files in any encoding, lines from 1; ``start_byte`` counts from the file's start."""
-    ship(spark)
+def _whole_lines(files: DataFrame) -> DataFrame:
+    """Lines of files (``path, content``), each file in one step of work."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -58,7 +59,46 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
                 for k in range(0, len(rows), 100_000):
                     yield pd.DataFrame(rows[k : k + 100_000], columns=["path", "line", "start_byte", "text"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, _LINES)
+    return files.mapInPandas(run, _LINES)
+
+
+@F.pandas_udf(StringType())
+def _encoding_of(head: pd.Series) -> pd.Series:
+    return head.map(lambda x: sniff_encoding(bytes(x))[0])
+
+
+@F.pandas_udf(StringType())
+def _decoded(raw: pd.Series, encoding: pd.Series) -> pd.Series:
+    return pd.Series([bytes(x).decode(e, "replace") for x, e in zip(raw, encoding, strict=True)], dtype=object)
+
+
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``path, line, start_byte, text`` of text files in any encoding, lines from 1; ``start_byte`` counts from the file's start.
+
+    Spark cuts files at line ends, so many tasks read a large one; numbers and offsets are running sums over ranges of lines. What a file's encoding is, is told
+    from its first lines, about ``SNIFFED`` bytes. Only files of two- or four-byte encodings, where a byte of a character may look like a line's end, are read whole.
+    Files without a byte, which Spark passes over, have no lines.
+    """
+    ship(spark)
+    place = F.col("_metadata.file_path").alias("place")
+    files = spark.read.format("binaryFile").load(path).select("path", place, F.col("length").alias("size"))  # no contents are read
+    cut = spark.read.option("lineSep", "\n").text(path).select(place, F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), F.col("value").cast("binary").alias("raw"))
+    rows = written(running(cut, "place", ["block", "row"], F.octet_length("raw") + 1, number="line", before="at").select("place", "line", "at", "raw"), "lines")
+    total = rows.groupBy("place").agg(F.count("*").alias("n"), F.sum(F.octet_length("raw") + 1).cast("long").alias("bytes"))
+    first = rows.where(F.col("at") < SNIFFED).groupBy("place").agg(F.array_sort(F.collect_list(F.struct("line", "raw"))).alias("first"))
+    head = F.aggregate("first", F.lit(b""), lambda x, r: F.concat(x, r["raw"], F.lit(b"\n")))
+    told = first.select("place", _encoding_of(F.substring(head, 1, SNIFFED)).alias("encoding"))
+    known = files.join(total, "place", "left").join(told, "place", "left").withColumn("bytes", F.coalesce("bytes", F.lit(0))).withColumn("n", F.coalesce("n", F.lit(0)))
+    # the reader takes a UTF-8 mark off, and a last line's end, if there is one, is counted already
+    known = known.withColumn("mark", F.when(F.col("bytes") < F.col("size"), len(codecs.BOM_UTF8)).otherwise(0))
+    known = known.withColumn("encoding", F.when(F.col("mark") > 0, "utf-8").otherwise(F.coalesce("encoding", F.lit("utf-8"))))
+    known = written(known.withColumn("whole", F.col("encoding").rlike("(?i)utf.?(16|32)")), "files")
+    split = known.where(~F.col("whole"))
+    lines = salted_join(rows, split.select("place", "path", "encoding", "mark"), ["place"], F.col("line"))
+    lines = lines.select("path", F.col("line").cast("int").alias("line"), (F.col("at") + F.col("mark")).alias("start_byte"), _decoded("raw", "encoding").alias("text"))
+    ended = split.where(F.col("bytes") + F.col("mark") == F.col("size")).select("path", (F.col("n") + 1).cast("int").alias("line"), F.col("size").alias("start_byte"), F.lit("").alias("text"))
+    wide = spark.read.format("binaryFile").load(path).select("path", "content").join(known.where("whole").select("path"), "path", "left_semi")
+    return lines.unionByName(ended).unionByName(_whole_lines(wide))
 
 
 def text_units(lines: DataFrame, sizes: DataFrame) -> DataFrame:

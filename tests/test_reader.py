@@ -94,3 +94,24 @@ def test_runs(spark, tmp_path):
     append_run(spark, str(tmp_path / "runs"), unit="u1")
     append_run(spark, str(tmp_path / "runs"), unit="u2")
     assert [r.run for r in runs(spark, str(tmp_path / "runs")).collect()] == ['{"unit": "u2"}', '{"unit": "u1"}']
+
+
+def test_lines_of_files_that_are_cut(spark, tmp_path):
+    """Files of several pieces, marks, encodings, carriage returns, missing and repeated last ends, empty files: as if read whole."""
+    from marginalia.sources import reader
+
+    body = "".join(f"Zeile {k} é\r\n" if k % 3 else f"line {k} ü\n" for k in range(400))
+    files = {
+        "a b.txt": body.encode(), "bom.txt": b"\xef\xbb\xbf" + body.encode(), "bom only.txt": b"\xef\xbb\xbf", "west.txt": body.encode("cp1252"), "none.txt": b"", "end.txt": b"\n", "ends.txt": b"a\n\n", "one.txt": b"no end",
+        "han.txt": ("春眠不覺曉處處聞啼鳥\n" * 300).encode("gb18030"), "wide.txt": b"\xff\xfe" + body.encode("utf-16-le"), "four.txt": b"\xff\xfe\x00\x00" + body.encode("utf-32-le"), "bad.txt": b"ok\n\xff\xfe broken \x80\nx",
+    }
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    want = sorted((name, k, at, text) for name, data in files.items() if data for k, (at, text) in enumerate(reader._lines(data), 1))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        got = sorted((r.path.rpartition("/")[2], r.line, r.start_byte, r.text) for r in reader.text_lines(spark, f"{tmp_path}/*.txt").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == want

@@ -43,9 +43,9 @@ def sentences(text: str, longest: int = V.MAX_BLOCK_CHARS, shortest: int = V.MIN
     return pieces
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _sentences(chunks: pd.Series) -> pd.Series:
-    return chunks.map(sentences)
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
+def _sentences(units: pd.Series) -> pd.Series:
+    return units.map(lambda chunks: None if chunks is None else [None if c is None else sentences(c) for c in chunks])
 
 
 #: Stands behind each blank line while a text is cut; a text that holds it is cut by a slower pattern.
@@ -64,33 +64,50 @@ def lines(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"[^\n]*\n|[^\n]+"), 0)
 
 
-def placed(units: DataFrame, chunks: Column, *keys: str) -> DataFrame:
-    """A row for each chunk: ``block_index`` from 0, ``start`` and ``end`` in the unit, ``text`` and its SHA-256."""
-    rows = units.select(*keys, F.posexplode(chunks).alias("block_index", "text"))
-    return _offsets(rows, *keys)
+#: Numbers summed up in one step of ``_before``.
+_STEP = 256
+
+
+def _sums(numbers: Column, first: Column) -> Column:
+    zero = F.struct(F.array().cast("array<long>").alias("out"), first.alias("sum"))
+    return F.aggregate(numbers, zero, lambda a, x: F.struct(F.concat(a["out"], F.array(a["sum"])).alias("out"), (a["sum"] + x).alias("sum")))["out"]
+
+
+def _before(parts: Column) -> Column:
+    """The sum of the numbers before each, of numbers that come in lists of ``_STEP``: sums inside lists start from sums of lists."""
+    zero = F.lit(0).cast("long")
+    firsts = _sums(F.transform(parts, lambda p: F.aggregate(p, zero, lambda a, x: a + x)), zero)
+    return F.flatten(F.zip_with(parts, firsts, _sums))
 
 
-def _offsets(rows: DataFrame, *keys: str) -> DataFrame:
-    before = Window.partitionBy(*keys).orderBy("block_index").rowsBetween(Window.unboundedPreceding, -1)
-    size = F.length("text").cast("long")
-    start = F.coalesce(F.sum(size).over(before), F.lit(0))
-    return rows.select(*keys, F.col("block_index").cast("long").alias("block_index"), start.alias("start"), (start + size).alias("end"), "text", F.sha2("text", 256).alias("text_hash"))
+def placed(units: DataFrame, chunks: Column, *keys: str) -> DataFrame:
+    """A row for each chunk: ``block_index`` from 0, ``start`` and ``end`` in the unit, ``text`` and its SHA-256.
+
+    A unit is a row, and its offsets are summed up in it: nothing is shuffled, and units that share a key stay apart.
+    """
+    rows = units.select(*keys, chunks.alias("__chunks"))
+    steps = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size("__chunks") - 1) / _STEP).cast("int")))
+    rows = rows.withColumn("__parts", F.transform(steps, lambda k: F.transform(F.slice("__chunks", k * _STEP + 1, _STEP), lambda c: F.length(c).cast("long"))))
+    rows = rows.select(*keys, F.posexplode(F.arrays_zip(F.col("__chunks").alias("text"), _before(F.col("__parts")).alias("start"))).alias("block_index", "__b"))
+    start, text = F.col("__b.start"), F.col("__b.text")
+    return rows.select(*keys, F.col("block_index").cast("long").alias("block_index"), start.alias("start"), (start + F.length(text)).alias("end"), text.alias("text"), F.sha2(text, 256).alias("text_hash"))
 
 
 def source_blocks(units: DataFrame, *keys: str) -> DataFrame:
     """Blocks of each unit's ``text``: paragraphs, those over the longest length cut at sentences; rule lines stand alone.
 
-    Only paragraphs that are too long leave the JVM.
+    Texts are cut once, and only paragraphs that are too long leave the JVM. A null or empty text has no blocks.
     """
     ship(units.sparkSession)
-    chunks = units.select(*keys, F.posexplode(paragraphs(F.col("text"))).alias("p", "chunk"))
-    core = F.length(F.regexp_replace("chunk", r"(?U)^\s+|\s+$", ""))
-    short = chunks.where(core <= V.MAX_BLOCK_CHARS).select(*keys, "p", F.array("chunk").alias("pieces"))
-    long = chunks.where(core > V.MAX_BLOCK_CHARS).select(*keys, "p", _sentences("chunk").alias("pieces"))
-    pieces = short.unionByName(long).select(*keys, "p", F.posexplode("pieces").alias("q", "text"))
-    order = Window.partitionBy(*keys).orderBy("p", "q")
-    rows = pieces.withColumn("block_index", F.row_number().over(order) - 1)
-    return _offsets(rows, *keys).withColumn("block_type", F.lit("paragraph")).withColumn("is_rule", F.col("text").rlike(V.RULE_LINE))
+
+    def is_long(p: Column) -> Column:
+        return (F.length(p) > V.MAX_BLOCK_CHARS) & (F.length(F.regexp_replace(p, r"(?U)^\s+|\s+$", "")) > V.MAX_BLOCK_CHARS)
+
+    rows = units.select(*keys, paragraphs(F.col("text")).alias("__p"))
+    rows = rows.withColumn("__long", F.transform("__p", lambda p: F.when(is_long(p), p)))
+    rows = rows.withColumn("__cut", _sentences(F.when(F.exists("__long", lambda p: p.isNotNull()), F.col("__long"))))
+    pieces = F.when(F.col("__cut").isNull(), F.col("__p")).otherwise(F.flatten(F.zip_with("__p", "__cut", lambda p, c: F.coalesce(c, F.array(p)))))
+    return placed(rows.select(*keys, pieces.alias("__pieces")), F.col("__pieces"), *keys).withColumn("block_type", F.lit("paragraph")).withColumn("is_rule", F.col("text").rlike(V.RULE_LINE))
 
 
 def contiguity_issues(blocks: DataFrame, *keys: str) -> DataFrame:

@@ -10,7 +10,8 @@ from ..functions import vocab as V
 from ..operators import blocks as B
 from ..operators import locate as L
 from ..operators import spans as S
-from ..sources import reader
+from ..sources import index, reader
+from ..storage import scratch_path
 from .registry import Catalog, Tables
 
 catalog = Catalog()
@@ -59,18 +60,53 @@ def block_markers(t: Tables) -> DataFrame:
     return B.marked(_line_blocks(t), "doc_id")
 
 
-@catalog.query()
+_W = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def _strip(text: str) -> str:
+    return rf"regexp_replace({text}, '^{_W}+|{_W}+$', '', 'g')"
+
+
+_PERIOD = rf"""\.({_W}*)($|[A-Z\x{{3000}}-\x{{303f}}\x{{4e00}}-\x{{9fff}}]|["''‘“（(〔［｛][A-Z\x{{4e00}}-\x{{9fff}}])"""
+_ABBREVIATED = rf"'(?i)((?:^|[^\p{{L}}])(?:{'|'.join(sorted(V.ABBREVIATIONS))})\.)' || chr(1)"
+#: Paragraphs, and sentences of those that are too long: a mark goes behind each end of a sentence and is taken back after abbreviations; what the marks cut is folded.
+_BLOCKS = rf"""units AS (SELECT row_number() OVER () AS u, * FROM documents),
+para AS (SELECT u, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM (SELECT u, list_filter(string_split(regexp_replace(text, '\n{_W}*\n', '\0' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS ps FROM units)),
+core AS (SELECT *, {_strip("p")} AS c, length(p) - length(regexp_replace(p, '^{_W}+', '')) AS lead FROM para),
+mark AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(c, '{_PERIOD}', '.' || chr(1) || '\1\2', 'g'), {_ABBREVIATED}, '\1', 'g'), {_ABBREVIATED}, '\1', 'g'), '([。！？；!?])', '\1' || chr(1), 'g') AS m FROM core),
+raw AS (SELECT *, CASE WHEN contains(m, chr(1)) THEN list_reduce(list_transform(list_filter(string_split(m, chr(1)), lambda x: x <> ''), lambda x: [x]),
+          lambda a, x: CASE WHEN {_strip("x[1]")} = '' OR length({_strip("a[-1]")}) < {V.MIN_FRAGMENT_CHARS} THEN list_append(a[:-2], a[-1] || x[1]) ELSE list_concat(a, x) END)
+        ELSE list_transform(range(0, length(c), {V.MAX_BLOCK_CHARS}), lambda k: substr(c, k + 1, {V.MAX_BLOCK_CHARS})) END AS r FROM mark WHERE length(c) > {V.MAX_BLOCK_CHARS}),
+cut AS (SELECT u, i, 0 AS j, p AS text FROM core WHERE length(c) <= {V.MAX_BLOCK_CHARS}
+        UNION ALL SELECT u, i, j, CASE WHEN j = 1 THEN substr(p, 1, lead) ELSE '' END || t || CASE WHEN j = len(r) THEN substr(p, lead + length(c) + 1) ELSE '' END FROM (SELECT u, i, p, c, lead, r, unnest(r) AS t, generate_subscripts(r, 1) AS j FROM raw)),
+blocks AS (SELECT units.doc_id, row_number() OVER w - 1 AS block_index, (coalesce(sum(length(cut.text)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS "start", cut.text FROM cut JOIN units USING (u) WINDOW w AS (PARTITION BY u ORDER BY i, j))"""
+
+
+@catalog.query(rf"""WITH {_BLOCKS} SELECT doc_id, block_index, "start", "start" + length(text) AS "end", sha256(text) AS text_hash, 'paragraph' AS block_type, regexp_matches(text, '{V.RULE_LINE}') AS is_rule FROM blocks""")
 def source_blocks(t: Tables) -> DataFrame:
-    return B.source_blocks(t.documents.where("text IS NOT NULL"), "doc_id").select("doc_id", "block_index", "start", "end", "text_hash", "block_type", "is_rule")
+    return B.source_blocks(t.documents, "doc_id").select("doc_id", "block_index", "start", "end", "text_hash", "block_type", "is_rule")
 
 
-@catalog.query()
+@catalog.query(rf"""WITH {_BLOCKS}, b AS (SELECT doc_id, count(*) AS n, max("start" + length(text)) AS c FROM blocks GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_blocks, 0::BIGINT AS n_breaks, coalesce(c, 0) AS covered, length(text)::BIGINT AS chars FROM documents LEFT JOIN b USING (doc_id)""")
 def source_block_issues(t: Tables) -> DataFrame:
-    """Contiguity by document: blocks found, breaks, and whether they make up the text."""
-    b = B.source_blocks(t.documents.where("text IS NOT NULL"), "doc_id")
+    """Contiguity by document: blocks found, breaks, and whether they make up the text. A document without blocks has a row too."""
+    b = B.source_blocks(t.documents, "doc_id").select("doc_id", "block_index", "start", "end")
     nxt = F.lead("start").over(Window.partitionBy("doc_id").orderBy("block_index"))
     g = b.withColumn("broken", (F.coalesce(nxt, F.col("end")) != F.col("end")).cast("long")).groupBy("doc_id").agg(F.count("*").alias("n_blocks"), F.sum("broken").alias("n_breaks"), F.max("end").alias("covered"))
-    return g.join(t.documents.select("doc_id", F.length("text").cast("long").alias("chars")), "doc_id")
+    none = F.lit(0).cast("long")
+    chars = t.documents.select("doc_id", F.length("text").cast("long").alias("chars"))
+    return chars.join(g, "doc_id", "left").select("doc_id", *[F.coalesce(c, none).alias(c) for c in ("n_blocks", "n_breaks", "covered")], "chars")
+
+
+@catalog.query(rf"""WITH {_BLOCKS} SELECT doc_id AS unit_id, block_index, format('block-{{:06d}}', row_number() OVER w) AS block_id, (coalesce(sum(length(text)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS book_start, sum(length(text)) OVER (w ROWS UNBOUNDED PRECEDING)::BIGINT AS book_end, sha256(text) AS text_hash,
+(SELECT count(DISTINCT doc_id) FROM documents) AS unit_count, (SELECT count(*) FROM blocks) AS block_count, (SELECT sum(length(text))::BIGINT FROM blocks) AS total_chars FROM blocks WINDOW w AS (ORDER BY doc_id, block_index)""")
+def source_index_saved(t: Tables) -> DataFrame:
+    """The source index of all documents as one book, saved and read again: blocks placed in the book beside the index's counts."""
+    built = index.build(t.documents.select(F.col("doc_id").alias("unit_id"), "text"), "documents", t.sf_dir, "", "parquet")
+    held = index.load(t.spark, index.save(t.spark, built, scratch_path(t.spark, "source_index")))
+    counts = [F.lit(held["meta"][c]).cast("long").alias(c) for c in ("unit_count", "block_count", "total_chars")]
+    return held["blocks"].select("unit_id", "block_index", "block_id", "book_start", "book_end", "text_hash", *counts)
 
 
 @catalog.query(r"""SELECT doc_id, length(text)::BIGINT AS chars, strlen(text)::BIGINT AS utf8_bytes, len(string_split(text, chr(10)))::BIGINT AS n_lines, len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\S')))::BIGINT AS n_text_lines FROM documents""")

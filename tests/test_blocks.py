@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import random
+import shutil
 
 from pyspark.sql import functions as F
 
 from marginalia.operators import blocks as B
+from marginalia.plans import texts as queries
+from tests.conftest import of_spark
 
 
 def test_sentences_make_up_the_text():
@@ -49,3 +52,39 @@ def test_paragraphs_are_cut_alike_both_ways(spark):
         assert r.fast == r.slow and "".join(r.fast) == texts[r.k]
     odd = df.select(B.paragraphs(F.concat("t", F.lit("\ue000z"))).alias("p"), "k")
     assert all("".join(r.p) == texts[r.k] + "\ue000z" for r in odd.collect())
+
+
+def test_units_that_share_a_key_and_units_without_text(spark):
+    many = "".join(f"line {k}\n" for k in range(3 * B._STEP + 7))
+    units = spark.createDataFrame([(1, many, "x"), (1, "other\n\ntext", "y"), (None, "no key", "z"), (2, None, "n"), (3, "", "e")], "unit_id long, text string, start string")
+    b = B.placed(units, B.lines(F.col("text")), "unit_id").collect()
+    of = [r for r in b if r.unit_id == 1 and r.text.startswith("line")]
+    assert [r.block_index for r in of] == list(range(3 * B._STEP + 7))
+    assert all(many[r.start : r.end] == r.text for r in of)
+    assert sorted(r.text for r in b if r.unit_id == 1 and not r.text.startswith("line")) == ["\n", "other\n", "text"]
+    assert {r.unit_id for r in b} == {1, None}
+    assert {r.unit_id for r in B.source_blocks(units, "unit_id").collect()} == {1, None}
+    assert B.source_blocks(units.limit(0), "unit_id").count() == 0
+
+
+def test_source_blocks_like_sentences_and_without_a_shuffle(spark, duck, tmp_path):
+    rng = random.Random(9)
+    parts = ["Mr. Who went ", "One sentence of a paragraph ends here. ", "two. three ", "好的。", "Why! ", "\n", "word " * 40, "Dr.St. Paul. ", "3.14 ", "End? ", "“Said.” He ", "　", "x" * 900]
+    paragraphs = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 60))) for _ in range(60)]
+    texts = [(k, "\n\n".join(rng.choice(paragraphs) for _ in range(rng.randint(1, 5)))) for k in range(60)] + [(60, None), (61, "")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    b = B.source_blocks(df, "doc_id")
+    assert "Exchange" not in b._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in b.collect():
+        got.setdefault(r.doc_id, []).append(r)
+    for k, text in texts[:60]:
+        assert "".join(r.text for r in got[k]) == text and all(text[r.start : r.end] == r.text for r in got[k])
+        whole = df.where(F.col("doc_id") == k).select(B.paragraphs(F.col("text"))).first()[0]
+        assert [r.text for r in got[k]] == [x for p in whole for x in (B.sentences(p) if len(p.strip()) > 800 else [p])]
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    file = next(p for p in (tmp_path / "documents.parquet").iterdir() if p.suffix == ".parquet")
+    (tmp_path / "sql").mkdir()
+    shutil.copy(file, tmp_path / "sql" / "documents.parquet")
+    for name in ("source_blocks", "source_block_issues"):
+        assert of_spark(queries.catalog.queries[name](spark, str(tmp_path))) == duck(queries.catalog.sql[name], str(tmp_path / "sql"))

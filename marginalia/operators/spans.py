@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..storage import ship, written
 from .needles import places
@@ -37,26 +38,75 @@ def chosen(matches: list[tuple[str, int, int]], longest_first: bool = True) -> l
     """Of matches (``record, start, end``) those that no earlier choice overlaps: longer ones choose first, then the earlier, then by record; or
     else the earlier first, of these the longer. Matches that have chosen are marked by place, so a match costs its length."""
     order = sorted(matches, key=lambda m: (m[1] - m[2], m[1], m[0]) if longest_first else (m[1], m[1] - m[2], m[0]))
-    taken = bytearray(max((b for _, _, b in matches), default=0))
+    first = min((a for _, a, _ in matches), default=0)
+    taken = bytearray(max((b for _, _, b in matches), default=0) - first)
     out = []
-    for record, a, b in order:
+    for record, start, end in order:
+        a, b = start - first, end - first
         # a choice that overlaps this match covers its first or its last place, unless it lies inside, which no longer one does
         if not (taken[a] or taken[b - 1]) and (longest_first or not any(taken[a:b])):
             taken[a:b] = b"\x01" * (b - a)
-            out.append((record, a, b))
+            out.append((record, start, end))
     return out
 
 
-def greedy(matches: DataFrame, unit: str = "unit_id", longest_first: bool = True) -> DataFrame:
-    """``chosen`` of each unit's matches (``start, end, record_id``); a unit's matches are one step of work."""
-    kind = matches.schema[unit].dataType.simpleString()
+#: Width of the pieces of a unit that matches are dealt to, in bits of their start.
+PIECE_BITS = 16
+
+
+def _same_piece(rows: DataFrame, pieces: DataFrame, unit: str) -> DataFrame:
+    """Rows with what the table of pieces knows of theirs; the null unit is a unit."""
+    other = pieces.select(F.col(unit).alias("__u"), F.col("__piece").alias("__p"), pieces.columns[-1])
+    return rows.join(other, F.col(unit).eqNullSafe(F.col("__u")) & (F.col("__piece") == F.col("__p"))).drop("__u", "__p")
+
+
+def groups_of_overlaps(matches: DataFrame, unit: str = "unit_id") -> DataFrame:
+    """Matches with ``island``, the first place of the stretch of overlapping matches that they lie in; spans that only touch do not overlap.
+
+    A unit is dealt to pieces by where matches start. Inside a piece they are in order; how far earlier pieces reach, and where the last stretch of
+    earlier pieces began, come from tables with a row for each piece.
+    """
+    rows = written(matches.withColumn("__piece", F.call_function("shiftright", F.col("start").cast("long"), F.lit(PIECE_BITS))), "matches")
+    earlier = Window.partitionBy(unit).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    reach = rows.groupBy(unit, "__piece").agg(F.max("end").alias("e")).select(unit, "__piece", F.max("e").over(earlier).alias("__reach"))
+    order = Window.partitionBy(unit, "__piece").orderBy("start", "end")
+    before = F.greatest(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.col("__reach"))
+    begun = _same_piece(rows, reach, unit).withColumn("__begin", F.when(F.coalesce(F.col("start") >= before, F.lit(True)), F.col("start")))
+    begun = begun.withColumn("__last", F.last("__begin", True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    last = begun.groupBy(unit, "__piece").agg(F.max("__begin").alias("b")).select(unit, "__piece", F.max("b").over(earlier).alias("__before"))
+    return _same_piece(begun, last, unit).select(*matches.columns, F.coalesce("__last", "__before").alias("island"))
+
+
+_CHOICES = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("record_id", T.StringType())]))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept = chosen(list(zip(pdf["record_id"], pdf["start"].tolist(), pdf["end"].tolist(), strict=True)), longest_first)
-        return pd.DataFrame({unit: pdf[unit].iloc[0], "start": [a for _, a, _ in kept], "end": [b for _, _, b in kept], "record_id": [r for r, _, _ in kept]})
 
+@F.pandas_udf(_CHOICES)
+def _longest(islands: pd.Series) -> pd.Series:
+    return islands.map(lambda x: _chosen_of(x, True))
+
+
+@F.pandas_udf(_CHOICES)
+def _earliest(islands: pd.Series) -> pd.Series:
+    return islands.map(lambda x: _chosen_of(x, False))
+
+
+def _chosen_of(island: list[dict] | None, longest_first: bool) -> list[dict] | None:
+    if island is None:
+        return None
+    return [{"start": a, "end": b, "record_id": r} for r, a, b in chosen([(m["record_id"], m["start"], m["end"]) for m in island], longest_first)]
+
+
+def greedy(matches: DataFrame, unit: str = "unit_id", longest_first: bool = True) -> DataFrame:
+    """``chosen`` of each unit's matches (``start, end, record_id``).
+
+    Only matches that overlap, straight or through others, compete, so a step of work is such a stretch and not a unit; matches that meet no other do
+    not leave the JVM.
+    """
     ship(matches.sparkSession)
-    return matches.select(unit, "start", "end", "record_id").groupBy(unit).applyInPandas(run, f"{unit} {kind}, start int, end int, record_id string")
+    rows = groups_of_overlaps(matches.select(unit, F.col("start").cast("int"), F.col("end").cast("int"), "record_id"), unit)
+    some = rows.groupBy(unit, "island").agg(F.collect_list(F.struct("start", "end", "record_id")).alias("m"))
+    won = (_longest if longest_first else _earliest)(F.when(F.size("m") > 1, F.col("m")))
+    return some.select(unit, F.explode(F.coalesce(won, "m")).alias("c")).select(unit, "c.start", "c.end", "c.record_id")
 
 
 def greedy_surfaces(units: DataFrame, surfaces: DataFrame, least: int = LEAST_SURFACE) -> DataFrame:
@@ -64,10 +114,13 @@ def greedy_surfaces(units: DataFrame, surfaces: DataFrame, least: int = LEAST_SU
     return greedy(surface_matches(units, surfaces, least))
 
 
-def scan_report(choices: DataFrame, surfaces: DataFrame) -> DataFrame:
-    """``unit_id, record_id, match_count, n_unsure`` of the chosen matches of each unit, most often named first within a unit."""
+def scan_report(choices: DataFrame) -> DataFrame:
+    """``unit_id, record_id, match_count, n_unsure, first_start, place`` of the records that units name (``greedy`` matches): how often, how often by a
+    match that is too short to be sure, where first, and their place in the unit's report, most often named first, then by id."""
     short = (F.col("end") - F.col("start") <= UNSURE_SURFACE).cast("long")
-    return choices.groupBy("unit_id", "record_id").agg(F.count("*").alias("match_count"), F.sum(short).alias("n_unsure"))
+    counts = choices.groupBy("unit_id", "record_id").agg(F.count("*").alias("match_count"), F.sum(short).alias("n_unsure"), F.min("start").cast("long").alias("first_start"))
+    order = Window.partitionBy("unit_id").orderBy(F.col("match_count").desc(), "record_id")
+    return counts.withColumn("place", F.row_number().over(order).cast("long"))
 
 
 def unmatched_records(choices: DataFrame, units: DataFrame, surfaces: DataFrame, least: int = LEAST_SURFACE) -> DataFrame:

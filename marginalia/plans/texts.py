@@ -279,12 +279,32 @@ def surface_scan(t: Tables) -> DataFrame:
     return S.surface_counts(_lower_units(t), _surfaces(t))
 
 
-@catalog.query()
+#: All places of the terms, found by length; stretches of overlapping ones; of each stretch, the longest first, those that none before overlaps.
+_GREEDY = r"""t AS (SELECT doc_id AS unit_id, lower(text) AS text FROM documents),
+f AS (SELECT DISTINCT unnest(tk) AS surface FROM (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS tk FROM benchmark)),
+n AS (SELECT DISTINCT length(surface) AS n FROM f WHERE length(surface) >= 2),
+pos AS (SELECT unit_id, text, n, unnest(range(0, length(text) - n + 1)) AS s FROM t, n),
+m AS (SELECT unit_id, s, s + n AS e, surface FROM pos JOIN f ON surface = substr(text, s + 1, n)),
+r AS (SELECT *, max(e) OVER (PARTITION BY unit_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM m),
+i AS (SELECT *, count(*) FILTER (WHERE reach IS NULL OR s >= reach) OVER (PARTITION BY unit_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM r),
+g AS (SELECT unit_id, list([{s: s, e: e, surface: surface}] ORDER BY e - s DESC, s, surface) AS l FROM i GROUP BY unit_id, island),
+w AS (SELECT unit_id, unnest(list_reduce(l, lambda a, x: CASE WHEN len(list_filter(a, lambda y: y.s < x[1].e AND y.e > x[1].s)) > 0 THEN a ELSE list_concat(a, x) END)) AS c FROM g),
+c AS (SELECT unit_id, c.s::INT AS "start", c.e::INT AS "end", 'r-' || c.surface AS record_id FROM w)"""
+
+
+@catalog.query(f"WITH {_GREEDY} SELECT * FROM c")
 def surface_scan_greedy(t: Tables) -> DataFrame:
     """Places of the benchmark's terms, longer ones first, none of which overlap."""
     return S.greedy_surfaces(_lower_units(t), _surfaces(t).withColumn("record_id", F.concat(F.lit("r-"), "surface")))
 
 
+@catalog.query(f"""WITH {_GREEDY}, k AS (SELECT unit_id, record_id, count(*) AS match_count, count(*) FILTER (WHERE "end" - "start" <= {S.UNSURE_SURFACE}) AS n_unsure, min("start")::BIGINT AS first_start FROM c GROUP BY unit_id, record_id)
+SELECT *, row_number() OVER (PARTITION BY unit_id ORDER BY match_count DESC, record_id) AS place FROM k""")
+def surface_scan_report(t: Tables) -> DataFrame:
+    """Of each text the terms that it names, most often named first."""
+    return S.scan_report(surface_scan_greedy(t))
+
+
 @catalog.query(r"""WITH f AS (SELECT DISTINCT unnest(tk) AS surface FROM (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS tk FROM benchmark))
 SELECT surface AS record_id FROM f WHERE length(surface) >= 2 AND NOT EXISTS (SELECT 1 FROM pages WHERE contains(lower(html), surface))""")
 def unmatched_surfaces(t: Tables) -> DataFrame:

@@ -40,7 +40,7 @@ def test_names_of_several_words_and_without_blanks(spark):
     got = S.greedy_surfaces(u, s)
     assert {r.record_id for r in got.collect()} == {"a", "b", "c"}
     assert [r.record_id for r in S.unmatched_records(got, u, s).collect()] == ["d"]
-    assert {(r.record_id, r.match_count, r.n_unsure) for r in S.scan_report(got, s).collect()} == {("a", 1, 1), ("b", 1, 0), ("c", 1, 0)}
+    assert {(r.record_id, r.match_count, r.n_unsure) for r in S.scan_report(got).collect()} == {("a", 1, 1), ("b", 1, 0), ("c", 1, 0)}
 
 
 def test_the_earlier_first():
@@ -48,6 +48,22 @@ def test_the_earlier_first():
     assert S.chosen([("a", 0, 3), ("b", 2, 9)]) == [("b", 2, 9)]
 
 
+@pytest.mark.parametrize("longest_first", [True, False])
+@pytest.mark.parametrize("bits", [0, 2, 16])
+def test_choices_in_stretches_that_cross_pieces(spark, monkeypatch, bits, longest_first):
+    monkeypatch.setattr(S, "PIECE_BITS", bits)
+    rng = random.Random(bits)
+    m = [(rng.choice([1, 2, None]), a := rng.randint(0, 150), a + rng.randint(1, 9), f"r{rng.randint(0, 4)}") for _ in range(110)]
+    m += [(1, 20, 70, "long"), (3, 5, 6, "alone"), (3, 6, 9, "touches")] + m[:5]
+    df = spark.createDataFrame(m, "unit_id long, start int, end int, record_id string")
+    want = sorted(((u, a, b, r) for u in (1, 2, 3, None) for r, a, b in S.chosen([(r, a, b) for v, a, b, r in m if v == u], longest_first)), key=repr)
+    assert sorted((tuple(r) for r in S.greedy(df, longest_first=longest_first).collect()), key=repr) == want
+    islands = {(r.unit_id, r.start, r.end): r.island for r in S.groups_of_overlaps(df).collect()}
+    for (u, a, b), i in islands.items():
+        assert i <= a and all(islands[v, c, d] == i for v, c, d in islands if v == u and c < b and a < d)
+    assert S.greedy(df.limit(0)).count() == 0
+
+
 def test_covering(spark):
     rng = random.Random(1)
     rows = [(k % 3, f"s{k}", (a := rng.randint(0, 20)), a + rng.randint(0, 9)) for k in range(30)]

@@ -279,12 +279,13 @@ def surface_scan(t: Tables) -> DataFrame:
     return S.surface_counts(_lower_units(t), _surfaces(t))
 
 
-#: All places of the terms, found by length; stretches of overlapping ones; of each stretch, the longest first, those that none before overlaps.
+#: All places of the terms, found by length in what follows each place; stretches of overlapping ones; of each stretch, the longest first, those that none before overlaps.
 _GREEDY = r"""t AS (SELECT doc_id AS unit_id, lower(text) AS text FROM documents),
 f AS (SELECT DISTINCT unnest(tk) AS surface FROM (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS tk FROM benchmark)),
 n AS (SELECT DISTINCT length(surface) AS n FROM f WHERE length(surface) >= 2),
-pos AS (SELECT unit_id, text, n, unnest(range(0, length(text) - n + 1)) AS s FROM t, n),
-m AS (SELECT unit_id, s, s + n AS e, surface FROM pos JOIN f ON surface = substr(text, s + 1, n)),
+p AS (SELECT unit_id, unnest(string_split(text, '')) AS c, generate_subscripts(string_split(text, ''), 1) - 1 AS s, (SELECT max(n) FROM n) AS most FROM t),
+x AS (SELECT unit_id, s, string_agg(c, '') OVER (PARTITION BY unit_id ORDER BY s ROWS BETWEEN CURRENT ROW AND most FOLLOWING) AS x FROM p),
+m AS (SELECT unit_id, s, s + n AS e, surface FROM (SELECT unit_id, s, n, left(x, n) AS g FROM x, n WHERE length(x) >= n) JOIN f ON surface = g),
 r AS (SELECT *, max(e) OVER (PARTITION BY unit_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM m),
 i AS (SELECT *, count(*) FILTER (WHERE reach IS NULL OR s >= reach) OVER (PARTITION BY unit_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM r),
 g AS (SELECT unit_id, list([{s: s, e: e, surface: surface}] ORDER BY e - s DESC, s, surface) AS l FROM i GROUP BY unit_id, island),

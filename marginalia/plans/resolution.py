@@ -332,6 +332,20 @@ def concept_candidates(t: Tables) -> DataFrame:
 _SEARCH = retrieval.BM25.replace("FROM documents", "FROM dd")
 
 
+@catalog.query(f"""WITH g AS (SELECT p_brand || '/' || p_size AS group_id, p_size = 1 AS mine, min(p_type) AS group_type, string_agg(DISTINCT p_name, ' ' ORDER BY p_name) AS s, list(DISTINCT p_name) AS refs FROM part WHERE p_brand || '/' || p_size IS NOT NULL GROUP BY p_brand, p_size),
+dd AS (SELECT group_id AS doc_id, '' AS lang, CASE WHEN length(s) > 120 THEN left(s, 117) || '...' ELSE s END || ' ' || group_type AS text FROM g WHERE NOT mine), q AS (SELECT group_id AS query_id, s || ' ' || group_type AS query FROM g WHERE mine), {_SEARCH},
+r AS (SELECT doc_id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM bm WHERE score > 0),
+l AS (SELECT group_id, 'concept' AS reason FROM g WHERE NOT mine AND len(list_intersect(refs, (SELECT list(DISTINCT p_name) FROM part WHERE p_size = 1))) > 0),
+c AS (SELECT doc_id AS group_id, 'signal' AS reason FROM r WHERE rank <= 20 UNION ALL SELECT * FROM l)
+SELECT group_id, CASE WHEN (SELECT count(*) FROM dd) <= {S.SMALL} THEN 'all' ELSE reason END AS reason FROM (SELECT group_id, min(reason) AS reason FROM (SELECT * FROM c WHERE (SELECT count(*) FROM dd) > {S.SMALL} UNION ALL SELECT doc_id, 'all' FROM dd WHERE (SELECT count(*) FROM dd) <= {S.SMALL}) GROUP BY group_id)""")
+def selected_groups(t: Tables) -> DataFrame:
+    """Groups of a registry (parts of a brand and size) that a unit's groups (those of size 1) may continue: by a linked concept, else by words."""
+    key = F.concat_ws("/", "p_brand", F.col("p_size").cast("string"))
+    g = t.part.where("p_brand IS NOT NULL AND p_size IS NOT NULL").groupBy(key.alias("group_id"), "p_size").agg(F.min("p_type").alias("group_type"), F.array_join(F.sort_array(F.collect_set("p_name")), " ").alias("summary"), F.collect_set("p_name").alias("concept_refs"), F.collect_list("p_partkey").alias("item_refs"))
+    linked = t.part.where("p_size = 1").select(F.col("p_name").alias("registry_ref"))
+    return S.select_groups(g.where("p_size = 1"), g.where("p_size <> 1"), linked)
+
+
 @catalog.query(f"WITH dd AS (SELECT item_id AS doc_id, '' AS lang, text FROM benchmark), q AS (SELECT 0 AS query_id, 'the of and to a nation' AS query), {_SEARCH}, r AS (SELECT doc_id, score, row_number() OVER (ORDER BY round(score, 9) DESC, doc_id) AS rank FROM bm WHERE score > 0) SELECT doc_id, rank, round(score, 6) AS score, 'bm25' AS method FROM r WHERE rank <= 10")
 def search_tool(t: Tables) -> DataFrame:
     rows = t.benchmark.select(F.col("item_id").alias("doc_id"), "text")

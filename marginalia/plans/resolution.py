@@ -175,7 +175,7 @@ def registry_items_added(t: Tables) -> DataFrame:
     _, _, ops = _delta(t)
     merged = ops.where("op_type = 'merge_concepts'").select(F.col("unit_ref").alias("old_id"), F.col("book_ref").alias("new_id"))
     ident = F.concat(F.lit("i-"), F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_suppkey", "l_linenumber", "l_partkey")]))
-    items = t.lineitem.groupBy(ident.alias("item_id")).agg(F.array(F.format_string("uc-%06d", F.min("l_partkey"))).alias("concept_refs"))
+    items = t.lineitem.groupBy(ident.alias("item_id")).agg(F.array(entities.unit_ref(F.min("l_partkey"))).alias("concept_refs"))
     return R.add_items(items, merged, 1)[0].select("item_id", F.element_at("concept_refs", 1).alias("concept_ref"))
 
 

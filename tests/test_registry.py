@@ -297,7 +297,7 @@ def test_overviews_uncertainties_and_bad_json(spark):
     assert sorted((r.key, r.code) for r in got) == [("a", "invalid_json"), ("b", "invalid_json")]
 
 
-@pytest.mark.parametrize("name", ["registry_apply_remap"])
+@pytest.mark.parametrize("name", ["registry_apply_remap", "registry_items_added"])
 def test_references_to_parts_of_more_than_six_digits(spark, duck, tmp_path, name):
     """The SQL names a part by six characters of its number; so do the queries."""
     from marginalia.plans import entities, resolution

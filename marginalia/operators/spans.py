@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..storage import ship, written
-from .needles import places
+from .needles import places, scanned
 
 #: Shortest surface that is looked for; up to the second length a match is not sure.
 LEAST_SURFACE, UNSURE_SURFACE = 2, 2
@@ -25,13 +27,25 @@ def surface_matches(units: DataFrame, surfaces: DataFrame, least: int = LEAST_SU
     return found.select("unit_id", "record_id", "surface", F.col("start").cast("int"), F.col("end").cast("int"))
 
 
+def _counted(text: np.ndarray, needle: np.ndarray, start: np.ndarray, end: np.ndarray, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each needle in each text, and how many of its places there do not overlap, from the left."""
+    order = np.lexsort((start, needle, text))
+    t, w, a, b = text[order], needle[order], start[order], end[order]
+    new = np.append(True, (t[1:] != t[:-1]) | (w[1:] != w[:-1]))
+    hit = np.append(True, new[1:] | (a[1:] >= b[:-1]))
+    for k in np.flatnonzero(~hit).tolist():  # from the first overlap on the last place that counts decides, as far as places follow close
+        if hit[k - 1]:
+            last = b[k - 1]
+        if a[k] >= last:
+            hit[k] = True
+    return order[new], np.add.reduceat(hit.astype("i8"), np.flatnonzero(new))
+
+
 def surface_counts(units: DataFrame, surfaces: DataFrame) -> DataFrame:
     """``unit_id, surface, n_found`` of the surfaces (``surface``) that texts hold, counted without overlaps from the left."""
-    named = surfaces.select(F.col("surface").alias("name"), "surface").distinct()
-    at = places(units, "unit_id", named, "name", "surface").groupBy("unit_id", "surface").agg(F.sort_array(F.collect_list("start")).alias("at"))
-    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
-    counted = F.aggregate("at", none, lambda have, x: F.when(x >= have["end"], F.struct((have["n"] + 1).alias("n"), (x + F.length("surface")).alias("end"))).otherwise(have))
-    return at.select("unit_id", "surface", counted["n"].alias("n_found"))
+    named = surfaces.select(F.lit(0).alias("name"), "surface").distinct()
+    found = scanned(units, "unit_id", named, "name", "surface", ["ident", "needle", "n"], _counted).toDF("unit_id", "surface", "n")
+    return found.groupBy("unit_id", "surface").agg(F.sum("n").alias("n_found"))
 
 
 def chosen(matches: list[tuple[str, int, int]], longest_first: bool = True) -> list[tuple[str, int, int]]:
@@ -109,9 +123,43 @@ def greedy(matches: DataFrame, unit: str = "unit_id", longest_first: bool = True
     return some.select(unit, F.explode(F.coalesce(won, "m")).alias("c")).select(unit, "c.start", "c.end", "c.record_id")
 
 
+def _longest_places(text: np.ndarray, needle: np.ndarray, start: np.ndarray, end: np.ndarray, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``chosen`` of a block's places, all matches of a length at once. Places at one start and of one length are the same surface."""
+    first, size = start.min(initial=0), end - start
+    taken = np.zeros(end.max(initial=0) - first + 1, bool)
+    out = []
+    for n in np.unique(size)[::-1].tolist():
+        of = np.flatnonzero(size == n)  # by start
+        a = start[of] - first
+        free = ~(taken[a] | taken[a + n - 1])
+        of, a = of[free], a[free]
+        if not len(a):
+            continue
+        close = np.append(False, a[1:] - a[:-1] < n)
+        for k in np.flatnonzero(close).tolist():
+            if not close[k - 1]:
+                last = a[k - 1]
+            if a[k] >= last + n:
+                close[k] = False
+        won = of[~close]
+        out.append(won)
+        for x in (a[~close] if n > _LONG else ()):
+            taken[x : x + n] = True
+        for x in range(n if n <= _LONG else 0):
+            taken[a[~close] + x] = True
+    kept = np.sort(np.concatenate(out)) if out else np.zeros(0, "i8")
+    return kept, np.ones(len(kept), "i8")
+
+
+#: Longer places are marked one by one.
+_LONG = 64
+
+
 def greedy_surfaces(units: DataFrame, surfaces: DataFrame, least: int = LEAST_SURFACE) -> DataFrame:
-    """``greedy`` of ``surface_matches``; no surfaces give no rows."""
-    return greedy(surface_matches(units, surfaces, least))
+    """``greedy`` of ``surface_matches``, chosen where a text is scanned, so that what is not chosen goes nowhere; no surfaces give no rows."""
+    one = _needles(surfaces, least).groupBy("surface").agg(F.min("record_id").alias("record_id"))  # of equal surfaces the least record is chosen
+    found = scanned(units, "unit_id", one, "record_id", "surface", ["ident", "start", "end", "name"], _longest_places)
+    return found.select(F.col("ident").alias("unit_id"), F.col("start").cast("int"), F.col("end").cast("int"), F.col("name").alias("record_id"))
 
 
 def scan_report(choices: DataFrame) -> DataFrame:

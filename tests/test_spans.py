@@ -142,3 +142,23 @@ def test_within_on_batches_and_streams(spark, tmp_path):
     met = S.within(read(a, "a", "ts"), read(b, "b", "sold"), ["k"], "ts", "sold", 3600)
     met.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
     assert sorted((r.n, r.m) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == want
+
+
+@pytest.mark.parametrize("together", [500_000, 9])
+def test_scans_write_texts_and_no_places(spark, monkeypatch, together):
+    """Counts and choices of dense surfaces in blocks and windows, against plain ones; what is written is less than the places would be."""
+    monkeypatch.setattr(needles, "TOGETHER", together)
+    sizes = []
+    monkeypatch.setattr(needles, "written", lambda df, name, **o: sizes.append((name, (w := written(df, name, **o)).count())) or w)
+    from marginalia.storage import written
+
+    rng = random.Random(together)
+    units = [(k, "".join(rng.choice("aab ") for _ in range(rng.choice([0, 5, 80])))) for k in range(25)] + [(80, "ab" * 300), (81, "a" * 301), (82, None)]
+    names = [(f"r{x}", x) for x in ("aa", "ab", "aba", "ba a", "a" * 7, "ab" * 9, "ab" * 70, "b")] + [("later", "aa"), ("q", "aa")]
+    u, s = spark.createDataFrame(units, "unit_id long, text string"), spark.createDataFrame(names, "record_id string, surface string")
+    got = sorted(tuple(r) for r in S.greedy_surfaces(u, s).collect())
+    assert got == sorted((k, *m) for k, t in units for m in plain_greedy(t or "", names))
+    counted = sorted(tuple(r) for r in S.surface_counts(u, s).collect())
+    assert counted == sorted((k, x, t.count(x)) for k, t in units if t for x in {x for _, x in names} if x in t)
+    n_places = sum(t.startswith(x, a) for _, t in units if t for _, x in names for a in range(len(t)))
+    assert all(n <= 100 < n_places for _, n in sizes)

@@ -58,3 +58,25 @@ def test_recall_on_the_given_vectors(spark):
     for r in catalog.queries["cosine_index_topk"](spark, sf).collect():
         got.setdefault(r.query_id, set()).add(r.vec_id)
     assert sum(len(got[i] & set(w)) for i, w in want.items()) >= 0.9 * 10 * len(want)
+
+
+@pytest.mark.parametrize("best", [None, 3])
+def test_all_pairs_as_matrices(spark, monkeypatch, best):
+    """Blocks and pieces of few rows, copies, zeros, other lengths and nulls, against plain pairs; no pair is scored row by row in the plan."""
+    from marginalia.operators import retrieval as R
+
+    for name, value in (("BLOCK", 4), ("AT_ONCE", 3), ("PIECE", 5), ("PIECES", 2)):
+        monkeypatch.setattr(R, name, value)
+    rng = np.random.default_rng(5)
+    m = rng.normal(0.2, 1, (60, 6)).astype("f4")
+    m[10:14] = m[9]
+    m[20] = 0
+    rows = [(int(i), v.tolist()) for i, v in enumerate(m)] + [(100, None), (101, []), (102, [1.0, 2.0]), (103, [1.0, 2.0]), (104, [None] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = R.cosine(df, df.where("vec_id % 3 = 0 OR vec_id > 99").selectExpr("vec_id AS query_id", "embedding"), best=best)
+    assert "MapInArrow" in got._jdf.queryExecution().toString() and "aggregate(zip_with" not in got._jdf.queryExecution().toString()
+    plain = lambda a, b: float(np.dot(a, b) / (np.linalg.norm(a) * np.linalg.norm(b) + 1e-8))
+    own = {i: np.array(v, "f8") for i, v in rows if v and None not in v}
+    want = [(i, j, round(x, 9)) for i in own if i % 3 == 0 or i > 99 for j in own if i != j and len(own[i]) == len(own[j]) and (x := plain(own[i], own[j])) > 0.3]
+    top = lambda p: sorted(x for i in {i for i, _, _ in p} for x in sorted((x for x in p if x[0] == i), key=lambda x: (-x[2], x[1]))[:best])
+    assert top([(r[0], r[1], round(r[2], 9)) for r in got.collect()]) == top(want)

@@ -44,8 +44,7 @@ def _counted(text: np.ndarray, needle: np.ndarray, start: np.ndarray, end: np.nd
 def surface_counts(units: DataFrame, surfaces: DataFrame) -> DataFrame:
     """``unit_id, surface, n_found`` of the surfaces (``surface``) that texts hold, counted without overlaps from the left."""
     named = surfaces.select(F.lit(0).alias("name"), "surface").distinct()
-    found = scanned(units, "unit_id", named, "name", "surface", ["ident", "needle", "n"], _counted).toDF("unit_id", "surface", "n")
-    return found.groupBy("unit_id", "surface").agg(F.sum("n").alias("n_found"))
+    return scanned(units, "unit_id", named, "name", "surface", ["ident", "needle", "n"], _counted).toDF("unit_id", "surface", "n_found")
 
 
 def chosen(matches: list[tuple[str, int, int]], longest_first: bool = True) -> list[tuple[str, int, int]]:

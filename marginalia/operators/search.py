@@ -87,7 +87,7 @@ def dual_signal(texts: DataFrame, queries: DataFrame, near: DataFrame | None = N
     def related(rows: DataFrame) -> DataFrame:
         return rows.join(types[0], "query_id").join(types[1], "doc_id").where(R.same_family(F.col("ut"), F.col("rt"))).select(*rows.columns)
 
-    words = R.top_k(R.bm25(texts, queries), top).where("score > 0").select("query_id", "doc_id", "rank", "score", F.lit("bm25").alias("method"))
+    words = R.top_k(R.bm25(texts, queries, best=top), top).where("score > 0").select("query_id", "doc_id", "rank", "score", F.lit("bm25").alias("method"))
     if types is not None:
         words = related(words)
         words = words.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("rank")))

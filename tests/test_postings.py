@@ -61,3 +61,18 @@ def test_few_terms_and_many_score_alike(spark, docs, monkeypatch):
     few = sorted(map(repr, R.bm25(docs, queries).select("query_id", "doc_id", F.round("score", 9)).collect()))
     monkeypatch.setattr(R, "FEW_TERMS", 1)
     assert sorted(map(repr, R.bm25(docs, queries).select("query_id", "doc_id", F.round("score", 9)).collect())) == few
+
+
+@pytest.mark.parametrize("named", [20_000, 1])
+def test_the_best_of_many_terms_make_no_rows_of_pairs(spark, docs, monkeypatch, named):
+    for name, value in (("FEW_TERMS", 1), ("NAMED_TERMS", named), ("PIECE_TERMS", 500), ("LEAST_PIECES", 3), ("DENSE", 900), ("SCORES", 700)):
+        monkeypatch.setattr(R, name, value)
+    copies = docs.where("doc_id % 30 = 0").selectExpr("doc_id + 7001 AS doc_id", "text")
+    every = docs.unionByName(copies).unionByName(docs.where("doc_id < 9").selectExpr("doc_id", "concat(text, ' more') AS text"))
+    queries = spark.createDataFrame(QUERIES, "query_id int, query string").unionByName(docs.where("doc_id % 20 = 0").selectExpr("cast(doc_id + 10 AS int) AS query_id", "text AS query"))
+    rows = lambda d: sorted((r.query_id, r["rank"], r.doc_id, round(r.score, 8)) for r in R.top_k(d, 7).collect())
+    got = R.bm25(every, queries, best=7)
+    assert "MapInArrow" in got._jdf.queryExecution().toString()
+    assert rows(got) == rows(R.bm25(every, queries))
+    twice = docs.unionByName(docs.where("doc_id IN (0, 3, 5001)"))  # such rows are one text
+    assert rows(R.bm25(twice, queries, best=7)) == rows(R.bm25(twice, queries))

@@ -8,6 +8,8 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .segments import SegmentEncoder
 
@@ -21,8 +23,23 @@ TOGETHER = 2000
 _MARKS = ",.;:!?#*$%&"
 
 
+#: A Latin letter or digit and the marks at a segment's end; characters that keep a text from being put in lower case before it is normalised: others than Latin ones may
+#: compose with a letter, and special tokens are taken as they stand.
+_AT_END = rf"([0-9A-Za-zÀ-ÖØ-öø-ÿ])([{_MARKS}]+)( |$)"
+_AS_IT_IS = "[^\x00-\u02ff]|<[|]"
+
+
+def _spaced(texts: pa.Array) -> pa.Array:
+    """Texts with a space for each line feed, which the tokenizer drops alike, and one before the marks at a segment's end, where it ends a piece anyway; ASCII letters in lower case
+    where that changes no id. So a block has fewer distinct segments, and most are a word or marks alone."""
+    spaced = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), _AT_END, r"\1 \2\3")
+    return pc.if_else(pc.match_substring_regex(texts, _AS_IT_IS), spaced, pc.ascii_lower(spaced))
+
+
 def _pieces(segment: str) -> list[str]:
-    """The marks at the end by themselves; ASCII letters in lower case, as the tokenizer's normaliser makes them."""
+    """The marks at the end by themselves; ASCII letters in lower case, as the tokenizer's normaliser makes them, but not in what may hold a special token."""
+    if "<|" in segment:
+        return [segment]
     if segment.isalnum():
         return [segment.lower()] if segment.isascii() else [segment]
     core = segment.rstrip(_MARKS)
@@ -88,7 +105,7 @@ def word_encoder(path: str) -> SegmentEncoder:
                 out[k] = got
         return out
 
-    return SegmentEncoder(latin, _pieces, encode_all)
+    return SegmentEncoder(latin, _pieces, encode_all, _spaced)
 
 
 def ended(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

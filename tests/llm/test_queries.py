@@ -69,3 +69,22 @@ def test_stages_on_odd_tables(spark):
         pieces = corpus_pipeline.STAGES[-1][1](spark, some, SF).collect()
         assert len({(r.doc_id, r.doc_tokens) for r in pieces}) == some.count()
     assert some.count() == 0 and pieces == []
+
+
+def test_ids_of_prepared_texts_are_the_librarys():
+    """Line feeds, marks, letters that compose, special tokens in other case: the library's ids, from few distinct segments."""
+    import numpy as np
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from marginalia.llm import words
+    from marginalia.llm.queries import vocabulary
+
+    path = vocabulary("word_bpe_49k.json")
+    bits = ["Hello", "É", "J̌", "J", "̌", "İ", "Σ", "<|ENDOFTEXT|>", "<|endoftext|>", "\n", " ", ".", "!?", "'S", "7", "\t", "中", "#*", "ÿ.", "×", "²."]
+    rng = np.random.default_rng(8)
+    texts = ["<|ENDOFTEXT|>", "A.\nb", None, *("".join(rng.choice(bits, rng.integers(0, 9))) for _ in range(3000))]
+    ids, at = words.word_encoder(path).encode(pa.array(texts, pa.string()))
+    library = Tokenizer.from_file(path)
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert words._spaced(pa.array(["One. two\nTWO. ONE"])).to_pylist() == ["one . two two . one"]

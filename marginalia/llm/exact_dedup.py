@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.skew import salted_join
@@ -178,13 +178,13 @@ def keep_first(docs: DataFrame) -> DataFrame:
 def without_losers(docs: DataFrame, rows: DataFrame, key: Column) -> DataFrame:
     """``docs`` without the rows that lost. ``rows`` has a row for each: its id (the largest number for null), its ``key``, and ``kept``.
 
-    The losers' ids and keys are written, so that the planner knows their size: few are sent to all tasks and the texts stay where
-    they are. Where rows repeat an id and a key and one of them is kept, one row of that id and key stays.
+    The losers' ids and keys are written; texts are dealt once by id and key and meet them, in the same way at all sizes. Where rows repeat an
+    id and a key and one of them is kept, one row of that id and key stays.
     """
     ident, value, kept = rows.columns
-    keys = rows.groupBy(F.col(ident).alias("__id"), F.col(value).alias("__key")).agg(F.count("*").alias("n"), F.max(kept).alias("won"))
-    lost = written(keys.where("n > 1 OR NOT won").select("__id", "__key", "won"), "losers")
+    keys = rows.groupBy(F.col(ident).alias("__id"), F.col(value).alias("__key")).agg(F.count("*").alias("n"), F.max(kept).alias("__won"))
+    lost = written(keys.where("n > 1 OR NOT __won").select("__id", "__key", "__won"), "losers")
     keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), "__key": key})
-    rest = keyed.join(lost, ["__id", "__key"], "left_anti")
-    twins = keyed.join(lost.where("won").drop("won"), ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"])
-    return rest.unionByName(twins).select(*[F.col(f"`{c}`") for c in docs.columns])
+    met = keyed.join(lost.hint("merge"), ["__id", "__key"], "left").where("__won IS NULL OR __won")
+    twin = F.row_number().over(Window.partitionBy("__id", "__key").orderBy(F.lit(0)))  # where texts already lie
+    return met.withColumn("__twin", twin).where("__twin = 1").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -561,3 +561,12 @@ def test_all_repeats_hear_of_their_base_span(kind, plain, loose):
         assert len(base) == 1
         added = pii.added_spans(text, base, field)
         assert [k for k, _, _ in added] == [kind] * n and loose not in pii.masked_text(text, base + added)
+
+
+def test_texts_meet_their_losers_once_and_alike_at_all_sizes(spark):
+    """Few losers are not sent to all tasks, and texts are read and dealt once, also for rows that repeat an id and a text."""
+    rows = [(1, "a b"), (1, "a b"), (2, "a  b"), (3, "c"), (None, "c"), (None, None), (None, ""), (4, "d")]
+    kept = exact_dedup.keep_first(spark.createDataFrame(rows, "doc_id long, text string"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "Union" not in plan
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, ""), (1, "a b"), (3, "c"), (4, "d")]

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,9 +44,36 @@ def sentences(text: str, longest: int = V.MAX_BLOCK_CHARS, shortest: int = V.MIN
     return pieces
 
 
-@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
-def _sentences(units: pd.Series) -> pd.Series:
-    return units.map(lambda chunks: None if chunks is None else [None if c is None else sentences(c) for c in chunks])
+#: Characters that are cut before their pieces are packed: of a batch no more are held as Python strings.
+_PACKED = 1_000_000
+
+
+def _lists(counts: list[int], values: pa.Array, null: list[bool]) -> pa.Array:
+    offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype("i4"))
+    return pa.ListArray.from_arrays(offsets, values, mask=pa.array(null, pa.bool_()) if null else None)
+
+
+def _cut(units: pa.Array) -> pa.Array:
+    """The sentences of each paragraph of each unit; nulls stay."""
+    chunks = units.flatten()
+    packed, pieces, size, counts = [], [], 0, []
+    for chunk in chunks:
+        text = chunk.as_py()
+        cut = [] if text is None else sentences(text)
+        counts.append(len(cut))
+        pieces += cut
+        size += len(text or "")
+        if size > _PACKED:
+            packed.append(pa.array(pieces, pa.string()))
+            pieces, size = [], 0
+    values = pa.concat_arrays([*packed, pa.array(pieces, pa.string())])
+    sizes = units.value_lengths().fill_null(0).to_pylist()
+    return _lists(sizes, _lists(counts, values, chunks.is_null().to_pylist()), units.is_null().to_pylist())
+
+
+@F.arrow_udf(T.ArrayType(T.ArrayType(T.StringType())))
+def _sentences(units: pa.Array) -> pa.Array:
+    return _cut(units)
 
 
 #: Stands behind each blank line while a text is cut; a text that holds it is cut by a slower pattern.

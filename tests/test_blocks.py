@@ -88,3 +88,20 @@ def test_source_blocks_like_sentences_and_without_a_shuffle(spark, duck, tmp_pat
     shutil.copy(file, tmp_path / "sql" / "documents.parquet")
     for name in ("source_blocks", "source_block_issues"):
         assert of_spark(queries.catalog.queries[name](spark, str(tmp_path))) == duck(queries.catalog.sql[name], str(tmp_path / "sql"))
+
+
+def test_sentences_are_packed_while_a_batch_is_cut(spark, monkeypatch):
+    """Only so many characters of a batch are Python strings at once; nulls and empty lists stay what they are."""
+    import pyarrow as pa
+
+    long = " ".join(f"Sentence number {k} of a long paragraph ends here." for k in range(40))
+    units = [[long, None, "x" * 2000], None, [], [None, long + " Ä。ö"]]
+    want = [None if u is None else [None if c is None else B.sentences(c) for c in u] for u in units]
+    packed, array = [], pa.array
+    monkeypatch.setattr(B, "_PACKED", 100)
+    monkeypatch.setattr(B.pa, "array", lambda x, *of: (packed.append(len(x)) if of == (pa.string(),) else None, array(x, *of))[1])
+    got = B._cut(array(units, pa.list_(pa.string())))
+    monkeypatch.undo()
+    assert got.to_pylist() == want and sum(packed) == sum(len(c) for u in want if u for c in u if c) and len([n for n in packed if n]) == 3
+    plan = B.source_blocks(spark.createDataFrame([(1, long)], "unit_id long, text string"), "unit_id")._jdf.queryExecution().toString()
+    assert "_sentences" in plan and "ArrowEvalPython" in plan

@@ -16,6 +16,15 @@ def salt(*by: Column | str, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int")
 
 
+#: Rows of a piece, about, where what a task sorts must not grow with the table.
+PIECE_ROWS = 1_000_000
+
+
+def in_pieces(rows: DataFrame, n: int, *keys: str) -> DataFrame:
+    """``rows``, of which there are ``n``, dealt by ``keys`` to more pieces the more there are, so that a task's share is bounded; a key's rows are in one piece."""
+    return rows.repartition(max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // PIECE_ROWS)), *keys)
+
+
 def salted_join(rows: DataFrame, per_key: DataFrame, keys: list[str], by: Column, how: str = "inner", salts: int = SALTS) -> DataFrame:
     """``rows`` joined to ``per_key``, which has a row for each value of ``keys`` at most; ``by`` deals the rows of a key to pieces.
 

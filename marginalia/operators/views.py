@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..storage import ship
 from . import spans as S
 from .graph import paths
+from .skew import in_pieces
 
 Record = dict[str, Any]
 
@@ -37,7 +38,9 @@ def records(rows: DataFrame, column: str, schema: str) -> DataFrame:
 
 def block_index(owners: DataFrame, ident: str) -> DataFrame:
     """``block_id, owners`` from rows of ``ident, source_block_refs``: which concepts or items stand on each block, in order."""
-    return owners.select(F.col(ident).alias("o"), F.explode("source_block_refs").alias("block_id")).distinct().groupBy("block_id").agg(F.sort_array(F.collect_list("o")).alias("owners"))
+    rows = owners.select(F.col(ident).alias("o"), F.explode("source_block_refs").alias("block_id"))
+    n = owners.agg(F.sum(F.greatest(F.size("source_block_refs"), F.lit(0)))).first()[0] or 0
+    return in_pieces(rows, n, "block_id").groupBy("block_id").agg(F.sort_array(F.collect_set("o")).alias("owners"))
 
 
 def source_offsets(blocks: DataFrame, sources: DataFrame, key: str = "book_id") -> DataFrame:

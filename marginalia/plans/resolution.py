@@ -454,7 +454,7 @@ def grounding_issues(t: Tables) -> DataFrame:
 @catalog.query("SELECT l_partkey::VARCHAR AS block_id, string_agg(DISTINCT 'o' || lpad(l_orderkey::VARCHAR, 9, '0'), ',' ORDER BY 'o' || lpad(l_orderkey::VARCHAR, 9, '0')) AS owners FROM lineitem GROUP BY l_partkey")
 def block_index(t: Tables) -> DataFrame:
     """Which orders stand on each part."""
-    o = t.lineitem.groupBy(F.format_string("o%09d", "l_orderkey").alias("item_id")).agg(F.collect_list(F.col("l_partkey").cast("string")).alias("source_block_refs"))
+    o = t.lineitem.select(F.format_string("o%09d", "l_orderkey").alias("item_id"), F.array(F.col("l_partkey").cast("string")).alias("source_block_refs"))
     return W.block_index(o, "item_id").select("block_id", F.array_join("owners", ",").alias("owners"))
 
 

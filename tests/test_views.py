@@ -39,3 +39,16 @@ def test_outline_records_and_segments(spark):
 def test_page():
     page = W.page("<T>", "<p>x</p>", {"a": "</script>"}, [{"unit_id": "u", "line": "U & V"}], [{"severity": "warning", "code": "w", "path": "p", "message": "m"}, {"severity": "error", "code": "e", "path": "p", "message": "m"}])
     assert "&lt;T&gt;" in page and page.count("</script>") == 1 and page.index("error: e") < page.index("warning: w") and "U &amp; V" in page
+
+
+def test_block_index_is_dealt_to_bounded_pieces(spark, monkeypatch):
+    """The more rows, the more pieces; an owner that names a block twice, or in two rows, stands on it once, and null and empty lists on none."""
+    from marginalia.operators import skew
+
+    rows = [(f"o{k:03d}", [f"b{k % 7}", f"b{k % 5}", f"b{k % 5}"]) for k in range(300)] + [("o001", ["b1"]), ("o900", []), ("o901", None)]
+    df = spark.createDataFrame(rows, "item_id string, source_block_refs array<string>")
+    monkeypatch.setattr(skew, "PIECE_ROWS", 50)
+    got = W.block_index(df, "item_id")
+    assert got.rdd.getNumPartitions() == -(-901 // 50)
+    want = {b: sorted({o for o, refs in rows if b in (refs or ())}) for b in {b for _, refs in rows for b in refs or ()}}
+    assert {r.block_id: r.owners for r in got.collect()} == want

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab as V
+from ..storage import ship
+from .skew import in_pieces
+
+#: Subjects that a report shows of a severity and code.
+SAMPLES = 3
 
 
 def issue(subject: Column, severity: str, code: str, path: Column, message: str) -> list[Column]:
@@ -23,8 +32,8 @@ def known_refs(refs: DataFrame, ref: str, known: DataFrame, key: str) -> DataFra
 
 
 def duplicate_ids(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """``copy`` of each row among those with its id, in order; 1 is clean."""
-    return rows.withColumn("copy", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    """``copy`` of each row among those with its id, in order; 1 is clean. Rows are sorted in pieces of bounded size."""
+    return in_pieces(rows, rows.count(), *keys).withColumn("copy", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
 def deduplicated_id(ident: Column, copy: Column) -> Column:
@@ -78,10 +87,28 @@ def delta_issues(operations: DataFrame, base_snapshot: str) -> DataFrame:
     return rows.select("delta_id", "operation_id", F.explode(found).alias("code"))
 
 
+def _first_subjects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each severity and code of a task the number of issues and the first subjects."""
+    held: dict[tuple, tuple[int, list[str]]] = {}
+    for batch in batches:
+        same = lambda c, x: pc.is_null(batch.column(c)) if x is None else pc.equal(batch.column(c), x)  # noqa: B023, E731
+        for row in pa.Table.from_batches([batch]).group_by(["severity", "code"]).aggregate([([], "count_all")]).to_pylist():
+            key = row["severity"], row["code"]
+            subjects = batch.column("subject_id").filter(pc.and_(same("severity", key[0]), same("code", key[1]))).drop_null().unique()
+            first = subjects.take(pc.bottom_k_unstable(subjects, SAMPLES)).to_pylist()
+            n, before = held.get(key, (0, []))
+            held[key] = n + row["count_all"], sorted({*before, *first})[:SAMPLES]
+    if held:
+        columns = [[k[0] for k in held], [k[1] for k in held], [n for n, _ in held.values()], [x for _, x in held.values()]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.list_(pa.string())), strict=True)], ["severity", "code", "n", "first"])
+
+
 def report(issues: DataFrame) -> DataFrame:
-    """Issues by severity and code with three sample subjects."""
-    samples = F.array_join(F.slice(F.array_sort(F.collect_set("subject_id")), 1, 3), ",")
-    return issues.groupBy("severity", "code").agg(F.count("*").alias("n_issues"), samples.alias("samples"))
+    """Issues by severity and code with three sample subjects, the first in order; a task hands on its counts and first subjects only."""
+    ship(issues.sparkSession)
+    parts = issues.select("severity", "code", "subject_id").mapInArrow(_first_subjects, "severity string, code string, n long, first array<string>")
+    first = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("first")))), 1, SAMPLES)
+    return parts.groupBy("severity", "code").agg(F.sum("n").alias("n_issues"), F.array_join(first, ",").alias("samples"))
 
 
 def passed(issues: DataFrame) -> DataFrame:

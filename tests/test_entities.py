@@ -105,3 +105,19 @@ def test_unify_by_unit(spark):
         ("u1", "s-0"): "concept-0001", ("u1", "s-1"): "concept-0001", ("u1", "s-2"): "concept-0001", ("u1", "s-3"): "concept-0002", ("u2", "s-0"): "concept-0001", ("u2", "s-1"): "concept-0002",
     }
     assert sorted((r.unit_id, r.new_id, r.n_members) for r in merged.collect()) == [("u1", "concept-0001", 3), ("u1", "concept-0002", 1), ("u2", "concept-0001", 1), ("u2", "concept-0002", 1)]
+
+
+def test_reports_and_duplicates_hold_no_list_of_all_rows(spark, monkeypatch):
+    """Copies are numbered in pieces of bounded size, and a report gathers the first three subjects of a code, not all."""
+    from marginalia.operators import skew
+    from marginalia.operators import validate as C
+
+    monkeypatch.setattr(skew, "PIECE_ROWS", 50)
+    rows = [(k % 90, k // 90, k) for k in range(400)]
+    got = C.duplicate_ids(spark.createDataFrame(rows, "a long, b long, v long"), ["a"], ["v"])
+    assert got.rdd.getNumPartitions() == 8 and sorted((r.v, r.copy) for r in got.collect()) == [(v, b + 1) for _, b, v in rows]
+    issues = [("error", "x", f"s{k % 250:03d}") for k in range(1000)] + [("error", "y", "one"), ("error", "y", "one"), ("warning", "x", None), ("warning", "x", "b"), (None, "x", None)]
+    report = C.report(spark.createDataFrame(issues, "severity string, code string, subject_id string"))
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "collect_set(" not in plan
+    assert sorted(map(tuple, report.collect()), key=repr) == sorted([("error", "x", 1000, "s000,s001,s002"), ("error", "y", 2, "one"), ("warning", "x", 2, "b"), (None, "x", 1, "")], key=repr)

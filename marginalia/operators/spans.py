@@ -150,24 +150,57 @@ def _longest_places(text: np.ndarray, needle: np.ndarray, start: np.ndarray, end
     return kept, np.ones(len(kept), "i8")
 
 
+def _named(text: np.ndarray, needle: np.ndarray, start: np.ndarray, end: np.ndarray, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``_longest_places`` the first of each needle in each text, and how many there are."""
+    kept, _ = _longest_places(text, needle, start, end, names)
+    _, first, n = np.unique(text[kept] * (needle.max(initial=0) + 1) + needle[kept], return_index=True, return_counts=True)
+    return kept[first], n.astype("i8")
+
+
 #: Longer places are marked one by one.
 _LONG = 64
 
 
+def _one_record(surfaces: DataFrame, least: int) -> DataFrame:
+    """Surfaces with their record; of equal ones the least record is chosen."""
+    return _needles(surfaces, least).groupBy("surface").agg(F.min("record_id").alias("record_id"))
+
+
 def greedy_surfaces(units: DataFrame, surfaces: DataFrame, least: int = LEAST_SURFACE) -> DataFrame:
     """``greedy`` of ``surface_matches``, chosen where a text is scanned, so that what is not chosen goes nowhere; no surfaces give no rows."""
-    one = _needles(surfaces, least).groupBy("surface").agg(F.min("record_id").alias("record_id"))  # of equal surfaces the least record is chosen
-    found = scanned(units, "unit_id", one, "record_id", "surface", ["ident", "start", "end", "name"], _longest_places)
+    found = scanned(units, "unit_id", _one_record(surfaces, least), "record_id", "surface", ["ident", "start", "end", "name"], _longest_places)
     return found.select(F.col("ident").alias("unit_id"), F.col("start").cast("int"), F.col("end").cast("int"), F.col("name").alias("record_id"))
 
 
+def _report(places: DataFrame) -> DataFrame:
+    """Of places, or of the first of several (``unit_id, record_id, start, end, n``)."""
+    short = F.when(F.col("end") - F.col("start") <= UNSURE_SURFACE, F.col("n")).otherwise(0)
+    counts = places.groupBy("unit_id", "record_id").agg(F.sum("n").alias("match_count"), F.sum(short).alias("n_unsure"), F.min("start").cast("long").alias("first_start"))
+    order = Window.partitionBy("unit_id").orderBy(F.col("match_count").desc(), "record_id")
+    return counts.withColumn("place", F.row_number().over(order).cast("long"))
+
+
 def scan_report(choices: DataFrame) -> DataFrame:
     """``unit_id, record_id, match_count, n_unsure, first_start, place`` of the records that units name (``greedy`` matches): how often, how often by a
     match that is too short to be sure, where first, and their place in the unit's report, most often named first, then by id."""
-    short = (F.col("end") - F.col("start") <= UNSURE_SURFACE).cast("long")
-    counts = choices.groupBy("unit_id", "record_id").agg(F.count("*").alias("match_count"), F.sum(short).alias("n_unsure"), F.min("start").cast("long").alias("first_start"))
-    order = Window.partitionBy("unit_id").orderBy(F.col("match_count").desc(), "record_id")
-    return counts.withColumn("place", F.row_number().over(order).cast("long"))
+    return _report(choices.withColumn("n", F.lit(1).cast("long")))
+
+
+def _repeated(rows: DataFrame, key: str) -> bool:
+    return not rows.groupBy(key).count().where("count > 1").isEmpty()
+
+
+def surface_report(units: DataFrame, surfaces: DataFrame, least: int = LEAST_SURFACE) -> DataFrame:
+    """``scan_report`` of ``greedy_surfaces``. Places are counted where a text is scanned, so a text and a surface leave as one row, and nothing is shuffled after it; only
+    where a unit has several texts, or a record several surfaces, their rows meet in one shuffle."""
+    one = written(_one_record(surfaces, least), "surfaces")
+    want, short = ["ident", "name", "start", "end", "n"], F.col("end") - F.col("start") <= UNSURE_SURFACE
+    if _repeated(one, "record_id") or _repeated(units, "unit_id"):
+        found = scanned(units, "unit_id", one, "record_id", "surface", want, _named)
+        return _report(found.toDF("unit_id", "record_id", "start", "end", "n").repartition("unit_id"))
+    found = scanned(units, "unit_id", one, "record_id", "surface", [*want, "place"], _named)
+    unsure = F.when(short, F.col("n")).otherwise(0).alias("n_unsure")
+    return found.select(F.col("ident").alias("unit_id"), F.col("name").alias("record_id"), F.col("n").alias("match_count"), unsure, F.col("start").alias("first_start"), "place")
 
 
 def unmatched_records(choices: DataFrame, units: DataFrame, surfaces: DataFrame, least: int = LEAST_SURFACE) -> DataFrame:

@@ -269,6 +269,10 @@ def _surfaces(t: Tables) -> DataFrame:
     return t.benchmark.select(F.explode(T.tokens(F.col("text"))).alias("surface")).distinct().where(F.length("surface") >= S.LEAST_SURFACE)
 
 
+def _records(t: Tables) -> DataFrame:
+    return _surfaces(t).withColumn("record_id", F.concat(F.lit("r-"), "surface"))
+
+
 def _lower_units(t: Tables) -> DataFrame:
     return t.documents.select(F.col("doc_id").alias("unit_id"), F.lower("text").alias("text"))
 
@@ -296,14 +300,14 @@ c AS (SELECT unit_id, c.s::INT AS "start", c.e::INT AS "end", 'r-' || c.surface
 @catalog.query(f"WITH {_GREEDY} SELECT * FROM c")
 def surface_scan_greedy(t: Tables) -> DataFrame:
     """Places of the benchmark's terms, longer ones first, none of which overlap."""
-    return S.greedy_surfaces(_lower_units(t), _surfaces(t).withColumn("record_id", F.concat(F.lit("r-"), "surface")))
+    return S.greedy_surfaces(_lower_units(t), _records(t))
 
 
 @catalog.query(f"""WITH {_GREEDY}, k AS (SELECT unit_id, record_id, count(*) AS match_count, count(*) FILTER (WHERE "end" - "start" <= {S.UNSURE_SURFACE}) AS n_unsure, min("start")::BIGINT AS first_start FROM c GROUP BY unit_id, record_id)
 SELECT *, row_number() OVER (PARTITION BY unit_id ORDER BY match_count DESC, record_id) AS place FROM k""")
 def surface_scan_report(t: Tables) -> DataFrame:
     """Of each text the terms that it names, most often named first."""
-    return S.scan_report(surface_scan_greedy(t))
+    return S.surface_report(_lower_units(t), _records(t))
 
 
 @catalog.query(r"""WITH f AS (SELECT DISTINCT unnest(tk) AS surface FROM (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS tk FROM benchmark))

@@ -162,3 +162,27 @@ def test_scans_write_texts_and_no_places(spark, monkeypatch, together):
     assert counted == sorted((k, x, t.count(x)) for k, t in units if t for x in {x for _, x in names} if x in t)
     n_places = sum(t.startswith(x, a) for _, t in units if t for _, x in names for a in range(len(t)))
     assert all(n <= 100 < n_places for _, n in sizes)
+
+
+def test_a_report_counts_where_texts_are_scanned(spark, monkeypatch):
+    """The same rows as the report of all places, of texts in several windows, units with the same id and records with several surfaces; places are not shuffled."""
+    from marginalia.operators import needles
+
+    units = [(1, "ann ann lee annab " * 40), (1, "lee xx"), (2, None), (3, ""), (4, "xx" + "ann lee " * 30), (5, "none")]
+    u = spark.createDataFrame(units, "unit_id long, text string")
+    s = spark.createDataFrame([("a", "ann"), ("a", "ann lee"), ("b", "lee"), ("c", "xx"), ("d", "xx"), ("e", "annab"), ("e", "b")], "record_id string, surface string")
+    want = sorted(map(tuple, S.scan_report(S.greedy_surfaces(u, s)).collect()))
+    for together in (500_000, 20):
+        monkeypatch.setattr(needles, "TOGETHER", together)
+        got = S.surface_report(u, s)
+        assert sorted(map(tuple, got.collect())) == want and len(want) == 6
+    single, plain = u.where("unit_id > 1"), spark.createDataFrame([("b", "lee"), ("a", "ann"), ("e", "annab"), ("0", "nn")], s.schema)
+    want = sorted(map(tuple, S.scan_report(S.greedy_surfaces(single, plain)).collect()))
+    got = S.surface_report(single, plain)
+    assert sorted(map(tuple, got.collect())) == want and len(want) == 2
+    last = got._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]
+    assert "Exchange" not in last and "Window" not in last
+    found = []
+    monkeypatch.setattr(S, "_report", lambda rows: found.append(rows.count()) or rows)
+    S.surface_report(u, s)
+    assert found[0] < S.greedy_surfaces(u, s).count() / 5

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,8 @@ from .retrieval import top_k
 SAMPLE, ROUNDS = 20_000, 12
 #: Share of the nearest that a query's lists hold of the sample, and queries that it is measured with.
 RECALL, ASKED = 0.95, 1000
-#: Vectors of a list that are compared at once: longer lists are dealt to pieces.
-PIECE = 2048
+#: Vectors of a list that are compared at once: longer lists are dealt to pieces. Queries that meet a piece at once, and rows that leave a task at once.
+PIECE, AT_ONCE, ROWS = 16_384, 512, 1000
 _SEED = 17
 
 
@@ -23,6 +25,10 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
 
 
+def _matrix(embeddings: pa.ListArray) -> np.ndarray:
+    return embeddings.flatten().to_numpy(zero_copy_only=False).astype("f8", copy=False).reshape(len(embeddings), -1)
+
+
 def fit(vectors: DataFrame, lists: int, k: int = 10, recall: float = RECALL, sample: int = SAMPLE) -> tuple[np.ndarray, int]:
     """Centroids of ``lists`` groups of directions, and how many lists a query must probe for ``recall`` of its ``k`` nearest.
 
@@ -56,16 +62,17 @@ def _lists(vectors: DataFrame, centroids: np.ndarray, probes: int) -> DataFrame:
     """``vec_id, embedding, list`` for each of the ``probes`` lists that a vector is nearest to; ``vec_id`` is long."""
     ship(vectors.sparkSession)
 
-    def run(batches):
-        for pdf in batches:
-            if len(pdf):
-                m = _unit(np.array(pdf["embedding"].tolist(), "f8"))
-                n = min(probes, len(centroids))
-                near = np.argpartition(-(m @ centroids.T), n - 1, axis=1)[:, :n] if n < len(centroids) else np.tile(np.arange(n), (len(m), 1))
-                yield pd.DataFrame({"vec_id": np.repeat(pdf["vec_id"].to_numpy(), n), "embedding": [e for e in m.tolist() for _ in range(n)], "list": near.ravel().astype("i4")})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(x, ROWS) for whole in batches for x in range(0, whole.num_rows, ROWS)):
+            m = _unit(_matrix(batch.column("embedding")))
+            n = min(probes, len(centroids))
+            near = np.argpartition(-(m @ centroids.T), n - 1, axis=1)[:, :n] if n < len(centroids) else np.tile(np.arange(n), (len(m), 1))
+            of = np.repeat(np.arange(len(m)), n)
+            e = pa.ListArray.from_arrays(pa.array(np.arange(len(of) + 1, dtype="i4") * m.shape[1], pa.int32()), pa.array(m[of].ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(pa.array(of)), e, pa.array(near.ravel().astype("i4"))], ["vec_id", "embedding", "list"])
 
     some = vectors.where(F.size("embedding") > 0).select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
-    return some.mapInPandas(run, "vec_id long, embedding array<double>, list int")
+    return some.mapInArrow(run, "vec_id long, embedding array<double>, list int")
 
 
 def index(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
@@ -86,35 +93,39 @@ def nearest(held: DataFrame, queries: DataFrame, centroids: np.ndarray, k: int,
     asked = asked.join(F.broadcast(pieces), "list").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(16)).cast("int"))
     rows = held.select("list", "piece", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("block"), F.lit(0).alias("side"), "vec_id", "embedding").unionByName(asked.select("list", "piece", "block", F.lit(1).alias("side"), "vec_id", "embedding"))
 
-    def best(ids: list[int], piece: np.ndarray, asking: list[tuple[int, list[float]]]) -> pd.DataFrame:
-        scores = np.array([e for _, e in asking]) @ piece.T
-        scores[np.array([i for i, _ in asking])[:, None] == np.array(ids)[None, :]] = -np.inf
-        out = []
-        for (query, _), s in zip(asking, scores, strict=True):
-            order = np.lexsort((np.array(ids), -np.round(s, 9)))[:k]
-            out += [(query, ids[j], float(s[j])) for j in order if np.isfinite(s[j])]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-
-    def run(batches):
-        now, ids, raw, piece, asking = None, [], [], None, []
-        for pdf in batches:
-            for *key, side, i, e in zip(*(pdf[c] for c in ("list", "piece", "block", "side", "vec_id", "embedding")), strict=True):
-                if now != key:
-                    if asking and ids:
-                        yield best(ids, np.array(raw) if piece is None else piece, asking)
-                    now, ids, raw, piece, asking = key, [], [], None, []
-                if side == 0:
-                    ids.append(i)
-                    raw.append(e)
-                else:
-                    asking.append((i, e))
-                    if len(asking) == PIECE and ids:
-                        piece = np.array(raw) if piece is None else piece
-                        yield best(ids, piece, asking)
-                        asking = []
-        if asking and ids:
-            yield best(ids, np.array(raw) if piece is None else piece, asking)
+    def best(ids: np.ndarray, piece: np.ndarray, asking: np.ndarray, asked: np.ndarray) -> pa.RecordBatch:
+        s = asked @ piece.T
+        s[np.isnan(s) | (asking[:, None] == ids[None, :])] = -np.inf
+        some = s > -np.inf
+        if len(ids) > k:  # ties of the last place stay
+            some &= s >= np.partition(s, len(ids) - k, axis=1)[:, len(ids) - k, None] - 2e-9
+        r, c = np.nonzero(some)
+        score = s[r, c]
+        by = np.lexsort((ids[c], -np.round(score, 9), r))
+        r, c, score = r[by], c[by], score[by]
+        keep = np.arange(len(r)) - np.searchsorted(r, np.arange(len(asking)))[r] < k
+        return pa.RecordBatch.from_arrays([pa.array(asking[r[keep]]), pa.array(ids[c[keep]]), pa.array(score[keep])], ["query_id", "vec_id", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts, ids, piece = None, [], None, None
+        for batch in batches:
+            key = np.stack([batch.column(c).to_numpy() for c in ("list", "piece", "block", "side")])
+            cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                if now != tuple(key[:3, a]):
+                    now, parts, ids, piece = tuple(key[:3, a]), [], None, None
+                part = batch.slice(a, b - a)
+                found, m = part.column("vec_id").to_numpy(), _matrix(part.column("embedding"))
+                if key[3, a] == 0:
+                    parts.append((found.copy(), m.copy()))
+                elif parts:
+                    if ids is None:
+                        ids, piece = (np.concatenate(x) for x in zip(*parts, strict=True))
+                    for x in range(0, len(found), AT_ONCE):
+                        yield best(ids, piece, found[x : x + AT_ONCE], m[x : x + AT_ONCE])
 
     key = ["list", "piece", "block"]
-    found = rows.repartition(*key).sortWithinPartitions(*key, "side").mapInPandas(run, "query_id long, vec_id long, score double")
+    found = rows.repartition(*key).sortWithinPartitions(*key, "side").mapInArrow(run, "query_id long, vec_id long, score double")
     return top_k(found, k, doc="vec_id")

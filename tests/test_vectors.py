@@ -80,3 +80,19 @@ def test_all_pairs_as_matrices(spark, monkeypatch, best):
     want = [(i, j, round(x, 9)) for i in own if i % 3 == 0 or i > 99 for j in own if i != j and len(own[i]) == len(own[j]) and (x := plain(own[i], own[j])) > 0.3]
     top = lambda p: sorted(x for i in {i for i, _, _ in p} for x in sorted((x for x in p if x[0] == i), key=lambda x: (-x[2], x[1]))[:best])
     assert top([(r[0], r[1], round(r[2], 9)) for r in got.collect()]) == top(want)
+
+
+def test_a_query_meets_a_list_of_thousands_once(spark):
+    """Copies, zeros and nulls; queries and lists meet as matrices, not row by row, and a list of some thousand vectors is one piece."""
+    rng = np.random.default_rng(8)
+    m = rng.normal(0, 1, (3000, 4))
+    m[10:20] = m[9]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    centroids, _ = V.fit(df, 1)
+    held = V.index(df, centroids)
+    assert held.select("piece").distinct().count() == 1
+    queries = df.where("vec_id % 100 = 9 OR vec_id = 12").selectExpr("vec_id AS query_id", "embedding")
+    got = V.nearest(held, queries, centroids, 5, 1)
+    assert "MapInArrow" in got._jdf.queryExecution().toString() and "MapInPandas" not in got._jdf.queryExecution().toString()
+    want = exact(range(3000), m, 5)
+    assert found(held, queries, centroids, 5, 1) == {i: want[i] for i in [12, *range(9, 3000, 100)]}

@@ -78,6 +78,21 @@ def test_the_best_of_many_terms_make_no_rows_of_pairs(spark, docs, monkeypatch,
     assert rows(R.bm25(twice, queries, best=7)) == rows(R.bm25(twice, queries))
 
 
+def test_queries_are_not_copied_for_pieces(spark, docs, monkeypatch):
+    """With many pieces and with one, blocks of queries and groups of pieces meet in a product that reads both again; no row is made for each piece and query."""
+    queries = docs.where("doc_id % 2 = 0").selectExpr("doc_id AS query_id", "text AS query")
+    monkeypatch.setattr(R, "FEW_TERMS", 1)
+    want, rows = None, lambda d: sorted((r.query_id, r["rank"], r.doc_id, round(r.score, 8)) for r in R.top_k(d, 3).collect())
+    for terms in (300, 10**6):
+        monkeypatch.setattr(R, "PIECE_TERMS", terms)
+        got = R.bm25(docs, queries, best=3)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan and "Generate" not in plan
+        found = rows(got)
+        assert want is None or found == want
+        want = found
+
+
 def test_texts_become_postings_where_they_are_read(spark, docs, tmp_path, monkeypatch):
     for name, value in (("BLOCK_DOCS", 16), ("AT_ONCE", 50), ("BATCH", 7), ("LISTED", 2)):
         monkeypatch.setattr(postings, name, value)

@@ -93,6 +93,22 @@ def test_queries_are_not_copied_for_pieces(spark, docs, monkeypatch):
         want = found
 
 
+def test_copies_score_alike_in_all_pieces(spark, monkeypatch):
+    """Of copies in different pieces those with the smallest ids are the best, however a piece divides their terms into frequent and rare ones."""
+    rng = random.Random(7)
+    copy = [f"c{k}" for k in range(40) for _ in range(rng.randint(1, 4))]
+    others = [" ".join(rng.choice([f"c{k}" for k in range(x % 40 + 1)] + [f"o{x % 7}"]) for _ in range(rng.randint(5, 120))) for x in range(300)]
+    docs = spark.createDataFrame([(k * 2 + 1, x) for k, x in enumerate(others)] + [(k * 14, " ".join(copy)) for k in range(40)], "doc_id long, text string").repartition(6)
+    queries = spark.createDataFrame([(q, " ".join(rng.sample(copy, 30) + copy)) for q in range(60)], "query_id long, query string")
+    for name, value in (("FEW_TERMS", 1), ("PIECE_TERMS", 400), ("OFTEN", 1), ("DENSE", 900), ("LEAST_BLOCK", 300), ("LEAST_TASKS", 1000)):
+        monkeypatch.setattr(R, name, value)
+    best = R.bm25(docs, queries, best=5).collect()
+    of_copies = {(r.query_id, r.score) for r in best if r.doc_id % 14 == 0}
+    assert len(of_copies) == 60
+    top = R.top_k(R.bm25(docs, queries, best=5), 5).collect()
+    assert sorted((r.query_id, r["rank"], r.doc_id) for r in top) == [(q, k + 1, k * 14) for q in range(60) for k in range(5)]
+
+
 def test_texts_become_postings_where_they_are_read(spark, docs, tmp_path, monkeypatch):
     for name, value in (("BLOCK_DOCS", 16), ("AT_ONCE", 50), ("BATCH", 7), ("LISTED", 2)):
         monkeypatch.setattr(postings, name, value)
